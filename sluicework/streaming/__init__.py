@@ -1,0 +1 @@
+"""No operator lives here: the feed is daily batch drops, and "late" is a flag, not a watermark."""
