@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import lru_cache
 
-from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import StructType
 
 DAY = "snapshot_date"
 CORRUPT = "_corrupt_record"
@@ -12,9 +13,10 @@ REASON = "error_reason"
 STAGE = "error_stage"
 
 
-def _schema(columns: list[tuple[str, str]]) -> StructType:
-    # Flags stay nullable: file readers ignore them, so required columns are a rule instead.
-    return StructType([StructField(name, _parse_datatype_string(t), True) for name, t in columns])
+@lru_cache
+def _schema(*columns: tuple[str, str]) -> StructType:
+    # Columns stay nullable: file readers ignore the flag, so "required" is a rule instead.
+    return StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in columns))
 
 
 @dataclass(frozen=True)
@@ -75,17 +77,18 @@ class TableContract:
     @property
     def drop_schema(self) -> StructType:
         """What is read from a JSON line: text columns plus the corrupt-line column."""
-        return _schema([(n, "string") for n in [*self.raw_names, CORRUPT]])
+        return _schema(*[(n, "string") for n in [*self.raw_names, CORRUPT]])
 
     @property
     def bronze_schema(self) -> StructType:
-        return _schema([(n, "string") for n in self.raw_names] + self._provenance("ingested_at"))
+        return _schema(
+            *[(n, "string") for n in self.raw_names], *self._provenance("ingested_at")
+        )
 
     @property
     def silver_schema(self) -> StructType:
         """Typed columns, before any surrogate key."""
-        typed = [(f.name, f.type) for f in self.fields]
-        return _schema(typed + self._provenance("bronze_ingested_at"))
+        return _schema(*self._curated())
 
     @property
     def table_schema(self) -> StructType:
@@ -97,13 +100,14 @@ class TableContract:
                 ("valid_to", self.timestamp),
                 ("is_current", "boolean"),
             ]
-        return StructType([*self.silver_schema.fields, *_schema(extra).fields])
+        return _schema(*self._curated(), *extra)
 
     @property
     def error_schema(self) -> StructType:
-        return StructType(
-            [*self.silver_schema.fields, *_schema([(REASON, "string"), (STAGE, "string")]).fields]
-        )
+        return _schema(*self._curated(), (REASON, "string"), (STAGE, "string"))
+
+    def _curated(self) -> list[tuple[str, str]]:
+        return [(f.name, f.type) for f in self.fields] + self._provenance("bronze_ingested_at")
 
     def _provenance(self, arrival: str) -> list[tuple[str, str]]:
         return [(arrival, self.timestamp), ("source_file", "string"), (DAY, "date")]

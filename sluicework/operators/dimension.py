@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sluicework.contracts import REASON, STAGE, TableContract
 from sluicework.functions.columns import differs
 from sluicework.operators.keys import dense_key, highest_key
-from sluicework.sources.storage import Staging
+from sluicework.sources.storage import Staging, empty
 
 OUT_OF_ORDER = "out_of_order"
 _CLOSES = "_closes"
@@ -18,15 +18,13 @@ _CLOSES = "_closes"
 
 @dataclass(frozen=True)
 class History:
-    """The merge result in parts.  ``versions`` and ``closings`` (key, end) read a written table."""
+    """The merge result in parts.  ``versions`` and ``closings`` (key and end) read a written table."""
 
     unchanged_history: DataFrame
     active: DataFrame
     versions: DataFrame
     closings: DataFrame
     rejected: DataFrame
-    opened_count: int
-    closed_count: int
 
     @property
     def rows(self) -> DataFrame:
@@ -71,7 +69,7 @@ def merge_history(
         .where(f"_opens OR {_CLOSES}")
     )
     backwards = f"{_CLOSES} AND coalesce(valid_from <= _since, false)"
-    rejected = loaded.sparkSession.createDataFrame([], contract.error_schema)
+    rejected = empty(loaded.sparkSession, contract.error_schema)
     if order_guard:
         rejected = compared.where(backwards).selectExpr(
             *loaded.columns, f"'{OUT_OF_ORDER}' AS {REASON}", f"'{OUT_OF_ORDER}' AS {STAGE}"
@@ -86,7 +84,6 @@ def merge_history(
     versions = numbered.selectExpr(
         "*", f"CAST(NULL AS {contract.timestamp}) AS valid_to", "true AS is_current"
     )
-    opened, closed = numbered.selectExpr("count(1)", f"count_if({_CLOSES})").first()
     closings = numbered.where(_CLOSES).selectExpr(f"{key} AS _key", "valid_from AS _until")
     followed = (
         active.drop("valid_to", "is_current")
@@ -99,6 +96,4 @@ def merge_history(
         versions=versions.select(*columns),
         closings=closings,
         rejected=rejected,
-        opened_count=opened,
-        closed_count=closed,
     )

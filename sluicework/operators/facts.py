@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicework.contracts import DAY, TableContract
-from sluicework.functions.metrics import counted
 from sluicework.operators.keys import dense_key, highest_key
 from sluicework.sources.storage import Staging
 
@@ -82,7 +81,5 @@ def _held_keys(
         .select(key, F.col(DAY).alias("held_by"), contract.surrogate)
         .join(keys.select(key, DAY), key)
     )
-    seen = Observation()
-    elsewhere = F.expr(f"count_if(held_by <> {DAY})").alias("elsewhere")
-    written = staging.table(held.observe(seen, elsewhere))
-    return written, counted(seen).get("elsewhere", 0)
+    written, found = staging.counted_table(held, elsewhere=f"count_if(held_by <> {DAY})")
+    return written, found["elsewhere"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicework.contracts import DAY, REASON, STAGE, TableContract
@@ -15,7 +15,6 @@ from sluicework.functions.columns import (
     casts,
     rule_reasons,
 )
-from sluicework.functions.metrics import counted
 from sluicework.sources.storage import Staging
 
 RAW_RECORD = "raw_record"
@@ -38,6 +37,7 @@ class Deduplicated:
     kept: DataFrame
     duplicates: DataFrame
     keys: DataFrame
+    duplicate_count: int
 
 
 @dataclass(frozen=True)
@@ -45,6 +45,7 @@ class Gated:
     accepted: DataFrame
     rejected: DataFrame
     keys: DataFrame
+    rejected_count: int
 
 
 def _typed(contract: TableContract, bronze: DataFrame, *extra: str) -> DataFrame:
@@ -106,23 +107,18 @@ def deduplicate(
     Rows with a unique key are not shuffled by this operator unless the set of repeated keys
     is too big to broadcast.
     """
-    seen = Observation()
-    copies = frame.groupBy(key).agg(
-        F.count(F.lit(1)).alias(COPIES), *[F.min(c).alias(c) for c in carry]
-    )
-    tally = staging.table(
-        copies.observe(
-            seen,
-            F.expr(f"count_if({COPIES} > 1)").alias("keys"),
-            F.expr(f"sum(IF({COPIES} > 1, {COPIES}, 0))").alias("rows"),
-            F.expr(f"sum(IF({COPIES} > 1, octet_length(CAST({key} AS string)), 0))").alias("bytes"),
-        )
+    tally, size = staging.counted_table(
+        frame.groupBy(key).agg(
+            F.count(F.lit(1)).alias(COPIES), *[F.min(c).alias(c) for c in carry]
+        ),
+        keys=f"count_if({COPIES} > 1)",
+        rows=f"sum(IF({COPIES} > 1, {COPIES}, 0))",
+        bytes=f"sum(IF({COPIES} > 1, octet_length(CAST({key} AS string)), 0))",
     )
     repeated = tally.where(f"{COPIES} > 1")
-    size = counted(seen)
-    if not size.get("keys"):
-        nothing = frame.sparkSession.createDataFrame([], frame.schema)
-        return Deduplicated(frame, nothing, tally.select(key, *carry))
+    if size["keys"] == 0:
+        nothing = frame.limit(0)
+        return Deduplicated(frame, nothing, tally.select(key, *carry), 0)
 
     once, again = _split_by_key(frame, repeated, key, size)
     candidates = staging.table(again.withColumn(_ROW, F.monotonically_increasing_id()))
@@ -141,6 +137,7 @@ def deduplicate(
         keys=tally.where(f"{COPIES} = 1")
         .select(key, *carry)
         .union(winners.select(key, *carry)),
+        duplicate_count=size["rows"] - size["keys"],
     )
 
 
@@ -163,24 +160,22 @@ def _split_by_key(
     return spread.join(light, key, "left_anti"), again
 
 
-def quality_gate(
-    contract: TableContract,
-    classified: DataFrame,
-    staging: Staging,
-) -> Gated:
+def quality_gate(contract: TableContract, classified: DataFrame, staging: Staging) -> Gated:
     """Split classified rows into one accepted row per key and everything else, with its reason.
 
-    Rejected rows never reach the de-duplication, so a bad row cannot displace a good one and
-    null keys do not pile up in one task.
+    The rows are classified once and written typed, since they are read several times: for their
+    keys, for the repeated ones, for either output.  Rejected rows never reach the
+    de-duplication, so a bad row cannot displace a good one and null keys do not pile up.
     """
-    clean = classified.where(f"{STAGE} IS NULL").drop(REASON, STAGE)
-    rejected = classified.where(f"{STAGE} IS NOT NULL")
+    rows, found = staging.counted_table(classified, rejected=f"count({STAGE})")
+    clean = rows.where(f"{STAGE} IS NULL").drop(REASON, STAGE)
     unique = deduplicate(clean, contract.key, contract.newest_first, staging, carry=(DAY,))
     duplicates = unique.duplicates.selectExpr(
         "*", f"'duplicate_{contract.key}' AS {REASON}", f"'deduplication' AS {STAGE}"
     )
     return Gated(
         accepted=unique.kept.select(*contract.silver_schema.names),
-        rejected=rejected.unionByName(duplicates),
+        rejected=rows.where(f"{STAGE} IS NOT NULL").unionByName(duplicates),
         keys=unique.keys,
+        rejected_count=found["rejected"] + unique.duplicate_count,
     )

@@ -23,7 +23,7 @@ from sluicework.plans import feeds, oracle
 from sluicework.plans.feeds import CUSTOMER_USERS, EVENT_PLAYS, SNAPSHOTS
 from sluicework.plans.jobs import run_bronze, run_silver
 from sluicework.sources.readers import inspect, read_table
-from sluicework.sources.storage import Staging
+from sluicework.sources.storage import Staging, empty
 from sluicework.sources.writers import replace_days, replace_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,7 +218,7 @@ def q_users_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _no_facts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], EVENT_PLAYS.table_schema)
+    return empty(spark, EVENT_PLAYS.table_schema)
 
 
 def _load(current: DataFrame, raw: DataFrame, staging: Staging, **options) -> FactLoad:
@@ -306,13 +306,17 @@ def _history(
     spark: SparkSession, sf_dir: str, days: tuple[str, ...], staging: Staging, **options
 ) -> History:
     """Merge the snapshots of some days in the given order."""
-    current = spark.createDataFrame([], CUSTOMER_USERS.table_schema)
+    current = empty(spark, CUSTOMER_USERS.table_schema)
     merged = None
     for day in days:
+        highest = 0
         if merged is not None:
             current = staging.table(merged.rows)
+            highest = None
         loaded = _gate_users(spark, sf_dir, day, staging).accepted
-        merged = merge_history(CUSTOMER_USERS, current, loaded, staging, **options)
+        merged = merge_history(
+            CUSTOMER_USERS, current, loaded, staging, highest=highest, **options
+        )
     return merged
 
 

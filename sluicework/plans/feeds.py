@@ -6,8 +6,11 @@ shaping rules plant every kind of bad row: duplicates, null and malformed text,
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sluicework.contracts import DAY, PLAYS, USERS
 
@@ -22,8 +25,15 @@ SNAPSHOTS = ("1995-06-30", "1997-12-31", "2001-12-31")
 FIRST_LOAD_UNTIL = "2024-01-15"
 
 
+@lru_cache
+def _stored_schema(path: str) -> StructType:
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    # Known schema: no footer job per read.
+    return spark.read.schema(_stored_schema(path)).parquet(path)
 
 
 def raw_plays(spark: SparkSession, sf_dir: str) -> DataFrame:

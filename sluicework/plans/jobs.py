@@ -18,7 +18,7 @@ from sluicework.operators.quality import classify, quality_gate
 from sluicework.sources.readers import corrupt, read_day, read_table, readable, scan_drop
 from sluicework.sources.storage import Staging
 from sluicework.sources.writers import (
-    clear_day,
+    clear_table_day,
     replace_days,
     replace_table,
     restore_interrupted,
@@ -47,15 +47,10 @@ def run_bronze(
     if found:
         replace_days(corrupt(lines), errors, [snapshot_date], keep_empty_table=False)
     else:
-        clear_day(spark, errors, snapshot_date)
+        clear_table_day(spark, errors, snapshot_date)
     return {"rows": rows, "corrupt": found}
 
 
-def _write_rejected(rejected: DataFrame, silver_path: str, name: str, day: str) -> int:
-    path = f"{silver_path}/{name}_errors"
-    return replace_days(rejected, path, [day], keep_empty_table=False)[day]
-
-
 def run_silver(
     spark: SparkSession,
     contract: TableContract,
@@ -83,8 +78,8 @@ def run_silver(
         highest = highest_stored_key(
             spark, path, contract.table_schema, contract.surrogate
         )
+        errors = f"{path}_errors"
         if not contract.is_dimension:
-            rejected = _write_rejected(gated.rejected, silver_path, contract.name, snapshot_date)
             load = upsert_facts(
                 contract,
                 current,
@@ -94,28 +89,41 @@ def run_silver(
                 highest=highest,
                 retain_missing=retain_missing,
             )
+            _write_rejected(gated.rejected, gated.rejected_count, errors, snapshot_date)
             rows = replace_days(load.rows, path, [snapshot_date])[snapshot_date]
-            return {"rows": rows, "rejected": rejected, "elsewhere": load.elsewhere_count}
+            return {
+                "rows": rows,
+                "rejected": gated.rejected_count,
+                "elsewhere": load.elsewhere_count,
+            }
 
         merged = merge_history(
             contract, current, gated.accepted, staging, highest=highest, order_guard=order_guard
         )
-        rejects = gated.rejected
+        rejects, count = gated.rejected, gated.rejected_count
         if order_guard:
+            # Compared with the table as it is, so written before the table is replaced.
             rejects = rejects.unionByName(merged.rejected, allowMissingColumns=True)
-        # The guard compares with the table as it is, so the quarantine is written first.
-        rejected = _write_rejected(rejects, silver_path, contract.name, snapshot_date)
+            count += merged.rejected.count()
+        _write_rejected(rejects, count, errors, snapshot_date)
         if touched_days_only:
             _replace_touched(merged, path, snapshot_date)
         else:
             replace_table(merged.rows, path)
         return {
-            "versions": merged.opened_count,
-            "closed": merged.closed_count,
-            "rejected": rejected,
+            "versions": merged.versions.count(),
+            "closed": merged.closings.count(),
+            "rejected": count,
         }
 
 
+def _write_rejected(rejected: DataFrame, count: int, path: str, day: str) -> None:
+    if count:
+        replace_days(rejected, path, [day], keep_empty_table=False)
+    else:
+        clear_table_day(rejected.sparkSession, path, day)
+
+
 def _replace_touched(merged: History, path: str, snapshot_date: str) -> None:
     ended = merged.active.where("NOT is_current").select(DAY).distinct()
     days = sorted({str(row[DAY]) for row in ended.collect()} | {snapshot_date})

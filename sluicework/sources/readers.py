@@ -70,7 +70,7 @@ def load_drop(
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A stored table under an explicit schema; empty when nothing is stored yet."""
     if not storage.exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return storage.empty(spark, schema)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -5,7 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from sluicework.functions.metrics import counted
 
 
 def _located(spark: SparkSession, path: str):
@@ -52,6 +56,11 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="sluicework-")
 
 
+def empty(spark: SparkSession, schema: StructType) -> DataFrame:
+    """A frame without rows that the optimizer knows to be empty, so joins with it fold away."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 class Staging:
     """Intermediate results written as Parquet in the shared folder.
 
@@ -68,9 +77,20 @@ class Staging:
         fs.deleteOnExit(root)
 
     def table(self, frame: DataFrame) -> DataFrame:
-        path = f"{self.root}/{uuid.uuid4().hex}"
-        frame.write.parquet(path)
-        return self._spark.read.schema(frame.schema).parquet(path)
+        return self.counted_table(frame)[0]
+
+    def counted_table(self, frame: DataFrame, **counts: str) -> tuple[DataFrame, dict[str, int]]:
+        """The written table, and aggregates over it that the write itself computes."""
+        path = self.folder()
+        if not counts:
+            frame.write.parquet(path)
+            return self._spark.read.schema(frame.schema).parquet(path), {}
+        seen = Observation()
+        metrics = [F.expr(sql).alias(name) for name, sql in counts.items()]
+        frame.observe(seen, *metrics).write.parquet(path)
+        found = counted(seen)
+        table = self._spark.read.schema(frame.schema).parquet(path)
+        return table, {name: found.get(name, 0) for name in counts}
 
     def folder(self) -> str:
         return f"{self.root}/{uuid.uuid4().hex}"

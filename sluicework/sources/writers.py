@@ -22,8 +22,13 @@ def _overwrite_days(frame: DataFrame, path: str) -> None:
     )
 
 
-def clear_day(spark: SparkSession, path: str, day: str) -> None:
+def clear_table_day(
+    spark: SparkSession, path: str, day: str, keep_empty_table: bool = False
+) -> None:
+    """Remove a day, and a table that has no day left unless it is to be kept."""
     storage.delete(spark, f"{path}/{DAY}={day}")
+    if not keep_empty_table and not storage.children(spark, path, f"{DAY}=*"):
+        storage.delete(spark, path)
 
 
 def replace_days(
@@ -43,11 +48,8 @@ def replace_days(
     _overwrite_days(frame.observe(written, *per_day), path)
     counts = counted(written)
     rows = {day: counts.get(day, 0) for day in days}
-    for day, count in rows.items():
-        if count == 0:
-            clear_day(spark, path, day)
-    if not keep_empty_table and not storage.children(spark, path, f"{DAY}=*"):
-        storage.delete(spark, path)
+    for day in [d for d, count in rows.items() if count == 0]:
+        clear_table_day(spark, path, day, keep_empty_table)
     return rows
 
 
