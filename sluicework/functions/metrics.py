@@ -1,19 +1,21 @@
-"""Counts that come out of a write for free."""
+"""Aggregates that come out of a write for free."""
 
 from __future__ import annotations
 
+from typing import Any
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Observation
 
 
-def counted(observation: Observation) -> dict[str, int]:
-    """The metrics of an observation placed directly under a write, null counts as 0.
+def observed(observation: Observation) -> dict[str, Any]:
+    """The metrics of an observation placed directly under a write.
 
     When adaptive execution finds at run time that nothing is left to write, it drops the plan
     and the observation with it; there the answer is an empty dict.
     """
     try:
-        return {name: value or 0 for name, value in observation.get.items()}
+        return observation.get
     except Py4JJavaError as error:
         if "AssertionError" not in error.java_exception.toString():
             raise

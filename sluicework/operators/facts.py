@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ def upsert_facts(
     staging: Staging,
     *,
     loaded_keys: DataFrame | None = None,
+    key_range: tuple[Any, Any] | None = None,
     highest: int | None = None,
     retain_missing: bool = False,
 ) -> FactLoad:
@@ -38,10 +40,17 @@ def upsert_facts(
     another day is left out; a new key gets the next surrogate, in key order.  A key of the day
     that the load no longer has is dropped, or kept with ``retain_missing``.
 
-    Everything up to the last join moves keys only.  ``loaded`` must have one row per key.
+    Everything up to the last join moves keys only.  ``loaded`` must have one row per key.  What
+    the caller knows already (the loaded keys with their days, their range, the highest
+    surrogate) is not computed again.
     """
     key, surrogate = contract.key, contract.surrogate
-    keys = loaded_keys if loaded_keys is not None else staging.table(loaded.select(key, DAY))
+    keys = loaded_keys
+    if keys is None:
+        keys, ends = staging.measured_table(
+            loaded.select(key, DAY), low=f"min({key})", high=f"max({key})"
+        )
+        key_range = (ends["low"], ends["high"])
     if highest is None:
         highest = highest_key(current, surrogate)
     if highest == 0:
@@ -50,7 +59,7 @@ def upsert_facts(
         nothing = keys.selectExpr(key, DAY, f"{DAY} AS held_by").limit(0)
         return FactLoad(rows, nothing, 0)
 
-    held, elsewhere_count = _held_keys(contract, current, keys, staging)
+    held, elsewhere_count = _held_keys(contract, current, keys, key_range, staging)
     placed = keys.join(held.drop(DAY), key, "left")
     fresh = dense_key(
         placed.where("held_by IS NULL").select(key), [key], surrogate, staging, highest
@@ -66,7 +75,11 @@ def upsert_facts(
 
 
 def _held_keys(
-    contract: TableContract, current: DataFrame, keys: DataFrame, staging: Staging
+    contract: TableContract,
+    current: DataFrame,
+    keys: DataFrame,
+    key_range: tuple[Any, Any] | None,
+    staging: Staging,
 ) -> tuple[DataFrame, int]:
     """The loaded keys the table already has (key, loaded day, the day that holds it, surrogate),
     and how many of them are held by another day.
@@ -75,11 +88,11 @@ def _held_keys(
     broadcast the loaded keys when they are few instead of shuffling the whole table's keys.
     """
     key = contract.key
-    low, high = keys.agg(F.min(key), F.max(key)).first()
+    low, high = key_range or keys.agg(F.min(key), F.max(key)).first()
     held = (
         current.where(F.col(key).between(F.lit(low), F.lit(high)))
         .select(key, F.col(DAY).alias("held_by"), contract.surrogate)
         .join(keys.select(key, DAY), key)
     )
-    written, found = staging.counted_table(held, elsewhere=f"count_if(held_by <> {DAY})")
-    return written, found["elsewhere"]
+    written, found = staging.measured_table(held, elsewhere=f"count_if(held_by <> {DAY})")
+    return written, found["elsewhere"] or 0

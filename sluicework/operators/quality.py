@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,11 +33,13 @@ HEAVY_ROWS = 1_000_000
 
 @dataclass(frozen=True)
 class Deduplicated:
-    """``keys`` holds one row per kept row: the key and the carried columns, nothing else."""
+    """``keys`` holds one row per kept row: the key and the carried columns, nothing else.
+    ``key_range`` are the smallest and largest of them."""
 
     kept: DataFrame
     duplicates: DataFrame
     keys: DataFrame
+    key_range: tuple[Any, Any]
     duplicate_count: int
 
 
@@ -45,6 +48,7 @@ class Gated:
     accepted: DataFrame
     rejected: DataFrame
     keys: DataFrame
+    key_range: tuple[Any, Any]
     rejected_count: int
 
 
@@ -107,18 +111,20 @@ def deduplicate(
     Rows with a unique key are not shuffled by this operator unless the set of repeated keys
     is too big to broadcast.
     """
-    tally, size = staging.counted_table(
+    tally, size = staging.measured_table(
         frame.groupBy(key).agg(
             F.count(F.lit(1)).alias(COPIES), *[F.min(c).alias(c) for c in carry]
         ),
         keys=f"count_if({COPIES} > 1)",
         rows=f"sum(IF({COPIES} > 1, {COPIES}, 0))",
         bytes=f"sum(IF({COPIES} > 1, octet_length(CAST({key} AS string)), 0))",
+        low=f"min({key})",
+        high=f"max({key})",
     )
+    key_range = (size["low"], size["high"])
     repeated = tally.where(f"{COPIES} > 1")
-    if size["keys"] == 0:
-        nothing = frame.limit(0)
-        return Deduplicated(frame, nothing, tally.select(key, *carry), 0)
+    if not size["keys"]:
+        return Deduplicated(frame, frame.limit(0), tally.select(key, *carry), key_range, 0)
 
     once, again = _split_by_key(frame, repeated, key, size)
     candidates = staging.table(again.withColumn(_ROW, F.monotonically_increasing_id()))
@@ -137,12 +143,13 @@ def deduplicate(
         keys=tally.where(f"{COPIES} = 1")
         .select(key, *carry)
         .union(winners.select(key, *carry)),
+        key_range=key_range,
         duplicate_count=size["rows"] - size["keys"],
     )
 
 
 def _split_by_key(
-    frame: DataFrame, repeated: DataFrame, key: str, size: dict[str, int]
+    frame: DataFrame, repeated: DataFrame, key: str, size: dict[str, Any]
 ) -> tuple[DataFrame, DataFrame]:
     """(rows whose key is unique, rows whose key repeats)."""
     if size["keys"] * _ENTRY_BYTES + size["bytes"] <= BROADCAST_BYTES:
@@ -167,7 +174,7 @@ def quality_gate(contract: TableContract, classified: DataFrame, staging: Stagin
     keys, for the repeated ones, for either output.  Rejected rows never reach the
     de-duplication, so a bad row cannot displace a good one and null keys do not pile up.
     """
-    rows, found = staging.counted_table(classified, rejected=f"count({STAGE})")
+    rows, found = staging.measured_table(classified, rejected=f"count({STAGE})")
     clean = rows.where(f"{STAGE} IS NULL").drop(REASON, STAGE)
     unique = deduplicate(clean, contract.key, contract.newest_first, staging, carry=(DAY,))
     duplicates = unique.duplicates.selectExpr(
@@ -177,5 +184,6 @@ def quality_gate(contract: TableContract, classified: DataFrame, staging: Stagin
         accepted=unique.kept.select(*contract.silver_schema.names),
         rejected=rows.where(f"{STAGE} IS NOT NULL").unionByName(duplicates),
         keys=unique.keys,
-        rejected_count=found["rejected"] + unique.duplicate_count,
+        key_range=unique.key_range,
+        rejected_count=(found["rejected"] or 0) + unique.duplicate_count,
     )

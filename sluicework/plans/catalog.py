@@ -224,7 +224,13 @@ def _no_facts(spark: SparkSession) -> DataFrame:
 def _load(current: DataFrame, raw: DataFrame, staging: Staging, **options) -> FactLoad:
     gated = _gate_plays(raw, staging)
     return upsert_facts(
-        EVENT_PLAYS, current, gated.accepted, staging, loaded_keys=gated.keys, **options
+        EVENT_PLAYS,
+        current,
+        gated.accepted,
+        staging,
+        loaded_keys=gated.keys,
+        key_range=gated.key_range,
+        **options,
     )
 
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.contracts import CORRUPT, DAY, TABLES, TableContract
-from sluicework.functions.metrics import counted
+from sluicework.functions.metrics import observed
 from sluicework.operators.dimension import History, merge_history
 from sluicework.operators.facts import upsert_facts
 from sluicework.operators.keys import highest_stored_key
@@ -41,9 +42,9 @@ def run_bronze(
     table, errors = f"{bronze_path}/{contract.name}", f"{bronze_path}/{contract.name}_errors"
     lines = scan_drop(spark, contract, source_path, snapshot_date, ingested_at)
     broken = Observation()
-    observed = lines.observe(broken, F.count(CORRUPT).alias("lines"))
-    rows = replace_days(readable(observed), table, [snapshot_date])[snapshot_date]
-    found = counted(broken)["lines"]
+    watched = lines.observe(broken, F.count(CORRUPT).alias("lines"))
+    rows = replace_days(readable(watched), table, [snapshot_date])[snapshot_date]
+    found = observed(broken)["lines"]
     if found:
         replace_days(corrupt(lines), errors, [snapshot_date], keep_empty_table=False)
     else:
@@ -68,53 +69,55 @@ def run_silver(
     Facts replace their day.  A dimension is replaced as a whole, or with ``touched_days_only``
     only in the days that hold a closed or a new version.
     """
-    with Staging(spark) as staging:
-        bronze = read_day(spark, contract, source_path, snapshot_date)
-        gated = quality_gate(contract, classify(contract, bronze, keep_raw), staging)
-        path = f"{silver_path}/{contract.name}"
+    path = f"{silver_path}/{contract.name}"
+    errors = f"{path}_errors"
+    # Steps that do not need each other run side by side.
+    with Staging(spark) as staging, ThreadPoolExecutor(2) as side:
         if contract.is_dimension:
             restore_interrupted(spark, path)
         current = read_table(spark, path, contract.table_schema)
-        highest = highest_stored_key(
-            spark, path, contract.table_schema, contract.surrogate
+        top = side.submit(
+            highest_stored_key, spark, path, contract.table_schema, contract.surrogate
         )
-        errors = f"{path}_errors"
+        bronze = read_day(spark, contract, source_path, snapshot_date)
+        gated = quality_gate(contract, classify(contract, bronze, keep_raw), staging)
+        rejects, count = gated.rejected, gated.rejected_count
         if not contract.is_dimension:
+            written = side.submit(_write_rejected, rejects, count, errors, snapshot_date)
             load = upsert_facts(
                 contract,
                 current,
                 gated.accepted,
                 staging,
                 loaded_keys=gated.keys,
-                highest=highest,
+                key_range=gated.key_range,
+                highest=top.result(),
                 retain_missing=retain_missing,
             )
-            _write_rejected(gated.rejected, gated.rejected_count, errors, snapshot_date)
             rows = replace_days(load.rows, path, [snapshot_date])[snapshot_date]
-            return {
-                "rows": rows,
-                "rejected": gated.rejected_count,
-                "elsewhere": load.elsewhere_count,
-            }
+            written.result()
+            return {"rows": rows, "rejected": count, "elsewhere": load.elsewhere_count}
 
         merged = merge_history(
-            contract, current, gated.accepted, staging, highest=highest, order_guard=order_guard
+            contract,
+            current,
+            gated.accepted,
+            staging,
+            highest=top.result(),
+            order_guard=order_guard,
         )
-        rejects, count = gated.rejected, gated.rejected_count
         if order_guard:
-            # Compared with the table as it is, so written before the table is replaced.
             rejects = rejects.unionByName(merged.rejected, allowMissingColumns=True)
             count += merged.rejected.count()
+        opened = side.submit(merged.versions.count)
+        closed = side.submit(merged.closings.count)
+        # The guard compares with the table as it is, so the quarantine is written first.
         _write_rejected(rejects, count, errors, snapshot_date)
         if touched_days_only:
             _replace_touched(merged, path, snapshot_date)
         else:
             replace_table(merged.rows, path)
-        return {
-            "versions": merged.versions.count(),
-            "closed": merged.closings.count(),
-            "rejected": count,
-        }
+        return {"versions": opened.result(), "closed": closed.result(), "rejected": count}
 
 
 def _write_rejected(rejected: DataFrame, count: int, path: str, day: str) -> None:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sluicework.functions.metrics import counted
+from sluicework.functions.metrics import observed
 
 
 def _located(spark: SparkSession, path: str):
@@ -77,20 +78,24 @@ class Staging:
         fs.deleteOnExit(root)
 
     def table(self, frame: DataFrame) -> DataFrame:
-        return self.counted_table(frame)[0]
+        return self.measured_table(frame)[0]
 
-    def counted_table(self, frame: DataFrame, **counts: str) -> tuple[DataFrame, dict[str, int]]:
-        """The written table, and aggregates over it that the write itself computes."""
+    def measured_table(self, frame: DataFrame, **metrics: str) -> tuple[DataFrame, dict[str, Any]]:
+        """The written table, and SQL aggregates over it that the write itself computes.
+
+        Over no rows every aggregate is None.
+        """
         path = self.folder()
-        if not counts:
+        found: dict[str, Any] = {}
+        if metrics:
+            seen = Observation()
+            columns = [F.expr(sql).alias(name) for name, sql in metrics.items()]
+            frame.observe(seen, *columns).write.parquet(path)
+            found = observed(seen)
+        else:
             frame.write.parquet(path)
-            return self._spark.read.schema(frame.schema).parquet(path), {}
-        seen = Observation()
-        metrics = [F.expr(sql).alias(name) for name, sql in counts.items()]
-        frame.observe(seen, *metrics).write.parquet(path)
-        found = counted(seen)
         table = self._spark.read.schema(frame.schema).parquet(path)
-        return table, {name: found.get(name, 0) for name in counts}
+        return table, {name: found.get(name) for name in metrics}
 
     def folder(self) -> str:
         return f"{self.root}/{uuid.uuid4().hex}"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.contracts import DAY
-from sluicework.functions.metrics import counted
+from sluicework.functions.metrics import observed
 from sluicework.sources import storage
 
 
@@ -46,7 +46,7 @@ def replace_days(
         F.count(F.when(F.col(DAY) == F.lit(d).cast("date"), True)).alias(d) for d in days
     ]
     _overwrite_days(frame.observe(written, *per_day), path)
-    counts = counted(written)
+    counts = observed(written)
     rows = {day: counts.get(day, 0) for day in days}
     for day in [d for d, count in rows.items() if count == 0]:
         clear_table_day(spark, path, day, keep_empty_table)
