@@ -21,6 +21,7 @@ class Cast:
     name: str
     raw: str
     typed: str
+    can_fail: bool
 
     @property
     def unreadable(self) -> str:
@@ -32,11 +33,14 @@ def casts(contract: TableContract) -> list[Cast]:
     """The curated columns as expressions over a bronze frame."""
     sources = {f.name: f.derived for f in contract.fields if f.derived}
     sources["bronze_ingested_at"] = "ingested_at"
+    business = {f.name for f in contract.fields}
     found = []
     for field in contract.silver_schema.fields:
         raw = sources.get(field.name, field.name)
         typed = f"try_cast({raw} AS {field.dataType.simpleString()})"
-        found.append(Cast(field.name, raw, typed))
+        # Text stays text, and provenance is typed before it gets here.
+        can_fail = field.name in business and field.dataType.simpleString() != "string"
+        found.append(Cast(field.name, raw, typed, can_fail))
     return found
 
 
@@ -47,11 +51,15 @@ def any_of(conditions: Iterable[str]) -> str:
 def reasons(cases: Iterable[tuple[str, str]]) -> str:
     """The reasons whose condition holds, joined in the given order."""
     parts = [f"CASE WHEN {condition} THEN '{reason}' END" for reason, condition in cases]
-    return f"concat_ws('{SEPARATOR}', {', '.join(parts)})"
+    return f"concat_ws('{SEPARATOR}', {', '.join(parts)})" if parts else "''"
+
+
+def unreadable(columns: list[Cast]) -> str:
+    return any_of(c.unreadable for c in columns if c.can_fail)
 
 
 def cast_reasons(columns: list[Cast]) -> str:
-    return reasons((f"cast_error_{c.name}", c.unreadable) for c in columns)
+    return reasons((f"cast_error_{c.name}", c.unreadable) for c in columns if c.can_fail)
 
 
 def rule_reasons(rules: list[Rule]) -> str:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluicework.contracts import REASON, STAGE, TableContract
+from sluicework.contracts import DAY, REASON, STAGE, TableContract
 from sluicework.functions.columns import differs
 from sluicework.operators.keys import dense_key, highest_key
 from sluicework.sources.storage import Staging, empty
@@ -30,6 +30,19 @@ class History:
     def rows(self) -> DataFrame:
         return self.unchanged_history.union(self.active).union(self.versions)
 
+    def arranged(self, condition: Column | None = None) -> DataFrame:
+        """The rows, or some of them, as a write by day wants them.
+
+        Only active rows may have been shuffled away from their day; rebalancing brings a day
+        together again and, unlike hash partitioning, splits a big one.  History comes straight
+        from files of few days each and is not shuffled at all.
+        """
+        parts = [self.unchanged_history, self.active, self.versions]
+        if condition is not None:
+            parts = [part.where(condition) for part in parts]
+        history, active, versions = parts
+        return history.union(active.hint("rebalance", DAY)).union(versions)
+
 
 def merge_history(
     contract: TableContract,

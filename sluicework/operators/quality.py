@@ -10,18 +10,17 @@ from pyspark.sql import functions as F
 
 from sluicework.contracts import DAY, REASON, STAGE, TableContract
 from sluicework.functions.columns import (
-    any_of,
     breaks_a_rule,
     cast_reasons,
     casts,
     rule_reasons,
+    unreadable,
 )
 from sluicework.sources.storage import Staging
 
 RAW_RECORD = "raw_record"
 COPIES = "_copies"
 _ROW = "_row"
-_UNREADABLE = "_unreadable"
 
 # Key sets up to this many bytes are broadcast; the size is measured first.
 BROADCAST_BYTES = 64 << 20
@@ -53,11 +52,12 @@ class Gated:
 
 
 def _typed(contract: TableContract, bronze: DataFrame, *extra: str) -> DataFrame:
+    """Typed columns, and the cast reasons of a row that does not read (null for one that does)."""
     columns = casts(contract)
     return bronze.selectExpr(
         *[f"{c.typed} AS {c.name}" for c in columns],
-        f"{any_of(c.unreadable for c in columns)} AS {_UNREADABLE}",
-        f"{cast_reasons(columns)} AS {REASON}",
+        # Behind the test, so the text is only put together for the rows that need it.
+        f"CASE WHEN {unreadable(columns)} THEN {cast_reasons(columns)} END AS {REASON}",
         *extra,
     )
 
@@ -74,17 +74,17 @@ def classify(contract: TableContract, bronze: DataFrame, keep_raw: bool = False)
     return _typed(contract, bronze, *([text] if keep_raw else [])).selectExpr(
         *contract.silver_schema.names,
         *raw,
-        f"CASE WHEN {_UNREADABLE} THEN {REASON} "
-        f"WHEN {broken} THEN {rule_reasons(contract.rules)} END AS {REASON}",
-        f"CASE WHEN {_UNREADABLE} THEN 'cast' WHEN {broken} THEN 'validation' END AS {STAGE}",
+        f"CASE WHEN {REASON} IS NOT NULL THEN {REASON}"
+        f" WHEN {broken} THEN {rule_reasons(contract.rules)} END AS {REASON}",
+        f"CASE WHEN {REASON} IS NOT NULL THEN 'cast' WHEN {broken} THEN 'validation' END"
+        f" AS {STAGE}",
     )
 
 
 def cast_typed(contract: TableContract, bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows whose every value reads, the others with their reasons)."""
     typed = _typed(contract, bronze)
-    rejected = typed.where(_UNREADABLE).drop(_UNREADABLE)
-    return typed.where(f"NOT {_UNREADABLE}").drop(_UNREADABLE, REASON), rejected
+    return typed.where(f"{REASON} IS NULL").drop(REASON), typed.where(f"{REASON} IS NOT NULL")
 
 
 def validate(contract: TableContract, typed: DataFrame) -> tuple[DataFrame, DataFrame]:

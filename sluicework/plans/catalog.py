@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.contracts import DAY, REASON, STAGE
+from sluicework.contracts import DAY, REASON, STAGE, TableContract
 from sluicework.operators.dimension import History, merge_history
 from sluicework.operators.facts import FactLoad, upsert_facts
 from sluicework.operators.keys import dense_key, highest_stored_key
@@ -70,13 +71,23 @@ def _plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(EVENT_PLAYS, feeds.raw_plays(spark, sf_dir))
 
 
-def _gate_plays(raw: DataFrame, staging: Staging) -> Gated:
-    return quality_gate(EVENT_PLAYS, classify(EVENT_PLAYS, raw), staging)
+def _gate_all(contract: TableContract, raws: list[DataFrame], staging: Staging) -> list[Gated]:
+    """Each load through the gate.  Loads do not depend on each other there, so they overlap."""
 
+    def gate(raw: DataFrame) -> Gated:
+        return quality_gate(contract, classify(contract, raw), staging)
 
-def _gate_users(spark: SparkSession, sf_dir: str, day: str, staging: Staging) -> Gated:
-    raw = feeds.raw_users(spark, sf_dir, day)
-    return quality_gate(CUSTOMER_USERS, classify(CUSTOMER_USERS, raw), staging)
+    with ThreadPoolExecutor(len(raws)) as pool:
+        return list(pool.map(gate, raws))
+
+
+def _gate_users(
+    spark: SparkSession, sf_dir: str, days: tuple[str, ...], staging: Staging
+) -> list[Gated]:
+    raws = {day: feeds.raw_users(spark, sf_dir, day) for day in days}
+    gated = _gate_all(CUSTOMER_USERS, list(raws.values()), staging)
+    by_day = dict(zip(raws, gated, strict=True))
+    return [by_day[day] for day in days]
 
 
 # Casts and rules
@@ -206,12 +217,12 @@ def q_dedup_lineitem_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"{oracle.PLAYS} {oracle.play_errors('plays')}")
 def q_plays_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _gate_plays(feeds.raw_plays(spark, sf_dir), Staging(spark)).rejected
+    return _gate_all(EVENT_PLAYS, [feeds.raw_plays(spark, sf_dir)], Staging(spark))[0].rejected
 
 
 @_query(f"{oracle.USERS} {oracle.user_errors('users3')}")
 def q_users_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _gate_users(spark, sf_dir, SNAPSHOTS[-1], Staging(spark)).rejected
+    return _gate_users(spark, sf_dir, SNAPSHOTS[-1:], Staging(spark))[0].rejected
 
 
 # Facts
@@ -221,8 +232,7 @@ def _no_facts(spark: SparkSession) -> DataFrame:
     return empty(spark, EVENT_PLAYS.table_schema)
 
 
-def _load(current: DataFrame, raw: DataFrame, staging: Staging, **options) -> FactLoad:
-    gated = _gate_plays(raw, staging)
+def _load(current: DataFrame, gated: Gated, staging: Staging, **options) -> FactLoad:
     return upsert_facts(
         EVENT_PLAYS,
         current,
@@ -234,22 +244,35 @@ def _load(current: DataFrame, raw: DataFrame, staging: Staging, **options) -> Fa
     )
 
 
+def _first_load(raw: DataFrame, staging: Staging) -> DataFrame:
+    gated = _gate_all(EVENT_PLAYS, [raw], staging)[0]
+    return _load(_no_facts(raw.sparkSession), gated, staging, highest=0).rows
+
+
 def _first_rows(spark: SparkSession, sf_dir: str, staging: Staging) -> DataFrame:
-    raw, _ = feeds.plays_loads(spark, sf_dir)
-    return _load(_no_facts(spark), raw, staging, highest=0).rows
+    return _first_load(feeds.plays_loads(spark, sf_dir)[0], staging)
 
 
-def _next_load(spark: SparkSession, sf_dir: str, staging: Staging) -> tuple[DataFrame, FactLoad]:
-    stored = staging.table(_first_rows(spark, sf_dir, staging))
-    _, raw = feeds.plays_loads(spark, sf_dir)
-    return stored, _load(stored, raw, staging)
+def _next_load(
+    spark: SparkSession, gates: list[Gated], staging: Staging
+) -> tuple[DataFrame, FactLoad]:
+    stored = staging.table(_load(_no_facts(spark), gates[0], staging, highest=0).rows)
+    return stored, _load(stored, gates[1], staging)
+
+
+def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, FactLoad]:
+    staging = Staging(spark)
+    gates = _gate_all(EVENT_PLAYS, list(feeds.plays_loads(spark, sf_dir)), staging)
+    return _next_load(spark, gates, staging)
 
 
 def _redropped(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     staging = Staging(spark)
-    first, second = _next_load(spark, sf_dir, staging)
+    raws = [*feeds.plays_loads(spark, sf_dir), feeds.corrected_first_load(spark, sf_dir)]
+    gates = _gate_all(EVENT_PLAYS, raws, staging)
+    first, second = _next_load(spark, gates, staging)
     stored = staging.table(first.unionByName(second.rows))
-    load = _load(stored, feeds.corrected_first_load(spark, sf_dir), staging, **options)
+    load = _load(stored, gates[2], staging, **options)
     untouched = stored.where(F.col(DAY) > F.lit(feeds.FIRST_LOAD_UNTIL).cast("date"))
     return load.rows.unionByName(untouched)
 
@@ -259,8 +282,7 @@ _SILVER_PLAYS = f"{oracle.PLAYS} SELECT *, row_number() OVER (ORDER BY play_id)
 
 @_query(_SILVER_PLAYS)
 def q_silver_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = feeds.raw_plays(spark, sf_dir)
-    return _load(_no_facts(spark), raw, Staging(spark), highest=0).rows
+    return _first_load(feeds.raw_plays(spark, sf_dir), Staging(spark))
 
 
 @_query(f"{oracle.FACTS} SELECT * FROM first_rows")
@@ -270,7 +292,7 @@ def q_facts_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"{oracle.FACTS} SELECT * FROM both_rows")
 def q_facts_next_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, second = _next_load(spark, sf_dir, Staging(spark))
+    first, second = _two_loads(spark, sf_dir)
     return first.unionByName(second.rows)
 
 
@@ -280,7 +302,7 @@ def q_facts_next_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     " WHERE c.snapshot_date <> l.snapshot_date"
 )
 def q_facts_elsewhere(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _next_load(spark, sf_dir, Staging(spark))[1].elsewhere
+    return _two_loads(spark, sf_dir)[1].elsewhere
 
 
 @_query(f"{oracle.FACTS} SELECT * FROM redropped")
@@ -313,15 +335,13 @@ def _history(
 ) -> History:
     """Merge the snapshots of some days in the given order."""
     current = empty(spark, CUSTOMER_USERS.table_schema)
-    merged = None
-    for day in days:
-        highest = 0
+    merged, highest = None, 0
+    for gated in _gate_users(spark, sf_dir, days, staging):
         if merged is not None:
-            current = staging.table(merged.rows)
-            highest = None
-        loaded = _gate_users(spark, sf_dir, day, staging).accepted
+            current, top = staging.measured_table(merged.rows, key="max(customer_sk)")
+            highest = top["key"] or 0
         merged = merge_history(
-            CUSTOMER_USERS, current, loaded, staging, highest=highest, **options
+            CUSTOMER_USERS, current, gated.accepted, staging, highest=highest, **options
         )
     return merged
 
@@ -444,10 +464,10 @@ def q_day_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_dimension_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = Staging(spark)
     path = staging.folder()
-    for day in SNAPSHOTS[:2]:
+    for gated in _gate_users(spark, sf_dir, SNAPSHOTS[:2], staging):
         current = read_table(spark, path, CUSTOMER_USERS.table_schema)
-        loaded = _gate_users(spark, sf_dir, day, staging).accepted
-        replace_table(merge_history(CUSTOMER_USERS, current, loaded, staging).rows, path)
+        merged = merge_history(CUSTOMER_USERS, current, gated.accepted, staging)
+        replace_table(merged.arranged(), path)
     return read_table(spark, path, CUSTOMER_USERS.table_schema)
 
 

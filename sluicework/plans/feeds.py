@@ -26,14 +26,14 @@ FIRST_LOAD_UNTIL = "2024-01-15"
 
 
 @lru_cache
-def _stored_schema(path: str) -> StructType:
-    return SparkSession.active().read.parquet(path).schema
+def _stored_schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
     # Known schema: no footer job per read.
-    return spark.read.schema(_stored_schema(path)).parquet(path)
+    return spark.read.schema(_stored_schema(spark, path)).parquet(path)
 
 
 def raw_plays(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from sluicework.operators.dimension import History, merge_history
 from sluicework.operators.facts import upsert_facts
 from sluicework.operators.keys import highest_stored_key
 from sluicework.operators.quality import classify, quality_gate
+from sluicework.sources import storage
 from sluicework.sources.readers import corrupt, read_day, read_table, readable, scan_drop
 from sluicework.sources.storage import Staging
 from sluicework.sources.writers import (
@@ -25,6 +26,10 @@ from sluicework.sources.writers import (
     restore_interrupted,
 )
 
+# A stored byte takes about this many in a shuffle, which does well with partitions of this size.
+_EXPANSION = 4
+_PARTITION_BYTES = 128 << 20
+
 
 def run_bronze(
     spark: SparkSession,
@@ -94,7 +99,7 @@ def run_silver(
                 highest=top.result(),
                 retain_missing=retain_missing,
             )
-            rows = replace_days(load.rows, path, [snapshot_date])[snapshot_date]
+            rows = _replace_day(load.rows, path, snapshot_date)
             written.result()
             return {"rows": rows, "rejected": count, "elsewhere": load.elsewhere_count}
 
@@ -116,13 +121,19 @@ def run_silver(
         if touched_days_only:
             _replace_touched(merged, path, snapshot_date)
         else:
-            replace_table(merged.rows, path)
+            replace_table(merged.arranged(), path)
         return {"versions": opened.result(), "closed": closed.result(), "rejected": count}
 
 
+def _replace_day(rows: DataFrame, path: str, day: str, keep_empty_table: bool = True) -> int:
+    # All rows are of this day; saying so as a constant spares the write a sort by day.
+    same_day = rows.withColumn(DAY, F.lit(day).cast("date"))
+    return replace_days(same_day, path, [day], keep_empty_table)[day]
+
+
 def _write_rejected(rejected: DataFrame, count: int, path: str, day: str) -> None:
     if count:
-        replace_days(rejected, path, [day], keep_empty_table=False)
+        _replace_day(rejected, path, day, keep_empty_table=False)
     else:
         clear_table_day(rejected.sparkSession, path, day)
 
@@ -131,7 +142,15 @@ def _replace_touched(merged: History, path: str, snapshot_date: str) -> None:
     ended = merged.active.where("NOT is_current").select(DAY).distinct()
     days = sorted({str(row[DAY]) for row in ended.collect()} | {snapshot_date})
     touched = F.col(DAY).isin([date.fromisoformat(d) for d in days])
-    replace_days(merged.rows.where(touched).hint("rebalance", DAY), path, days)
+    replace_days(merged.arranged(touched), path, days)
+
+
+def _size_shuffles(spark: SparkSession, *paths: str) -> None:
+    """Raise the number of shuffle partitions with the stored input; adaptive execution merges
+    the ones that turn out small."""
+    wanted = sum(storage.size(spark, p) for p in paths) * _EXPANSION // _PARTITION_BYTES
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
 
 
 def _iso_day(text: str) -> str:
@@ -158,7 +177,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
 def main(argv: Sequence[str] | None = None) -> None:
     """``spark-submit`` entry point."""
     given = _arguments(argv)
-    contract = TABLES[given.table]
+    contract, day = TABLES[given.table], given.snapshot_date
     target = given.target or f"./data/{given.layer}"
     spark = (
         SparkSession.builder.appName(f"{given.layer}-{given.table}")
@@ -167,13 +186,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     )
     try:
         if given.layer == "bronze":
-            report = run_bronze(spark, contract, given.source, given.snapshot_date, target)
+            report = run_bronze(spark, contract, given.source, day, target)
         else:
+            _size_shuffles(spark, f"{given.source}/{DAY}={day}", f"{target}/{contract.name}")
             report = run_silver(
                 spark,
                 contract,
                 given.source,
-                given.snapshot_date,
+                day,
                 target,
                 retain_missing=given.retain_missing,
                 order_guard=given.order_guard,

@@ -43,6 +43,12 @@ def children(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
     return sorted(status.getPath().getName() for status in found or [])
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes stored below a path, 0 when there is nothing."""
+    fs, target = _located(spark, path)
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 

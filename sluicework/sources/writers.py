@@ -73,8 +73,7 @@ def replace_table(frame: DataFrame, path: str) -> None:
     base, name = path.rstrip("/").rsplit("/", 1)
     token = uuid.uuid4().hex
     fresh, backup = f"{base}/.{name}.new-{token}", f"{base}/.{name}.backup-{token}"
-    # Rebalancing by day keeps files few; unlike a hash partitioning it splits a big day.
-    frame.hint("rebalance", DAY).write.partitionBy(DAY).parquet(fresh)
+    frame.write.partitionBy(DAY).parquet(fresh)
     had_table = storage.exists(spark, path)
     if had_table:
         storage.rename(spark, path, backup)
