@@ -128,12 +128,14 @@ def deduplicate(
 
     once, again = _split_by_key(frame, repeated, key, size)
     candidates = staging.table(again.withColumn(_ROW, F.monotonically_increasing_id()))
-    rest = [c for c in frame.columns if c != key]
-    rank = [f"{e} AS _o{i}" for i, e in enumerate(newest_first)]
+    # The largest struct is the newest row; columns that rank as they are need no second copy.
+    plain = [e for e in newest_first if e in frame.columns]
+    rank = [e if e in plain else f"{e} AS _o{i}" for i, e in enumerate(newest_first)]
+    rest = [c for c in frame.columns if c != key and c not in plain]
     winners = candidates.groupBy(key).agg(
         F.expr(f"max(struct({', '.join([*rank, *rest, _ROW])}))").alias("best")
     )
-    winners = winners.selectExpr(key, *[f"best.{c} AS {c}" for c in [*rest, _ROW]])
+    winners = winners.selectExpr(key, *[f"best.{c} AS {c}" for c in [*plain, *rest, _ROW]])
     if size["rows"] > HEAVY_ROWS:
         winners = staging.table(winners)
     return Deduplicated(
