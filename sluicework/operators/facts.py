@@ -60,11 +60,9 @@ def upsert_facts(
         return FactLoad(rows, nothing, 0)
 
     held, elsewhere_count = _held_keys(contract, current, keys, key_range, staging)
-    placed = keys.join(held.drop(DAY), key, "left")
-    fresh = dense_key(
-        placed.where("held_by IS NULL").select(key), [key], surrogate, staging, highest
-    )
-    known = placed.where(f"held_by = {DAY}").select(key, surrogate)
+    new = keys.join(held, key, "left_anti").select(key)
+    fresh = dense_key(new, [key], surrogate, staging, highest)
+    known = held.where(f"held_by = {DAY}").select(key, surrogate)
     rows = loaded.join(known.union(fresh), key).select(*loaded.columns, surrogate)
     if retain_missing:
         days = keys.select(DAY).distinct()

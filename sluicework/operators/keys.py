@@ -49,10 +49,10 @@ def dense_key(
     part = F.shiftrightunsigned(_SLOT, _POSITION_BITS)
     position = F.col(_SLOT).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(part.alias(_PART))
-        .agg((F.max(position) + 1).alias("size"))
-        .select(_PART, F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    sizes = placed.groupBy(part.alias(_PART)).agg((F.max(position) + 1).alias("size"))
+    # Written, so that the slots are counted once however often the result is read.
+    offsets = staging.table(
+        sizes.select(_PART, F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
     )
     return (
         placed.withColumn(_PART, part)

@@ -28,3 +28,18 @@ def test_query_equals_sql(spark, connection, name):
 
 def test_entry(spark):
     assert registry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["q_silver_plays", "q_plays_errors", "q_facts_redrop"])
+@pytest.mark.parametrize(("partitions", "adaptive"), [("1", "true"), ("16", "false")])
+def test_result_does_not_depend_on_partitioning(spark, connection, name, partitions, adaptive):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        result = registry.queries()[name](spark, SF_DIR)
+        _, problem = difference(result, connection, registry.oracle_sql()[name])
+        assert not problem
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.enabled")
