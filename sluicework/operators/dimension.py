@@ -13,12 +13,17 @@ from sluicework.operators.keys import dense_key, highest_key
 from sluicework.sources.storage import Staging, empty
 
 OUT_OF_ORDER = "out_of_order"
+STORED_DAY = "_stored_day"
 _CLOSES = "_closes"
 
 
 @dataclass(frozen=True)
 class History:
-    """The merge result in parts.  ``versions`` and ``closings`` (key and end) read a written table."""
+    """The merge result in parts.
+
+    ``versions`` and ``closings`` read a written table; a closing is the key, the time the
+    active version ends, and the day that version is stored under.
+    """
 
     unchanged_history: DataFrame
     active: DataFrame
@@ -67,7 +72,10 @@ def merge_history(
     columns = contract.table_schema.names
     active = current.where("is_current")
     before = active.selectExpr(
-        f"{key} AS _key", "valid_from AS _since", *[f"{c} AS _old_{c}" for c in contract.tracked]
+        f"{key} AS _key",
+        f"{DAY} AS {STORED_DAY}",
+        "valid_from AS _since",
+        *[f"{c} AS _old_{c}" for c in contract.tracked],
     )
     changed = f"_key IS NOT NULL AND ({differs((c, f'_old_{c}') for c in contract.tracked)})"
     compared = (
@@ -75,6 +83,7 @@ def merge_history(
         .selectExpr(
             *loaded.columns,
             f"{contract.effective_from} AS valid_from",
+            STORED_DAY,
             "_since",
             "_key IS NULL AS _opens",
             f"{changed} AS {_CLOSES}",
@@ -91,13 +100,14 @@ def merge_history(
 
     if highest is None:
         highest = highest_key(current, surrogate)
-    numbered = dense_key(
-        compared.select(*loaded.columns, "valid_from", _CLOSES), [key], surrogate, staging, highest
-    )
+    fresh = compared.select(*loaded.columns, "valid_from", STORED_DAY, _CLOSES)
+    numbered = dense_key(fresh, [key], surrogate, staging, highest)
     versions = numbered.selectExpr(
         "*", f"CAST(NULL AS {contract.timestamp}) AS valid_to", "true AS is_current"
     )
-    closings = numbered.where(_CLOSES).selectExpr(f"{key} AS _key", "valid_from AS _until")
+    closings = numbered.where(_CLOSES).selectExpr(
+        f"{key} AS _key", "valid_from AS _until", STORED_DAY
+    )
     followed = (
         active.drop("valid_to", "is_current")
         .join(closings, F.col(key) == F.col("_key"), "left")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sluicework.contracts import CORRUPT, DAY, TABLES, TableContract
 from sluicework.functions.metrics import observed
-from sluicework.operators.dimension import History, merge_history
+from sluicework.operators.dimension import STORED_DAY, History, merge_history
 from sluicework.operators.facts import upsert_facts
 from sluicework.operators.keys import highest_stored_key
 from sluicework.operators.quality import classify, quality_gate
@@ -139,8 +139,9 @@ def _write_rejected(rejected: DataFrame, count: int, path: str, day: str) -> Non
 
 
 def _replace_touched(merged: History, path: str, snapshot_date: str) -> None:
-    ended = merged.active.where("NOT is_current").select(DAY).distinct()
-    days = sorted({str(row[DAY]) for row in ended.collect()} | {snapshot_date})
+    # One row per day of the table at most.
+    stored = merged.closings.select(STORED_DAY).distinct().collect()
+    days = sorted({str(row[STORED_DAY]) for row in stored} | {snapshot_date})
     touched = F.col(DAY).isin([date.fromisoformat(d) for d in days])
     replace_days(merged.arranged(touched), path, days)
 

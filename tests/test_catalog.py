@@ -6,6 +6,7 @@ import pytest
 from oracle_check import connect, difference
 
 import __spark_entry__ as registry
+from sluicework.operators import quality
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -30,6 +31,15 @@ def test_entry(spark):
     assert registry.entry(spark).count() > 0
 
 
+@pytest.mark.parametrize("name", ["q_silver_plays", "q_plays_errors", "q_dedup_lineitem_dups"])
+def test_key_sets_too_big_to_broadcast(spark, connection, name, monkeypatch):
+    monkeypatch.setattr(quality, "BROADCAST_BYTES", 400)
+    monkeypatch.setattr(quality, "HEAVY_ROWS", 2)
+    result = registry.queries()[name](spark, SF_DIR)
+    _, problem = difference(result, connection, registry.oracle_sql()[name])
+    assert not problem
+
+
 @pytest.mark.parametrize("name", ["q_silver_plays", "q_plays_errors", "q_facts_redrop"])
 @pytest.mark.parametrize(("partitions", "adaptive"), [("1", "true"), ("16", "false")])
 def test_result_does_not_depend_on_partitioning(spark, connection, name, partitions, adaptive):
