@@ -7,6 +7,7 @@ from functools import lru_cache
 
 from pyspark.sql.types import StructType
 
+# Names that stored tables share.
 DAY = "snapshot_date"
 CORRUPT = "_corrupt_record"
 REASON = "error_reason"
@@ -119,6 +120,8 @@ class TableContract:
         return replace(self, fields=fields, timestamp=clock, **changes)
 
 
+# Columns, types, rules and orders of the two tables.
+
 PLAYS = TableContract(
     name="plays",
     key="play_id",

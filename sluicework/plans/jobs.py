@@ -154,19 +154,12 @@ def _size_shuffles(spark: SparkSession, *paths: str) -> None:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
 
 
-def _iso_day(text: str) -> str:
-    try:
-        return date.fromisoformat(text).isoformat()
-    except ValueError as error:
-        raise argparse.ArgumentTypeError(f"not a YYYY-MM-DD date: {text}") from error
-
-
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Load one snapshot day of one table.")
     parser.add_argument("--layer", required=True, choices=["bronze", "silver"])
     parser.add_argument("--table", required=True, choices=sorted(TABLES))
     parser.add_argument("--source", required=True, help="drop folder (bronze) or bronze table (silver)")
-    parser.add_argument("--snapshot-date", required=True, type=_iso_day)
+    parser.add_argument("--snapshot-date", required=True, type=date.fromisoformat)
     parser.add_argument("--target", help="base folder of the layer, ./data/<layer> by default")
     parser.add_argument("--retain-missing", action="store_true")
     parser.add_argument("--order-guard", action="store_true")
@@ -178,7 +171,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
 def main(argv: Sequence[str] | None = None) -> None:
     """``spark-submit`` entry point."""
     given = _arguments(argv)
-    contract, day = TABLES[given.table], given.snapshot_date
+    contract, day = TABLES[given.table], given.snapshot_date.isoformat()
     target = given.target or f"./data/{given.layer}"
     spark = (
         SparkSession.builder.appName(f"{given.layer}-{given.table}")
