@@ -33,6 +33,7 @@ _SQL: dict[str, str] = {}
 
 # Drops of the end-to-end runs: every event and every order is in one of them.
 PLAY_DROPS = ("2024-01-16", "2024-01-31")
+TWO_DAYS = (SNAPSHOTS[0], SNAPSHOTS[2])
 LINE_ITEM_COLUMNS = (
     "l_orderkey",
     "l_linenumber",
@@ -249,10 +250,6 @@ def _first_load(raw: DataFrame, staging: Staging) -> DataFrame:
     return _load(_no_facts(raw.sparkSession), gated, staging, highest=0).rows
 
 
-def _first_rows(spark: SparkSession, sf_dir: str, staging: Staging) -> DataFrame:
-    return _first_load(feeds.plays_loads(spark, sf_dir)[0], staging)
-
-
 def _next_load(
     spark: SparkSession, gates: list[Gated], staging: Staging
 ) -> tuple[DataFrame, FactLoad]:
@@ -277,17 +274,17 @@ def _redropped(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return load.rows.unionByName(untouched)
 
 
-_SILVER_PLAYS = f"{oracle.PLAYS} SELECT *, row_number() OVER (ORDER BY play_id) AS play_sk FROM plays"
-
-
-@_query(_SILVER_PLAYS)
+@_query(f"{oracle.STORED_PLAYS} SELECT * FROM stored")
 def q_silver_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _first_load(feeds.raw_plays(spark, sf_dir), Staging(spark))
 
 
-@_query(f"{oracle.FACTS} SELECT * FROM first_rows")
+@_query(f"{oracle.STORED_PLAYS} SELECT * FROM stored")
 def q_facts_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _first_rows(spark, sf_dir, Staging(spark))
+    """The upsert on its own, with nothing known beforehand."""
+    staging = Staging(spark)
+    gated = _gate_all(EVENT_PLAYS, [feeds.raw_plays(spark, sf_dir)], staging)[0]
+    return upsert_facts(EVENT_PLAYS, _no_facts(spark), gated.accepted, staging).rows
 
 
 @_query(f"{oracle.FACTS} SELECT * FROM both_rows")
@@ -346,14 +343,14 @@ def _history(
     return merged
 
 
-@_query(f"{oracle.HISTORY} SELECT * FROM dim1")
+@_query(f"{oracle.FIRST_HISTORY} SELECT * FROM dim")
 def q_scd2_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _history(spark, sf_dir, SNAPSHOTS[:1], Staging(spark)).rows
+    return _history(spark, sf_dir, SNAPSHOTS[-1:], Staging(spark)).rows
 
 
-@_query(f"{oracle.HISTORY} SELECT * FROM dim2")
+@_query(f"{oracle.TWO_DAYS} SELECT * FROM dim")
 def q_scd2_day2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _history(spark, sf_dir, SNAPSHOTS[:2], Staging(spark)).rows
+    return _history(spark, sf_dir, TWO_DAYS, Staging(spark)).rows
 
 
 @_query(f"{oracle.HISTORY} SELECT * FROM dim3")
@@ -426,17 +423,18 @@ def q_bronze_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_plays(spark: SparkSession, sf_dir: str) -> str:
-    """The first load as a stored table; returns its path."""
+    """All accepted plays as a stored table; returns its path."""
     staging = Staging(spark)
     path = staging.folder()
-    rows = _first_rows(spark, sf_dir, staging)
-    days = [str(r[DAY]) for r in rows.select(DAY).distinct().collect()]
-    replace_days(rows, path, days)
+    gated = _gate_all(EVENT_PLAYS, [feeds.raw_plays(spark, sf_dir)], staging)[0]
+    rows = _load(_no_facts(spark), gated, staging, highest=0).rows
+    days = gated.keys.select(DAY).distinct().collect()
+    replace_days(rows.hint("rebalance", DAY), path, [str(row[DAY]) for row in days])
     return path
 
 
 def _replaced_day(spark: SparkSession, sf_dir: str, rows_of_day: str) -> DataFrame:
-    """Replace the last day of a stored table by some of its own rows, then read the table."""
+    """Replace a day of a stored table by some of its own rows, then read the table."""
     path, day = _stored_plays(spark, sf_dir), feeds.FIRST_LOAD_UNTIL
     stored = read_table(spark, path, EVENT_PLAYS.table_schema)
     same_day = stored.where(F.col(DAY) == F.lit(day).cast("date"))
@@ -444,40 +442,40 @@ def _replaced_day(spark: SparkSession, sf_dir: str, rows_of_day: str) -> DataFra
     return read_table(spark, path, EVENT_PLAYS.table_schema)
 
 
-_LAST_DAY = f"DATE '{feeds.FIRST_LOAD_UNTIL}'"
+_ONE_DAY = f"DATE '{feeds.FIRST_LOAD_UNTIL}'"
 
 
 @_query(
-    f"{oracle.FACTS} SELECT * FROM first_rows"
-    f" WHERE snapshot_date <> {_LAST_DAY} OR NOT late_arriving_data"
+    f"{oracle.STORED_PLAYS} SELECT * FROM stored"
+    f" WHERE snapshot_date <> {_ONE_DAY} OR NOT late_arriving_data"
 )
 def q_day_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replaced_day(spark, sf_dir, "NOT late_arriving_data")
 
 
-@_query(f"{oracle.FACTS} SELECT * FROM first_rows WHERE snapshot_date <> {_LAST_DAY}")
+@_query(f"{oracle.STORED_PLAYS} SELECT * FROM stored WHERE snapshot_date <> {_ONE_DAY}")
 def q_day_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replaced_day(spark, sf_dir, "ms_played <= 0")
 
 
-@_query(f"{oracle.HISTORY} SELECT * FROM dim2")
+@_query(f"{oracle.TWO_DAYS} SELECT * FROM dim")
 def q_dimension_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = Staging(spark)
     path = staging.folder()
-    for gated in _gate_users(spark, sf_dir, SNAPSHOTS[:2], staging):
+    for gated in _gate_users(spark, sf_dir, TWO_DAYS, staging):
         current = read_table(spark, path, CUSTOMER_USERS.table_schema)
         merged = merge_history(CUSTOMER_USERS, current, gated.accepted, staging)
         replace_table(merged.arranged(), path)
     return read_table(spark, path, CUSTOMER_USERS.table_schema)
 
 
-@_query(f"{oracle.FACTS} SELECT DISTINCT snapshot_date FROM first_rows")
+@_query(f"{oracle.STORED_PLAYS} SELECT DISTINCT snapshot_date FROM stored")
 def q_snapshot_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _stored_plays(spark, sf_dir)
     return read_table(spark, path, EVENT_PLAYS.table_schema).select(DAY).distinct()
 
 
-@_query(f"{oracle.FACTS} SELECT max(play_sk) AS max_sk FROM first_rows")
+@_query(f"{oracle.STORED_PLAYS} SELECT max(play_sk) AS max_sk FROM stored")
 def q_max_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _stored_plays(spark, sf_dir)
     top = highest_stored_key(spark, path, EVENT_PLAYS.table_schema, "play_sk")
@@ -485,7 +483,7 @@ def q_max_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(
-    f"{oracle.FACTS} SELECT * FROM first_rows WHERE snapshot_date = {_LAST_DAY}"
+    f"{oracle.STORED_PLAYS} SELECT * FROM stored WHERE snapshot_date = {_ONE_DAY}"
     " ORDER BY play_id DESC LIMIT 20"
 )
 def q_inspect_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -550,10 +548,10 @@ def q_landed_plays_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landed_users(spark: SparkSession, sf_dir: str, touched_days_only: bool) -> DataFrame:
-    """The first two snapshots through the curated job."""
+    """The first and the last snapshot through the curated job."""
     staging = Staging(spark)
     bronze, silver = staging.folder(), staging.folder()
-    for day in SNAPSHOTS[:2]:
+    for day in TWO_DAYS:
         replace_days(feeds.raw_users(spark, sf_dir, day), f"{bronze}/users", [day])
         run_silver(
             spark,
@@ -566,11 +564,11 @@ def _landed_users(spark: SparkSession, sf_dir: str, touched_days_only: bool) ->
     return read_table(spark, f"{silver}/users", CUSTOMER_USERS.table_schema)
 
 
-@_query(f"{oracle.HISTORY} SELECT * FROM dim2")
+@_query(f"{oracle.TWO_DAYS} SELECT * FROM dim")
 def q_landed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed_users(spark, sf_dir, touched_days_only=False)
 
 
-@_query(f"{oracle.HISTORY} SELECT * FROM dim2")
+@_query(f"{oracle.TWO_DAYS} SELECT * FROM dim")
 def q_landed_users_touched_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed_users(spark, sf_dir, touched_days_only=True)

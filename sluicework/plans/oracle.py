@@ -127,6 +127,10 @@ redropped AS (SELECT * FROM again_rows UNION ALL SELECT * FROM next_rows)
 
 PLAYS = f"WITH {RAW_PLAYS},{gated_plays('raw_plays', 'plays')}"
 
+STORED_PLAYS = f"""{PLAYS},
+stored AS (SELECT *, row_number() OVER (ORDER BY play_id) AS play_sk FROM plays)
+"""
+
 
 def raw_users(snapshot: str, out: str) -> str:
     return f"""
@@ -241,11 +245,13 @@ HISTORY = (
     f"{USERS},{NO_USERS},{merged('no_users', 'users1', 'dim1')},"
     f"{merged('dim1', 'users2', 'dim2')},{merged('dim2', 'users3', 'dim3')}"
 )
-# The second snapshot arrives after the third.
-LATE_HISTORY = (
-    f"{USERS},{NO_USERS},{merged('no_users', 'users1', 'dim1')},"
-    f"{merged('dim1', 'users3', 'dim3')},{merged('dim3', 'users2', 'back')}"
+FIRST_HISTORY = f"{USERS},{NO_USERS},{merged('no_users', 'users3', 'dim')}"
+# The first snapshot and the last one.
+TWO_DAYS = (
+    f"{USERS},{NO_USERS},{merged('no_users', 'users1', 'dim1')},{merged('dim1', 'users3', 'dim')}"
 )
+# The second snapshot arrives after the third.
+LATE_HISTORY = f"{TWO_DAYS},{merged('dim', 'users2', 'back')}"
 
 _JSON = " || ',' || ".join(
     f"'\"{name}\":' || coalesce('\"' || {name} || '\"', 'null')"
