@@ -22,7 +22,7 @@ def _schema(*columns: tuple[str, str]) -> StructType:
 
 @dataclass(frozen=True)
 class Field:
-    """A business column.  ``derived`` is SQL over the raw text columns; such a field is not in the drop."""
+    """A business column.  One with ``derived`` SQL over the raw text is not in the drop."""
 
     name: str
     type: str

@@ -158,7 +158,9 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Load one snapshot day of one table.")
     parser.add_argument("--layer", required=True, choices=["bronze", "silver"])
     parser.add_argument("--table", required=True, choices=sorted(TABLES))
-    parser.add_argument("--source", required=True, help="drop folder (bronze) or bronze table (silver)")
+    parser.add_argument(
+        "--source", required=True, help="drop folder (bronze) or bronze table (silver)"
+    )
     parser.add_argument("--snapshot-date", required=True, type=date.fromisoformat)
     parser.add_argument("--target", help="base folder of the layer, ./data/<layer> by default")
     parser.add_argument("--retain-missing", action="store_true")

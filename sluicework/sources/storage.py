@@ -1,4 +1,4 @@
-"""File work through the Hadoop ``FileSystem`` API, so paths may live on any store Spark can reach."""
+"""File work through the Hadoop ``FileSystem`` API, for any store that Spark can reach."""
 
 from __future__ import annotations
 

@@ -1,4 +1,7 @@
-"""Runs queries and their SQL side by side; also usable as a script: ``oracle_check.py [sf_dir] [name...]``."""
+"""Runs queries and their SQL side by side.
+
+As a script: ``oracle_check.py [sf_dir] [name ...]``.
+"""
 
 from __future__ import annotations
 
@@ -56,7 +59,8 @@ def main() -> None:
         start = time.time()
         result = queries[name](spark, sf_dir)
         rows, problem = difference(result, connection, sql[name])
-        print(f"{name:32s} {rows:8d} rows {time.time() - start:6.2f}s  {problem or 'ok'}", flush=True)
+        seconds = time.time() - start
+        print(f"{name:32s} {rows:8d} rows {seconds:6.2f}s  {problem or 'ok'}", flush=True)
     spark.stop()
 
 

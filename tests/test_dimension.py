@@ -114,7 +114,8 @@ BACKWARDS = [
 
 def test_older_snapshot_without_guard_closes_backwards(spark, staging, current):
     merged = merge_history(USERS, current, load(spark, BACKWARDS), staging)
-    closed = {r["user_id"]: r for r in merged.rows.where("NOT is_current AND customer_sk <> 2").collect()}
+    ended = merged.rows.where("NOT is_current AND customer_sk <> 2")
+    closed = {r["user_id"]: r for r in ended.collect()}
     assert closed[2]["valid_to"] < closed[2]["valid_from"]
     assert closed[1]["valid_to"] == closed[1]["valid_from"]
 
@@ -130,7 +131,7 @@ def test_order_guard_rejects_what_is_not_newer(spark, staging, current):
 
 @pytest.mark.parametrize("partitions", ["1", "16"])
 def test_chain_against_brute_force(spark, staging, partitions):
-    """Three growing snapshots of users whose tiers change; intervals must chain, keys must be dense."""
+    """Three growing snapshots whose tiers change: intervals must chain, keys must be dense."""
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
@@ -146,7 +147,8 @@ def test_chain_against_brute_force(spark, staging, partitions):
                 if not versions or versions[-1][0] != tier:
                     top += 1
                     versions.append((tier, top, at(f"{stamp}T00:00:00")))
-            table = staging.table(merge_history(USERS, table, load(spark, rows, stamp), staging).rows)
+            merged = merge_history(USERS, table, load(spark, rows, stamp), staging)
+            table = staging.table(merged.rows)
         wanted = []
         for u, versions in expected.items():
             for (tier, sk, since), following in zip(versions, [*versions[1:], None], strict=True):
