@@ -7,7 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicework.llm import bpe_automaton, token_counts
+from sluicework.llm import (
+    bpe_automaton,
+    decontaminate,
+    line_quality,
+    secret_scan,
+    sql,
+    token_counts,
+)
 from sluicework.llm.arrow import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,14 +26,38 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), RANK_FILE)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_scan(read(spark, sf_dir, "documents"))
+
+
+def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.line_quality(read(spark, sf_dir, "documents"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
+
+
 def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.round_trip(read(spark, sf_dir, "documents"), BPE_FILE)
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_token_counts, op8_bpe_automaton)
+    found = (
+        op1_token_counts,
+        op3_secret_scan,
+        op4_line_quality,
+        op7_decontaminate,
+        op8_bpe_automaton,
+    )
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_secret_scan": sql.SECRET_SCAN,
+        "op4_line_quality": sql.LINE_QUALITY,
+        "op7_decontaminate": sql.DECONTAMINATE,
+    }
