@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +19,15 @@ def map_batches(
     schema: str,
     work: Callable[[Iterator[pa.RecordBatch]], Iterator[dict[str, Sequence]]],
 ) -> DataFrame:
-    """``mapInArrow`` for work that yields columns by name, in the order of ``schema``."""
+    """``mapInArrow`` for work that yields columns by name, in the order of ``schema``.
+
+    Python workers also look for this package where the driver found it, so a local session may be
+    started in any folder; a cluster has the package installed or sent along.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    package = str(Path(__file__).resolve().parents[2])
+    frame.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", package)
     names = StructType.fromDDL(schema)
     arrow = to_arrow_schema(names)
 

@@ -10,8 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from sluicework.llm import (
     bpe_automaton,
     decontaminate,
+    kneser_ney,
     line_quality,
+    page_template,
+    ppm_language,
+    run_length_index,
     secret_scan,
+    shingle_join,
     sql,
     token_counts,
 )
@@ -26,6 +31,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), RANK_FILE)
 
 
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = kneser_ney.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select("doc_id", "lang", "perplexity", "threshold", "kept")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(read(spark, sf_dir, "documents"))
 
@@ -34,6 +44,14 @@ def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.line_quality(read(spark, sf_dir, "documents"))
 
 
+def op5_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.shingle_components(read(spark, sf_dir, "documents"))
+
+
+def op6_page_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_template.main_text(read(spark, sf_dir, "pages"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
@@ -44,13 +62,27 @@ def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.round_trip(read(spark, sf_dir, "documents"), BPE_FILE)
 
 
+def op9_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = run_length_index.remove_repeats(read(spark, sf_dir, "documents"))
+    return run_length_index.digest(removed)
+
+
+def op10_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm_language.identify(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_token_counts,
+        op2_kneser_ney,
         op3_secret_scan,
         op4_line_quality,
+        op5_shingle_join,
+        op6_page_template,
         op7_decontaminate,
         op8_bpe_automaton,
+        op9_run_length_index,
+        op10_ppm_language,
     )
     return {query.__name__: query for query in found}
 
