@@ -1,14 +1,16 @@
 """Benchmark decontamination by a broadcast hash set of the test items' word windows.
 
-DataFrame functions only.  A document's words are hashed in windows of 13 (and of the lengths of
-shorter items), each window probes the table of benchmark windows, and a hit is verified word by
-word in the join.  Documents do not move for the probe: the table is broadcast when its counted
+DataFrame functions only.  A document's words are taken in windows of 13 (and of the lengths of
+shorter items), each window probes the table of benchmark windows by a hash of ``PROBED`` of its
+words, and a hit is verified word by word in the join.  Documents do not move for the probe: the table is broadcast when its counted
 rows are at most ``BROADCAST_WINDOWS``, else Spark joins the windows' hashes by shuffle.  Only hits
 are grouped by document.
 """
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BREAK_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
+# Words of a window that its hash takes, evenly spread; all words are compared on a hit.
+PROBED = 4
+
 # About 300 bytes each as Spark holds them.
 BROADCAST_WINDOWS = 200_000
 
@@ -28,16 +33,23 @@ BROADCAST_WINDOWS = 200_000
 def normal_words(text: Column) -> Column:
     """Words of a text with A-Z lower-cased; none for null."""
     lowered = F.translate(text, UPPER, LOWER)
-    return F.filter(F.split(F.coalesce(lowered, F.lit("")), BREAK), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(lowered, F.lit("")), BREAK), "")
 
 
 def count_words(text: Column) -> Column:
     """The same words counted, without lower-casing."""
-    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), BREAK_ANY_CASE), lambda w: w != ""))
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), BREAK_ANY_CASE), ""))
+
+
+def _probe(found: Column, start: Column | int, length: int) -> Column:
+    """The hash of a window's first and last word and some between."""
+    taken = min(PROBED, length)
+    steps = [round(k * (length - 1) / max(1, taken - 1)) for k in range(taken)]
+    return F.xxhash64(*[F.get(found, start + F.lit(k)) for k in steps])
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``length, hash, words, item_ids``: each distinct window once, with the items that have it.
+    """``length, words, item_ids``: each distinct window once, with the items that have it.
 
     An item without words has none.  An item without an id keeps its windows but is in no list.
     """
@@ -56,7 +68,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
                 )
             ).alias("words"),
         )
-        .groupBy("length", F.xxhash64("words").alias("hash"), "words")
+        .groupBy("length", "words")
         .agg(F.collect_set("item_id").alias("item_ids"))
     )
 
@@ -65,41 +77,51 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     """``doc_id, text_key, place, length, item_ids``: where benchmark windows occur."""
     table = benchmark_windows(benchmark, window)
     # One row per length, at most ``window`` of them.
-    sizes = {row["length"]: row["n"] for row in table.groupBy("length").agg(
-        F.count("*").alias("n")
-    ).collect()}
+    counted = table.groupBy("length").agg(F.count("*").alias("n")).collect()
+    sizes = {row["length"]: row["n"] for row in counted}
+    lengths = sorted(sizes) or [window]
 
     def of_length(found: Column, length: int) -> Column:
         return F.transform(
-            positions(F.size(found) - (length - 1)),
-            lambda i: F.struct(
-                i.alias("place"),
-                F.lit(length).alias("length"),
-                F.xxhash64(F.slice(found, i + 1, F.lit(length))).alias("hash"),
-            ),
+            positions(F.size(found) - (length - 1)), lambda start: _probe(found, start, length)
         )
 
+    def count(length: int) -> Column:
+        return F.greatest(F.size("found") - (length - 1), F.lit(0))
+
     def hashed(found: Column) -> Column:
-        arrays = [of_length(found, length) for length in sorted(sizes) or [window]]
+        arrays = [of_length(found, length) for length in lengths]
         return arrays[0] if len(arrays) == 1 else F.concat(*arrays)
 
+    # The arrays of the lengths stand one behind the other; a hit's place tells which it is of.
     probes = docs.select("doc_id", text_key(), normal_words(F.col("text")).alias("found")).select(
         "doc_id",
         "text_key",
         "found",
-        F.inline(let(F.col("found"), hashed)),
+        F.posexplode(let(F.col("found"), hashed)).alias("at", "hash"),
     )
+    place, length, before = F.col("at"), F.lit(lengths[0]), F.lit(0)
+    for shorter, longer in pairwise(lengths):
+        before = before + count(shorter)
+        place = F.when(F.col("at") >= before, F.col("at") - before).otherwise(place)
+        length = F.when(F.col("at") >= before, F.lit(longer)).otherwise(length)
+    key = F.lit(None).cast("long")
+    for of in lengths:
+        key = F.when(F.col("length") == of, _probe(F.col("words"), F.lit(0), of)).otherwise(key)
+    table = table.select(F.col("length").alias("size"), key.alias("key"), "words", "item_ids")
     if sum(sizes.values()) <= BROADCAST_WINDOWS:
         table = F.broadcast(table)
     # Not an equality of arrays, which would become a join key and be cut out for every window.
-    window_of = F.slice(probes["found"], probes["place"] + 1, probes["length"])
     verified = F.forall(
-        F.zip_with(window_of, table["words"], lambda ours, theirs: ours.eqNullSafe(theirs)),
+        F.zip_with(
+            F.slice(F.col("found"), place + 1, length),
+            F.col("words"),
+            lambda ours, theirs: ours.eqNullSafe(theirs),
+        ),
         lambda equal: equal,
     )
-    same = (probes["hash"] == table["hash"]) & verified
-    return probes.join(table, same).select(
-        "doc_id", "text_key", "place", probes["length"], "item_ids"
+    return probes.join(table, (F.col("hash") == F.col("key")) & verified).select(
+        "doc_id", "text_key", place.alias("place"), F.col("size").alias("length"), "item_ids"
     )
 
 
