@@ -13,6 +13,7 @@ from sluicework.operators.quality import (
     cast_typed,
     classify,
     deduplicate,
+    newest,
     quality_gate,
     validate,
 )
@@ -33,6 +34,7 @@ __all__ = [
     "inspect",
     "load_drop",
     "merge_history",
+    "newest",
     "quality_gate",
     "read_day",
     "read_table",

@@ -17,7 +17,8 @@ STAGE = "error_stage"
 @lru_cache
 def _schema(*columns: tuple[str, str]) -> StructType:
     # Columns stay nullable: file readers ignore the flag, so "required" is a rule instead.
-    return StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in columns))
+    named = ((name.replace("`", "``"), kind) for name, kind in columns)
+    return StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in named))
 
 
 @dataclass(frozen=True)
@@ -69,7 +70,7 @@ class TableContract:
     def rules(self) -> list[Rule]:
         """Null rules of the required drop columns in column order, then the table's own checks."""
         nulls = [
-            Rule(f"null_{f.name}", f"{f.name} IS NULL")
+            Rule(f"null_{f.name}", f"`{f.name.replace('`', '``')}` IS NULL")
             for f in self.fields
             if f.required and f.derived is None
         ]

@@ -14,6 +14,17 @@ from sluicework.contracts import Rule, TableContract
 SEPARATOR = "; "
 
 
+def quoted(name: str) -> str:
+    """A column's name in SQL text, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(value: str) -> str:
+    """A text literal in SQL."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 @dataclass(frozen=True)
 class Cast:
     """One curated column: its name, its raw value and that value safely cast."""
@@ -31,12 +42,12 @@ class Cast:
 
 def casts(contract: TableContract) -> list[Cast]:
     """The curated columns as expressions over a bronze frame."""
-    sources = {f.name: f.derived for f in contract.fields if f.derived}
+    sources = {f.name: f.derived or quoted(f.name) for f in contract.fields}
     sources["bronze_ingested_at"] = "ingested_at"
     business = {f.name for f in contract.fields}
     found = []
     for field in contract.silver_schema.fields:
-        raw = sources.get(field.name, field.name)
+        raw = sources.get(field.name, quoted(field.name))
         typed = f"try_cast({raw} AS {field.dataType.simpleString()})"
         # Text stays text, and provenance is typed before it gets here.
         can_fail = field.name in business and field.dataType.simpleString() != "string"
@@ -50,8 +61,8 @@ def any_of(conditions: Iterable[str]) -> str:
 
 def reasons(cases: Iterable[tuple[str, str]]) -> str:
     """The reasons whose condition holds, joined in the given order."""
-    parts = [f"CASE WHEN {condition} THEN '{reason}' END" for reason, condition in cases]
-    return f"concat_ws('{SEPARATOR}', {', '.join(parts)})" if parts else "''"
+    parts = [f"CASE WHEN {condition} THEN {literal(reason)} END" for reason, condition in cases]
+    return f"concat_ws({literal(SEPARATOR)}, {', '.join(parts)})" if parts else "''"
 
 
 def unreadable(columns: list[Cast]) -> str:
@@ -73,4 +84,4 @@ def breaks_a_rule(rules: list[Rule]) -> str:
 
 def differs(pairs: Iterable[tuple[str, str]]) -> str:
     """Null-safe: null against null is the same, null against a value is a change."""
-    return any_of(f"NOT ({left} <=> {right})" for left, right in pairs)
+    return any_of(f"NOT ({quoted(left)} <=> {quoted(right)})" for left, right in pairs)

@@ -8,21 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluicework.contracts import DAY, REASON, STAGE, TableContract
-from sluicework.functions.columns import differs
+from sluicework.functions.columns import differs, quoted
 from sluicework.operators.keys import dense_key, highest_key
 from sluicework.sources.storage import Staging, empty
 
 OUT_OF_ORDER = "out_of_order"
 STORED_DAY = "_stored_day"
 _CLOSES = "_closes"
+_BACKWARDS = "_backwards"
 
 
 @dataclass(frozen=True)
 class History:
     """The merge result in parts.
 
-    ``versions`` and ``closings`` read a written table; a closing is the key, the time the
-    active version ends, and the day that version is stored under.
+    ``versions``, ``closings`` and ``rejected`` read written tables, whose rows were counted by the
+    write; a closing is the key, the time the active version ends, and the day that version is
+    stored under.
     """
 
     unchanged_history: DataFrame
@@ -30,6 +32,9 @@ class History:
     versions: DataFrame
     closings: DataFrame
     rejected: DataFrame
+    opened_count: int
+    closed_count: int
+    rejected_count: int
 
     @property
     def rows(self) -> DataFrame:
@@ -68,20 +73,22 @@ def merge_history(
     History rows are passed through without a shuffle.  The active rows meet the loaded rows
     once, on key and tracked columns only, and then the (usually few) closings.
     """
-    key, surrogate = contract.key, contract.surrogate
-    columns = contract.table_schema.names
+    key, surrogate = quoted(contract.key), contract.surrogate
+    columns = list(map(quoted, contract.table_schema.names))
+    loaded_columns = list(map(quoted, loaded.columns))
     active = current.where("is_current")
     before = active.selectExpr(
         f"{key} AS _key",
         f"{DAY} AS {STORED_DAY}",
         "valid_from AS _since",
-        *[f"{c} AS _old_{c}" for c in contract.tracked],
+        *[f"{quoted(c)} AS {quoted(f'_old_{c}')}" for c in contract.tracked],
     )
     changed = f"_key IS NOT NULL AND ({differs((c, f'_old_{c}') for c in contract.tracked)})"
-    compared = (
-        loaded.join(before, F.col(key) == F.col("_key"), "left")
+    backwards = f"{_CLOSES} AND coalesce(valid_from <= _since, false)" if order_guard else "false"
+    joined = (
+        loaded.join(before, F.expr(f"{key} = _key"), "left")
         .selectExpr(
-            *loaded.columns,
+            *loaded_columns,
             f"{contract.effective_from} AS valid_from",
             STORED_DAY,
             "_since",
@@ -89,19 +96,27 @@ def merge_history(
             f"{changed} AS {_CLOSES}",
         )
         .where(f"_opens OR {_CLOSES}")
+        .withColumn(_BACKWARDS, F.expr(backwards))
+    )
+    # Written once: the join is read for the quarantine, for the keys and for the closings.
+    compared, found = staging.measured_table(
+        joined,
+        rejected=f"count_if({_BACKWARDS})",
+        opened=f"count_if(NOT {_BACKWARDS})",
+        closed=f"count_if({_CLOSES} AND NOT {_BACKWARDS})",
     )
-    backwards = f"{_CLOSES} AND coalesce(valid_from <= _since, false)"
     rejected = empty(loaded.sparkSession, contract.error_schema)
-    if order_guard:
-        rejected = compared.where(backwards).selectExpr(
-            *loaded.columns, f"'{OUT_OF_ORDER}' AS {REASON}", f"'{OUT_OF_ORDER}' AS {STAGE}"
+    if found["rejected"]:
+        rejected = compared.where(_BACKWARDS).selectExpr(
+            *loaded_columns, f"'{OUT_OF_ORDER}' AS {REASON}", f"'{OUT_OF_ORDER}' AS {STAGE}"
         )
-        compared = compared.where(f"NOT ({backwards})")
 
     if highest is None:
         highest = highest_key(current, surrogate)
-    fresh = compared.select(*loaded.columns, "valid_from", STORED_DAY, _CLOSES)
-    numbered = dense_key(fresh, [key], surrogate, staging, highest)
+    fresh = compared.where(f"NOT {_BACKWARDS}").select(
+        *loaded_columns, "valid_from", STORED_DAY, _CLOSES
+    )
+    numbered = dense_key(fresh, [contract.key], surrogate, staging, highest)
     versions = numbered.selectExpr(
         "*", f"CAST(NULL AS {contract.timestamp}) AS valid_to", "true AS is_current"
     )
@@ -110,7 +125,7 @@ def merge_history(
     )
     followed = (
         active.drop("valid_to", "is_current")
-        .join(closings, F.col(key) == F.col("_key"), "left")
+        .join(closings, F.expr(f"{key} = _key"), "left")
         .selectExpr("*", "_until AS valid_to", "_key IS NULL AS is_current")
     )
     return History(
@@ -119,4 +134,7 @@ def merge_history(
         versions=versions.select(*columns),
         closings=closings,
         rejected=rejected,
+        opened_count=found["opened"] or 0,
+        closed_count=found["closed"] or 0,
+        rejected_count=found["rejected"] or 0,
     )

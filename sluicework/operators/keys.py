@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sluicework.functions.columns import quoted
 from sluicework.sources import storage
 from sluicework.sources.storage import Staging
+from sluicework.sources.writers import stored_path
 
 _SLOT = "_slot"
 _PART = "_part"
@@ -16,18 +18,22 @@ _POSITION_BITS = 33
 
 def highest_key(table: DataFrame, name: str) -> int:
     """The largest key of a frame, 0 when there is none."""
-    return table.agg(F.coalesce(F.max(name), F.lit(0)).alias("top")).first()["top"]
+    return table.agg(F.coalesce(F.max(quoted(name)), F.lit(0)).alias("top")).first()["top"]
 
 
 def highest_stored_key(spark: SparkSession, path: str, schema, name: str) -> int:
-    """Same over a stored table, answered from the Parquet footers instead of a column scan."""
+    """Same over a stored table, answered from the Parquet footers instead of a column scan.
+
+    A file with rows but without any key has no footer value, which raises.
+    """
     if not storage.exists(spark, path):
         return 0
+    path = stored_path(spark, path)
     footers = spark.newSession()
     footers.conf.set("spark.sql.sources.useV1SourceList", "")
     footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    top = footers.read.schema(schema).parquet(path).agg(F.max(name).alias("top")).first()["top"]
-    return top or 0
+    found = footers.read.schema(schema).parquet(path)
+    return found.agg(F.max(quoted(name)).alias("top")).first()["top"] or 0
 
 
 def dense_key(
@@ -41,9 +47,10 @@ def dense_key(
     The slots are written before they are used, since the sampled range bounds may differ in
     a second evaluation.  The offsets are one row per range partition, hence the broadcast.
     """
+    along = [F.col(quoted(c)) for c in order]
     placed = staging.table(
-        frame.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        frame.repartitionByRange(*along)
+        .sortWithinPartitions(*along)
         .withColumn(_SLOT, F.monotonically_increasing_id())
     )
     part = F.shiftrightunsigned(_SLOT, _POSITION_BITS)
@@ -58,5 +65,5 @@ def dense_key(
         placed.withColumn(_PART, part)
         .join(F.broadcast(offsets), _PART)
         .withColumn(name, (F.lit(start) + F.col("offset") + position + 1).cast("bigint"))
-        .select(*frame.columns, name)
+        .select(*map(quoted, frame.columns), quoted(name))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +18,15 @@ from sluicework.operators.quality import (
     cast_typed,
     classify,
     deduplicate,
+    newest,
     quality_gate,
     validate,
 )
 from sluicework.plans import feeds, oracle
 from sluicework.plans.feeds import CUSTOMER_USERS, EVENT_PLAYS, SNAPSHOTS
 from sluicework.plans.jobs import run_bronze, run_silver
-from sluicework.sources.readers import inspect, read_table
+from sluicework.sources.readers import inspect, read_day, read_table
+from sluicework.sources import storage
 from sluicework.sources.storage import Staging, empty
 from sluicework.sources.writers import replace_days, replace_table
 
@@ -153,47 +156,47 @@ def q_late_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
 # De-duplication
 
 
-def _unique_plays(spark: SparkSession, sf_dir: str):
-    clean = _plays(spark, sf_dir).where(f"{STAGE} IS NULL").drop(REASON, STAGE)
-    return deduplicate(clean, "play_id", EVENT_PLAYS.newest_first, Staging(spark))
+def _clean_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plays(spark, sf_dir).where(f"{STAGE} IS NULL").drop(REASON, STAGE)
 
 
 @_query(f"{oracle.PLAYS} SELECT * FROM plays")
 def q_dedup_plays_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _unique_plays(spark, sf_dir).kept
+    return newest(_clean_plays(spark, sf_dir), "play_id", EVENT_PLAYS.newest_first)
 
 
 @_query(f"{oracle.PLAYS} SELECT {oracle.PLAY_COLUMNS} FROM plays_ranked WHERE nth > 1")
 def q_dedup_plays_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _unique_plays(spark, sf_dir).duplicates
+    clean = _clean_plays(spark, sf_dir)
+    return deduplicate(clean, "play_id", EVENT_PLAYS.newest_first, Staging(spark)).duplicates
 
 
-def _unique_users(spark: SparkSession, sf_dir: str):
-    raw = feeds.raw_users(spark, sf_dir, SNAPSHOTS[-1])
-    rows = classify(CUSTOMER_USERS, raw)
-    clean = rows.where(f"{STAGE} IS NULL").drop(REASON, STAGE)
-    return deduplicate(clean, "user_id", CUSTOMER_USERS.newest_first, Staging(spark))
+def _clean_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = classify(CUSTOMER_USERS, feeds.raw_users(spark, sf_dir, SNAPSHOTS[-1]))
+    return rows.where(f"{STAGE} IS NULL").drop(REASON, STAGE)
 
 
 @_query(f"{oracle.USERS} SELECT * FROM users3")
 def q_dedup_users_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _unique_users(spark, sf_dir).kept
+    return newest(_clean_users(spark, sf_dir), "user_id", CUSTOMER_USERS.newest_first)
 
 
 @_query(f"{oracle.USERS} SELECT {oracle.USER_COLUMNS} FROM users3_ranked WHERE nth > 1")
 def q_dedup_users_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _unique_users(spark, sf_dir).duplicates
+    clean = _clean_users(spark, sf_dir)
+    return deduplicate(clean, "user_id", CUSTOMER_USERS.newest_first, Staging(spark)).duplicates
 
 
 _LINE_ORDER = ", ".join(f"{c} DESC" for c in LINE_ITEM_COLUMNS if c != "l_shipdate")
 
 
-def _unique_lines(spark: SparkSession, sf_dir: str):
-    lines = feeds.table(spark, sf_dir, "lineitem").withColumn(
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feeds.table(spark, sf_dir, "lineitem").withColumn(
         "line_id", F.expr("l_orderkey * 10 + l_linenumber")
     )
-    rest = [c for c in LINE_ITEM_COLUMNS if c != "l_shipdate"]
-    return deduplicate(lines, "line_id", ["l_shipdate", *rest], Staging(spark))
+
+
+_NEWEST_LINE = ["l_shipdate", *[c for c in LINE_ITEM_COLUMNS if c != "l_shipdate"]]
 
 
 def _ranked_lines(test: str) -> str:
@@ -205,12 +208,13 @@ def _ranked_lines(test: str) -> str:
 
 @_query(_ranked_lines("= 1"))
 def q_dedup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _unique_lines(spark, sf_dir).kept
+    return newest(_lines(spark, sf_dir), "line_id", _NEWEST_LINE)
 
 
 @_query(_ranked_lines("> 1"))
 def q_dedup_lineitem_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _unique_lines(spark, sf_dir).duplicates
+    lines = _lines(spark, sf_dir)
+    return deduplicate(lines, "line_id", _NEWEST_LINE, Staging(spark)).duplicates
 
 
 # The whole gate
@@ -478,8 +482,10 @@ def q_snapshot_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(f"{oracle.STORED_PLAYS} SELECT max(play_sk) AS max_sk FROM stored")
 def q_max_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _stored_plays(spark, sf_dir)
+    stored = read_table(spark, path, EVENT_PLAYS.table_schema)
     top = highest_stored_key(spark, path, EVENT_PLAYS.table_schema, "play_sk")
-    return spark.range(1).select(F.lit(top).cast("bigint").alias("max_sk"))
+    # The rows that bear the key the footers told.
+    return stored.where(F.col("play_sk") == top).select(F.col("play_sk").alias("max_sk"))
 
 
 @_query(
@@ -494,17 +500,40 @@ def q_inspect_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Drop to curated table, with the jobs a user runs
 
 
-def _landed_plays(spark: SparkSession, sf_dir: str) -> str:
-    """All events in two drops through both layers; returns the curated folder."""
-    staging = Staging(spark)
-    source, bronze, silver = staging.folder(), staging.folder(), staging.folder()
-    lines = feeds.play_lines(spark, sf_dir)
-    first = F.col(DAY) <= F.lit(PLAY_DROPS[0]).cast("date")
-    for day, rows in zip(PLAY_DROPS, (lines.where(first), lines.where(~first)), strict=True):
-        _drop(rows, f"{source}/{day}")
-        run_bronze(spark, EVENT_PLAYS, source, day, bronze)
-        run_silver(spark, EVENT_PLAYS, f"{bronze}/plays", day, silver)
-    return silver
+class Landing:
+    """Drops of the plays feed through both layers, below one staging folder."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        staging = Staging(spark)
+        self.spark, self.lines = spark, feeds.play_lines(spark, sf_dir)
+        self.source, self.bronze, self.silver = (staging.folder() for _ in range(3))
+        self.reports: list[tuple] = []
+
+    def lines_of(self, day: str) -> DataFrame:
+        first = F.col(DAY) <= F.lit(PLAY_DROPS[0]).cast("date")
+        return self.lines.where(first if day == PLAY_DROPS[0] else ~first)
+
+    def load(self, day: str, lines: DataFrame, **options) -> None:
+        storage.delete(self.spark, f"{self.source}/{day}")
+        _drop(lines, f"{self.source}/{day}")
+        run_bronze(self.spark, EVENT_PLAYS, self.source, day, self.bronze)
+        report = run_silver(
+            self.spark, EVENT_PLAYS, f"{self.bronze}/plays", day, self.silver, **options
+        )
+        self.reports.append((day, report["rows"], report["rejected"], report["elsewhere"]))
+
+    def load_both(self) -> Landing:
+        for day in PLAY_DROPS:
+            self.load(day, self.lines_of(day))
+        return self
+
+    def table(self) -> DataFrame:
+        path = f"{self.silver}/plays"
+        return read_table(self.spark, path, EVENT_PLAYS.table_schema).drop(*_PROVENANCE)
+
+    def errors(self) -> DataFrame:
+        path = f"{self.silver}/plays_errors"
+        return read_table(self.spark, path, EVENT_PLAYS.error_schema).drop(*_PROVENANCE)
 
 
 def _drop_cte(drop: str, out: str) -> str:
@@ -529,46 +558,175 @@ _PROVENANCE = ("bronze_ingested_at", "source_file")
 _NO_PROVENANCE = f"EXCLUDE ({', '.join(_PROVENANCE)})"
 
 
-@_query(
+_BOTH_DROPS = (
     f"{_LANDED} SELECT * {_NO_PROVENANCE} FROM rows1"
     f" UNION ALL SELECT * {_NO_PROVENANCE} FROM rows2"
 )
+# Accepted rows of the second drop whose key the first drop's day holds.
+_HELD = (
+    f"SELECT l.* {_NO_PROVENANCE}, 'play_id_held_by_' || strftime(c.snapshot_date, '%Y-%m-%d')"
+    " AS error_reason, 'held_elsewhere' AS error_stage"
+    " FROM load2 l JOIN rows1 c ON c.play_id = l.play_id"
+)
+
+
+@_query(_BOTH_DROPS)
 def q_landed_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{_landed_plays(spark, sf_dir)}/plays"
-    return read_table(spark, path, EVENT_PLAYS.table_schema).drop(*_PROVENANCE)
+    return Landing(spark, sf_dir).load_both().table()
 
 
 @_query(
     f"{_LANDED} SELECT * {_NO_PROVENANCE} FROM ({oracle.play_errors('load1')}"
-    f" UNION ALL {oracle.play_errors('load2')})"
+    f" UNION ALL {oracle.play_errors('load2')}) UNION ALL {_HELD}"
 )
 def q_landed_plays_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{_landed_plays(spark, sf_dir)}/plays_errors"
-    return read_table(spark, path, EVENT_PLAYS.error_schema).drop(*_PROVENANCE)
+    return Landing(spark, sf_dir).load_both().errors()
+
+
+@_query(f"{_LANDED} {_HELD}")
+def q_landed_elsewhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows left out of a day because another one holds their key, from the quarantine."""
+    return Landing(spark, sf_dir).load_both().errors().where(f"{STAGE} = 'held_elsewhere'")
+
+
+def _report_sql(drop: str, load: str, rows: str, raw: str) -> str:
+    return (
+        f"SELECT '{drop}' AS drop_day, (SELECT count(*) FROM {rows}) AS n_rows,"
+        f" (SELECT count(*) FROM {raw}) - (SELECT count(*) FROM {load}) AS n_rejected,"
+        f" (SELECT count(*) FROM {load}) - (SELECT count(*) FROM {rows}) AS n_elsewhere"
+    )
+
+
+@_query(
+    f"{_LANDED} {_report_sql(PLAY_DROPS[0], 'load1', 'rows1', 'drop1')}"
+    f" UNION ALL {_report_sql(PLAY_DROPS[1], 'load2', 'rows2', 'drop2')}"
+)
+def q_job_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the jobs say they did, a row per drop."""
+    reports = Landing(spark, sf_dir).load_both().reports
+    names = "drop_day string, n_rows bigint, n_rejected bigint, n_elsewhere bigint"
+    return spark.createDataFrame(reports, names)
+
+
+@_query(_BOTH_DROPS)
+def q_landed_retain_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first drop again with no row that obeys the rules: what is stored stays."""
+    landing = Landing(spark, sf_dir).load_both()
+    refused = landing.lines_of(PLAY_DROPS[0]).withColumn(
+        "value", F.regexp_replace("value", '"ms_played":"[^"]*"', '"ms_played":"-1"')
+    )
+    landing.load(PLAY_DROPS[0], refused, retain_missing=True)
+    return landing.table()
+
 
+@_query(f"{_LANDED} SELECT * {_NO_PROVENANCE} FROM rows2")
+def q_landed_all_corrupt_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first drop again with broken lines only: its day is cleared."""
+    landing = Landing(spark, sf_dir).load_both()
+    broken = landing.lines_of(PLAY_DROPS[0]).withColumn("value", F.expr("substring(value, 1, 9)"))
+    landing.load(PLAY_DROPS[0], broken)
+    return landing.table()
 
-def _landed_users(spark: SparkSession, sf_dir: str, touched_days_only: bool) -> DataFrame:
-    """The first and the last snapshot through the curated job."""
+
+@_query(
+    f"{oracle.LINES} SELECT play_id, TIMESTAMP '2024-02-01 06:30:00' AS ingested_at,"
+    f" '{PLAY_DROPS[-1]}' AS drop_folder, 'txt' AS file_suffix, DATE '{PLAY_DROPS[-1]}'"
+    " AS snapshot_date FROM play_lines WHERE event_id % 47 <> 0"
+)
+def q_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrival time, and the file each row came from by its folder and kind."""
+    landing = Landing(spark, sf_dir)
+    _drop(landing.lines, f"{landing.source}/{PLAY_DROPS[-1]}")
+    arrived = datetime(2024, 2, 1, 6, 30)
+    run_bronze(spark, EVENT_PLAYS, landing.source, PLAY_DROPS[-1], landing.bronze, arrived)
+    return read_day(spark, EVENT_PLAYS, f"{landing.bronze}/plays", PLAY_DROPS[-1]).select(
+        "play_id",
+        "ingested_at",
+        F.element_at(F.split("source_file", "/"), -2).alias("drop_folder"),
+        F.element_at(F.split("source_file", "[.]"), -1).alias("file_suffix"),
+        DAY,
+    )
+
+
+def _landed_users(
+    spark: SparkSession, sf_dir: str, from_lines: bool = False, **options
+) -> tuple[str, str]:
+    """The first and the last snapshot through the jobs; the bronze and the curated folder."""
     staging = Staging(spark)
-    bronze, silver = staging.folder(), staging.folder()
+    source, bronze, silver = (staging.folder() for _ in range(3))
     for day in TWO_DAYS:
-        replace_days(feeds.raw_users(spark, sf_dir, day), f"{bronze}/users", [day])
-        run_silver(
-            spark,
-            CUSTOMER_USERS,
-            f"{bronze}/users",
-            day,
-            silver,
-            touched_days_only=touched_days_only,
-        )
+        if from_lines:
+            _drop(feeds.user_lines(spark, sf_dir, day), f"{source}/{day}")
+            run_bronze(spark, CUSTOMER_USERS, source, day, bronze)
+        else:
+            replace_days(feeds.raw_users(spark, sf_dir, day), f"{bronze}/users", [day])
+        run_silver(spark, CUSTOMER_USERS, f"{bronze}/users", day, silver, **options)
+    return bronze, silver
+
+
+def _stored_users(spark: SparkSession, silver: str) -> DataFrame:
     return read_table(spark, f"{silver}/users", CUSTOMER_USERS.table_schema)
 
 
 @_query(f"{oracle.TWO_DAYS} SELECT * FROM dim")
 def q_landed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landed_users(spark, sf_dir, touched_days_only=False)
+    return _stored_users(spark, _landed_users(spark, sf_dir)[1])
 
 
 @_query(f"{oracle.TWO_DAYS} SELECT * FROM dim")
 def q_landed_users_touched_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landed_users(spark, sf_dir, touched_days_only=True)
+    """Only days with a closed or a new version are written, which is the default."""
+    return _stored_users(spark, _landed_users(spark, sf_dir, whole_table=False)[1])
+
+
+@_query(f"{oracle.TWO_DAYS} SELECT * FROM dim")
+def q_landed_users_whole_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_users(spark, _landed_users(spark, sf_dir, whole_table=True)[1])
+
+
+_USER_LINES = "WITH " + ",".join(
+    oracle.raw_users(day, f"raw_users{n}")
+    + ","
+    + oracle.user_lines(f"raw_users{n}", f"lines{n}")
+    for n, day in ((1, TWO_DAYS[0]), (3, TWO_DAYS[1]))
+)
+_WHOLE_LINES = ",".join(
+    # Both copies of a user come from one file, so their other columns decide.
+    f"whole{n} AS (SELECT * EXCLUDE (line, cut) REPLACE ('drop' AS source_file)"
+    f" FROM lines{n} WHERE NOT cut),"
+    + oracle.gated_users(f"whole{n}", f"users{n}")
+    for n in (1, 3)
+)
+
+
+@_query(
+    f"{_USER_LINES} "
+    + " UNION ALL ".join(
+        f"SELECT {', '.join(oracle.USER_NAMES)}, CAST(NULL AS VARCHAR) AS error_reason,"
+        f" snapshot_date FROM lines{n} WHERE NOT cut UNION ALL SELECT"
+        f" {', '.join('NULL' for _ in oracle.USER_NAMES)}, substring(line, 1, length(line) - 5),"
+        f" snapshot_date FROM lines{n} WHERE cut"
+        for n in (1, 3)
+    )
+)
+def q_bronze_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two user drops landed from JSON, and the lines that do not read."""
+    bronze, _ = _landed_users(spark, sf_dir, from_lines=True)
+    names = [*oracle.USER_NAMES, REASON, DAY]
+    good = spark.read.schema(CUSTOMER_USERS.bronze_schema).parquet(f"{bronze}/users")
+    broken = spark.read.parquet(f"{bronze}/users_errors")
+    nothing = [F.lit(None).cast("string").alias(n) for n in oracle.USER_NAMES]
+    return good.withColumn(REASON, F.lit(None).cast("string")).select(*names).union(
+        broken.select(*nothing, REASON, DAY)
+    )
+
+
+@_query(
+    f"{_USER_LINES},{_WHOLE_LINES},{oracle.NO_USERS},"
+    f"{oracle.merged('no_users', 'users1', 'dim1')},{oracle.merged('dim1', 'users3', 'dim')}"
+    f" SELECT * {_NO_PROVENANCE} FROM dim"
+)
+def q_landed_users_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines through bronze into the dimension."""
+    _, silver = _landed_users(spark, sf_dir, from_lines=True)
+    return _stored_users(spark, silver).drop(*_PROVENANCE)

@@ -78,9 +78,10 @@ def corrected_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_users(spark: SparkSession, sf_dir: str, snapshot: str) -> DataFrame:
-    """The users known on a day: customers with an order until then, tier from the latest one.
+    """The users known on a day: all customers, tier from the latest order until then.
 
-    Every 31st customer is in the drop twice, the older copy with another tier.
+    A customer without an order until then has neither tier nor creation time, which the rules
+    refuse.  Every 31st customer is in the drop twice, the older copy with another tier.
     """
     until = F.lit(snapshot).cast("timestamp_ntz")
     history = (
@@ -94,7 +95,7 @@ def raw_users(spark: SparkSession, sf_dir: str, snapshot: str) -> DataFrame:
     )
     return (
         table(spark, sf_dir, "customer")
-        .join(history, F.col("c_custkey") == F.col("o_custkey"))
+        .join(history, F.col("c_custkey") == F.col("o_custkey"), "left")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .withColumn("copy", F.expr("explode(IF(c_custkey % 31 = 0, array(0, 1), array(1)))"))
         .selectExpr(
@@ -102,7 +103,8 @@ def raw_users(spark: SparkSession, sf_dir: str, snapshot: str) -> DataFrame:
             "CASE WHEN c_custkey % 89 <> 0"
             " THEN concat(lower(replace(c_name, '#', '.')), '@example.org') END AS email",
             "n_name AS country",
-            "IF(copy = 0, 'trial', lower(latest.o_orderpriority)) AS plan_tier",
+            "IF(copy = 0 AND first IS NOT NULL, 'trial', lower(latest.o_orderpriority))"
+            " AS plan_tier",
             "date_format(first, \"yyyy-MM-dd'T'HH:mm:ss\") AS created_at",
             "CASE WHEN c_custkey % 101 = 0 THEN 'n/a' WHEN latest.o_orderdate > first"
             " THEN date_format(latest.o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\") END AS updated_at",
@@ -113,18 +115,33 @@ def raw_users(spark: SparkSession, sf_dir: str, snapshot: str) -> DataFrame:
     )
 
 
+def _json_line(names: list[str]) -> str:
+    parts = [f"'\"{name}\":', coalesce(concat('\"', {name}, '\"'), 'null')" for name in names]
+    return f"concat('{{', {', \',\', '.join(parts)}, '}}')"
+
+
 def play_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as JSON lines with their day; every 47th line is cut short."""
-    parts = []
-    for name in EVENT_PLAYS.raw_names:
-        parts.append(f"'\"{name}\":', coalesce(concat('\"', {name}, '\"'), 'null')")
-    line = f"concat('{{', {', \',\', '.join(parts)}, '}}')"
     return (
         raw_plays(spark, sf_dir)
-        .withColumn("line", F.expr(line))
+        .withColumn("line", F.expr(_json_line(EVENT_PLAYS.raw_names)))
         .selectExpr(
             "event_id",
+            "event_type",
             "IF(event_id % 47 = 0, substring(line, 1, length(line) - 5), line) AS value",
             DAY,
         )
     )
+
+
+def user_lines(spark: SparkSession, sf_dir: str, snapshot: str) -> DataFrame:
+    """A users snapshot as JSON lines; the line of every 43rd customer is cut short."""
+    names = CUSTOMER_USERS.raw_names
+    number = "CAST(replace(user_id, 'u-', '') AS bigint)"
+    return (
+        raw_users(spark, sf_dir, snapshot)
+        .withColumn("line", F.expr(_json_line(names)))
+        .selectExpr(
+            f"IF({number} % 43 = 0, substring(line, 1, length(line) - 5), line) AS value"
+        )
+    )

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,18 +18,27 @@ from sluicework.operators.facts import upsert_facts
 from sluicework.operators.keys import highest_stored_key
 from sluicework.operators.quality import classify, quality_gate
 from sluicework.sources import storage
-from sluicework.sources.readers import corrupt, read_day, read_table, readable, scan_drop
+from sluicework.sources.readers import (
+    corrupt,
+    mark_day,
+    read_day,
+    read_table,
+    readable,
+    scan_drop,
+)
 from sluicework.sources.storage import Staging
 from sluicework.sources.writers import (
     clear_table_day,
+    remove_leftovers,
     replace_days,
     replace_table,
-    restore_interrupted,
+    stored_path,
 )
 
 # A stored byte takes about this many in a shuffle, which does well with partitions of this size.
 _EXPANSION = 4
 _PARTITION_BYTES = 128 << 20
+_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def run_bronze(
@@ -41,7 +51,8 @@ def run_bronze(
 ) -> dict[str, int]:
     """Land one drop: the day of the bronze table and of its quarantine become this drop.
 
-    Corrupt lines are counted while the good ones are written; only a drop that has some is
+    A drop without a readable row leaves a mark, so that the next layer can tell it from a day
+    that was never landed.  Corrupt lines are counted while the good ones are written; only a drop that has some is
     parsed a second time.
     """
     table, errors = f"{bronze_path}/{contract.name}", f"{bronze_path}/{contract.name}_errors"
@@ -49,7 +60,9 @@ def run_bronze(
     broken = Observation()
     watched = lines.observe(broken, F.count(CORRUPT).alias("lines"))
     rows = replace_days(readable(watched), table, [snapshot_date])[snapshot_date]
-    found = observed(broken)["lines"]
+    mark_day(spark, table, snapshot_date, rows)
+    seen = observed(broken)
+    found = corrupt(lines).count() if seen is None else seen["lines"]
     if found:
         replace_days(corrupt(lines), errors, [snapshot_date], keep_empty_table=False)
     else:
@@ -57,6 +70,22 @@ def run_bronze(
     return {"rows": rows, "corrupt": found}
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, moved_bytes: int) -> Iterator[None]:
+    """More shuffle partitions for a load of this size, as long as the block runs.
+
+    Never fewer than the session has; adaptive execution merges those that turn out small.
+    """
+    before = spark.conf.get(_PARTITIONS)
+    wanted = moved_bytes * _EXPANSION // _PARTITION_BYTES
+    if wanted > int(before):
+        spark.conf.set(_PARTITIONS, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set(_PARTITIONS, before)
+
+
 def run_silver(
     spark: SparkSession,
     contract: TableContract,
@@ -66,29 +95,35 @@ def run_silver(
     *,
     retain_missing: bool = False,
     order_guard: bool = False,
-    touched_days_only: bool = False,
+    whole_table: bool = False,
     keep_raw: bool = False,
 ) -> dict[str, int]:
     """Take one bronze day through the quality gate into the curated table and its quarantine.
 
-    Facts replace their day.  A dimension is replaced as a whole, or with ``touched_days_only``
-    only in the days that hold a closed or a new version.
+    Facts replace their day; a key that another day holds goes to the quarantine.  A dimension
+    is replaced in the days that hold a closed or a new version, or with ``whole_table`` as a
+    whole, in one step.  A day that bronze was never given raises, and changes nothing.
     """
     path = f"{silver_path}/{contract.name}"
     errors = f"{path}_errors"
+    bronze = read_day(spark, contract, source_path, snapshot_date)
+    # What moves are the rows of the day and the columns of the table that are compared with them.
+    moved = storage.size(spark, f"{source_path}/{DAY}={snapshot_date}")
     # Steps that do not need each other run side by side.
-    with Staging(spark) as staging, ThreadPoolExecutor(2) as side:
+    with (
+        sized_shuffles(spark, moved),
+        Staging(spark) as staging,
+        ThreadPoolExecutor(2) as side,
+    ):
         if contract.is_dimension:
-            restore_interrupted(spark, path)
+            remove_leftovers(spark, path)
         current = read_table(spark, path, contract.table_schema)
         top = side.submit(
             highest_stored_key, spark, path, contract.table_schema, contract.surrogate
         )
-        bronze = read_day(spark, contract, source_path, snapshot_date)
         gated = quality_gate(contract, classify(contract, bronze, keep_raw), staging)
         rejects, count = gated.rejected, gated.rejected_count
         if not contract.is_dimension:
-            written = side.submit(_write_rejected, rejects, count, errors, snapshot_date)
             load = upsert_facts(
                 contract,
                 current,
@@ -98,7 +133,12 @@ def run_silver(
                 key_range=gated.key_range,
                 highest=top.result(),
                 retain_missing=retain_missing,
+                days=[snapshot_date],
             )
+            if load.elsewhere_count:
+                rejects = rejects.unionByName(load.left_out, allowMissingColumns=True)
+            refused = count + load.elsewhere_count
+            written = side.submit(_write_rejected, rejects, refused, errors, snapshot_date)
             rows = _replace_day(load.rows, path, snapshot_date)
             written.result()
             return {"rows": rows, "rejected": count, "elsewhere": load.elsewhere_count}
@@ -111,18 +151,19 @@ def run_silver(
             highest=top.result(),
             order_guard=order_guard,
         )
-        if order_guard:
+        if merged.rejected_count:
             rejects = rejects.unionByName(merged.rejected, allowMissingColumns=True)
-            count += merged.rejected.count()
-        opened = side.submit(merged.versions.count)
-        closed = side.submit(merged.closings.count)
-        # The guard compares with the table as it is, so the quarantine is written first.
+            count += merged.rejected_count
         _write_rejected(rejects, count, errors, snapshot_date)
-        if touched_days_only:
-            _replace_touched(merged, path, snapshot_date)
-        else:
+        if whole_table:
             replace_table(merged.arranged(), path)
-        return {"versions": opened.result(), "closed": closed.result(), "rejected": count}
+        else:
+            _replace_touched(merged, stored_path(spark, path), snapshot_date)
+        return {
+            "versions": merged.opened_count,
+            "closed": merged.closed_count,
+            "rejected": count,
+        }
 
 
 def _replace_day(rows: DataFrame, path: str, day: str, keep_empty_table: bool = True) -> int:
@@ -146,14 +187,6 @@ def _replace_touched(merged: History, path: str, snapshot_date: str) -> None:
     replace_days(merged.arranged(touched), path, days)
 
 
-def _size_shuffles(spark: SparkSession, *paths: str) -> None:
-    """Raise the number of shuffle partitions with the stored input; adaptive execution merges
-    the ones that turn out small."""
-    wanted = sum(storage.size(spark, p) for p in paths) * _EXPANSION // _PARTITION_BYTES
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-
-
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Load one snapshot day of one table.")
     parser.add_argument("--layer", required=True, choices=["bronze", "silver"])
@@ -165,7 +198,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--target", help="base folder of the layer, ./data/<layer> by default")
     parser.add_argument("--retain-missing", action="store_true")
     parser.add_argument("--order-guard", action="store_true")
-    parser.add_argument("--touched-days-only", action="store_true")
+    parser.add_argument("--whole-table", action="store_true")
     parser.add_argument("--keep-raw", action="store_true")
     return parser.parse_args(argv)
 
@@ -184,7 +217,6 @@ def main(argv: Sequence[str] | None = None) -> None:
         if given.layer == "bronze":
             report = run_bronze(spark, contract, given.source, day, target)
         else:
-            _size_shuffles(spark, f"{given.source}/{DAY}={day}", f"{target}/{contract.name}")
             report = run_silver(
                 spark,
                 contract,
@@ -193,7 +225,7 @@ def main(argv: Sequence[str] | None = None) -> None:
                 target,
                 retain_missing=given.retain_missing,
                 order_guard=given.order_guard,
-                touched_days_only=given.touched_days_only,
+                whole_table=given.whole_table,
                 keep_raw=given.keep_raw,
             )
         print(report)

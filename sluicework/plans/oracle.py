@@ -140,7 +140,8 @@ def raw_users(snapshot: str, out: str) -> str:
     CASE WHEN c_custkey % 89 <> 0
       THEN lower(replace(c_name, '#', '.')) || '@example.org' END AS email,
     n_name AS country,
-    CASE WHEN copy = 0 THEN 'trial' ELSE lower(o_orderpriority) END AS plan_tier,
+    CASE WHEN copy = 0 AND first_day IS NOT NULL THEN 'trial'
+      ELSE lower(o_orderpriority) END AS plan_tier,
     strftime(first_day, '%Y-%m-%dT%H:%M:%S') AS created_at,
     CASE WHEN c_custkey % 101 = 0 THEN 'n/a'
       WHEN o_orderdate > first_day THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END
@@ -148,15 +149,15 @@ def raw_users(snapshot: str, out: str) -> str:
     TIMESTAMP '{snapshot} 10:00:00' AS ingested_at,
     'users_' || CAST(copy AS VARCHAR) AS source_file,
     DATE '{snapshot}' AS snapshot_date
-  FROM (SELECT o_custkey, o_orderdate, o_orderpriority,
+  FROM customer LEFT JOIN (SELECT o_custkey, o_orderdate, o_orderpriority,
           min(o_orderdate) OVER (PARTITION BY o_custkey) AS first_day,
           row_number() OVER (PARTITION BY o_custkey
             ORDER BY o_orderdate DESC, o_orderkey DESC) AS nth
         FROM orders WHERE o_orderdate <= TIMESTAMP '{snapshot} 00:00:00') latest
-  JOIN customer ON c_custkey = o_custkey
+    ON c_custkey = o_custkey AND nth = 1
   JOIN nation ON n_nationkey = c_nationkey
   CROSS JOIN (VALUES (0), (1)) copies(copy)
-  WHERE nth = 1 AND (copy = 1 OR c_custkey % 31 = 0)
+  WHERE copy = 1 OR c_custkey % 31 = 0
 )"""
 
 
@@ -186,7 +187,7 @@ def gated_users(raw: str, name: str) -> str:
 {name}_ranked AS (
   SELECT {USER_COLUMNS}, row_number() OVER (PARTITION BY user_id
       ORDER BY coalesce(updated_at, created_at) DESC, bronze_ingested_at DESC,
-        source_file DESC) AS nth
+        source_file DESC, email DESC, country DESC, plan_tier DESC) AS nth
   FROM {name}_judged WHERE rule_reason = ''
 ),
 {name} AS (SELECT {USER_COLUMNS} FROM {name}_ranked WHERE nth = 1)"""
@@ -253,18 +254,30 @@ TWO_DAYS = (
 # The second snapshot arrives after the third.
 LATE_HISTORY = f"{TWO_DAYS},{merged('dim', 'users2', 'back')}"
 
-_JSON = " || ',' || ".join(
-    f"'\"{name}\":' || coalesce('\"' || {name} || '\"', 'null')"
-    for name in (
-        "play_id",
-        "user_id",
-        "content_id",
-        "device_id",
-        "played_at",
-        "created_at",
-        "ms_played",
-    )
+def _json(names: tuple[str, ...]) -> str:
+    parts = [f"'\"{name}\":' || coalesce('\"' || {name} || '\"', 'null')" for name in names]
+    return "'{' || " + " || ',' || ".join(parts) + " || '}'"
+
+
+_PLAY_NAMES = (
+    "play_id",
+    "user_id",
+    "content_id",
+    "device_id",
+    "played_at",
+    "created_at",
+    "ms_played",
 )
+USER_NAMES = ("user_id", "email", "country", "plan_tier", "created_at", "updated_at")
 LINES = f"""WITH {RAW_PLAYS},
-play_lines AS (SELECT *, '{{' || {_JSON} || '}}' AS line FROM raw_plays)
+play_lines AS (SELECT *, {_json(_PLAY_NAMES)} AS line FROM raw_plays)
 """
+
+
+def user_lines(raw: str, out: str) -> str:
+    """Users as JSON lines, and whether a line is cut short."""
+    return f"""
+{out} AS (
+  SELECT *, {_json(USER_NAMES)} AS line,
+    CAST(replace(user_id, 'u-', '') AS BIGINT) % 43 = 0 AS cut FROM {raw}
+)"""

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from sluicework.contracts import CORRUPT, DAY, REASON, TableContract
 from sluicework.sources import storage
+from sluicework.sources.writers import stored_path
 
 
 def scan_drop(
@@ -74,13 +75,33 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A stored table under an explicit schema; empty when nothing is stored yet."""
     if not storage.exists(spark, path):
         return storage.empty(spark, schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(stored_path(spark, path))
+
+
+# Below a bronze table: an empty file for each day that was landed without a readable row.
+EMPTY_DAYS = "_empty_days"
+
+
+def mark_day(spark: SparkSession, path: str, snapshot_date: str, rows: int) -> None:
+    """Note that a day was landed without a row, or take that note back."""
+    mark = f"{path}/{EMPTY_DAYS}/{snapshot_date}"
+    if rows:
+        storage.delete(spark, mark)
+    else:
+        storage.touch(spark, mark)
 
 
 def read_day(
     spark: SparkSession, contract: TableContract, path: str, snapshot_date: str
 ) -> DataFrame:
-    """One day of a bronze table; other days are pruned by partition."""
+    """One day of a bronze table; other days are pruned by partition.
+
+    A day that was landed empty has no rows.  A day that is neither stored nor marked as empty
+    was not landed, or is gone, and raises.
+    """
+    places = (f"{DAY}={snapshot_date}", f"{EMPTY_DAYS}/{snapshot_date}")
+    if not any(storage.exists(spark, f"{path}/{place}") for place in places):
+        raise FileNotFoundError(f"{path} has no landed day {snapshot_date}")
     bronze = spark.read.schema(contract.bronze_schema).parquet(path)
     return bronze.where(F.col(DAY) == F.lit(snapshot_date).cast("date"))
 
@@ -99,7 +120,7 @@ def inspect(
     """First rows of a stored table: one day or all, along one column (``-`` for descending)."""
     if not storage.exists(spark, path):
         raise FileNotFoundError(f"no table at {path}")
-    table = spark.read.parquet(path)
+    table = spark.read.parquet(stored_path(spark, path))
     if snapshot_date:
         table = table.where(F.col(DAY) == F.lit(snapshot_date).cast("date"))
     if order_by:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from typing import Any
@@ -37,6 +38,12 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, which one call makes visible."""
+    fs, target = _located(spark, path)
+    fs.create(target, True).close()
+
+
 def children(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
     fs, _ = _located(spark, path)
     found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}"))
@@ -44,23 +51,35 @@ def children(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
 
 
 def size(spark: SparkSession, path: str) -> int:
-    """Bytes stored below a path, 0 when there is nothing."""
+    """Bytes of the files directly in a folder, 0 when there is none."""
     fs, target = _located(spark, path)
-    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+    return sum(f.getLen() for f in fs.listStatus(target)) if fs.exists(target) else 0
+
+
+STAGING_SETTING = "sluicework.staging.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """Where intermediate tables go: ``sluicework.staging.dir`` of the session, else the folder
+    the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master may run without one; there a new folder of the machine does.
+    Only a local master (one machine, as in tests) may run with neither; there a new folder of
+    the machine is made once and kept in the session's setting.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = (
+        spark.conf.get(STAGING_SETTING, None)
+        or spark.conf.get("spark.checkpoint.dir", None)
+        or context.getCheckpointDir()
+    )
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="sluicework-")
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError(
+            f"set spark.checkpoint.dir or {STAGING_SETTING} to a folder all executors can reach"
+        )
+    spark.conf.set(STAGING_SETTING, tempfile.mkdtemp(prefix="sluicework-"))
+    return spark.conf.get(STAGING_SETTING)
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -92,16 +111,14 @@ class Staging:
         Over no rows every aggregate is None.
         """
         path = self.folder()
-        found: dict[str, Any] = {}
-        if metrics:
-            seen = Observation()
-            columns = [F.expr(sql).alias(name) for name, sql in metrics.items()]
-            frame.observe(seen, *columns).write.parquet(path)
-            found = observed(seen)
-        else:
-            frame.write.parquet(path)
+        columns = [F.expr(sql).alias(name) for name, sql in metrics.items()]
+        seen = Observation()
+        (frame.observe(seen, *columns) if columns else frame).write.parquet(path)
         table = self._spark.read.schema(frame.schema).parquet(path)
-        return table, {name: found.get(name) for name in metrics}
+        found = observed(seen) if columns else {}
+        if found is None:  # no word from the write says nothing about what was written
+            found = table.agg(*columns).first().asDict()
+        return table, found
 
     def folder(self) -> str:
         return f"{self.root}/{uuid.uuid4().hex}"

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +11,11 @@ from sluicework.contracts import DAY
 from sluicework.functions.metrics import observed
 from sluicework.sources import storage
 
+# A table that was replaced as a whole lives in a folder per version.  The highest version with an
+# entry in the log is the table; an entry is one empty file, named like its version's folder.
+VERSION = "v"
+LOG = "_versions"
+
 
 def _overwrite_days(frame: DataFrame, path: str) -> None:
     (
@@ -31,58 +35,78 @@ def clear_table_day(
         storage.delete(spark, path)
 
 
+def _files(spark: SparkSession, path: str, day: str) -> set[str]:
+    return set(storage.children(spark, f"{path}/{DAY}={day}"))
+
+
 def replace_days(
     frame: DataFrame, path: str, days: list[str], keep_empty_table: bool = True
 ) -> dict[str, int]:
     """Make each of ``days`` hold exactly the rows of ``frame``, also when that is no row.
 
     The rows are counted while they are written.  A day that got none is cleared afterwards,
-    never before: until the write is done the plan may still read the table.  The frame must
-    not hold other days.  Returns the rows per day.
+    never before: until the write is done the plan may still read the table.  Whether a day got
+    rows is decided by its count, and where the write gave no counts by its files: a day that
+    got rows has new ones only.  The frame must not hold other days.  Returns the rows per day.
     """
     spark = frame.sparkSession
+    before = {day: _files(spark, path, day) for day in days}
     written = Observation()
     per_day = [
         F.count(F.when(F.col(DAY) == F.lit(d).cast("date"), True)).alias(d) for d in days
     ]
     _overwrite_days(frame.observe(written, *per_day), path)
     counts = observed(written)
+    if counts is None:
+        counts = {}
+        for day in days:
+            if _files(spark, path, day) - before[day]:
+                counts[day] = spark.read.parquet(f"{path}/{DAY}={day}").count()
     rows = {day: counts.get(day, 0) for day in days}
     for day in [d for d, count in rows.items() if count == 0]:
         clear_table_day(spark, path, day, keep_empty_table)
     return rows
 
 
-def restore_interrupted(spark: SparkSession, path: str) -> None:
-    """Undo a replacement that died between its two renames: put the backup in place again."""
-    base, name = path.rstrip("/").rsplit("/", 1)
-    if storage.exists(spark, path) or not storage.exists(spark, base):
-        return
-    backups = storage.children(spark, base, f".{name}.backup-*")
-    if backups:
-        storage.rename(spark, f"{base}/{backups[-1]}", path)
+def stored_path(spark: SparkSession, path: str) -> str:
+    """Where the rows of a table are: its last committed version, else the path itself."""
+    entries = storage.children(spark, f"{path}/{LOG}", f"{VERSION}*")
+    return f"{path}/{entries[-1]}" if entries else path
+
+
+def remove_leftovers(spark: SparkSession, path: str) -> None:
+    """Delete whatever is not the table: versions never committed or replaced, older entries, and
+    the days from before the first version."""
+    entries = storage.children(spark, f"{path}/{LOG}", f"{VERSION}*")
+    if not entries:
+        committed = None
+    else:
+        committed = entries[-1]
+        for day in storage.children(spark, path, f"{DAY}=*"):
+            storage.delete(spark, f"{path}/{day}")
+    for version in storage.children(spark, path, f"{VERSION}[0-9]*"):
+        if version != committed:
+            storage.delete(spark, f"{path}/{version}")
+    for entry in entries[:-1]:
+        storage.delete(spark, f"{path}/{LOG}/{entry}")
 
 
 def replace_table(frame: DataFrame, path: str) -> None:
     """Replace a partitioned table by ``frame``, which may read that table.
 
-    The new table is written next to the old one, then swapped in by two renames; if the second
-    fails the old table is put back.  Renames are not atomic on object stores.
+    The rows go to a new version's folder; the log entry that makes it the table is the creation
+    of one file, so a reader and a crash see the old table or the new one.  Old versions are
+    removed after that, and again at the start of the next run.
     """
     spark = frame.sparkSession
-    base, name = path.rstrip("/").rsplit("/", 1)
-    token = uuid.uuid4().hex
-    fresh, backup = f"{base}/.{name}.new-{token}", f"{base}/.{name}.backup-{token}"
-    frame.write.partitionBy(DAY).parquet(fresh)
-    had_table = storage.exists(spark, path)
-    if had_table:
-        storage.rename(spark, path, backup)
-    try:
-        storage.rename(spark, fresh, path)
-    except (OSError, Py4JJavaError):
-        if had_table:
-            storage.rename(spark, backup, path)
-        raise
-    if had_table:
-        storage.delete(spark, backup)
+    entries = storage.children(spark, f"{path}/{LOG}", f"{VERSION}*")
+    number = int(entries[-1][len(VERSION) :].split("-")[0]) + 1 if entries else 1
+    version = f"{VERSION}{number:010d}-{uuid.uuid4().hex}"
+    frame.write.partitionBy(DAY).parquet(f"{path}/{version}")
+    commit_version(spark, path, version)
+    remove_leftovers(spark, path)
     spark.catalog.refreshByPath(path)
+
+
+def commit_version(spark: SparkSession, path: str, version: str) -> None:
+    storage.touch(spark, f"{path}/{LOG}/{version}")

@@ -7,6 +7,7 @@ from oracle_check import connect, difference
 
 import __spark_entry__ as registry
 from sluicework.operators import quality
+from sluicework.plans import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -17,10 +18,11 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+    assert catalog.queries().keys() == catalog.oracle_sql().keys()
+    assert catalog.queries().items() <= registry.queries().items()
 
 
-@pytest.mark.parametrize("name", registry.queries())
+@pytest.mark.parametrize("name", catalog.queries())
 def test_query_equals_sql(spark, connection, name):
     result = registry.queries()[name](spark, SF_DIR)
     _, problem = difference(result, connection, registry.oracle_sql()[name])

@@ -36,42 +36,52 @@ def test_first_load_starts_versions(spark, staging):
 
 @pytest.fixture
 def current(spark):
+    """Three users: one never changed, one moved once, one came last."""
     return dimension(
         spark,
         [
-            dimension_row(1, "PL", "free", 1, "2026-01-10T08:00:00"),
+            dimension_row(41, "SE", "trial", 7, "2025-04-01T09:00:00", day="2025-05-10"),
             dimension_row(
-                2, "US", "free", 2, "2026-01-11T08:00:00", "2026-02-15T12:00:00", "2026-01-11"
+                42, "SE", "trial", 8, "2025-04-02T09:00:00", "2025-05-20T18:30:00", "2025-05-10"
             ),
             dimension_row(
-                2, "US", "premium", 3, "2026-02-15T12:00:00", updated="2026-02-15T12:00:00"
+                42, "FI", "trial", 9, "2025-05-20T18:30:00", updated="2025-05-20T18:30:00",
+                day="2025-05-21",
             ),
+            dimension_row(43, "DK", "full", 10, "2025-05-19T06:00:00", day="2025-05-21"),
         ],
-    )
+    )
 
 
+# User 42 takes another tier, user 43 moves, user 44 is new; user 41 is as before.
 CHANGES = [
-    user("1"),
-    user("2", "CA", "premium", updated_at="2026-03-02T10:00:00"),
-    user("3", "DE", created_at="2026-03-02T11:00:00"),
+    user("41", "SE", "trial"),
+    user("42", "FI", "full", updated_at="2025-06-01T20:00:00"),
+    user("43", "DE", "full", updated_at="2025-06-01T21:00:00"),
+    user("44", "SE", "trial", created_at="2025-06-01T22:00:00"),
 ]
 
 
 def test_change_closes_the_active_version(spark, staging, current):
-    merged = merge_history(USERS, current, load(spark, CHANGES), staging)
-    assert picture(merged.rows) == [
-        (1, "PL", "free", 1, at("2026-01-10T08:00:00"), None, True),
-        (2, "US", "free", 2, at("2026-01-11T08:00:00"), at("2026-02-15T12:00:00"), False),
-        (2, "US", "premium", 3, at("2026-02-15T12:00:00"), at("2026-03-02T10:00:00"), False),
-        (2, "CA", "premium", 4, at("2026-03-02T10:00:00"), None, True),
-        (3, "DE", "free", 5, at("2026-03-02T11:00:00"), None, True),
-    ]
-    kept = merged.rows.where("user_id = 1").first()
-    assert str(kept["snapshot_date"]) == "2026-03-01"
-    assert kept["bronze_ingested_at"] == at("2026-03-01T10:00:00")
-    closed = merged.rows.where("customer_sk = 3").first()
-    assert str(closed["snapshot_date"]) == "2026-03-01"
-    assert merged.closings.count() == 1 and merged.versions.count() == 2
+    merged = merge_history(USERS, current, load(spark, CHANGES, "2025-06-02"), staging)
+    after = {row[3]: row for row in picture(merged.rows)}
+    # Every stored version is still there; the two of changed users end where the new ones start.
+    for sk, before in {row[3]: row for row in picture(current)}.items():
+        ends = {9: "2025-06-01T20:00:00", 10: "2025-06-01T21:00:00"}
+        if sk in ends:
+            assert after.pop(sk) == (*before[:5], at(ends[sk]), False)
+        else:
+            assert after.pop(sk) == before
+    assert [(row[0], *row[1:3], row[4], row[5]) for row in after.values()] == [
+        (int(r["user_id"]), r["country"], r["plan_tier"],
+         at(r["updated_at"] or r["created_at"]), None)
+        for r in CHANGES[1:]
+    ]
+    assert sorted(after) == [11, 12, 13] and all(row[6] for row in after.values())
+    days = {r["customer_sk"]: str(r["snapshot_date"]) for r in merged.rows.collect()}
+    assert days[7] == "2025-05-10" and days[9] == "2025-05-21" and days[13] == "2025-06-02"
+    assert merged.closings.count() == merged.closed_count == 2
+    assert merged.versions.count() == merged.opened_count == 3
 
 
 def test_rerun_changes_nothing(spark, staging, current):
@@ -105,28 +115,31 @@ def test_null_is_a_value_of_its_own(spark, staging):
     assert sorted(r["user_id"] for r in merged.versions.collect()) == [2, 3]
 
 
+# An older state of two users, and a user not known yet.
 BACKWARDS = [
-    user("1", "DE", created_at="2026-01-10T08:00:00"),
-    user("2", "CA", "premium", updated_at="2026-02-01T00:00:00"),
-    user("3", "DE"),
+    user("41", "NO", "trial", created_at="2025-04-01T09:00:00"),
+    user("43", "DK", "trial", updated_at="2025-05-01T00:00:00"),
+    user("45", "SE"),
 ]
 
 
 def test_older_snapshot_without_guard_closes_backwards(spark, staging, current):
     merged = merge_history(USERS, current, load(spark, BACKWARDS), staging)
-    ended = merged.rows.where("NOT is_current AND customer_sk <> 2")
+    ended = merged.rows.where("NOT is_current AND customer_sk <> 8")
     closed = {r["user_id"]: r for r in ended.collect()}
-    assert closed[2]["valid_to"] < closed[2]["valid_from"]
-    assert closed[1]["valid_to"] == closed[1]["valid_from"]
+    assert sorted(closed) == [41, 43]
+    assert closed[43]["valid_to"] < closed[43]["valid_from"]
+    assert closed[41]["valid_to"] == closed[41]["valid_from"]
 
 
 def test_order_guard_rejects_what_is_not_newer(spark, staging, current):
     merged = merge_history(USERS, current, load(spark, BACKWARDS), staging, order_guard=True)
-    assert picture(merged.rows)[:3] == picture(current)
-    assert [r["user_id"] for r in merged.versions.collect()] == [3]
+    assert picture(merged.rows)[:4] == picture(current)
+    assert [r["user_id"] for r in merged.versions.collect()] == [45]
     assert merged.rejected.columns == USERS.error_schema.names
     found = {(r["user_id"], r["error_reason"], r["error_stage"]) for r in merged.rejected.collect()}
-    assert found == {(1, "out_of_order", "out_of_order"), (2, "out_of_order", "out_of_order")}
+    assert found == {(41, "out_of_order", "out_of_order"), (43, "out_of_order", "out_of_order")}
+    assert (merged.opened_count, merged.closed_count, merged.rejected_count) == (1, 0, 2)
 
 
 @pytest.mark.parametrize("partitions", ["1", "16"])

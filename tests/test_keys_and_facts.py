@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rows import bronze, play
 
 from sluicework import PLAYS, cast_typed, dense_key, upsert_facts
+from sluicework.operators.facts import KEY_RANGES, key_ranges
 from sluicework.operators.keys import highest_key
 from sluicework.sources.storage import Staging, empty
 
@@ -67,25 +68,24 @@ def test_highest_key(spark):
 
 
 def test_next_day_and_key_of_another_day(spark, staging):
-    first = upsert_facts(
-        PLAYS,
-        empty(spark, PLAYS.table_schema),
-        load(spark, [play("101", f"{D1}T01:00:00", "2"), play("100", f"{D1}T00:00:00", "1")], D1),
-        staging,
-    )
-    current = staging.table(first.rows)
-    assert keys(current) == [(100, D1, 1, 1), (101, D1, 2, 2)]
-    second = upsert_facts(
-        PLAYS,
-        current,
-        load(spark, [play("101", f"{D2}T01:05:00", "9"), play("102", f"{D2}T02:00:00", "3")], D2),
-        staging,
-    )
-    assert keys(second.rows) == [(102, D2, 3, 3)]
+    stored = [play("840", f"{D1}T03:30:00", "11"), play("812", f"{D1}T02:15:00", "12")]
+    nothing = empty(spark, PLAYS.table_schema)
+    current = staging.table(upsert_facts(PLAYS, nothing, load(spark, stored, D1), staging).rows)
+    assert keys(current) == [(812, D1, 12, 1), (840, D1, 11, 2)]
+    following = [play("812", f"{D2}T04:45:00", "13"), play("900", f"{D2}T05:00:00", "14")]
+    second = upsert_facts(PLAYS, current, load(spark, following, D2), staging)
+    assert keys(second.rows) == [(900, D2, 14, 3)]
     assert second.elsewhere_count == 1
-    assert [tuple(r) for r in second.elsewhere.collect()] == [
-        (101, date(2026, 3, 2), date(2026, 3, 1))
-    ]
+    days = (date.fromisoformat(D2), date.fromisoformat(D1))
+    assert [tuple(r) for r in second.elsewhere.collect()] == [(812, *days)]
+    (left,) = second.left_out.collect()
+    assert (left["play_id"], left["ms_played"], left["error_reason"], left["error_stage"]) == (
+        812,
+        13,
+        f"play_id_held_by_{D1}",
+        "held_elsewhere",
+    )
+    assert second.left_out.columns == PLAYS.error_schema.names
 
 
 @pytest.fixture
@@ -111,6 +111,58 @@ def test_redrop_can_retain_missing_rows(spark, staging, two_days):
     assert done.elsewhere_count == 1
 
 
+def test_retain_missing_without_a_loaded_row_goes_by_the_given_days(spark, staging, two_days):
+    nothing = load(spark, [], D1)
+    done = upsert_facts(PLAYS, two_days, nothing, staging, retain_missing=True, days=[D1])
+    assert keys(done.rows) == keys(two_days.where(f"snapshot_date = '{D1}'"))
+
+
+def test_a_wrong_highest_key_is_not_taken_for_an_empty_table(spark, staging, two_days):
+    again = load(spark, [play("20", f"{D2}T01:00:00", "20")], D2)
+    done = upsert_facts(PLAYS, two_days, again, staging, highest=0)
+    assert keys(done.rows) == [(20, D2, 20, 4)]
+
+
+def test_key_ranges_leave_the_gaps_out(spark):
+    frame = spark.range(0, 100_000).union(spark.range(10**12, 10**12 + 3)).toDF("k")
+    ranges = key_ranges(frame, "k")
+    assert ranges == [(0, 99_999), (10**12, 10**12 + 2)]
+    spread = spark.range(0, 10**6).selectExpr("id * id AS k")
+    found = key_ranges(spread, "k")
+    assert 1 < len(found) <= KEY_RANGES and found[0][0] == 0
+    assert all(a[1] < b[0] for a, b in zip(found, found[1:], strict=False))
+    assert key_ranges(spark.range(0).toDF("k"), "k") == []
+    words = spark.createDataFrame([("b",), ("a",)], "k string")
+    assert key_ranges(words, "k") == [("a", "b")]
+
+
+def test_an_outlying_key_does_not_widen_the_scan(spark, staging, tmp_path):
+    """Ten stored files of a thousand keys; the load has keys of the last one and a first key."""
+    path = f"{tmp_path}/plays"
+    columns = ", ".join(
+        f"{'id' if f.name in ('play_id', 'play_sk') else 'NULL'} :: {f.dataType.simpleString()}"
+        f" AS {f.name}"
+        for f in PLAYS.table_schema
+        if f.name != "snapshot_date"
+    ).split(", ")
+    stored = spark.range(0, 10_000, 1, 10).selectExpr(
+        *columns, f"date_add(date'{D1}', CAST(id DIV 1000 AS int)) AS snapshot_date"
+    )
+    stored.write.partitionBy("snapshot_date").parquet(path)
+    current = spark.read.schema(PLAYS.table_schema).parquet(path)
+    rows = [play(str(k), "2026-04-01T01:00:00") for k in (0, *range(9_990, 10_010))]
+    day = "2026-04-01"
+    low, high = key_ranges(load(spark, rows, day), "play_id")
+    assert low == (0, 0) and high == (9_990, 10_009)
+    tests = " OR ".join(f"play_id BETWEEN {a} AND {b}" for a, b in (low, high))
+    scan = current.where(tests).select("play_id")
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(And(GreaterThanOrEqual(play_id,0)" in plan
+    done = upsert_facts(PLAYS, current, load(spark, rows, day), staging)
+    assert done.elsewhere_count == 11
+    assert sorted(r["play_sk"] for r in done.rows.collect()) == list(range(10_000, 10_010))
+
+
 def test_same_load_again_changes_nothing(spark, staging, two_days):
     again = load(spark, [play(str(n), f"{D2}T01:00:00", str(n)) for n in (21, 20)], D2)
     done = upsert_facts(PLAYS, two_days, again, staging)

@@ -7,9 +7,21 @@ import pytest
 from pyspark.sql import functions as F
 from rows import at, bronze, play, user
 
-from sluicework import PLAYS, USERS, cast_typed, classify, deduplicate, quality_gate, validate
-from sluicework.operators import quality
-from sluicework.sources.storage import Staging
+from sluicework import (
+    PLAYS,
+    USERS,
+    Field,
+    Rule,
+    TableContract,
+    cast_typed,
+    classify,
+    deduplicate,
+    newest,
+    quality_gate,
+    upsert_facts,
+    validate,
+)
+from sluicework.sources.storage import Staging, empty
 
 DAY = "2026-03-01"
 
@@ -103,13 +115,19 @@ def test_rules_of_users(spark):
 
 
 def test_newest_row_wins(spark, staging):
-    first = bronze(spark, PLAYS, [play("1", f"{DAY}T10:00:00", "180000")], DAY, f"{DAY}T13:00:00")
-    second = bronze(spark, PLAYS, [play("1", f"{DAY}T10:00:00", "181000")], DAY, f"{DAY}T14:00:00")
-    rows, _ = cast_typed(PLAYS, first.union(second))
+    copies = {"2200": f"{DAY}T06:10:00", "3300": f"{DAY}T19:25:00", "1100": f"{DAY}T08:40:00"}
+    parts = [
+        bronze(spark, PLAYS, [play("17", f"{DAY}T05:55:00", length)], DAY, arrived)
+        for length, arrived in copies.items()
+    ]
+    rows, _ = cast_typed(PLAYS, parts[0].union(parts[1]).union(parts[2]))
     found = deduplicate(rows, "play_id", PLAYS.newest_first, staging)
-    assert [r["ms_played"] for r in found.kept.collect()] == [181000]
-    assert [r["ms_played"] for r in found.duplicates.collect()] == [180000]
-    assert found.duplicate_count == 1
+    latest = int(max(copies, key=copies.get))
+    assert [r["ms_played"] for r in found.kept.collect()] == [latest]
+    others = sorted(int(c) for c in copies if int(c) != latest)
+    assert sorted(r["ms_played"] for r in found.duplicates.collect()) == others
+    assert found.duplicate_count == len(others)
+    assert bag(newest(rows, "play_id", PLAYS.newest_first)) == bag(found.kept)
 
 
 def test_users_order_prefers_update_over_creation(spark, staging):
@@ -136,22 +154,23 @@ def test_full_ties_keep_one_copy_whatever_the_partitioning(spark, staging):
 
 
 @pytest.mark.parametrize("broadcast_bytes", [64 << 20, 0])
-def test_hot_key_against_brute_force(spark, staging, monkeypatch, broadcast_bytes):
+def test_hot_key_against_brute_force(spark, staging, broadcast_bytes):
     """A third of the rows on one key; also with the split that a big key set takes."""
-    monkeypatch.setattr(quality, "HEAVY_ROWS", 500)
-    monkeypatch.setattr(quality, "BROADCAST_BYTES", broadcast_bytes or 4000)
     frame = spark.range(6000).select(
         F.expr("IF(id % 3 = 0, -1, id % 3500)").alias("k"),
         F.expr("id * 7919 % 101").alias("a"),
         F.expr("IF(id % 3 = 0, id % 50, id)").alias("b"),
     )
-    found = deduplicate(frame, "k", ["a"], staging)
+    found = deduplicate(
+        frame, "k", ["a"], staging, heavy_rows=500, broadcast_bytes=broadcast_bytes or 4000
+    )
     best: dict = {}
     rows = [tuple(r) for r in frame.collect()]
     for k, a, b in rows:
         best[k] = max(best.get(k, (a, b)), (a, b))
     winners = Counter((k, *v) for k, v in best.items())
     assert Counter(tuple(r) for r in found.kept.collect()) == winners
+    assert Counter(tuple(r) for r in newest(frame, "k", ["a"]).collect()) == winners
     assert Counter(tuple(r) for r in found.duplicates.collect()) == Counter(rows) - winners
     assert sorted(r["k"] for r in found.keys.collect()) == sorted(best)
     assert found.duplicate_count == len(rows) - len(best)
@@ -232,3 +251,29 @@ def test_split_and_combined_forms_agree(spark, staging):
     assert bag(whole.where("error_stage = 'cast'").drop("error_stage")) == bag(unread)
     assert bag(whole.where("error_stage = 'validation'").drop("error_stage")) == bag(invalid)
     assert at(f"{DAY}T10:00:00") == valid.first()["played_at"]
+
+
+def test_any_name_and_reason_will_do(spark, staging):
+    """Names with blanks, dashes, dots and backticks, and a reason with an apostrophe."""
+    odd = TableContract(
+        name="odd",
+        key="the key",
+        fields=(Field("the key", "int"), Field("a-b", "int"), Field("x`y", "string", False)),
+        checks=(Rule("isn't \\ positive", "`a-b` <= 0"),),
+        newest_first=("`a-b`", "source_file"),
+        surrogate="row-sk",
+    )
+    rows = [("1", "5", "u"), ("1", "6", None), ("2", "0", "v"), ("3", "z", "w"), (None, "1", "x")]
+    arrived = (at(f"{DAY}T10:00:00"), "odd.json", date.fromisoformat(DAY))
+    source = spark.createDataFrame([(*r, *arrived) for r in rows], odd.bronze_schema)
+    gated = quality_gate(odd, classify(odd, source, keep_raw=True), staging)
+    assert [tuple(r)[:3] for r in gated.accepted.collect()] == [(1, 6, None)]
+    assert sorted(r["error_reason"] for r in gated.rejected.collect()) == [
+        "cast_error_a-b",
+        "duplicate_the key",
+        "isn't \\ positive",
+        "null_the key",
+    ]
+    load = upsert_facts(odd, empty(spark, odd.table_schema), gated.accepted, staging)
+    again = upsert_facts(odd, staging.table(load.rows), gated.accepted, staging)
+    assert [r["row-sk"] for r in again.rows.collect()] == [1]
