@@ -188,4 +188,4 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     same = docs["doc_id"].eqNullSafe(bad["__bad_id"]) & (
         F.xxhash64(docs["text"]) == bad["__bad_key"]
     )
-    return docs.join(bad, same, "left_anti")
+    return docs.join(bad.hint("merge"), same, "left_anti")

@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicework.llm.arrow import map_batches
+from sluicework.llm.bit_filter import BitFilter
 from sluicework.llm.columns import same_row, text_key
-from sluicework.llm.shingle_join import BitFilter, signed
+from sluicework.llm.shingle_join import signed
 from sluicework.sources.storage import Staging
 
 # Fixed value of the contract.
@@ -406,7 +407,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
 
     texts = _texts(docs)
-    joined = texts.join(by_text, same_row(texts, by_text), "left").select(
+    joined = texts.join(by_text.hint("merge"), same_row(texts, by_text), "left").select(
         texts["doc_id"], texts["text_key"], "text", "spans.first", "spans.last"
     )
 

@@ -97,20 +97,23 @@ def opaque_spans(text: Column) -> Column:
     )
 
 
+def _may_hold(text: Column) -> Column:
+    """Whether a text has a match of any pattern; null for null."""
+    return F.rlike(text, F.lit(f"{ASSIGN}|{ACCESS}|{HEX}|{OPAQUE}"))
+
+
 def candidates(docs: DataFrame, owner: str, repository: str) -> DataFrame:
     """A row per candidate span of each document that has one.
 
     An opaque run that overlaps a base span is that span's, not a candidate of its own.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    may = F.rlike(text, F.lit(f"{ASSIGN}|{ACCESS}|{HEX}|{OPAQUE}"))
     known = docs.select(
         "doc_id",
         text_key(),
         "text",
         F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
         F.coalesce(F.col(repository).cast("string"), F.lit("")).alias("repository"),
-    ).filter(may)
+    ).filter(_may_hold(F.col("text")))
     both = known.select(
         "doc_id",
         "text_key",
@@ -254,12 +257,16 @@ def redact(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -
             seen["out"], F.substring(F.col("text"), seen["at"] + 1, F.length(F.col("text")))
         ),
     )
-    text = F.when(F.col("__s").isNull(), F.col("text")).otherwise(cleaned)
-    new = docs.join(found, same, "left").withColumn("text", text)
+    # Only texts with a candidate are joined; the others, nearly all, stay where they are.
+    may = F.coalesce(_may_hold(F.col("text")), F.lit(False))
+    joined = docs.filter(may).join(found.hint("merge"), same, "left")
+    new = joined.withColumn(
+        "text", F.when(F.col("__s").isNull(), F.col("text")).otherwise(cleaned)
+    )
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         changed = F.length(F.col("text")).cast(kind)
         new = new.withColumn(
             "n_chars", F.when(F.col("__s").isNull(), F.col("n_chars")).otherwise(changed)
         )
-    return new.select(*docs.columns)
+    return new.select(*docs.columns).union(docs.filter(~may))

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicework.llm.arrow import map_batches
+from sluicework.llm.bit_filter import BitFilter
 from sluicework.llm.components import components
 from sluicework.sources.storage import Staging
 
@@ -42,8 +43,6 @@ COMMON_AT_LEAST = 8
 COMMON_KEPT = 65_536
 SHINGLES_AT_ONCE = 4_000_000
 WORDS_KEPT = 300_000
-# Bits of the filters that spare rows; what they let through in vain is only slower.
-FILTER_BITS = 25
 # Components of more nodes go through the second round of leaders.
 LARGE_COMPONENT = 8
 LEADER_SHINGLES = 2
@@ -108,27 +107,6 @@ def bitmap(found: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-class BitFilter:
-    """A set of numbers as bits of their residues: it may let others through, and loses none."""
-
-    def __init__(self, frame: DataFrame, column: str) -> None:
-        place = F.pmod(F.col(column), F.lit(1 << FILTER_BITS))
-        words = (
-            frame.select(F.floor(place / 64).alias("word"), (place % 64).cast("int").alias("bit"))
-            .groupBy("word")
-            .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
-        )
-        found = words.toArrow()
-        self.empty = found.num_rows == 0
-        packed = np.zeros((1 << FILTER_BITS) // 64, np.int64)
-        packed[found["word"].to_numpy()] = found["bits"].to_numpy()
-        self._bits = frame.sparkSession.sparkContext.broadcast(packed)
-
-    def holds(self, values: np.ndarray) -> np.ndarray:
-        at = values.astype(np.int64) & ((1 << FILTER_BITS) - 1)
-        return (self._bits.value[at >> 6] >> (at & 63) & 1).astype(bool)
-
-
 def _documents(docs: DataFrame) -> tuple[DataFrame, str]:
     return docs.select("doc_id", "text"), docs.schema["doc_id"].dataType.simpleString()
 
@@ -536,7 +514,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
         .select(F.col("doc_id").alias("__copy"))
         .distinct()
     )
-    kept = docs.join(others, docs["doc_id"] == others["__copy"], "left_anti")
+    kept = docs.join(others.hint("merge"), docs["doc_id"] == others["__copy"], "left_anti")
     repeated, seen = staging.measured_table(
         found.filter("doc_id IS NOT NULL")
         .groupBy(F.col("doc_id").alias("__again"))
