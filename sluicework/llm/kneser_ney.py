@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluicework.llm.arrow import map_batches
+from sluicework.llm.bit_filter import BitFilter
 from sluicework.sources.storage import Staging
 
 BITS = 5
@@ -34,6 +35,8 @@ FOLDS, CALIBRATION = 4, 0
 # A language with fewer calibration documents takes the threshold of all.
 LEAST_CALIBRATION = 20
 MOST_LANGUAGES = 10_000
+# Discounts of counts 1, 2, and 3 or more, where the counts of counts give none.
+FALLBACK = (0.5, 1.0, 1.5)
 SLICE_BYTES = 4 << 20
 
 
@@ -103,15 +106,19 @@ def gram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _discounts(counts: DataFrame) -> list[float]:
-    """What to take off counts of 1, 2, and 3 or more, from how many n-grams have 1, 2, 3, 4."""
+    """What to take off counts of 1, 2, and 3 or more, from how many n-grams have 1, 2, 3, 4.
+
+    Where these are too few for the formula, ``FALLBACK``.
+    """
     of = {
         row["n"]: row["grams"]
         for row in counts.filter("n <= 4").groupBy("n").agg(F.count("*").alias("grams")).collect()
     }
-    one, two, three, four = (of.get(i, 0) for i in (1, 2, 3, 4))
-    share = one / (one + 2 * two) if one else 0.0
-    exact = [(1, one, two), (2, two, three), (3, three, four)]
-    return [max(0.0, i - (i + 1) * share * b / a) if a else 0.0 for i, a, b in exact]
+    if not all(of.get(i) for i in (1, 2, 3)):
+        return list(FALLBACK)
+    share = of[1] / (of[1] + 2 * of[2])
+    exact = [i - (i + 1) * share * of.get(i + 1, 0) / of[i] for i in (1, 2, 3)]
+    return [d if 0 <= d <= i else f for i, d, f in zip((1, 2, 3), exact, FALLBACK, strict=True)]
 
 
 def probabilities(spark, counts: DataFrame, staging: Staging) -> DataFrame:
@@ -204,6 +211,23 @@ def _trusted(labels: DataFrame) -> DataFrame:
     )
 
 
+def learnt_texts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the trusted documents that are learnt from.
+
+    A filter of fixed size lets few other texts through before the join by id.
+    """
+    ids = trusted.filter("NOT calibration").select("doc_id")
+    maybe = BitFilter(ids, "doc_id")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            kept = pa.array(maybe.holds(batch.column(0).fill_null(0).to_numpy()))
+            yield {"doc_id": batch.column(0).filter(kept), "text": batch.column(1).filter(kept)}
+
+    texts = map_batches(docs.select("doc_id", "text"), "doc_id bigint, text string", work)
+    return texts.join(ids.hint("merge"), "doc_id", "left_semi")
+
+
 def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> tuple[dict[str, float], float]:
     """The largest perplexity to keep by language, and the one for all other languages."""
     at = F.percentile_approx("perplexity", quantile, 10_000).alias("most")
@@ -234,8 +258,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     docs = docs.select("doc_id", "text", "lang")
     staging = Staging(spark)
     trusted = staging.table(_trusted(labels))
-    learnt = docs.join(trusted.filter("NOT calibration").select("doc_id"), "doc_id", "left_semi")
-    table = probabilities(spark, gram_counts(learnt), staging)
+    table = probabilities(spark, gram_counts(learnt_texts(docs, trusted)), staging)
     scored = staging.table(score(docs, _bits(table)))
     calibration = trusted.filter("calibration").select("doc_id")
     by_language, overall = thresholds(scored.join(calibration, "doc_id", "left_semi"), quantile)
@@ -262,4 +285,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     same = docs["doc_id"].eqNullSafe(bad["__bad_id"]) & (
         F.xxhash64(docs["text"]) == bad["__bad_key"]
     )
-    return docs.join(bad, same, "left_anti")
+    return docs.join(bad.hint("merge"), same, "left_anti")
