@@ -3,22 +3,24 @@
 Which windows of ``WINDOW`` bytes could repeat is found by content: a window's anchor is the least
 hash of its ``ANCHOR``-byte strings, the leftmost of equal ones, so equal windows have equal anchors
 at equal offsets.  A stretch of windows with one anchor and the bytes they cover is its context.
-Contexts whose anchor occurs once in the corpus are left out after a count; the others meet by
-anchor, ordered by place, and equal contexts are dropped as they pass: all but the first are
-repeats as a whole.
+A count of anchors and of hashes of their contexts over the corpus tells four kinds: anchors that
+occur once are left out; where all contexts are equal, all but the first are repeats as a whole and
+only places are sent; where they differ, contexts are sent; and where very many differ, so that one
+task could not gather them, each window is sent by its hash.  All meet by key, ordered by place.
 
 The different contexts of some anchors become one text for a run-length index: its Burrows-Wheeler
 transform is cut into runs of equal bytes, and the suffixes at the runs' starts are sampled, with
 the suffix before each and the length they share.  Away from the samples both follow: going one
 byte on in the text shortens the shared length by one and moves both suffixes by one.  So the
 matching statistics stream from the samples alone, and chains of matches of ``WINDOW`` bytes lead
-from each window to its equals, the first of which stays.  Anchors with very many different
-contexts are not gathered: their windows are counted one by one, by hash.
+from each window to its equals, the first of which stays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,15 +39,28 @@ WINDOW = 100
 
 ANCHOR = 16
 SLICE_BYTES = 2 << 20
-# Bytes of context per index, and different contexts of one anchor that an index takes.
+CACHED_BYTES = 64 << 10
+# Bytes of context per index, and occurrences of one anchor beyond which windows go by hash.
 INDEX_BYTES = 1 << 20
-GROUP_CONTEXTS = 2_000
-CONTEXTS_KEPT = 200_000
+GROUP_CONTEXTS = 20_000
+PACKED = 4
+
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_BYTES = (np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(_BASE)
+
+
+@lru_cache(maxsize=8)
+def _powers(base: int, bits: int) -> np.ndarray:
+    """The first ``2 ** bits`` powers, modulo 2 to the 64."""
+    out = np.ones(1 << bits, np.uint64)
+    out[1:] = np.uint64(base)
+    return np.cumprod(out, dtype=np.uint64)
 
 
 def _hashes(raw: np.ndarray) -> np.ndarray:
     """A hash of the ``ANCHOR`` bytes from every place on, by doubling."""
-    now = (raw.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    now = _BYTES[raw]
     size = 1
     factor = 0xC2B2AE3D27D4EB4F
     while size < ANCHOR:
@@ -57,50 +72,94 @@ def _hashes(raw: np.ndarray) -> np.ndarray:
     return now ^ now >> np.uint64(32)
 
 
-def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``anchor`` hash, its offset, and first and last window of each stretch of windows.
+class Stretches(NamedTuple):
+    """Stretches of windows with one anchor, of several texts: the text's number, the anchor's
+    hash, a hash of the context, and first and last window within the text."""
 
-    ``raw`` is one text.  Fewer bytes than a window give no stretch.
-    """
-    count = len(raw) - WINDOW + 1
+    text: np.ndarray
+    anchor: np.ndarray
+    context: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+
+def stretches(texts: list[bytes]) -> Stretches:
+    """The stretches of all texts, found for as many at a time as a processor's cache holds."""
+    parts, begin, size = [], 0, 0
+    for end, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= CACHED_BYTES or end == len(texts):
+            part = _stretches(texts[begin:end])
+            parts.append(part._replace(text=part.text + begin))
+            begin, size = end, 0
+    return Stretches(*map(np.concatenate, zip(*parts, strict=True))) if parts else _stretches([])
+
+
+def _stretches(texts: list[bytes]) -> Stretches:
+    """A text of fewer bytes than a window has none."""
     none = np.zeros(0, np.int64)
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    count = len(raw) - WINDOW + 1
     if count <= 0:
-        return none.astype(np.uint64), none, none, none
+        return Stretches(none, none, none, none, none)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    begins = np.cumsum(sizes) - sizes
     hashes = _hashes(raw)
     span = WINDOW - ANCHOR + 1
     # High bits of the hash decide, then the place, so the least value tells the leftmost place.
-    packed = hashes & ~np.uint64(0xFFFFFFFF) | np.arange(len(hashes), dtype=np.uint64)
-    least, size = packed, 1
+    high = np.uint64(0xFFFFFFFF00000000)
+    least, size = hashes & high | np.arange(len(hashes), dtype=np.uint64), 1
     while size * 2 <= span:
         least = np.minimum(least[:-size], least[size:])
         size *= 2
     if size < span:
-        least = np.minimum(least[: count], least[span - size : span - size + count])
-    place = (least[:count] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    start = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    end = np.r_[start[1:], count] - 1
-    return hashes[place[start]], place[start], start, end
+        least = np.minimum(least[:count], least[span - size : span - size + count])
+    place = (least[:count] & ~high).astype(np.int64)
+    # Only windows within one text count.
+    windows = np.maximum(sizes - WINDOW + 1, 0)
+    owner = np.repeat(np.arange(len(texts)), windows)
+    start = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    start += begins[owner]
+    if not len(start):
+        return Stretches(none, none, none, none, none)
+    place = place[start]
+    fresh = np.r_[True, (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])]
+    head = np.flatnonzero(fresh)
+    first, text = start[head], owner[head]
+    last = start[np.r_[head[1:], len(start)] - 1]
+    # A polynomial over the hashes of all places of the context, moved back to its start.
+    bits = max(20, len(hashes).bit_length())
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * _powers(_BASE, bits)[: len(hashes)], dtype=np.uint64, out=sums[1:])
+    whole = sums[last + span] - sums[first]
+    context = whole * _powers(_INVERSE, bits)[first]
+    context ^= (last - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return Stretches(
+        text, signed(hashes[place[head]]), signed(context), first - begins[text],
+        last - begins[text],
+    )
 
 
 def _suffix_array(text: np.ndarray, breaks: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in order of their first ``depth`` symbols; ``breaks`` are symbols of their own."""
     rank = text.astype(np.int64) + len(breaks)
     rank[breaks] = np.arange(len(breaks))
-    size = 1
-    width = np.int64(rank.max() + 2)
+    bits = int(rank.max() + 1).bit_length()
+    size = max(1, min(PACKED, 62 // bits))
+    key = rank + 1
+    for k in range(1, size):
+        key <<= bits
+        key[: len(rank) - k] += rank[k:] + 1
     while True:
-        later = np.zeros(len(rank), np.int64)
-        later[:-size] = rank[size:] + 1
-        key = rank * width + later
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         in_order = key[order]
         new = np.cumsum(np.r_[0, in_order[1:] != in_order[:-1]])
-        rank = np.empty(len(order), np.int64)
+        if size >= depth or new[-1] == len(order) - 1:
+            return order
         rank[order] = new
+        key = rank * np.int64(len(rank) + 1)
+        key[:-size] += rank[size:] + 1
         size *= 2
-        width = np.int64(len(rank) + 2)
-        if size >= depth or new[-1] == len(rank) - 1:
-            return order
 
 
 class RunLengthIndex:
@@ -124,7 +183,7 @@ class RunLengthIndex:
         self.run_bytes, self.run_starts = last[heads], heads
         place = order[heads]
         neighbour = np.where(heads > 0, order[heads - 1], -1)
-        shared = self._common(text, broken, place, neighbour, depth)
+        shared = self._common(text, breaks, place, neighbour)
         by_place = np.argsort(place)
         self.sample, self.before, self.shared = (
             x[by_place] for x in (place, neighbour, shared)
@@ -133,20 +192,25 @@ class RunLengthIndex:
 
     @staticmethod
     def _common(
-        text: np.ndarray, broken: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int
+        text: np.ndarray, breaks: np.ndarray, a: np.ndarray, b: np.ndarray
     ) -> np.ndarray:
-        """Bytes that two places share, up to ``depth`` or the next break."""
+        """Bytes that two places share before the next break of either, eight at a time."""
+        padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
+        eight = np.zeros(len(text), np.uint64)
+        for k in range(8):
+            eight |= padded[k : k + len(text)] << np.uint64(8 * k)
+        to_break = breaks[np.searchsorted(breaks, np.arange(len(text)))] - np.arange(len(text))
         out = np.zeros(len(a), np.int64)
         live = np.flatnonzero(b >= 0)
-        for step in range(depth):
-            x, y = a[live] + step, b[live] + step
-            inside = (x < len(text)) & (y < len(text))
-            live, x, y = live[inside], x[inside], y[inside]
-            same = (text[x] == text[y]) & ~broken[x] & ~broken[y]
-            live = live[same]
-            out[live] += 1
-            if not len(live):
-                break
+        limit = np.zeros(len(a), np.int64)
+        limit[live] = np.minimum(to_break[a[live]], to_break[b[live]])
+        live = live[limit[live] > 0]
+        while len(live):
+            differ = eight[a[live] + out[live]] ^ eight[b[live] + out[live]]
+            lowest = differ & (~differ + np.uint64(1))
+            equal = np.where(differ == 0, 8, np.bitwise_count(lowest - np.uint64(1)) // 8)
+            out[live] = np.minimum(out[live] + equal, limit[live])
+            live = live[(equal == 8) & (out[live] < limit[live])]
         return out
 
     def statistics(self) -> tuple[np.ndarray, np.ndarray]:
@@ -194,95 +258,177 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(), "text")
 
 
+def _slices(texts: list[str | None]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Rows of about ``SLICE_BYTES`` and their bytes."""
+    rows: list[int] = []
+    raw: list[bytes] = []
+    size = 0
+    for i, text in enumerate(texts):
+        rows.append(i)
+        raw.append((text or "").encode())
+        size += len(raw[-1])
+        if size >= SLICE_BYTES:
+            yield rows, raw
+            rows, raw, size = [], [], 0
+    if rows:
+        yield rows, raw
+
+
 def anchor_counts(docs: DataFrame) -> DataFrame:
-    """``anchor, times``: how often each anchor starts a stretch of windows."""
+    """``anchor, times, least, most``: how often each anchor starts a stretch, and the ends of its
+    contexts' hashes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        waiting: list[np.ndarray] = []
-        size = 0
         for batch in batches:
-            for text in batch.column(0):
-                raw = np.frombuffer((text.as_py() or "").encode(), np.uint8)
-                waiting.append(anchors(raw)[0])
-                size += len(waiting[-1])
-                if size >= SLICE_BYTES:
-                    found, times = np.unique(np.concatenate(waiting), return_counts=True)
-                    yield {"anchor": signed(found), "times": times.astype(np.int32)}
-                    waiting, size = [], 0
-        if waiting:
-            found, times = np.unique(np.concatenate(waiting), return_counts=True)
-            yield {"anchor": signed(found), "times": times.astype(np.int32)}
-
-    rows = map_batches(_texts(docs).select("text"), "anchor bigint, times int", work)
-    return rows.groupBy("anchor").agg(F.sum("times").alias("times"))
-
-
-def contexts(docs: DataFrame, repeated: BitFilter) -> DataFrame:
-    """``anchor, doc_id, text_key, place, context``: stretches whose anchor the filter holds.
-
-    ``place`` is the first window's.  Stretches that repeat an earlier one of the same task come
-    with a null context: ``place`` and ``size`` say which windows repeat.
-    """
+            for _, raw in _slices(batch.column(0).to_pylist()):
+                found = stretches(raw)
+                order = np.argsort(found.anchor, kind="stable")
+                anchor, context = found.anchor[order], found.context[order]
+                head = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]][: len(anchor)])
+                if len(head):
+                    yield {
+                        "anchor": anchor[head],
+                        "times": np.diff(np.r_[head, len(anchor)]).astype(np.int32),
+                        "least": np.minimum.reduceat(context, head),
+                        "most": np.maximum.reduceat(context, head),
+                    }
+
+    rows = map_batches(
+        _texts(docs).select("text"), "anchor bigint, times int, least bigint, most bigint", work
+    )
+    return rows.groupBy("anchor").agg(
+        F.sum("times").alias("times"), F.min("least").alias("least"), F.max("most").alias("most")
+    )
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        seen: dict[bytes, tuple] = {}
-        names = ("anchor", "doc_id", "text_key", "place", "size", "context")
-        for batch in batches:
-            rows: list[tuple] = []
-            order = np.argsort(
-                [-(1 << 63) if d is None else d for d in batch.column(0).to_pylist()],
-                kind="stable",
-            )
-            for i in order:
-                doc_id = batch.column(0)[i].as_py()
-                raw = (batch.column(2)[i].as_py() or "").encode()
-                anchor, _, start, end = anchors(np.frombuffer(raw, np.uint8))
-                anchor = signed(anchor)
-                kept = np.flatnonzero(repeated.holds(anchor)) if len(anchor) else []
-                if not len(kept):
-                    continue
-                key = batch.column(1)[i].as_py()
-                low = -(1 << 63) if doc_id is None else doc_id
-                for k in kept:
-                    s, e = int(start[k]), int(end[k])
-                    context = raw[s : e + WINDOW]
-                    digest = xxhash.xxh3_128_digest(context)
-                    earlier = seen.get(digest)
-                    if earlier is not None and earlier < (low, s):
-                        rows.append((None, doc_id, key, s, e - s + 1, None))
-                        continue
-                    if len(seen) >= CONTEXTS_KEPT:
-                        seen.clear()
-                    seen[digest] = (low, s)
-                    rows.append((int(anchor[k]), doc_id, key, s, e - s + 1, context))
-            columns = list(zip(*rows, strict=True)) or [[]] * len(names)
-            yield dict(zip(names, columns, strict=True))
 
-    return map_batches(
-        _texts(docs),
-        "anchor bigint, doc_id bigint, text_key bigint, place int, size int, context binary",
-        work,
-    )
+_PLACES = "key bigint, more bigint, doc_id bigint, text_key bigint, first int, last int"
+
+
+def _merged(
+    doc: np.ndarray, first: np.ndarray, last: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches (in order of text and place) that follow each other as one."""
+    joins = (doc[1:] == doc[:-1]) & (first[1:] == last[:-1] + 1)
+    head = np.flatnonzero(np.r_[True, ~joins][: len(doc)])
+    tail = np.r_[head[1:] - 1, len(doc) - 1][: len(head)]
+    return doc[head], first[head], last[tail]
 
 
-_SPAN = "doc_id bigint, text_key bigint, first int, last int"
+def occurrences(
+    docs: DataFrame, repeated: BitFilter, differing: BitFilter, crowded: BitFilter
+) -> DataFrame:
+    """``key, more, doc_id, text_key, first, last, context``: places to compare, by kind.
 
+    Of stretches with equal contexts in a slice only the first is sent; the others come as known
+    repeats, without a key.
+    """
 
-def indexed_spans(found: DataFrame, crowded: DataFrame) -> DataFrame:
-    """Repeated windows (``first`` to ``last``) of the contexts of all anchors not ``crowded``."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            ids = batch.column(0)
+            null = np.array(ids.is_null())
+            low = ids.fill_null(-(1 << 63)).to_numpy()
+            keys = batch.column(1).to_numpy()
+            for rows, raw in _slices(batch.column(2).to_pylist()):
+                rows = np.array(rows)
+                found = stretches(raw)
+                if len(found.anchor):
+                    kept = repeated.holds(found.anchor)
+                    found = Stretches(*(x[kept] for x in found))
+                if not len(found.anchor):
+                    continue
+                row = rows[found.text]
+                order = np.lexsort((found.first, low[row], found.context, found.anchor))
+                equal = np.zeros(len(order), bool)
+                before, after = order[:-1], order[1:]
+                equal[after] = (
+                    (found.anchor[after] == found.anchor[before])
+                    & (found.context[after] == found.context[before])
+                )
+                same_place = np.zeros(len(order), bool)
+                same_place[after] = (low[row[after]] == low[row[before]]) & (
+                    found.first[after] == found.first[before]
+                )
+                known = np.flatnonzero(equal & ~same_place)
+                # Equal rows stand at one place: neither repeats the other, if the first does not.
+                sent = np.flatnonzero(~equal | same_place)
+                text, first, last = _merged(found.text[known], found.first[known], found.last[known])
+                at = rows[text]
+                yield {
+                    "key": pa.nulls(len(at), pa.int64()),
+                    "more": pa.nulls(len(at), pa.int64()),
+                    "doc_id": pa.array(low[at], mask=null[at]),
+                    "text_key": keys[at],
+                    "first": first,
+                    "last": last,
+                    "context": pa.nulls(len(at), pa.binary()),
+                }
+                anchor = found.anchor[sent]
+                many = crowded.holds(anchor)
+                differ = differing.holds(anchor)
+                plain = sent[~many]
+                at = row[plain]
+                spots = zip(found.text[plain], found.first[plain], found.last[plain], strict=True)
+                yield {
+                    "key": found.anchor[plain],
+                    "more": np.zeros(len(plain), np.int64),
+                    "doc_id": pa.array(low[at], mask=null[at]),
+                    "text_key": keys[at],
+                    "first": found.first[plain],
+                    "last": found.last[plain],
+                    "context": [
+                        raw[t][a : b + WINDOW] if d else None
+                        for (t, a, b), d in zip(spots, differ[~many], strict=True)
+                    ],
+                }
+                for i in sent[many]:
+                    t, a, b = found.text[i], int(found.first[i]), int(found.last[i])
+                    digests = [
+                        xxhash.xxh3_128_digest(raw[t][k : k + WINDOW]) for k in range(a, b + 1)
+                    ]
+                    halves = np.frombuffer(b"".join(digests), ">i8").astype(np.int64)
+                    n = b - a + 1
+                    yield {
+                        "key": halves[::2],
+                        "more": halves[1::2],
+                        "doc_id": pa.array(np.full(n, low[row[i]]), mask=np.full(n, null[row[i]])),
+                        "text_key": np.full(n, keys[row[i]]),
+                        "first": np.arange(a, b + 1),
+                        "last": np.arange(a, b + 1),
+                        "context": pa.nulls(n, pa.binary()),
+                    }
+
+    return map_batches(_texts(docs), f"{_PLACES}, context binary", work)
+
+
+def repeats(found: DataFrame) -> DataFrame:
+    """``doc_id, text_key, first, last``: windows of the places that also start earlier."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        waiting: list[tuple] = []  # doc_id, text_key, place, context: different ones, in order
-        size, anchor = 0, None
-        group: dict[bytes, tuple] = {}
+        waiting: list[tuple] = []  # doc_id, text_key, first, context: of whole groups, in order
+        size, key = 0, None
+        group: dict[bytes | None, tuple] = {}
+        fresh: list[tuple] = []
         out: list[tuple] = []
 
+        def end_group() -> None:
+            nonlocal size
+            # Windows of one context have their anchor at different offsets, so none are equal.
+            if len(fresh) > 1:
+                waiting.extend(fresh)
+                size += sum(len(f[3]) for f in fresh)
+            fresh.clear()
+            group.clear()
+            if size >= INDEX_BYTES:
+                index()
+
         def index() -> None:
-            for (doc, key, place, _), windows in zip(
-                waiting, repeated_windows([w[3] for w in waiting]), strict=True
-            ):
-                out.extend((doc, key, place + a, place + b) for a, b in _spans(windows))
+            nonlocal size
+            again = repeated_windows([w[3] for w in waiting])
+            for (doc, text, place, _), windows in zip(waiting, again, strict=True):
+                out.extend((doc, text, place + a, place + b) for a, b in _spans(windows))
             waiting.clear()
+            size = 0
 
         def columns() -> dict:
             names = ("doc_id", "text_key", "first", "last")
@@ -292,85 +438,39 @@ def indexed_spans(found: DataFrame, crowded: DataFrame) -> DataFrame:
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                of, doc, key, place, windows, context = row
-                if of != anchor:
-                    anchor = of
-                    group.clear()
-                    if size >= INDEX_BYTES:
-                        index()
-                        size = 0
+                of, more, doc, text, first, last, context = row
+                if (of, more) != key:
+                    end_group()
+                    key = (of, more)
                 earlier = group.get(context)
                 if earlier is None:
-                    group[context] = (doc, place)
-                    waiting.append((doc, key, place, context))
-                    size += len(context)
-                elif earlier != (doc, place):
-                    out.append((doc, key, place, place + windows - 1))
-            if out:
-                yield columns()
+                    group[context] = (doc, first)
+                    if context is not None:
+                        fresh.append((doc, text, first, context))
+                elif earlier != (doc, first):
+                    out.append((doc, text, first, last))
+            yield columns()
+        end_group()
         index()
         yield columns()
 
-    kept = found.filter("anchor IS NOT NULL").join(crowded, "anchor", "left_anti")
-    ordered = kept.repartition("anchor").sortWithinPartitions(
-        "anchor", "doc_id", "place", "text_key"
-    )
-    return map_batches(
-        ordered.select("anchor", "doc_id", "text_key", "place", "size", "context"), _SPAN, work
-    )
-
-
-def crowded_spans(found: DataFrame, crowded: DataFrame) -> DataFrame:
-    """The same for crowded anchors: each window by hash, its first place a combinable least."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            out: dict[str, list] = {n: [] for n in ("doc_id", "text_key", "place", "h1", "h2")}
-            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            for doc, key, place, windows, context in rows:
-                for k in range(windows):
-                    digest = xxhash.xxh3_128_digest(context[k : k + WINDOW])
-                    out["doc_id"].append(doc)
-                    out["text_key"].append(key)
-                    out["place"].append(place + k)
-                    out["h1"].append(int.from_bytes(digest[:8], "big", signed=True))
-                    out["h2"].append(int.from_bytes(digest[8:], "big", signed=True))
-            yield out
-
-    rows = found.filter("anchor IS NOT NULL").join(crowded, "anchor", "left_semi")
-    windows = map_batches(
-        rows.select("doc_id", "text_key", "place", "size", "context"),
-        "doc_id bigint, text_key bigint, place int, h1 bigint, h2 bigint",
-        work,
-    )
-    where = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("low"), "place")
-    least = windows.groupBy("h1", "h2").agg(F.min(where).alias("least"))
-    return (
-        windows.join(least, ["h1", "h2"])
-        .filter(where > F.col("least"))
-        .select("doc_id", "text_key", F.col("place").alias("first"), F.col("place").alias("last"))
+    ordered = found.repartition("key", "more").sortWithinPartitions(
+        "key", "more", "doc_id", "first", "text_key"
     )
+    return map_batches(ordered, "doc_id bigint, text_key bigint, first int, last int", work)
 
 
 def repeated_spans(docs: DataFrame, staging: Staging) -> DataFrame:
     """``doc_id, text_key, first, last``: stretches of windows that also start earlier."""
-    repeated = BitFilter(anchor_counts(docs).filter("times > 1"), "anchor")
-    found = staging.table(contexts(docs, repeated))
-    crowded, seen = staging.measured_table(
-        found.filter("anchor IS NOT NULL")
-        .groupBy("anchor")
-        .agg(F.count("*").alias("times"))
-        .filter(F.col("times") > GROUP_CONTEXTS)
-        .select("anchor"),
-        n="count(*)",
-    )
-    spans = found.filter("anchor IS NULL").select(
-        "doc_id", "text_key", F.col("place").alias("first"),
-        (F.col("place") + F.col("size") - 1).alias("last"),
-    ).unionByName(indexed_spans(found, crowded))
-    if seen["n"]:
-        spans = spans.unionByName(crowded_spans(found, crowded))
-    return spans
+    counts = staging.table(anchor_counts(docs).filter("times > 1"))
+    differing = counts.filter("least <> most")
+    filters = [
+        BitFilter(frame, "anchor")
+        for frame in (counts, differing, differing.filter(F.col("times") > GROUP_CONTEXTS))
+    ]
+    found = staging.table(occurrences(docs, *filters))
+    known = found.filter("key IS NULL").select("doc_id", "text_key", "first", "last")
+    return known.unionByName(repeats(found.filter("key IS NOT NULL")))
 
 
 def kept_bytes(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
