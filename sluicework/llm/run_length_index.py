@@ -401,58 +401,99 @@ def occurrences(
     return map_batches(_texts(docs), f"{_PLACES}, context binary", work)
 
 
+def _plain_repeats(columns: list[np.ndarray], head: np.ndarray | None) -> tuple:
+    """Of sorted places (key, more, id, place) which repeat the first of their key; and the first
+    of the last key, which the next call takes as ``head``."""
+    with_head = [
+        c if head is None else np.concatenate([h, c])
+        for c, h in zip(columns, head or [None] * 4, strict=True)
+    ]
+    key, more, doc, place = with_head
+    fresh = np.r_[True, (key[1:] != key[:-1]) | (more[1:] != more[:-1])]
+    first = np.maximum.accumulate(np.where(fresh, np.arange(len(key)), 0))
+    again = (doc != doc[first]) | (place != place[first])
+    last = first[-1]
+    return again[0 if head is None else 1 :], [c[last : last + 1] for c in with_head]
+
+
+class _Groups:
+    """Takes sorted contexts, drops equal ones, and indexes the groups that are left."""
+
+    def __init__(self) -> None:
+        self.out: list[tuple] = []  # id, text, first and last window
+        self._waiting: list[tuple] = []  # id, text, first window, context: of whole groups
+        self._size = 0
+        self._key: tuple | None = None
+        self._seen: dict[bytes, tuple] = {}
+        self._fresh: list[tuple] = []
+
+    def take(self, key: tuple, doc, text: int, first: int, last: int, context: bytes) -> None:
+        if key != self._key:
+            self._end_group()
+            self._key = key
+        earlier = self._seen.get(context)
+        if earlier is None:
+            self._seen[context] = (doc, first)
+            self._fresh.append((doc, text, first, context))
+        elif earlier != (doc, first):
+            self.out.append((doc, text, first, last))
+
+    def _end_group(self) -> None:
+        # Windows of one context have their anchor at different offsets, so none are equal.
+        if len(self._fresh) > 1:
+            self._waiting.extend(self._fresh)
+            self._size += sum(len(f[3]) for f in self._fresh)
+        self._fresh.clear()
+        self._seen.clear()
+        if self._size >= INDEX_BYTES:
+            self._index()
+
+    def _index(self) -> None:
+        again = repeated_windows([w[3] for w in self._waiting])
+        for (doc, text, place, _), windows in zip(self._waiting, again, strict=True):
+            self.out.extend((doc, text, place + a, place + b) for a, b in _spans(windows))
+        self._waiting.clear()
+        self._size = 0
+
+    def close(self) -> None:
+        self._end_group()
+        self._index()
+
+    def columns(self) -> dict:
+        done = list(zip(*self.out, strict=True)) or [[]] * 4
+        self.out = []
+        return dict(zip(("doc_id", "text_key", "first", "last"), done, strict=True))
+
+
 def repeats(found: DataFrame) -> DataFrame:
-    """``doc_id, text_key, first, last``: windows of the places that also start earlier."""
+    """``doc_id, text_key, first, last``: windows of the places that also start earlier.
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        waiting: list[tuple] = []  # doc_id, text_key, first, context: of whole groups, in order
-        size, key = 0, None
-        group: dict[bytes | None, tuple] = {}
-        fresh: list[tuple] = []
-        out: list[tuple] = []
-
-        def end_group() -> None:
-            nonlocal size
-            # Windows of one context have their anchor at different offsets, so none are equal.
-            if len(fresh) > 1:
-                waiting.extend(fresh)
-                size += sum(len(f[3]) for f in fresh)
-            fresh.clear()
-            group.clear()
-            if size >= INDEX_BYTES:
-                index()
-
-        def index() -> None:
-            nonlocal size
-            again = repeated_windows([w[3] for w in waiting])
-            for (doc, text, place, _), windows in zip(waiting, again, strict=True):
-                out.extend((doc, text, place + a, place + b) for a, b in _spans(windows))
-            waiting.clear()
-            size = 0
-
-        def columns() -> dict:
-            names = ("doc_id", "text_key", "first", "last")
-            done = list(zip(*out, strict=True)) or [[]] * 4
-            out.clear()
-            return dict(zip(names, done, strict=True))
+    A key's places all come with a context, or all without.
+    """
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        groups, head = _Groups(), None
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                of, more, doc, text, first, last, context = row
-                if (of, more) != key:
-                    end_group()
-                    key = (of, more)
-                earlier = group.get(context)
-                if earlier is None:
-                    group[context] = (doc, first)
-                    if context is not None:
-                        fresh.append((doc, text, first, context))
-                elif earlier != (doc, first):
-                    out.append((doc, text, first, last))
-            yield columns()
-        end_group()
-        index()
-        yield columns()
+            plain = np.array(batch.column("context").is_null())
+            if plain.any():
+                part = batch.filter(pa.array(plain))
+                ids = part.column("doc_id")
+                low = ids.fill_null(-(1 << 63)).to_numpy()
+                numbers = [part.column(c).to_numpy() for c in ("key", "more")]
+                first = part.column("first").to_numpy()
+                again, head = _plain_repeats([*numbers, low, first], head)
+                chosen = part.filter(pa.array(again))
+                yield {n: chosen.column(n) for n in ("doc_id", "text_key", "first", "last")}
+            if not plain.all():
+                part = batch.filter(pa.array(~plain))
+                names = ("key", "more", "doc_id", "text_key", "first", "last", "context")
+                for key, more, *place in zip(
+                    *(part.column(n).to_pylist() for n in names), strict=True
+                ):
+                    groups.take((key, more), *place)
+                yield groups.columns()
+        groups.close()
+        yield groups.columns()
 
     ordered = found.repartition("key", "more").sortWithinPartitions(
         "key", "more", "doc_id", "first", "text_key"
