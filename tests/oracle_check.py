@@ -55,7 +55,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark, connection = new_session(), connect(sf_dir)
     queries, sql = registry.queries(), registry.oracle_sql()
-    for name in sys.argv[2:] or queries:
+    for name in sys.argv[2:] or sql:
         start = time.time()
         result = queries[name](spark, sf_dir)
         rows, problem = difference(result, connection, sql[name])
