@@ -52,8 +52,8 @@ def run_bronze(
     """Land one drop: the day of the bronze table and of its quarantine become this drop.
 
     A drop without a readable row leaves a mark, so that the next layer can tell it from a day
-    that was never landed.  Corrupt lines are counted while the good ones are written; only a drop that has some is
-    parsed a second time.
+    that was never landed.  Corrupt lines are counted while the good ones are written; only a drop
+    that has some is parsed a second time.
     """
     table, errors = f"{bronze_path}/{contract.name}", f"{bronze_path}/{contract.name}_errors"
     lines = scan_drop(spark, contract, source_path, snapshot_date, ingested_at)
