@@ -14,6 +14,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most so many rows, for work that holds a part's results."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def map_batches(
     frame: DataFrame,
     schema: str,

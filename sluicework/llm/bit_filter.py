@@ -6,8 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# 4 MiB; what the filter lets through in vain is only slower, so a fuller one is still right.
-FILTER_BITS = 25
+# 8 MiB; what the filter lets through in vain is only slower, so a fuller one is still right.
+FILTER_BITS = 26
 
 
 class BitFilter:

@@ -26,9 +26,12 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return moved.filter(F.col("a") != F.col("b")).distinct()
 
 
-def components(links: DataFrame, staging: Staging) -> DataFrame:
+def components(
+    links: DataFrame, staging: Staging, most_rounds: int = MOST_ROUNDS
+) -> DataFrame:
     """``node, label`` for every node of ``links`` (``a``, ``b``): the least node it reaches.
 
+    Fewer ``most_rounds`` stop early; a label is then some node reached, not always the least.
     Each round is a written table; rounds end when a large star changes nothing, after about the
     logarithm of the largest component.  Nothing but the sums that tell so reaches the driver.
     """
@@ -37,7 +40,7 @@ def components(links: DataFrame, staging: Staging) -> DataFrame:
     )
     sums = {"n": "count(*)", "total": "sum(cast(xxhash64(a, b) as decimal(38,0)))"}
     table, before = staging.measured_table(now.distinct(), **sums)
-    for _ in range(MOST_ROUNDS):
+    for _ in range(most_rounds):
         if not before["n"]:
             break
         table, after = staging.measured_table(_star(_star(table, True), False), **sums)
@@ -45,6 +48,8 @@ def components(links: DataFrame, staging: Staging) -> DataFrame:
             break
         before = after
     else:
-        raise RuntimeError(f"components did not settle in {MOST_ROUNDS} rounds")
+        if most_rounds == MOST_ROUNDS:
+            raise RuntimeError(f"components did not settle in {MOST_ROUNDS} rounds")
     labels = table.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    return labels.union(table.select(F.col("b").alias("node"), F.col("b").alias("label"))).distinct()
+    own = table.select(F.col("b").alias("node"), F.col("b").alias("label"))
+    return labels.union(own).groupBy("node").agg(F.min("label").alias("label"))

@@ -2,9 +2,9 @@
 
 DataFrame functions only.  A document's words are taken in windows of 13 (and of the lengths of
 shorter items), each window probes the table of benchmark windows by a hash of ``PROBED`` of its
-words, and a hit is verified word by word in the join.  Documents do not move for the probe: the table is broadcast when its counted
-rows are at most ``BROADCAST_WINDOWS``, else Spark joins the windows' hashes by shuffle.  Only hits
-are grouped by document.
+words, and a hit is verified word by word in the join.  Documents do not move for the probe: the
+table is broadcast when its counted rows are at most ``BROADCAST_WINDOWS``, else Spark joins the
+windows' hashes by shuffle.  Only hits are grouped by document.
 """
 
 from __future__ import annotations

@@ -9,12 +9,15 @@ Nodes that share a starting shingle are compared in one group, sorted by size an
 tile of nodes meets only the tiles whose sizes can reach the threshold.  A node's bitmap has a bit
 per hash value of its shingles; bits that only one of two bitmaps has are shingles that only one
 set has, so they bound the overlap from above.  Pairs within the bound are verified by intersecting
-the sorted sets.
-
-Near copies would pair with each other in great number, so links come in rounds.  The first two
-compare a node only with its group's leaders (nodes without an earlier partner) and send one pair
-per node; what they link becomes one component.  The last round compares all nodes of different
-components.  A link it does not look at lies within a component, so no component is lost.
+the sorted sets.  If the shared shingle is the first that two sets share, no more than what follows
+it in either order is common, which spares the comparison in most other groups.
+
+Near copies would pair with each other in great number, so links come in rounds.  The first rounds
+look at the groups of each node's end shingles, the rarest and most common of its first ones: once
+for one pair per node with a leader of the group, once for one pair per node and other component,
+and once for all pairs of nodes of different components.  The last round looks at all groups, and
+leaves out pairs with a common end shingle, which were looked at before.  A link that no round looks
+at lies within a component, so no component is lost.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluicework.llm.arrow import map_batches
+from sluicework.llm.arrow import map_batches, small
 from sluicework.llm.bit_filter import BitFilter
 from sluicework.llm.components import components
 from sluicework.sources.storage import Staging
@@ -36,16 +39,17 @@ from sluicework.sources.storage import Staging
 WORDS = 5
 NUMERATOR, DENOMINATOR = 4, 5
 
-# A shingle in more than one of so many documents goes to the end of the order; the order decides
-# how much is compared, not what is linked.
-COMMON_SHARE = 1000
+# The most frequent shingles, so many and in so many documents at least, go to the end of the order;
+# the order decides how much is compared, not what is linked.
 COMMON_AT_LEAST = 8
 COMMON_KEPT = 65_536
-SHINGLES_AT_ONCE = 4_000_000
-WORDS_KEPT = 300_000
-# Components of more nodes go through the second round of leaders.
-LARGE_COMPONENT = 8
-LEADER_SHINGLES = 2
+SHINGLES_AT_ONCE = 2_000_000
+WORDS_KEPT = 200_000
+# The rounds: whether they look at the groups of end shingles, ``ENDS`` from either side, or at all
+# groups, and how many pairs a node sends: one with a leader, so many per other component, or all.
+ENDS = 2
+LEADERS = 0
+ROUNDS = (("ends", LEADERS), ("ends", 1), ("ends", None), ("all", None))
 TILE = 512
 
 _FACTORS = np.array(
@@ -123,7 +127,7 @@ def read_sets(docs: DataFrame) -> DataFrame:
 
         def common() -> dict:
             tokens, times = np.unique(np.concatenate(waiting), return_counts=True)
-            many = times >= max(COMMON_AT_LEAST, len(waiting) // COMMON_SHARE)
+            many = times >= COMMON_AT_LEAST
             n = int(many.sum())
             waiting.clear()
             none = [None] * n
@@ -132,7 +136,7 @@ def read_sets(docs: DataFrame) -> DataFrame:
                 "token": signed(tokens[many]), "times": times[many],
             }
 
-        for batch in batches:
+        for batch in small(batches):
             texts = batch.column(1).to_pylist()
             sets = [shingle_set(t, hashes) for t in texts]
             none = pa.nulls(len(texts), pa.int64())
@@ -159,14 +163,13 @@ def read_sets(docs: DataFrame) -> DataFrame:
     )
 
 
-def common_shingles(read: DataFrame, documents: int) -> np.ndarray:
+def common_shingles(read: DataFrame) -> np.ndarray:
     """At most ``COMMON_KEPT`` shingles that many documents have, the most frequent last."""
     times = F.sum("times").alias("times")
     found = (
         read.filter("token IS NOT NULL")
         .groupBy("token")
         .agg(times)
-        .filter(F.col("times") >= max(COMMON_AT_LEAST, documents // COMMON_SHARE))
         .orderBy(F.desc("times"), "token")
         .limit(COMMON_KEPT)
         .toArrow()
@@ -186,7 +189,7 @@ def starting_shingles(docs: DataFrame, common: np.ndarray) -> DataFrame:
         known, rank = shared.value
         hashes = _WordHashes()
         seen: set[int] = set()
-        for batch in batches:
+        for batch in small(batches):
             out: dict[str, list] = {"node": [], "n": [], "tokens": [], "bitmap": []}
             for text in batch.column(0).to_pylist():
                 found = shingle_set(text, hashes)
@@ -213,29 +216,79 @@ def starting_shingles(docs: DataFrame, common: np.ndarray) -> DataFrame:
     )
 
 
+def _shared_lists(batch: pa.RecordBatch, shared: BitFilter) -> tuple[np.ndarray, ...]:
+    """Owner (row), token, place in the owner's order and whether it is an end, of the starting
+    shingles that the filter holds, in order.
+
+    Ends are the first and last ``ENDS`` of those in the first ninth of the order, which is where
+    sets of one size share their first shingle; at least the first is one.
+    """
+    lists = batch.column("tokens")
+    tokens = lists.flatten().to_numpy()
+    sizes = lists.value_lengths().to_numpy()
+    owner = np.repeat(np.arange(len(lists)), sizes)
+    place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    kept = shared.holds(tokens)
+    owner, tokens, place = owner[kept], tokens[kept], place[kept]
+    n = batch.column("n").to_numpy()[owner]
+    nth = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    early = (9 * place <= n) | (nth == 0)
+    number = np.cumsum(early)
+    last = np.searchsorted(owner, owner, side="right") - 1
+    end = early & ((nth < ENDS) | (number[last] - number < ENDS))
+    return owner, tokens, place, end
+
+
 def _shared_rows(starts: DataFrame, shared: BitFilter) -> DataFrame:
-    """``token, place, node, n`` for the starting shingles that the filter holds."""
+    """``token, node, n`` for the starting shingles that the filter holds, how many shingles are
+    ``left`` in the node's order from it on, and whether it is an end."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            lists = batch.column(2)
-            tokens = lists.flatten().to_numpy()
-            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
-            kept = shared.holds(tokens)
-            owner = owner[kept]
-            first = np.searchsorted(owner, owner)
+            owner, tokens, place, end = _shared_lists(batch, shared)
+            n = batch.column("n").to_numpy()[owner]
             yield {
-                "token": tokens[kept],
-                "place": np.arange(len(owner)) - first,
-                "node": batch.column(0).to_numpy()[owner],
-                "n": batch.column(1).to_numpy()[owner],
+                "token": tokens,
+                "end": end,
+                "node": batch.column("node").to_numpy()[owner],
+                "n": n,
+                "left": n - place,
             }
 
     return map_batches(
-        starts.select("node", "n", "tokens"), "token bigint, place int, node bigint, n int", work
+        starts.select("node", "n", "tokens"),
+        "token bigint, end boolean, node bigint, n int, left int",
+        work,
     )
 
 
+def _signatures(starts: DataFrame, shared: BitFilter) -> DataFrame:
+    """``node, n, weight, bitmap, ends`` of nodes with a shingle that the filter holds: how many
+    it holds, and the packed end shingles, the last repeated to fill up."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            owner, tokens, _, end = _shared_lists(batch, shared)
+            rows, weight = np.unique(owner, return_counts=True)
+            owner, tokens = owner[end], tokens[end]
+            begin = np.searchsorted(owner, rows)
+            size = np.searchsorted(owner, rows, side="right") - begin
+            nth = np.minimum(np.arange(2 * ENDS)[None, :], size[:, None] - 1)
+            ends = tokens[begin[:, None] + nth] if len(rows) else np.zeros((0, 2 * ENDS))
+            chosen = batch.take(pa.array(rows))
+            yield {
+                "node": chosen.column("node"),
+                "n": chosen.column("n"),
+                "weight": weight,
+                "bitmap": chosen.column("bitmap"),
+                "ends": [row.tobytes() for row in ends],
+            }
+
+    names = "node bigint, n int, weight int, bitmap binary, ends binary"
+    found = map_batches(starts, names, work)
+    return found.dropDuplicates(["node", "n"])
+
+
 def _groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.Table]:
     """Whole groups of equal tokens from sorted batches."""
     rest: pa.Table | None = None
@@ -259,30 +312,54 @@ def _in_reach(smaller, larger):
     return DENOMINATOR * smaller >= NUMERATOR * larger
 
 
-def _with_neighbours(rows: DataFrame) -> DataFrame:
-    """The rows of (``token``, ``label``, ``node``, ``n``) that have a partner in their group:
-    another component's node of a size in reach."""
+_ROW = "token bigint, node bigint, n int, label bigint, left int"
+_ROW_NAMES = ["token", "node", "n", "label", "left"]
+
+
+def _most_partner(n: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The largest partner for which ``left`` shared shingles reach the threshold."""
+    share = NUMERATOR + DENOMINATOR
+    return share * left.astype(np.int64) // NUMERATOR - n
+
+
+def _with_neighbours(rows: DataFrame, anywhere: bool) -> DataFrame:
+    """The rows that may have a partner in their group: another component's node of a size in
+    reach, and, unless ``anywhere``, one small enough for what is left of the row's order, in a
+    group that is not of ends alone."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for table in _groups(batches, ["token", "node", "n", "label"]):
-            token, node, n, label = (c.to_numpy() for c in table.columns)
+        for table in _groups(batches, [*_ROW_NAMES, "end"]):
+            columns = [c.to_numpy() for c in table.columns]
             # Sorted by token and size: neighbours in reach of another label mark both; between
             # rows of one label the nearest other label is what counts.
-            fresh = np.r_[True, (token[1:] != token[:-1]) | (node[1:] != node[:-1])]
-            token, node, n, label = token[fresh], node[fresh], n[fresh], label[fresh]
+            fresh = np.ones(len(columns[0]), bool)
+            fresh[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
+            token, node, n, label, left, end = (c[fresh] for c in columns)
             keep = np.zeros(len(token), bool)
             for step in (1, -1):
-                t, m, l = token[::step], n[::step], label[::step]
-                change = np.r_[False, (t[1:] != t[:-1]) | (l[1:] != l[:-1])]
+                t, m, of = token[::step], n[::step], label[::step]
+                change = np.r_[False, (t[1:] != t[:-1]) | (of[1:] != of[:-1])]
                 start = np.maximum.accumulate(np.where(change, np.arange(len(t)), 0))
                 before = np.maximum(start - 1, 0)
                 ok = (start > 0) & (t[before] == t)
                 reach = _in_reach(np.minimum(m[before], m), np.maximum(m[before], m))
                 keep |= (ok & reach)[::step]
-            yield {"token": token[keep], "node": node[keep], "n": n[keep], "label": label[keep]}
-
-    ordered = rows.repartition("token").sortWithinPartitions("token", "n", "node")
-    return map_batches(ordered, "token bigint, node bigint, n int, label bigint", work)
+            if not anywhere:
+                group = np.cumsum(np.r_[False, token[1:] != token[:-1]]).astype(np.int64)
+                sizes = n.astype(np.int64)
+                most = np.minimum(DENOMINATOR * sizes // NUMERATOR, _most_partner(n, left))
+                least = -(-NUMERATOR * sizes // DENOMINATOR)
+                spread = group << 32
+                low = np.searchsorted(spread | sizes, spread | least)
+                high = np.searchsorted(spread | sizes, spread | np.maximum(most, 0), side="right")
+                keep &= high - low > (most >= sizes)
+                # Nodes that all have the shingle as an end have met before.
+                keep &= np.bincount(group, keep & ~end, int(group[-1]) + 1)[group] > 0
+            values = (x[keep] for x in (token, node, n, label, left))
+            yield dict(zip(_ROW_NAMES, values, strict=True))
+
+    ordered = rows.select(*_ROW_NAMES, "end").repartition("token")
+    return map_batches(ordered.sortWithinPartitions("token", "n", "node"), _ROW, work)
 
 
 def _folded(bits: np.ndarray, size: int) -> np.ndarray:
@@ -306,71 +383,143 @@ class _Band:
         self.rows, self.n = rows, n[rows].astype(np.int64)
         self.bits = np.frombuffer(b"".join(bitmaps[i] for i in rows), np.uint64)
         self.bits = self.bits.reshape(len(rows), -1)
-        self.open = np.ones(len(rows), bool)
+
+
+def _leader_pairs(
+    node: np.ndarray, n: np.ndarray, label: np.ndarray, weight: np.ndarray, bitmaps: list[bytes]
+) -> list[tuple[int, int, int, int]]:
+    """Per node a pair with the weightiest leader within the bound; a node without one leads.
+
+    The node that shares most starting shingles is likeliest to be near all others.
+    """
+    out = []
+    order = np.lexsort((node, -weight))
+    maps = [np.frombuffer(b, np.uint64) for b in bitmaps]
+    leaders: dict[int, list[int]] = {}  # by the width of their bitmaps
+    for i in order:
+        size, width = int(n[i]), len(maps[i])
+        best: tuple | None = None
+        for other in (width // 2, width, width * 2):
+            rows = np.array(leaders.get(other, []), np.int64)
+            if not len(rows):
+                continue
+            reach = _in_reach(np.minimum(n[rows], size), np.maximum(n[rows], size))
+            rows = rows[reach & (label[rows] != label[i])]
+            common = min(width, other)
+            for begin in range(0, len(rows), TILE):
+                tile = rows[begin : begin + TILE]
+                bits = np.stack([_folded(maps[j], common) for j in tile])
+                sizes = n[tile].astype(np.int64)
+                near = tile[_exceeds(_folded(maps[i], common), size, bits, sizes)]
+                if len(near):
+                    rank = (-int(weight[near[0]]), int(node[near[0]]), int(near[0]))
+                    best = rank if best is None else min(best, rank)
+                    break
+        if best is None:
+            leaders.setdefault(width, []).append(int(i))
+        else:
+            out.append((int(node[i]), size, int(node[best[2]]), int(n[best[2]])))
+    return out
+
+
+def _first_per_label(labels: np.ndarray, most: int) -> np.ndarray:
+    """Which of some rows are among the first ``most`` of their label."""
+    order = np.argsort(labels, kind="stable")
+    in_order = labels[order]
+    start = np.maximum.accumulate(
+        np.where(np.r_[True, in_order[1:] != in_order[:-1]], np.arange(len(order)), 0)
+    )
+    out = np.zeros(len(labels), bool)
+    out[order] = np.arange(len(order)) - start < most
+    return out
 
 
 def _pairs_in_group(
-    node: np.ndarray, n: np.ndarray, label: np.ndarray, bitmaps: list[bytes], leaders_only: bool
+    node: np.ndarray,
+    n: np.ndarray,
+    label: np.ndarray,
+    bitmaps: list[bytes],
+    most: int | None,
+    left: np.ndarray | None = None,
+    ends: np.ndarray | None = None,
 ) -> list[tuple[int, int, int, int]]:
     """Pairs (node, n, earlier node, its n) within the bound, of nodes sorted by size.
 
-    Sizes in reach have bitmaps of one width or of two that follow each other.
+    Per node ``most`` with each other label, or all.  Sizes in reach have bitmaps of one width or
+    of two that follow each other.  With ``left`` only pairs that can reach the threshold if the
+    group's shingle is their first; with ``ends`` only pairs without a common end.
     """
     widths = np.array([len(b) // 8 for b in bitmaps])
     bands = {w: _Band(np.flatnonzero(widths == w), n, bitmaps) for w in np.unique(widths)}
     out = []
     for i in range(1, len(node)):
-        size, taken = int(n[i]), False
+        size = int(n[i])
         own = bands[widths[i]]
         place = int(np.searchsorted(own.rows, i))
         least = -(-NUMERATOR * size // DENOMINATOR)
+        near = []
         for width in (widths[i] // 2, widths[i]):
             band = bands.get(width)
-            if band is None or taken and leaders_only:
+            if band is None:
                 continue
             bits = _folded(own.bits[place], int(width))
             end = place if band is own else len(band.rows)
             for begin in range(int(np.searchsorted(band.n, least)), end, TILE):
                 tile = slice(begin, min(begin + TILE, end))
                 rows = band.rows[tile]
-                near = band.open[tile] & (label[rows] != label[i])
-                if not near.any():
-                    continue
-                near &= _exceeds(bits, size, band.bits[tile], band.n[tile])
-                found = rows[near]
-                if len(found):
-                    taken = True
-                    for j in found[:1] if leaders_only else found:
-                        out.append((int(node[i]), size, int(node[j]), int(n[j])))
-                    if leaders_only:
-                        break
-        if leaders_only and taken:
-            own.open[place] = False
+                open_pair = label[rows] != label[i]
+                if left is not None:
+                    common = np.minimum(left[rows], left[i]).astype(np.int64)
+                    open_pair &= _most_partner(n[rows], common) >= size
+                if ends is not None and open_pair.any():
+                    met = (ends[rows][:, :, None] == ends[i][None, None, :]).any((1, 2))
+                    open_pair &= ~met
+                may = np.flatnonzero(open_pair)
+                if len(may):
+                    some = slice(None) if len(may) == len(rows) else may
+                    bound = _exceeds(bits, size, band.bits[tile][some], band.n[tile][some])
+                    near.extend(rows[may[bound]])
+        if not near:
+            continue
+        found = np.array(near)
+        if most is not None:
+            found = found[_first_per_label(label[found], most)]
+        out.extend((int(node[i]), size, int(node[j]), int(n[j])) for j in found)
     return out
 
 
-def _candidate_pairs(rows: DataFrame, bitmaps: DataFrame, leaders_only: bool) -> DataFrame:
+def _candidate_pairs(
+    rows: DataFrame, signatures: DataFrame, which: str, most: int | None
+) -> DataFrame:
     """Distinct pairs ``a, a_n, b, b_n`` of nodes that share a token and stay within the bound."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for table in _groups(batches, ["token", "node", "n", "label", "bitmap"]):
-            token, node, n, label = (table[c].to_numpy() for c in ("token", "node", "n", "label"))
+        for table in _groups(batches, [*_ROW_NAMES, "weight", "bitmap", "ends"]):
+            token, node, n, label, left = (table[c].to_numpy() for c in _ROW_NAMES)
+            weight = table["weight"].to_numpy()
             maps = table["bitmap"].to_pylist()
+            ends = np.frombuffer(b"".join(table["ends"].to_pylist()), np.int64)
+            ends = ends.reshape(-1, 2 * ENDS)
             starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
             found: set = set()
             for begin, end in zip(starts, [*starts[1:], len(token)], strict=True):
-                if end - begin > 1:
-                    part = slice(begin, end)
-                    found.update(
-                        _pairs_in_group(node[part], n[part], label[part], maps[part], leaders_only)
-                    )
+                if end - begin == 1:
+                    continue
+                part = slice(begin, end)
+                group = (node[part], n[part], label[part])
+                if most == LEADERS:
+                    found.update(_leader_pairs(*group, weight[part], maps[part]))
+                elif which == "ends":
+                    found.update(_pairs_in_group(*group, maps[part], most))
+                else:
+                    found.update(_pairs_in_group(*group, maps[part], most, left[part], ends[part]))
             columns = list(zip(*found, strict=True)) or [[], [], [], []]
             yield dict(zip(("a", "a_n", "b", "b_n"), columns, strict=True))
 
-    joined = rows.join(bitmaps, ["node", "n"])
+    joined = rows.join(signatures, ["node", "n"])
     ordered = joined.repartition("token").sortWithinPartitions("token", "n", "node")
     pairs = map_batches(
-        ordered.select("token", "node", "n", "label", "bitmap"),
+        ordered.select(*_ROW_NAMES, "weight", "bitmap", "ends"),
         "a bigint, a_n int, b bigint, b_n int",
         work,
     )
@@ -389,7 +538,7 @@ def _sets_of(docs: DataFrame, texts: BitFilter) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         hashes = _WordHashes()
         seen: set[int] = set()
-        for batch in batches:
+        for batch in small(batches):
             rows = batch.column(0).to_pylist()
             keys = np.array([text_of(t) for t in rows], np.int64)
             out: dict[str, list] = {"node": [], "n": [], "members": []}
@@ -439,38 +588,45 @@ def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, staging: Stagin
 def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return rows.withColumn("label", F.col("node"))
-    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    joined = rows.join(labels.hint("merge"), "node", "left")
+    return joined.withColumn("label", F.coalesce("label", "node"))
 
 
 def link_nodes(docs: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The documents (``doc_id, node, n``), the links between nodes and the nodes' labels."""
     read = staging.table(read_sets(docs))
     documents = read.filter("token IS NULL").select("doc_id", "node", "n", "text_key")
-    common = common_shingles(read, documents.count())
+    common = common_shingles(read)
     nodes = documents.filter("n > 0").groupBy("node", "n").agg(F.min("text_key").alias("text_key"))
     starts = staging.table(starting_shingles(docs, common))
-    bitmaps = starts.select("node", "n", "bitmap").dropDuplicates(["node", "n"])
     counts = starts.select(F.explode("tokens").alias("token")).groupBy("token").agg(
         F.count("*").alias("times")
     )
     shared = BitFilter(counts.filter("times > 1"), "token")
     rows = staging.table(_shared_rows(starts, shared))
+    signatures = staging.table(_signatures(starts, shared))
 
     links: DataFrame | None = None
     labels: DataFrame | None = None
-    for rnd in ("first shingles", "large components", "all"):
-        now = rows.filter(F.col("place") < LEADER_SHINGLES) if labels is None else rows
-        now = _labelled(now.drop("place"), labels)
-        if rnd == "large components":
-            sizes = labels.groupBy("label").agg(F.count("*").alias("members"))
-            now = now.join(sizes.filter(F.col("members") >= LARGE_COMPONENT), "label").drop(
-                "members"
-            )
-        near = _with_neighbours(now.select("token", "node", "n", "label"))
-        pairs = staging.table(_candidate_pairs(near, bitmaps, leaders_only=rnd != "all"))
-        found = staging.table(_linked(pairs, nodes, docs, staging))
-        links = found if links is None else links.union(found)
-        labels = components(links, staging)
+    tried: DataFrame | None = None
+    for which, most in ROUNDS:
+        now = rows.filter("end") if which == "ends" else rows
+        near = _with_neighbours(_labelled(now, labels), anywhere=which == "ends")
+        pairs = _candidate_pairs(near, signatures, which, most)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "a_n", "b", "b_n"], "left_anti")
+        pairs, seen = staging.measured_table(pairs, n="count(*)")
+        if not seen["n"]:
+            continue
+        tried = pairs if tried is None else tried.union(pairs)
+        found, linked = staging.measured_table(_linked(pairs, nodes, docs, staging), n="count(*)")
+        if linked["n"]:
+            links = found if links is None else links.union(found)
+            if which == "ends":
+                labels = components(links, staging, most_rounds=2)
+    if links is None:
+        links = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
+    labels = components(links, staging)
     return documents, links, labels
 
 
