@@ -142,10 +142,13 @@ def candidates(docs: DataFrame, owner: str, repository: str) -> DataFrame:
     )
 
 
-def ownership(found: DataFrame) -> DataFrame:
-    """``secret, n_owners, n_repositories`` of every candidate hash of the corpus."""
+def ownership(found: DataFrame, unit: str = "repository") -> DataFrame:
+    """``secret, n_owners, n_repositories`` of every candidate hash of the corpus.
+
+    Repositories are told apart by ``unit``: by ``text_key``, copies of a text count as one.
+    """
     return (
-        found.groupBy("secret", "owner", "repository")
+        found.groupBy("secret", "owner", unit)
         .agg(F.count("*").alias("n"))
         .groupBy("secret", "owner")
         .agg(F.count("*").alias("repositories"))
@@ -163,18 +166,21 @@ def judged_spans(
     repository: str = "doc_id",
     most_owners: int = MOST_OWNERS,
     most_repositories: int = MOST_REPOSITORIES,
+    by_owner: bool = False,
 ) -> DataFrame:
     """Per document with spans: ``doc_id, text_key, spans`` of (start, rank, end, live), in order.
 
-    Base spans all stay; an opaque run stays only if it is live.
+    Base spans all stay; an opaque run stays only if it is live.  ``by_owner``: what one owner alone
+    has is live however many of its documents have it, and else repositories are distinct texts.
     """
     found = candidates(docs, owner, repository)
+    few = F.col("n_repositories") <= most_repositories
+    if by_owner:
+        few = few | (F.col("n_owners") == 1)
     salted = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SALTS)))
-    counts = ownership(found).select(
+    counts = ownership(found, "text_key" if by_owner else "repository").select(
         "secret",
-        (
-            (F.col("n_owners") <= most_owners) & (F.col("n_repositories") <= most_repositories)
-        ).alias("live"),
+        ((F.col("n_owners") <= most_owners) & few).alias("live"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"),
     )
     owned = KINDS.index("owned") + 1
@@ -230,10 +236,11 @@ def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "doc_i
 def redact(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
     """``docs`` with every span replaced: ``[SECRET]`` where it looks live, else ``[EXAMPLE]``.
 
-    Overlapping spans are replaced once, by the mark of the first.  All columns stay; ``n_chars``,
-    where there is one, becomes the length of the new text.
+    Owners are judged first, so a credential of one owner goes from all of its documents.  An opaque
+    run that is not live is no span and stays.  Overlapping spans are replaced once, by the mark of
+    the first.  All columns stay; ``n_chars``, where there is one, becomes the length of the new text.
     """
-    found = judged_spans(docs, owner, repository).select(
+    found = judged_spans(docs, owner, repository, by_owner=True).select(
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("spans").alias("__s")
     )
     same = docs["doc_id"].eqNullSafe(found["__id"]) & (F.xxhash64(docs["text"]) == found["__key"])

@@ -208,6 +208,20 @@ def test_ownership_tells_live_from_example(documents):
     assert secret_scan.secret_scan(docs.limit(0)).count() == 0
 
 
+def test_redaction_of_what_one_owner_has_in_many_documents(documents):
+    copied, spread, common = (f"Zx81-Qq22-Ww33-Ee44-{x}" for x in ("Rr55", "Tt66", "Yy77"))
+    many = secret_scan.MOST_REPOSITORIES + 5
+    docs = documents(
+        [(n, f"k {copied} k", "en", "a") for n in range(many)]
+        + [(100 + n, f"{n} {spread}", "en", "b") for n in range(many)]
+        + [(200 + n, f"{n} {common}", "en", f"c{n % 2}") for n in range(many)]
+    )
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
+    for n in range(many):
+        assert clean[n] == "k [SECRET] k" and clean[100 + n] == f"{n} [SECRET]"
+        assert clean[200 + n] == f"{n} {common}"
+
+
 def test_repeated_rows_and_new_length(documents):
     text = f"a token={SECRET} b"
     docs = documents([(5, text), (5, text)])
