@@ -1,12 +1,14 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model.
 
-The model predicts characters, folded to ``SYMBOLS`` classes, from the ``ORDER - 1`` before them.
-It learns from all documents that a label trusts and that are not in the calibration fold.  Counts
-are taken per task and summed by n-gram; discounts come from the counts of counts; an order's
-probabilities join the n-grams (sharded by code) with their contexts' totals and with the next
-lower order's probabilities.  A code is a number below ``SYMBOLS ** ORDER``, so the finished table
-has that many entries whatever the corpus: 4 MiB, which every task gets.  A document's perplexity
-is then a sum of table entries over its whole text, found in the scan.
+The model predicts bytes as they are from the ``BYTE_ORDER - 1`` before them.  It learns from all
+documents that a label trusts and that are not in the calibration fold.  Counts are taken per task
+and summed by n-gram; discounts come from the counts of counts.  The table of n-grams and contexts
+grows with the corpus and stays sharded.  Documents are dealt into slices; a slice's distinct
+n-grams of all orders are joined with the table, and what is found goes back to the slice, where a
+document's perplexity is summed over its whole text.
+
+Below the single bytes stands a model of ``ORDER`` characters folded to ``SYMBOLS`` classes, made
+from the same counts.  Its codes are below ``SYMBOLS ** ORDER``, so every task gets it.
 
 Each language's threshold is a quantile of the perplexities of its trusted calibration documents,
 which the model has not learnt from.
@@ -15,6 +17,7 @@ which the model has not learnt from.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,9 @@ from sluicework.sources.storage import Staging
 BITS = 5
 SYMBOLS = 1 << BITS
 ORDER = 4
+# The n-grams of bytes; a key is a code below 256 ** BYTE_ORDER with its length above it.
+BYTE_ORDER = 6
+KEY_SHIFT = 8 * BYTE_ORDER
 # Share of the trusted documents of a language that the threshold keeps.
 QUANTILE = 0.99
 # One fold of so many of the trusted documents sets the thresholds; the others are learnt from.
@@ -38,6 +44,12 @@ MOST_LANGUAGES = 10_000
 # Discounts of counts 1, 2, and 3 or more, where the counts of counts give none.
 FALLBACK = (0.5, 1.0, 1.5)
 SLICE_BYTES = 4 << 20
+# Text of a slice whose n-grams are joined as one, and the least number of slices.
+JOINED_BYTES = 128 << 20
+LEAST_SLICES = 6
+# A task sends what it has counted when it holds so many n-grams, and what it has packed by size.
+COUNTED_GRAMS = 4 << 20
+PACKED_BYTES = 32 << 20
 
 
 def _classes() -> np.ndarray:
@@ -55,26 +67,41 @@ def _classes() -> np.ndarray:
 
 
 CLASSES = _classes()
+CLASS_BYTES = np.bincount(CLASSES, minlength=SYMBOLS)
 
 
-def gram_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def byte_codes(texts: list[bytes], order: int = BYTE_ORDER) -> tuple[np.ndarray, np.ndarray]:
     """The n-gram that ends at each byte as a number, and each text's length in bytes.
 
     Before a text stands white space, so no n-gram reaches into another text.
     """
-    pad = b" " * (ORDER - 1)
-    raw = CLASSES[np.frombuffer(pad.join([b"", *texts]), np.uint8)].astype(np.int32)
-    codes = raw[ORDER - 1 :].copy()
-    for back in range(1, ORDER):
-        codes |= raw[ORDER - 1 - back : len(raw) - back] << (BITS * back)
+    pad = b" " * (order - 1)
+    raw = np.frombuffer(pad.join([b"", *texts]), np.uint8).astype(np.int64)
+    codes = raw[order - 1 :].copy()
+    for back in range(1, order):
+        codes |= raw[order - 1 - back : len(raw) - back] << (8 * back)
     lengths = np.array([len(t) for t in texts], np.int64)
     keep = np.ones(len(codes), bool)
-    ends = np.cumsum(lengths + ORDER - 1)[:-1]
-    for k in range(ORDER - 1):
-        keep[ends - (ORDER - 1) + k] = False
+    ends = np.cumsum(lengths + order - 1)[:-1]
+    for k in range(order - 1):
+        keep[ends - (order - 1) + k] = False
     return codes[keep], lengths
 
 
+def folded(codes: np.ndarray) -> np.ndarray:
+    """The n-grams of classes that the last ``ORDER`` bytes of n-grams of bytes make."""
+    out = np.zeros(len(codes), np.int32)
+    for back in range(ORDER):
+        out |= CLASSES[(codes >> (8 * back)) & 255].astype(np.int32) << (BITS * back)
+    return out
+
+
+def gram_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram of classes that ends at each byte, and each text's length in bytes."""
+    codes, lengths = byte_codes(texts, ORDER)
+    return folded(codes), lengths
+
+
 def _slices(texts: list[bytes]) -> Iterator[list[int]]:
     rows: list[int] = []
     size = 0
@@ -88,23 +115,48 @@ def _slices(texts: list[bytes]) -> Iterator[list[int]]:
         yield rows
 
 
-def gram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``code, n`` over all texts; a task sends each code once."""
+def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    distinct, place = np.unique(codes, return_inverse=True)
+    return distinct, np.bincount(place, counts, len(distinct)).astype(np.int64)
+
+
+def byte_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``code, n`` of the n-grams of bytes over all texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        total = np.zeros(SYMBOLS**ORDER, np.int64)
+        codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             texts = [(t or "").encode() for t in batch.column(0).to_pylist()]
             for rows in _slices(texts):
-                codes, _ = gram_codes([texts[i] for i in rows])
-                total += np.bincount(codes, minlength=len(total))
-        seen = np.flatnonzero(total)
-        yield {"code": seen.astype(np.int64), "n": total[seen]}
+                new, n = np.unique(byte_codes([texts[i] for i in rows])[0], return_counts=True)
+                codes, counts = _summed(np.append(codes, new), np.append(counts, n))
+                if len(codes) > COUNTED_GRAMS:
+                    yield {"code": codes, "n": counts}
+                    codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        yield {"code": codes, "n": counts}
 
     found = map_batches(docs.select(text), "code bigint, n bigint", work)
     return found.groupBy("code").agg(F.sum("n").alias("n"))
 
 
+def class_counts(counts: DataFrame) -> DataFrame:
+    """``code, n`` of the n-grams of classes from those of bytes."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            codes = folded(batch.column(0).to_numpy())
+            found, n = _summed(codes, batch.column(1).to_numpy())
+            yield {"code": found.astype(np.int64), "n": n}
+
+    found = map_batches(counts.select("code", "n"), "code bigint, n bigint", work)
+    return found.groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def gram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``code, n`` of the n-grams of classes over all texts."""
+    return class_counts(byte_counts(docs, text))
+
+
 def _discounts(counts: DataFrame) -> list[float]:
     """What to take off counts of 1, 2, and 3 or more, from how many n-grams have 1, 2, 3, 4.
 
@@ -121,6 +173,11 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [d if 0 <= d <= i else f for i, d, f in zip((1, 2, 3), exact, FALLBACK, strict=True)]
 
 
+def _taken(counts: DataFrame) -> Column:
+    one, two, more = _discounts(counts)
+    return F.when(F.col("n") == 1, F.lit(one)).when(F.col("n") == 2, F.lit(two)).otherwise(more)
+
+
 def probabilities(spark, counts: DataFrame, staging: Staging) -> DataFrame:
     """``code, p`` for every code, by recursion over the orders; sums to 1 behind each context.
 
@@ -133,11 +190,7 @@ def probabilities(spark, counts: DataFrame, staging: Staging) -> DataFrame:
         orders.append(staging.table(lower.agg(F.count("*").alias("n"))))
     table = spark.range(1).select(F.lit(0).cast("long").alias("code"), F.lit(1 / SYMBOLS).alias("p"))
     for size, found in zip(range(1, ORDER + 1), reversed(orders), strict=True):
-        one, two, more = _discounts(found)
-        taken = (
-            F.when(F.col("n") == 1, F.lit(one)).when(F.col("n") == 2, F.lit(two)).otherwise(more)
-        )
-        counted = found.withColumn("taken", taken)
+        counted = found.withColumn("taken", _taken(found))
         contexts = counted.groupBy(F.floor(F.col("code") / SYMBOLS).alias("context")).agg(
             F.sum("n").alias("total"), F.sum("taken").alias("left")
         )
@@ -157,40 +210,185 @@ def probabilities(spark, counts: DataFrame, staging: Staging) -> DataFrame:
     return table
 
 
-def _bits(table: DataFrame) -> np.ndarray:
-    """The cost of every code: one fixed size of ``SYMBOLS ** ORDER`` values."""
+def _key(code: Column, size: int) -> Column:
+    return code + F.lit(size << KEY_SHIFT)
+
+
+def byte_model(counts: DataFrame, staging: Staging) -> DataFrame:
+    """``key, own, weight`` of every n-gram and every context of each order, sharded by key.
+
+    ``own`` is an n-gram's own share of its context, ``weight`` the share that a context leaves to
+    the next lower order.  Counts are of occurrences, below the highest order of distinct bytes
+    before an n-gram.
+    """
+    orders = [counts]
+    for size in range(BYTE_ORDER - 1, 0, -1):
+        lower = orders[-1].groupBy((F.col("code") % 256**size).alias("code"))
+        orders.append(staging.table(lower.agg(F.count("*").alias("n"))))
+    none = F.lit(None).cast("float")
+    rows = []
+    for size, found in zip(range(1, BYTE_ORDER + 1), reversed(orders), strict=True):
+        counted = found.withColumn("taken", _taken(found)).withColumn(
+            "context", F.shiftright("code", 8)
+        )
+        contexts = counted.groupBy("context").agg(
+            F.sum("n").alias("total"), F.sum("taken").alias("left")
+        )
+        own = ((F.col("n") - F.col("taken")) / F.col("total")).cast("float")
+        weight = (F.col("left") / F.col("total")).cast("float")
+        rows.append(
+            counted.join(contexts.hint("merge"), "context").select(
+                _key(F.col("code"), size).alias("key"), own.alias("own"), none.alias("weight")
+            )
+        )
+        rows.append(
+            contexts.select(
+                _key(F.col("context"), size - 1).alias("key"),
+                none.alias("own"),
+                weight.alias("weight"),
+            )
+        )
+    return (
+        reduce(DataFrame.unionAll, rows)
+        .groupBy("key")
+        .agg(
+            F.coalesce(F.max("own"), F.lit(0).cast("float")).alias("own"),
+            F.coalesce(F.max("weight"), F.lit(1).cast("float")).alias("weight"),
+        )
+    )
+
+
+def _base(table: DataFrame) -> np.ndarray:
+    """The class model's probability of every code: ``SYMBOLS ** ORDER`` values."""
     rows = table.toArrow()
     out = np.zeros(SYMBOLS**ORDER, np.float32)
-    out[rows["code"].to_numpy()] = -np.log2(np.maximum(rows["p"].to_numpy(), 1e-12))
+    out[rows["code"].to_numpy()] = rows["p"].to_numpy()
     return out
 
 
-def score(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """``doc_id, lang, text_key, perplexity`` (per character; null without text)."""
-    model = docs.sparkSession.sparkContext.broadcast(bits)
+def _order_keys(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of the n-grams of an order that end where the codes end, and of their contexts."""
+    own = codes & ((1 << (8 * size)) - 1)
+    return own + (size << KEY_SHIFT), (own >> 8) + ((size - 1) << KEY_SHIFT)
+
+
+def _packed(docs: DataFrame, slices: int) -> DataFrame:
+    """``slice, block``: the rows of ``docs`` by slice, as compressed Arrow."""
+    key = F.xxhash64("text")
+    asked = docs.select(
+        F.pmod(F.xxhash64("doc_id", key), F.lit(slices)).cast("int").alias("slice"),
+        "doc_id",
+        "lang",
+        key.alias("text_key"),
+        "text",
+    )
+
+    def blocks(held: list[pa.RecordBatch]) -> Iterator[dict]:
+        table = pa.Table.from_batches(held).sort_by("slice")
+        of = table["slice"].to_numpy()
+        starts = np.flatnonzero(np.diff(of, prepend=-1))
+        zstd = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))
+        for start, end in zip(starts, [*starts[1:], len(of)], strict=True):
+            sink = pa.BufferOutputStream()
+            part = table.slice(start, end - start).drop_columns("slice").combine_chunks()
+            with pa.ipc.new_stream(sink, part.schema, options=zstd) as out:
+                out.write_table(part)
+            yield {"slice": [of[start]], "block": [sink.getvalue().to_pybytes()]}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        cost = model.value
+        held, size = [], 0
         for batch in batches:
-            texts = [(t or "").encode() for t in batch.column(3).to_pylist()]
-            found = np.full(len(texts), np.nan)
-            for rows in _slices(texts):
-                codes, lengths = gram_codes([texts[i] for i in rows])
+            held.append(batch)
+            size += batch.nbytes
+            if size > PACKED_BYTES:
+                yield from blocks(held)
+                held, size = [], 0
+        if size:
+            yield from blocks(held)
+
+    return map_batches(asked, "slice int, block binary", work).repartition(slices, "slice")
+
+
+def _chunks(block: bytes) -> Iterator[tuple[pa.Table, pa.Array, np.ndarray]]:
+    """Parts of a block's rows with the n-grams that end at their bytes, and the texts' lengths."""
+    table = pa.ipc.open_stream(block).read_all()
+    texts = [(t or "").encode() for t in table["text"].to_pylist()]
+    for rows in _slices(texts):
+        codes, lengths = byte_codes([texts[i] for i in rows])
+        yield table.slice(rows[0], len(rows)), pa.array(codes), lengths
+
+
+def _asked(packed: DataFrame) -> DataFrame:
+    """``slice, key``: the distinct n-grams and contexts of all orders of each slice."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        seen: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for of, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for _, codes, _ in _chunks(block):
+                    distinct = codes.unique().to_numpy()
+                    seen[of] = np.union1d(seen.get(of, distinct[:0]), distinct)
+        for of, codes in seen.items():
+            for size in range(BYTE_ORDER + 1):
+                grams = _order_keys(codes, size)[0] if size else np.zeros(1, np.int64)
+                after = _order_keys(codes, size + 1)[1] if size < BYTE_ORDER else grams[:0]
+                keys = np.union1d(grams, after)
+                yield {"slice": np.full(len(keys), of, np.int32), "key": keys}
+
+    return map_batches(packed, "slice int, key bigint", work)
+
+
+def score(docs: DataFrame, model: DataFrame, base: np.ndarray) -> DataFrame:
+    """``doc_id, lang, text_key, perplexity`` (per byte; null without text)."""
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    packed = _packed(docs, max(LEAST_SLICES, -(-size // JOINED_BYTES)))
+    found = _asked(packed).join(model.hint("merge"), "key")
+    classes = spark.sparkContext.broadcast(base)
+
+    def chances(codes: np.ndarray, keys: np.ndarray, own: np.ndarray, weight: np.ndarray):
+        def known(asked: np.ndarray, values: np.ndarray, other: float) -> np.ndarray:
+            if not len(keys):
+                return np.full(len(asked), other)
+            at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+            return np.where(keys[at] == asked, values[at], other)
+
+        p = classes.value[folded(codes)] / CLASS_BYTES[CLASSES[codes & 255]]
+        for order in range(1, BYTE_ORDER + 1):
+            grams, contexts = _order_keys(codes, order)
+            p = known(grams, own, 0.0) + known(contexts, weight, 1.0) * p
+        return p
+
+    def work(blocks: pa.Table, hits: pa.Table) -> pa.Table:
+        by_key = np.argsort(hits["key"].to_numpy())
+        table = [hits[name].to_numpy()[by_key] for name in ("key", "own", "weight")]
+        out = []
+        for block in blocks["block"].to_pylist():
+            for rows, codes, lengths in _chunks(block):
+                coded = codes.dictionary_encode()
+                distinct = coded.dictionary.to_numpy()
+                order = np.argsort(distinct)
+                cost = np.empty(len(distinct))
+                cost[order] = -np.log2(np.maximum(chances(distinct[order], *table), 1e-12))
+                place = coded.indices.to_numpy()
+                perplexity = np.full(len(lengths), np.nan)
                 filled = np.flatnonzero(lengths)
                 if len(filled):
                     starts = (np.cumsum(lengths) - lengths)[filled]
-                    sums = np.add.reduceat(cost[codes].astype(float), starts)
-                    found[np.array(rows)[filled]] = np.exp2(sums / lengths[filled])
-            yield {
-                "doc_id": batch.column(0),
-                "lang": batch.column(1),
-                "text_key": batch.column(2),
-                "perplexity": pa.array(found, from_pandas=True),
-            }
-
-    asked = docs.select("doc_id", "lang", F.xxhash64("text").alias("text_key"), "text")
-    return map_batches(
-        asked, "doc_id bigint, lang string, text_key bigint, perplexity double", work
+                    sums = np.add.reduceat(cost[place], starts)
+                    perplexity[filled] = np.exp2(sums / lengths[filled])
+                values = pa.array(perplexity, from_pandas=True)
+                out.append(rows.drop_columns("text").append_column("perplexity", values))
+        if out:
+            return pa.concat_tables(out)
+        return pa.table({name: pa.array([], kind) for name, kind in scored})
+
+    scored = [("doc_id", pa.int64()), ("lang", pa.string())]
+    scored += [("text_key", pa.int64()), ("perplexity", pa.float64())]
+    return (
+        packed.groupBy("slice")
+        .cogroup(found.groupBy("slice"))
+        .applyInArrow(work, "doc_id bigint, lang string, text_key bigint, perplexity double")
     )
 
 
@@ -258,8 +456,9 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     docs = docs.select("doc_id", "text", "lang")
     staging = Staging(spark)
     trusted = staging.table(_trusted(labels))
-    table = probabilities(spark, gram_counts(learnt_texts(docs, trusted)), staging)
-    scored = staging.table(score(docs, _bits(table)))
+    counts = staging.table(byte_counts(learnt_texts(docs, trusted)))
+    base = _base(probabilities(spark, class_counts(counts), staging))
+    scored = staging.table(score(docs, staging.table(byte_model(counts, staging)), base))
     calibration = trusted.filter("calibration").select("doc_id")
     by_language, overall = thresholds(scored.join(calibration, "doc_id", "left_semi"), quantile)
     limit: Column = F.lit(overall)

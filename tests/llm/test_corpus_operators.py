@@ -348,6 +348,64 @@ def test_probabilities_are_those_of_the_formula(spark, staging, prose):
     assert np.allclose(sums, 1.0)
 
 
+def test_perplexity_is_of_unfolded_bytes_against_dictionaries(spark, documents, prose, monkeypatch):
+    """Every order of bytes by dictionaries, over the class model; slices of many sizes."""
+    monkeypatch.setattr(kneser_ney, "LEAST_SLICES", 3)
+    monkeypatch.setattr(kneser_ney, "SLICE_BYTES", 700)
+    monkeypatch.setattr(kneser_ney, "COUNTED_GRAMS", 50)
+    learnt = [(n, prose(n, 60) + " room 101 Berlin é") for n in range(12)]
+    same = [(100, "room 101 Berlin"), (101, "room 735 bERLIN"), (102, "Room 101 Ber\U0001f600"), (103, "q")]
+    docs = learnt + same + [(200, ""), (201, None)]
+    labels = spark.createDataFrame([(n, 1, 0) for n, _ in learnt], "doc_id int, quality int, toxic int")
+    found = {r["doc_id"]: r["perplexity"] for r in kneser_ney.classify(documents(docs), labels).collect()}
+    fold = {r["doc_id"] for r in kneser_ney._trusted(labels).filter("calibration").collect()}
+    trained = [t for n, t in learnt if n not in fold]
+    order = kneser_ney.BYTE_ORDER
+    grams = Counter()
+    for text in trained:
+        raw = b" " * (order - 1) + text.encode()
+        grams.update(raw[i : i + order] for i in range(len(raw) - order + 1))
+    levels = {order: grams}
+    for k in range(order - 1, 0, -1):
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+    off, totals, left = {}, {}, {}
+    for k, counts in levels.items():
+        of = Counter(counts.values())
+        y = of[1] / (of[1] + 2 * of[2]) if of[1] and of[2] and of[3] else None
+        exact = [i - (i + 1) * y * of[i + 1] / of[i] for i in (1, 2, 3)] if y is not None else [-1] * 3
+        off[k] = [d if 0 <= d <= i else i / 2 for i, d in zip((1, 2, 3), exact, strict=True)]
+        totals[k], left[k] = Counter(), Counter()
+        for g, n in counts.items():
+            totals[k][g[:-1]] += n
+            left[k][g[:-1]] += off[k][min(n, 3) - 1]
+    frame = spark.createDataFrame([(t,) for t in trained], "text string")
+    with Staging(spark) as staging:
+        table = kneser_ney.probabilities(spark, kneser_ney.gram_counts(frame), staging).toPandas()
+    base = dict(zip(table["code"], table["p"], strict=True))
+
+    def chance(gram, k):
+        if not k:
+            code = 0
+            for byte in gram[-kneser_ney.ORDER :]:
+                code = code * kneser_ney.SYMBOLS + int(kneser_ney.CLASSES[byte])
+            return base[code] / (kneser_ney.CLASSES == kneser_ney.CLASSES[gram[-1]]).sum()
+        own, lower = gram[-k:], chance(gram, k - 1)
+        total = totals[k][own[:-1]]
+        if not total:
+            return lower
+        n = levels[k][own]
+        return (n - (off[k][min(n, 3) - 1] if n else 0)) / total + left[k][own[:-1]] / total * lower
+
+    for doc_id, text in docs:
+        if not text:
+            assert found[doc_id] is None
+            continue
+        raw = b" " * (order - 1) + text.encode()
+        costs = [-math.log2(chance(raw[i : i + order], order)) for i in range(len(raw) - order + 1)]
+        assert found[doc_id] == pytest.approx(2 ** (sum(costs) / len(costs)), rel=1e-4)
+    assert found[101] > 2 * found[100]
+
+
 def test_quality_keeps_trusted_text_and_drops_noise(spark, documents, prose, monkeypatch):
     monkeypatch.setattr(kneser_ney, "LEAST_CALIBRATION", 5)
     docs = [(n, prose(n, 80), "en" if n % 2 else "de") for n in range(200)]
