@@ -12,7 +12,8 @@ text is the main one.
 
 A page's text is what fills the article's slots: blocks below ``article`` or ``main``, else below
 the host's main slot, else below the page's own largest slot; less constants and less what elements
-of other roles (menus, adverts, comments) hold.
+of other roles (menus, adverts, comments) hold.  Roles named on ``html``, ``body`` or ``main`` do
+not count, and those on or around all articles of a page do not empty it.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ _BLOCK = frozenset(
 )
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _MAIN = frozenset(("article", "main"))
+# What these are named says how a page looks, not what it holds.
+_WHOLE = frozenset(("html", "body", "main"))
 # An open element of these ends where the next of them, or another block, starts.
 _ENDED_BY_BLOCK = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6"))
 _ENDED_BY_SAME = frozenset("li dt dd option tr td th".split())
@@ -85,6 +88,7 @@ class Block(NamedTuple):
     text: str
     main: bool  # below an article
     other: bool  # below an element of another role
+    inner: bool  # below an element of another role that is itself below the article
 
 
 class _Open(NamedTuple):
@@ -92,6 +96,7 @@ class _Open(NamedTuple):
     label: str
     main: bool
     other: bool
+    inner: bool
 
 
 def _roles(attributes: str) -> tuple[str, bool]:
@@ -120,7 +125,8 @@ def parse(page: str) -> tuple[list[Block], Counter]:
             if text:
                 main = bool(stack) and stack[-1].main
                 other = bool(stack) and stack[-1].other
-                blocks.append(Block("/".join(e.label for e in stack), text, main, other))
+                inner = bool(stack) and stack[-1].inner
+                blocks.append(Block("/".join(e.label for e in stack), text, main, other, inner))
 
     for token in _TOKENS.finditer(page):
         text, name = token[5], token[3]
@@ -145,7 +151,7 @@ def parse(page: str) -> tuple[list[Block], Counter]:
             continue
         block = name in _BLOCK
         label, other = _roles(token[4]) if token[4] else ("", False)
-        if name in _HEADINGS:
+        if name in _HEADINGS or name in _WHOLE:
             other = False
         if block:
             flush()
@@ -159,12 +165,14 @@ def parse(page: str) -> tuple[list[Block], Counter]:
         if not block:
             flush()
         above = stack[-1] if stack else None
+        outermost = name in _MAIN and not (above is not None and above.main)
         stack.append(
             _Open(
                 name,
                 name + label,
                 name in _MAIN or above is not None and above.main,
                 other or above is not None and above.other,
+                not outermost and (other or above is not None and above.inner),
             )
         )
         opened["/".join(e.label for e in stack)] += 1
@@ -276,9 +284,18 @@ def templates(pages: DataFrame, staging: Staging) -> DataFrame:
 
 
 def extract(page: str, constants: frozenset[int], main_slot: str | None) -> str:
-    """The main text of one page under its host's template."""
-    blocks = [b for b in parse(page)[0] if not b.other]
+    """The main text of one page under its host's template.
+
+    Where every article, or what is around it, has another role, these roles do not count if the
+    articles hold more text than all that has no other role.
+    """
+    found = parse(page)[0]
+    blocks = [b for b in found if not b.other]
     inside = [b for b in blocks if b.main]
+    if not inside:
+        articles = [b for b in found if b.main and not b.inner]
+        if sum(len(b.text) for b in articles) > sum(len(b.text) for b in blocks):
+            inside = articles
     if not inside and blocks:
         slot = main_slot
         if slot is None or not any(f"{b.path}/".startswith(f"{slot}/") for b in blocks):

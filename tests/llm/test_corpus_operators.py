@@ -468,6 +468,24 @@ def test_blocks_references_and_roles():
     assert page_template.extract(page("<p>cut of"), frozenset(), None) == "cut of"
 
 
+def test_roles_on_and_around_the_article_do_not_empty_a_page():
+    article, small = "<article><p>One two three</p><div class='ad'>buy</div></article>", "<p>small</p>"
+    bodies = [
+        f"<main class='sidebar-left'>{article}</main>", f"<form id='search'>{article}</form>{small}",
+        f"<div class='widget'><div class='banner'>{article}</div></div>",
+        article.replace("<article>", "<article class='post has-sidebar'>"),
+        f"{article}<section id='comments'><article class='comment'><p>{'me too ' * 9}</p></article></section>",
+    ]
+    for body in bodies:
+        for names in ("", " class='nav-open no-banner'"):
+            whole = f"<html{names}><head><title>t</title></head><body{names}>{body}</body></html>"
+            assert page_template.extract(whole, frozenset(), None) == "One two three"
+    promo = "<aside><article><p>promo</p></article></aside><div><p>One two three</p></div>"
+    assert page_template.extract(page(promo), frozenset(), None) == "One two three"
+    plain = "<body class='nav-open'><p>only</p></body>"
+    assert page_template.extract(plain, frozenset(), None) == "only"
+
+
 def test_template_finds_constants_and_the_main_slot(spark, prose):
     rows = []
     for n in range(40):
