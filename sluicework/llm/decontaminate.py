@@ -3,8 +3,9 @@
 DataFrame functions only.  A document's words are taken in windows of 13 (and of the lengths of
 shorter items), each window probes the table of benchmark windows by a hash of ``PROBED`` of its
 words, and a hit is verified word by word in the join.  Documents do not move for the probe: the
-table is broadcast when its counted rows are at most ``BROADCAST_WINDOWS``, else Spark joins the
-windows' hashes by shuffle.  Only hits are grouped by document.
+table is broadcast when its counted rows are at most ``BROADCAST_WINDOWS``.  Else the windows'
+hashes are joined by shuffle, without the documents' words, and the few that meet are verified in a
+second join by document, for which each document moves once.  Only hits are grouped by document.
 """
 
 from __future__ import annotations
@@ -87,17 +88,20 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
         )
 
     def count(length: int) -> Column:
-        return F.greatest(F.size("found") - (length - 1), F.lit(0))
+        return F.greatest(F.col("n_found") - (length - 1), F.lit(0))
 
     def hashed(found: Column) -> Column:
         arrays = [of_length(found, length) for length in lengths]
         return arrays[0] if len(arrays) == 1 else F.concat(*arrays)
 
     # The arrays of the lengths stand one behind the other; a hit's place tells which it is of.
-    probes = docs.select("doc_id", text_key(), normal_words(F.col("text")).alias("found")).select(
+    broadcast = sum(sizes.values()) <= BROADCAST_WINDOWS
+    whole = docs.select("doc_id", text_key(), normal_words(F.col("text")).alias("found"))
+    probes = whole.select(
         "doc_id",
         "text_key",
-        "found",
+        *(["found"] if broadcast else []),
+        F.size("found").alias("n_found"),
         F.posexplode(let(F.col("found"), hashed)).alias("at", "hash"),
     )
     place, length, before = F.col("at"), F.lit(lengths[0]), F.lit(0)
@@ -109,19 +113,36 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     for of in lengths:
         key = F.when(F.col("length") == of, _probe(F.col("words"), F.lit(0), of)).otherwise(key)
     table = table.select(F.col("length").alias("size"), key.alias("key"), "words", "item_ids")
-    if sum(sizes.values()) <= BROADCAST_WINDOWS:
-        table = F.broadcast(table)
+    at_hit, of_size = (place, length) if broadcast else (F.col("place"), F.col("size"))
     # Not an equality of arrays, which would become a join key and be cut out for every window.
     verified = F.forall(
         F.zip_with(
-            F.slice(F.col("found"), place + 1, length),
+            F.slice(F.col("found"), at_hit + 1, of_size),
             F.col("words"),
             lambda ours, theirs: ours.eqNullSafe(theirs),
         ),
         lambda equal: equal,
     )
-    return probes.join(table, (F.col("hash") == F.col("key")) & verified).select(
-        "doc_id", "text_key", place.alias("place"), F.col("size").alias("length"), "item_ids"
+    met = F.col("hash") == F.col("key")
+    if broadcast:
+        return probes.join(F.broadcast(table), met & verified).select(
+            "doc_id", "text_key", place.alias("place"), F.col("size").alias("length"), "item_ids"
+        )
+    narrow = probes.select(
+        "doc_id", "text_key", place.alias("place"), length.alias("length"), "hash"
+    )
+    # Once per document, so rows that repeat do not pair with each other.
+    near = (
+        narrow.join(table.hint("merge"), met & (F.col("length") == F.col("size")))
+        .select("doc_id", "text_key", "place", "size", "words", "item_ids")
+        .dropDuplicates(["doc_id", "text_key", "place", "size", "words"])
+    )
+    whole = whole.select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "found"
+    )
+    same = near["doc_id"].eqNullSafe(whole["__id"]) & (near["text_key"] == whole["__key"])
+    return whole.join(near.hint("merge"), same & verified).select(
+        "doc_id", "text_key", "place", F.col("size").alias("length"), "item_ids"
     )
 
 

@@ -343,3 +343,23 @@ def test_decontamination_without_a_broadcast(spark, documents, prose, monkeypatc
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     found = decontaminate.decontaminate(documents(docs), benchmark)
     assert rows(found) == brute_contamination(docs, items)
+
+
+def test_windows_are_shuffled_without_their_documents(spark, documents, prose, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    items = [(1, prose(1, 30)), (2, "É bc Def"), (3, prose(2, 13)), (4, "solo"), (5, "a b c d e f g")]
+    docs = [*enumerate(ODD), (10, f"a {prose(1, 30)}"), (10, f"a {prose(1, 30)}"), (None, "x é BC def"),
+            (11, prose(2, 13) + " " + prose(2, 13)), (10, "solo " * 30), (12, "a b c d x f g")]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.decontaminate(documents(docs), benchmark)
+    assert rows(found) == brute_contamination(docs, items)
+
+    def nodes(plan):
+        below = [plan.children().apply(i) for i in range(plan.children().size())]
+        return [plan, *(n for b in below for n in nodes(b))]
+
+    joined = decontaminate.hits(documents(docs), benchmark)._jdf.queryExecution().optimizedPlan()
+    sides = [side for n in nodes(joined) if n.nodeName() == "Join" for side in (n.left(), n.right())]
+    columns = [{s.output().apply(i).name() for i in range(s.output().size())} for s in sides]
+    assert any("hash" in c for c in columns)
+    assert not any({"hash", "found"} <= c for c in columns)
