@@ -12,6 +12,7 @@ from sluicework.llm import (
     decontaminate,
     kneser_ney,
     line_quality,
+    merkle_manifest,
     page_template,
     ppm_language,
     run_length_index,
@@ -71,6 +72,10 @@ def op10_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.identify(read(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.verified_manifest(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_token_counts,
@@ -83,6 +88,7 @@ def queries() -> dict[str, Query]:
         op8_bpe_automaton,
         op9_run_length_index,
         op10_ppm_language,
+        op11_merkle_manifest,
     )
     return {query.__name__: query for query in found}
 
@@ -92,4 +98,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_secret_scan": sql.SECRET_SCAN,
         "op4_line_quality": sql.LINE_QUALITY,
         "op7_decontaminate": sql.DECONTAMINATE,
+        "op11_merkle_manifest": sql.MERKLE_MANIFEST,
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sluicework.llm import decontaminate, line_quality, secret_scan
+from sluicework.llm import decontaminate, line_quality, merkle_manifest, secret_scan
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -130,3 +130,75 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   coalesce(n_hit, 0) > 0
     AND {decontaminate.HIT_SHARE} * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)"""
+
+
+_LOWERED = f"translate(text, '{merkle_manifest.UPPER}', '{merkle_manifest.LOWER}')"
+
+
+def _leaf(text: str) -> str:
+    values = [text if name == "text" else name for name in merkle_manifest.FIELDS]
+    parts = [f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')" for v in values]
+    return f"sha256({' || '.join(parts)})"
+
+
+# crc32 of the id's digits, byte by byte: eight steps of the reflected polynomial each.
+_CRC_STEP = "xor(x >> 1, (x & 1) * 3988292384)"
+_CRC_BYTE = "x"
+for _ in range(8):
+    _CRC_BYTE = f"list_transform([{_CRC_BYTE}], lambda x: {_CRC_STEP})[1]"
+_CRC = f"""xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, [ord(c)::BIGINT FOR c IN string_split(doc_id::VARCHAR, '')]),
+    lambda a, c: list_transform([xor(a, c)], lambda x: {_CRC_BYTE})[1]))"""
+
+_F = merkle_manifest.FANOUT
+
+
+def _tree(name: str, source: str) -> str:
+    """Levels of all trees of ``source``: its nodes and, while a tree has several, their parents."""
+    return f"""{name} AS (
+  SELECT tree, place, h, 0 AS level, count(*) OVER (PARTITION BY tree) AS n FROM {source}
+  UNION ALL
+  SELECT tree, place // {_F}, sha256(string_agg(h, '' ORDER BY place)), any_value(level) + 1,
+    (any_value(n) + {_F - 1}) // {_F}
+  FROM {name} WHERE n > 1 GROUP BY tree, place // {_F})"""
+
+
+def _path(name: str, tree: str, source: str) -> str:
+    """Per node of ``source`` and level its siblings on both sides."""
+    return f"""{name} AS (
+  SELECT l.tree, l.place, t.level,
+    coalesce(string_agg(t.h, '' ORDER BY t.place)
+      FILTER (t.place < l.place // pow({_F}, t.level)::BIGINT), '') AS before,
+    coalesce(string_agg(t.h, '' ORDER BY t.place)
+      FILTER (t.place > l.place // pow({_F}, t.level)::BIGINT), '') AS after
+  FROM {source} l JOIN {tree} t ON t.tree = l.tree AND t.n > 1
+    AND t.place // {_F} = l.place // pow({_F}, t.level + 1)::BIGINT
+  GROUP BY l.tree, l.place, t.level)"""
+
+
+MERKLE_MANIFEST = f"""WITH RECURSIVE leaves AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS place,
+    {_leaf("text")} AS h,
+    CASE WHEN {_CRC} % {merkle_manifest.TAMPERED_OF} = 0 THEN {_leaf(_LOWERED)}
+      ELSE {_leaf("text")} END AS tampered
+  FROM documents),
+{_tree("lower_tree", "leaves")},
+subroots AS (SELECT 0 AS tree, tree AS place, h FROM lower_tree WHERE n = 1),
+{_tree("upper_tree", "subroots")},
+{_path("lower_path", "lower_tree", "leaves")},
+{_path("upper_path", "upper_tree", "subroots")},
+steps AS (
+  SELECT doc_id, l.tree, l.place, l.tampered,
+    list_concat(
+      coalesce((SELECT list([p.before, p.after] ORDER BY p.level) FROM lower_path p
+        WHERE p.tree = l.tree AND p.place = l.place), []),
+      coalesce((SELECT list([p.before, p.after] ORDER BY p.level) FROM upper_path p
+        WHERE p.place = l.tree), [])) AS path, l.h AS leaf
+  FROM leaves l)
+SELECT doc_id, leaf, s.h AS subroot, r.h AS root,
+  sha256(array_to_string([x[1] || x[2] FOR x IN path], '')) AS proof_sha256,
+  list_reduce(list_prepend(['', tampered], path),
+    lambda a, x: ['', sha256(x[1] || a[2] || x[2])])[2] AS folded_root,
+  folded_root = r.h AS verified
+FROM steps JOIN subroots s ON s.place = steps.tree, (SELECT h FROM upper_tree WHERE n = 1) r"""
