@@ -14,6 +14,7 @@ from sluicework.llm import (
     line_quality,
     merkle_manifest,
     page_template,
+    periodic_runs,
     ppm_language,
     run_length_index,
     secret_scan,
@@ -76,6 +77,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.verified_manifest(read(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.planted(read(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.periodic_runs(docs))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_token_counts,
@@ -89,6 +95,7 @@ def queries() -> dict[str, Query]:
         op9_run_length_index,
         op10_ppm_language,
         op11_merkle_manifest,
+        op12_periodic_runs,
     )
     return {query.__name__: query for query in found}
 
