@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sluicework.llm import (
     bpe_automaton,
     decontaminate,
+    gated_lm,
     kneser_ney,
     line_quality,
     merkle_manifest,
@@ -82,6 +83,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.periodic_runs(docs))
 
 
+def op13_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gated_lm.score(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_token_counts,
@@ -96,6 +101,7 @@ def queries() -> dict[str, Query]:
         op10_ppm_language,
         op11_merkle_manifest,
         op12_periodic_runs,
+        op13_gated_lm,
     )
     return {query.__name__: query for query in found}
 

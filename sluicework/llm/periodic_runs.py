@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import chain, count
 from typing import NamedTuple
 
 import numpy as np
@@ -362,7 +362,7 @@ def _batch(texts: list[str | None]) -> tuple[list, list[str]]:
     split = [(t or "").encode().split() for t in texts]
     sizes = np.array([len(w) for w in split], np.int64)
     ids = np.fromiter(
-        (n for w in split for n in map(numbers.__getitem__, w)), np.int64, int(sizes.sum())
+        map(numbers.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum())
     )
     doc, found = runs(ids, np.cumsum(sizes))
     listed: list[list] = [[] for _ in texts]
