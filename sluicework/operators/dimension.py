@@ -54,6 +54,17 @@ class History:
         return history.union(active.hint("rebalance", DAY)).union(versions)
 
 
+def compared_rows(contract: TableContract, active: DataFrame, loaded: DataFrame) -> DataFrame:
+    """The loaded rows beside their key's active version, where there is one."""
+    before = active.selectExpr(
+        f"{quoted(contract.key)} AS _key",
+        f"{DAY} AS {STORED_DAY}",
+        "valid_from AS _since",
+        *[f"{quoted(c)} AS {quoted(f'_old_{c}')}" for c in contract.tracked],
+    )
+    return loaded.join(before, F.expr(f"{quoted(contract.key)} = _key"), "left")
+
+
 def merge_history(
     contract: TableContract,
     current: DataFrame,
@@ -62,6 +73,7 @@ def merge_history(
     *,
     highest: int | None = None,
     order_guard: bool = False,
+    stored_active: DataFrame | None = None,
 ) -> History:
     """Merge a full snapshot into a type-2 dimension.
 
@@ -71,23 +83,19 @@ def merge_history(
     the active version is rejected instead of closing it backwards.
 
     History rows are passed through without a shuffle.  The active rows meet the loaded rows
-    once, on key and tracked columns only, and then the (usually few) closings.
+    once, on key and tracked columns only, and then the (usually few) closings.  ``stored_active``
+    has the key, tracked columns, ``valid_from`` and day of the active rows; one that is kept in
+    buckets of the key (``KeyedCopy``) meets the loaded rows without being shuffled.
     """
     key, surrogate = quoted(contract.key), contract.surrogate
     columns = list(map(quoted, contract.table_schema.names))
     loaded_columns = list(map(quoted, loaded.columns))
     active = current.where("is_current")
-    before = active.selectExpr(
-        f"{key} AS _key",
-        f"{DAY} AS {STORED_DAY}",
-        "valid_from AS _since",
-        *[f"{quoted(c)} AS {quoted(f'_old_{c}')}" for c in contract.tracked],
-    )
+    joined = compared_rows(contract, active if stored_active is None else stored_active, loaded)
     changed = f"_key IS NOT NULL AND ({differs((c, f'_old_{c}') for c in contract.tracked)})"
     backwards = f"{_CLOSES} AND coalesce(valid_from <= _since, false)" if order_guard else "false"
     joined = (
-        loaded.join(before, F.expr(f"{key} = _key"), "left")
-        .selectExpr(
+        joined.selectExpr(
             *loaded_columns,
             f"{contract.effective_from} AS valid_from",
             STORED_DAY,

@@ -49,6 +49,7 @@ def upsert_facts(
     highest: int | None = None,
     retain_missing: bool = False,
     days: Sequence[str | date] | None = None,
+    stored_keys: DataFrame | None = None,
 ) -> FactLoad:
     """Key the loaded rows against the current table and return the loaded days in full.
 
@@ -58,6 +59,10 @@ def upsert_facts(
     ``days`` are the processed days, which may have no loaded row at all; without them they are
     the days of the loaded keys.
 
+    ``stored_keys`` has the key, day and surrogate of every stored row; one that is kept in buckets
+    of the key (``KeyedCopy``) meets the loaded keys without being shuffled.  Without it they are
+    read from ``current``.
+
     Everything up to the last join moves keys only.  ``loaded`` must have one row per key.  What
     the caller knows already (the loaded keys with their days, their range, the highest
     surrogate) is not computed again.
@@ -75,7 +80,8 @@ def upsert_facts(
 
     if highest is None:
         highest = highest_key(current, surrogate)
-    held, elsewhere_count = _held_keys(contract, current, keys, key_range, staging)
+    stored = current if stored_keys is None else stored_keys
+    held, elsewhere_count = _held_keys(contract, stored, keys, key_range, staging)
     new = keys.join(held, key, "left_anti").select(F.col(quoted(key)))
     fresh = dense_key(new, [key], surrogate, staging, highest)
     known = held.where(F.col("held_by") == F.col(DAY)).select(
@@ -135,7 +141,7 @@ def _within(name: Column, ranges: list[tuple[Any, Any]]) -> Column:
 
 def _held_keys(
     contract: TableContract,
-    current: DataFrame,
+    stored: DataFrame,
     keys: DataFrame,
     known: tuple[Any, Any] | None,
     staging: Staging,
@@ -146,12 +152,18 @@ def _held_keys(
     The ranges let the scan skip files and row groups, also when a late or outlying key is among
     the loaded ones; the inner join lets Spark broadcast the loaded keys when they are few.
     """
-    key = contract.key
-    name = F.col(quoted(key))
-    held = (
-        current.where(_within(name, key_ranges(keys, key, known)))
-        .select(name, F.col(DAY).alias("held_by"), F.col(quoted(contract.surrogate)))
-        .join(keys.select(name, DAY), key)
-    )
+    held = held_rows(contract, stored, keys, key_ranges(keys, contract.key, known))
     written, found = staging.measured_table(held, elsewhere=f"count_if(held_by <> {DAY})")
     return written, found["elsewhere"] or 0
+
+
+def held_rows(
+    contract: TableContract, stored: DataFrame, keys: DataFrame, ranges: list[tuple[Any, Any]]
+) -> DataFrame:
+    """The stored keys within the ranges that are among the loaded ones."""
+    name = F.col(quoted(contract.key))
+    return (
+        stored.where(_within(name, ranges))
+        .select(name, F.col(DAY).alias("held_by"), F.col(quoted(contract.surrogate)))
+        .join(keys.select(name, DAY), contract.key)
+    )

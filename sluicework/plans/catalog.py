@@ -24,7 +24,7 @@ from sluicework.operators.quality import (
 )
 from sluicework.plans import feeds, oracle
 from sluicework.plans.feeds import CUSTOMER_USERS, EVENT_PLAYS, SNAPSHOTS
-from sluicework.plans.jobs import run_bronze, run_silver
+from sluicework.plans.jobs import run_bronze, run_silver, stored_keys
 from sluicework.sources.readers import inspect, read_day, read_table
 from sluicework.sources import storage
 from sluicework.sources.storage import Staging, empty
@@ -319,6 +319,49 @@ def q_facts_retain_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _redropped(spark, sf_dir, retain_missing=True)
 
 
+def _bucketed_load(
+    spark: SparkSession, folder: str, gated: Gated, staging: Staging, days: list[str]
+) -> FactLoad:
+    """One load into the stored table below ``folder``, whose keys are met in their buckets."""
+    path = f"{folder}/plays"
+    with stored_keys(spark, EVENT_PLAYS, folder) as copy:
+        copy.sync()
+        current = read_table(spark, path, EVENT_PLAYS.table_schema)
+        load = _load(current, gated, staging, stored_keys=copy.frame())
+        replace_days(load.rows.hint("rebalance", DAY), path, days)
+        copy.sync()
+    return load
+
+
+def _days_of(gated: Gated) -> list[str]:
+    return [str(row[DAY]) for row in gated.keys.select(DAY).distinct().collect()]
+
+
+def _bucketed_redrop(spark: SparkSession, sf_dir: str) -> str:
+    """Two loads and the first one again, corrected, each through the bucketed keys."""
+    staging = Staging(spark)
+    raws = [*feeds.plays_loads(spark, sf_dir), feeds.corrected_first_load(spark, sf_dir)]
+    gates = _gate_all(EVENT_PLAYS, raws, staging)
+    folder = staging.folder()
+    for gated in gates:
+        _bucketed_load(spark, folder, gated, staging, _days_of(gated))
+    return folder
+
+
+@_query(f"{oracle.FACTS} SELECT * FROM redropped")
+def q_facts_redrop_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{_bucketed_redrop(spark, sf_dir)}/plays"
+    return read_table(spark, path, EVENT_PLAYS.table_schema)
+
+
+@_query(f"{oracle.FACTS} SELECT play_id, play_sk, snapshot_date FROM redropped")
+def q_stored_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the bucketed copy beside the table holds after three loads."""
+    copy = stored_keys(spark, EVENT_PLAYS, _bucketed_redrop(spark, sf_dir))
+    copy.sync()  # nothing is copied; the catalog's table stays as long as the result is read
+    return copy.frame()
+
+
 _LINE_KEYS = ", ".join(LINE_ITEM_COLUMNS)
 
 
@@ -388,6 +431,27 @@ def q_scd2_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history(spark, sf_dir, _LATE_DAYS, Staging(spark), order_guard=True).rejected
 
 
+@_query(
+    f"{oracle.HISTORY} SELECT user_id, email, country, plan_tier, valid_from, snapshot_date"
+    " FROM dim3 WHERE is_current"
+)
+def q_active_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three snapshots, each compared with the active rows in their buckets; then these rows."""
+    staging = Staging(spark)
+    folder = staging.folder()
+    path = f"{folder}/users"
+    copy = stored_keys(spark, CUSTOMER_USERS, folder)
+    for gated in _gate_users(spark, sf_dir, SNAPSHOTS, staging):
+        copy.sync()
+        current = read_table(spark, path, CUSTOMER_USERS.table_schema)
+        merged = merge_history(
+            CUSTOMER_USERS, current, gated.accepted, staging, stored_active=copy.frame()
+        )
+        replace_days(merged.arranged(), path, list(SNAPSHOTS))
+    copy.sync()
+    return copy.frame()
+
+
 # Bronze: JSON drops and their quarantine
 
 

@@ -18,6 +18,7 @@ from sluicework.operators.facts import upsert_facts
 from sluicework.operators.keys import highest_stored_key
 from sluicework.operators.quality import classify, quality_gate
 from sluicework.sources import storage
+from sluicework.sources.buckets import KeyedCopy
 from sluicework.sources.readers import (
     corrupt,
     mark_day,
@@ -70,6 +71,17 @@ def run_bronze(
     return {"rows": rows, "corrupt": found}
 
 
+def stored_keys(spark: SparkSession, contract: TableContract, silver_path: str) -> KeyedCopy:
+    """What a load compares with, beside the table in buckets of its key: of facts every key with
+    its surrogate, of a dimension the active rows' tracked columns and their start."""
+    if contract.is_dimension:
+        columns, where = [*contract.tracked, "valid_from"], "is_current"
+    else:
+        columns, where = [contract.surrogate], None
+    path = f"{silver_path}/{contract.name}"
+    return KeyedCopy(spark, path, contract.table_schema, contract.key, columns, where)
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, moved_bytes: int) -> Iterator[None]:
     """More shuffle partitions for a load of this size, as long as the block runs.
@@ -113,16 +125,19 @@ def run_silver(
     with (
         sized_shuffles(spark, moved),
         Staging(spark) as staging,
+        stored_keys(spark, contract, silver_path) as copy,
         ThreadPoolExecutor(2) as side,
     ):
         if contract.is_dimension:
             remove_leftovers(spark, path)
         current = read_table(spark, path, contract.table_schema)
+        synced = side.submit(copy.sync)
         top = side.submit(
             highest_stored_key, spark, path, contract.table_schema, contract.surrogate
         )
         gated = quality_gate(contract, classify(contract, bronze, keep_raw), staging)
         rejects, count = gated.rejected, gated.rejected_count
+        synced.result()
         if not contract.is_dimension:
             load = upsert_facts(
                 contract,
@@ -134,12 +149,14 @@ def run_silver(
                 highest=top.result(),
                 retain_missing=retain_missing,
                 days=[snapshot_date],
+                stored_keys=copy.frame(),
             )
             if load.elsewhere_count:
                 rejects = rejects.unionByName(load.left_out, allowMissingColumns=True)
             refused = count + load.elsewhere_count
             written = side.submit(_write_rejected, rejects, refused, errors, snapshot_date)
             rows = _replace_day(load.rows, path, snapshot_date)
+            copy.sync()
             written.result()
             return {"rows": rows, "rejected": count, "elsewhere": load.elsewhere_count}
 
@@ -150,6 +167,7 @@ def run_silver(
             staging,
             highest=top.result(),
             order_guard=order_guard,
+            stored_active=copy.frame(),
         )
         if merged.rejected_count:
             rejects = rejects.unionByName(merged.rejected, allowMissingColumns=True)
@@ -159,6 +177,7 @@ def run_silver(
             replace_table(merged.arranged(), path)
         else:
             _replace_touched(merged, stored_path(spark, path), snapshot_date)
+        copy.sync()
         return {
             "versions": merged.opened_count,
             "closed": merged.closed_count,

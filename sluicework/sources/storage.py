@@ -56,6 +56,12 @@ def size(spark: SparkSession, path: str) -> int:
     return sum(f.getLen() for f in fs.listStatus(target)) if fs.exists(target) else 0
 
 
+def tree_size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, 0 when there is none."""
+    fs, target = _located(spark, path)
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
+
 STAGING_SETTING = "sluicework.staging.dir"
 
 
