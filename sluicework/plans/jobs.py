@@ -11,7 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.contracts import CORRUPT, DAY, TABLES, TableContract
+from sluicework.contracts import DAY, TABLES, TableContract
 from sluicework.functions.metrics import observed
 from sluicework.operators.dimension import STORED_DAY, History, merge_history
 from sluicework.operators.facts import upsert_facts
@@ -20,15 +20,19 @@ from sluicework.operators.quality import classify, quality_gate
 from sluicework.sources import storage
 from sluicework.sources.buckets import KeyedCopy
 from sluicework.sources.readers import (
-    corrupt,
+    BROKEN,
+    KIND,
+    ROWS,
+    broken_lines,
+    kept_apart,
     mark_day,
     read_day,
     read_table,
-    readable,
     scan_drop,
 )
 from sluicework.sources.storage import Staging
 from sluicework.sources.writers import (
+    Landing,
     clear_table_day,
     remove_leftovers,
     replace_days,
@@ -52,23 +56,58 @@ def run_bronze(
 ) -> dict[str, int]:
     """Land one drop: the day of the bronze table and of its quarantine become this drop.
 
-    A drop without a readable row leaves a mark, so that the next layer can tell it from a day
-    that was never landed.  Corrupt lines are counted while the good ones are written; only a drop
-    that has some is parsed a second time.
+    The drop is scanned once: whole and broken lines are written side by side, a folder each, and
+    counted by that write; the folders are then moved into the table and, as its own rows, into the
+    quarantine (``Landing``).  A drop without a readable row leaves a mark, so that the next layer
+    can tell it from a day that was never landed.
     """
     table, errors = f"{bronze_path}/{contract.name}", f"{bronze_path}/{contract.name}_errors"
+    landing = Landing(spark, {"rows": table, "errors": errors}, snapshot_date)
+    landing.finish_earlier()
     lines = scan_drop(spark, contract, source_path, snapshot_date, ingested_at)
-    broken = Observation()
-    watched = lines.observe(broken, F.count(CORRUPT).alias("lines"))
-    rows = replace_days(readable(watched), table, [snapshot_date])[snapshot_date]
+    rows, broken = _land(kept_apart(contract, lines), landing.folder)
+    filled = {"rows"} if rows else set()
+    if broken:
+        read = spark.read.schema(contract.bronze_schema).parquet(f"{landing.folder}/{BROKEN}")
+        broken_lines(contract, read).write.parquet(f"{landing.folder}/errors")
+        filled.add("errors")
+    landing.commit(filled)
     mark_day(spark, table, snapshot_date, rows)
-    seen = observed(broken)
-    found = corrupt(lines).count() if seen is None else seen["lines"]
-    if found:
-        replace_days(corrupt(lines), errors, [snapshot_date], keep_empty_table=False)
-    else:
-        clear_table_day(spark, errors, snapshot_date)
-    return {"rows": rows, "corrupt": found}
+    return {"rows": rows, "corrupt": broken}
+
+
+def _land(lines: DataFrame, folder: str) -> tuple[int, int]:
+    """Write both kinds of lines below ``folder``; how many there are of each."""
+    spark = lines.sparkSession
+    seen = Observation()
+    counts = [F.count(F.when(F.col(KIND) == k, True)).alias(k) for k in (ROWS, BROKEN)]
+    # A task keeps a file open per kind, instead of sorting its lines by kind.
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+        lines.observe(seen, *counts).write.partitionBy(KIND).parquet(f"{folder}/all")
+    found = observed(seen)
+    for kind in (ROWS, BROKEN):
+        written = f"{folder}/all/{KIND}={kind}"
+        if storage.exists(spark, written):
+            storage.rename(spark, written, f"{folder}/{kind}")
+            if found is None:
+                found = {}
+            if kind not in found:
+                found[kind] = spark.read.parquet(f"{folder}/{kind}").count()
+    return tuple((found or {}).get(kind, 0) for kind in (ROWS, BROKEN))
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for the length of a block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def stored_keys(spark: SparkSession, contract: TableContract, silver_path: str) -> KeyedCopy:

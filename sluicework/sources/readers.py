@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sluicework.contracts import CORRUPT, DAY, REASON, TableContract
+from sluicework.functions.columns import quoted
 from sluicework.sources import storage
 from sluicework.sources.writers import stored_path
 
@@ -59,6 +60,44 @@ def corrupt(lines: DataFrame) -> DataFrame:
     return lines.where(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, REASON)
 
 
+# Whole and broken lines of one scan, side by side in one frame.
+KIND = "_kind"
+ROWS, BROKEN = "rows", "broken"
+
+
+def kept_apart(contract: TableContract, lines: DataFrame) -> DataFrame:
+    """All lines with their kind, in the columns of the table.
+
+    A broken line has nothing in these but, as JSON in the first one, whatever was read of it and
+    the line itself, so that both kinds are written at once and neither has a column of the other.
+    """
+    names = contract.raw_names
+    first, is_broken = names[0], F.col(CORRUPT).isNotNull()
+    told = F.to_json(F.struct(*map(quoted, names), F.col(CORRUPT).alias(REASON)))
+    return lines.select(
+        F.when(is_broken, told).otherwise(F.col(quoted(first))).alias(first),
+        *map(quoted, names[1:]),
+        "ingested_at",
+        "source_file",
+        F.when(is_broken, BROKEN).otherwise(ROWS).alias(KIND),
+    )
+
+
+def broken_lines(contract: TableContract, rows: DataFrame) -> DataFrame:
+    """The quarantine's rows out of those ``kept_apart`` as broken."""
+    names = contract.raw_names
+    schema = StructType()
+    for name in (*names, REASON):
+        schema = schema.add(name, "string")
+    told = F.from_json(F.col(quoted(names[0])), schema).alias("told")
+    return rows.select(told, "ingested_at", "source_file").select(
+        *[F.col("told")[name].alias(name) for name in names],
+        "ingested_at",
+        "source_file",
+        F.col("told")[REASON].alias(REASON),
+    )
+
+
 def load_drop(
     spark: SparkSession,
     contract: TableContract,

@@ -38,6 +38,11 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _located(spark, path)
+    fs.mkdirs(target)
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """An empty file, which one call makes visible."""
     fs, target = _located(spark, path)

@@ -68,6 +68,55 @@ def replace_days(
     return rows
 
 
+# Below a table: drops being landed, a folder each, named by day.
+LANDING = "_landing"
+_READY = "_ready"
+_REPLACE, _CLEAR = "replace", "clear"
+
+
+class Landing:
+    """A day of several tables, staged below the first one and then moved into all of them.
+
+    What is to be done is noted before anything is moved: an empty file per table, then the one that
+    makes the notes valid.  A run that dies before that has changed nothing; one that dies later is
+    finished by the next, for moving is repeatable: a staged folder that is gone has been moved.
+    """
+
+    def __init__(self, spark: SparkSession, tables: dict[str, str], day: str) -> None:
+        self._spark, self._tables, self._day = spark, tables, day
+        self._root = f"{next(iter(tables.values()))}/{LANDING}"
+        self.folder = f"{self._root}/{day}-{uuid.uuid4().hex}"
+
+    def finish_earlier(self) -> None:
+        """Finish or drop what an earlier run for this day has left."""
+        for name in storage.children(self._spark, self._root, f"{self._day}-*"):
+            folder = f"{self._root}/{name}"
+            if storage.exists(self._spark, f"{folder}/{_READY}"):
+                self._move(folder)
+            else:
+                storage.delete(self._spark, folder)
+
+    def commit(self, filled: set[str]) -> None:
+        """Give every table its staged folder of this day, the others no row of it."""
+        for name in self._tables:
+            todo = _REPLACE if name in filled else _CLEAR
+            storage.touch(self._spark, f"{self.folder}/{_READY}-{name}-{todo}")
+        storage.touch(self._spark, f"{self.folder}/{_READY}")
+        self._move(self.folder)
+
+    def _move(self, folder: str) -> None:
+        for position, (name, path) in enumerate(self._tables.items()):
+            target, staged = f"{path}/{DAY}={self._day}", f"{folder}/{name}"
+            if storage.exists(self._spark, f"{folder}/{_READY}-{name}-{_CLEAR}"):
+                clear_table_day(self._spark, path, self._day, keep_empty_table=position == 0)
+            elif storage.exists(self._spark, staged):
+                storage.delete(self._spark, target)
+                storage.make_folder(self._spark, path)
+                storage.rename(self._spark, staged, target)
+            self._spark.catalog.refreshByPath(path)
+        storage.delete(self._spark, folder)
+
+
 def stored_path(spark: SparkSession, path: str) -> str:
     """Where the rows of a table are: its last committed version, else the path itself."""
     entries = storage.children(spark, f"{path}/{LOG}", f"{VERSION}*")

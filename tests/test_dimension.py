@@ -29,7 +29,7 @@ def test_first_load_starts_versions(spark, staging):
     merged = merge_history(USERS, empty(spark, USERS.table_schema), load(spark, rows), staging)
     assert merged.rows.columns == USERS.table_schema.names
     assert picture(merged.rows) == [
-        (1, "PL", "free", 1, at("2026-01-10T08:00:00"), None, True),
+        (1, "PL", "free", 1, at("2025-12-04T05:45:00"), None, True),
         (2, "US", "premium", 2, at("2026-02-15T12:00:00"), None, True),
     ]
 
@@ -92,8 +92,12 @@ def test_rerun_changes_nothing(spark, staging, current):
 
 
 def test_user_missing_from_the_snapshot_stays(spark, staging, current):
-    merged = merge_history(USERS, current, load(spark, [user("3")]), staging)
-    assert merged.rows.where("is_current").select("user_id").distinct().count() == 3
+    """Of three active users the snapshot has one, unchanged; the other two are as they were."""
+    merged = merge_history(USERS, current, load(spark, CHANGES[:1], "2025-06-02"), staging)
+    assert merged.opened_count == merged.closed_count == 0
+    assert picture(merged.rows) == picture(current)
+    active = merged.rows.where("is_current").select("user_id").collect()
+    assert sorted(r["user_id"] for r in active) == [41, 42, 43]
 
 
 def test_empty_snapshot_changes_nothing(spark, staging, current):
@@ -105,9 +109,9 @@ def test_null_is_a_value_of_its_own(spark, staging):
     stored = dimension(
         spark,
         [
-            dimension_row(1, None, "free", 1, "2026-01-10T08:00:00"),
-            dimension_row(2, None, "free", 2, "2026-01-10T08:00:00"),
-            dimension_row(3, "PL", "free", 3, "2026-01-10T08:00:00"),
+            dimension_row(1, None, "free", 1, "2025-12-04T05:45:00"),
+            dimension_row(2, None, "free", 2, "2025-12-04T05:45:00"),
+            dimension_row(3, "PL", "free", 3, "2025-12-04T05:45:00"),
         ],
     )
     rows = [user("1", None), user("2", "__NULL__"), user("3", None)]
