@@ -19,9 +19,12 @@ from sluicework.operators.quality import (
 )
 from sluicework.plans.jobs import run_bronze, run_silver
 from sluicework.sources.readers import inspect, load_drop, read_day, read_table
-from sluicework.sources.writers import replace_days, replace_table
+from sluicework.sources.buckets import KeyedCopy
+from sluicework.sources.writers import CommitConflict, replace_days, replace_table
 
 __all__ = [
+    "CommitConflict",
+    "KeyedCopy",
     "PLAYS",
     "USERS",
     "Field",

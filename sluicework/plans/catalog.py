@@ -653,6 +653,28 @@ def q_landed_elsewhere(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Landing(spark, sf_dir).load_both().errors().where(f"{STAGE} = 'held_elsewhere'")
 
 
+_THIRD_DROP = "2024-02-15"
+_HELD_AGAIN = (
+    f"{_LANDED}, drop3 AS (SELECT * REPLACE (DATE '{_THIRD_DROP}' AS snapshot_date,"
+    " TIMESTAMP '2024-02-01 00:00:00' AS ingested_at, 'drop' AS source_file)"
+    " FROM raw_plays WHERE event_id % 47 <> 0 AND event_id % 6 = 0),"
+    f"{oracle.gated_plays('drop3', 'load3')},"
+    " held AS (SELECT * FROM rows1 UNION ALL SELECT * FROM rows2)"
+)
+
+
+@_query(
+    f"{_HELD_AGAIN} SELECT l.* {_NO_PROVENANCE}, 'play_id_held_by_'"
+    " || strftime(c.snapshot_date, '%Y-%m-%d') AS error_reason, 'held_elsewhere' AS error_stage"
+    " FROM load3 l JOIN held c ON c.play_id = l.play_id"
+)
+def q_landed_held_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third drop sends every sixth event of both drops again: their days hold the keys."""
+    landing = Landing(spark, sf_dir).load_both()
+    landing.load(_THIRD_DROP, landing.lines.where("event_id % 6 = 0"))
+    return landing.errors().where(f"{STAGE} = 'held_elsewhere'")
+
+
 def _report_sql(drop: str, load: str, rows: str, raw: str) -> str:
     return (
         f"SELECT '{drop}' AS drop_day, (SELECT count(*) FROM {rows}) AS n_rows,"

@@ -38,6 +38,7 @@ from sluicework.sources.writers import (
     replace_days,
     replace_table,
     stored_path,
+    table_version,
 )
 
 # A stored byte takes about this many in a shuffle, which does well with partitions of this size.
@@ -169,6 +170,7 @@ def run_silver(
     ):
         if contract.is_dimension:
             remove_leftovers(spark, path)
+        base = table_version(spark, path)
         current = read_table(spark, path, contract.table_schema)
         synced = side.submit(copy.sync)
         top = side.submit(
@@ -213,7 +215,7 @@ def run_silver(
             count += merged.rejected_count
         _write_rejected(rejects, count, errors, snapshot_date)
         if whole_table:
-            replace_table(merged.arranged(), path)
+            replace_table(merged.arranged(), path, base)
         else:
             _replace_touched(merged, stored_path(spark, path), snapshot_date)
         copy.sync()

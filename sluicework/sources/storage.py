@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import tempfile
+import time
 import uuid
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -49,6 +51,37 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(target, True).close()
 
 
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """A new small file; False when there is one already, which then stays as it is."""
+    fs, target = _located(spark, path)
+    fs.mkdirs(target.getParent())
+    try:
+        stream = fs.create(target, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in error.java_exception.toString():
+            raise
+        return False
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The first bytes of a small file."""
+    fs, target = _located(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readNBytes(1 << 16)).decode()
+    finally:
+        stream.close()
+
+
+def age(spark: SparkSession, path: str) -> float:
+    """Seconds since a file was written."""
+    fs, target = _located(spark, path)
+    return time.time() - fs.getFileStatus(target).getModificationTime() / 1000
+
+
 def children(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
     fs, _ = _located(spark, path)
     found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}"))

@@ -11,10 +11,18 @@ from sluicework.contracts import DAY
 from sluicework.functions.metrics import observed
 from sluicework.sources import storage
 
-# A table that was replaced as a whole lives in a folder per version.  The highest version with an
-# entry in the log is the table; an entry is one empty file, named like its version's folder.
+# A table that was replaced as a whole lives in a folder per version.  The log has an entry per
+# number, which only one run can create and which names that version's folder; the highest one that
+# does is the table.
 VERSION = "v"
 LOG = "_versions"
+# A run's mark while it writes a version; after so long it is taken for dead.
+RUNNING = "_running"
+LEASE_SECONDS = 7 * 24 * 3600
+
+
+class CommitConflict(RuntimeError):
+    """Another run has committed a version since this one read the table."""
 
 
 def _overwrite_days(frame: DataFrame, path: str) -> None:
@@ -117,45 +125,88 @@ class Landing:
         storage.delete(self._spark, folder)
 
 
+def _number(name: str) -> int:
+    return int(name[len(VERSION) :].split("-")[0])
+
+
+def _entries(spark: SparkSession, path: str) -> list[str]:
+    return storage.children(spark, f"{path}/{LOG}", f"{VERSION}*")
+
+
+def _committed(spark: SparkSession, path: str, entries: list[str]) -> str | None:
+    """The folder of the last committed version.
+
+    An entry without a name in it is being written, or its run has died just then.
+    """
+    for entry in reversed(entries):
+        # Entries were once named like their folder.
+        named = entry if "-" in entry else storage.read_text(spark, f"{path}/{LOG}/{entry}")
+        if named:
+            return named
+    return None
+
+
 def stored_path(spark: SparkSession, path: str) -> str:
     """Where the rows of a table are: its last committed version, else the path itself."""
-    entries = storage.children(spark, f"{path}/{LOG}", f"{VERSION}*")
-    return f"{path}/{entries[-1]}" if entries else path
+    committed = _committed(spark, path, _entries(spark, path))
+    return f"{path}/{committed}" if committed else path
+
+
+def table_version(spark: SparkSession, path: str) -> int:
+    """The number of the last log entry, 0 without one: what a later commit is based on."""
+    return max(map(_number, _entries(spark, path)), default=0)
 
 
 def remove_leftovers(spark: SparkSession, path: str) -> None:
     """Delete whatever is not the table: versions never committed or replaced, older entries, and
-    the days from before the first version."""
-    entries = storage.children(spark, f"{path}/{LOG}", f"{VERSION}*")
-    if not entries:
-        committed = None
-    else:
-        committed = entries[-1]
+    the days from before the first version.  A version that another run is writing stays."""
+    entries = _entries(spark, path)
+    committed = _committed(spark, path, entries)
+    if committed:
         for day in storage.children(spark, path, f"{DAY}=*"):
             storage.delete(spark, f"{path}/{day}")
+    running = set()
+    for mark in storage.children(spark, f"{path}/{RUNNING}"):
+        if storage.age(spark, f"{path}/{RUNNING}/{mark}") < LEASE_SECONDS:
+            running.add(mark)
+        else:
+            storage.delete(spark, f"{path}/{RUNNING}/{mark}")
     for version in storage.children(spark, path, f"{VERSION}[0-9]*"):
-        if version != committed:
+        if version != committed and version not in running:
             storage.delete(spark, f"{path}/{version}")
     for entry in entries[:-1]:
-        storage.delete(spark, f"{path}/{LOG}/{entry}")
+        if committed and _number(entry) < _number(committed):
+            storage.delete(spark, f"{path}/{LOG}/{entry}")
 
 
-def replace_table(frame: DataFrame, path: str) -> None:
+def replace_table(frame: DataFrame, path: str, base: int | None = None) -> None:
     """Replace a partitioned table by ``frame``, which may read that table.
 
     The rows go to a new version's folder; the log entry that makes it the table is the creation
-    of one file, so a reader and a crash see the old table or the new one.  Old versions are
-    removed after that, and again at the start of the next run.
+    of one file, so a reader and a crash see the old table or the new one.  ``base`` is the
+    ``table_version`` the frame was made from, by default the one of now; when another run has
+    committed on it meanwhile, ``CommitConflict`` is raised and nothing changes.  Old versions are
+    removed after the commit, and again at the start of the next run.
     """
     spark = frame.sparkSession
-    entries = storage.children(spark, f"{path}/{LOG}", f"{VERSION}*")
-    number = int(entries[-1][len(VERSION) :].split("-")[0]) + 1 if entries else 1
+    number = (table_version(spark, path) if base is None else base) + 1
     version = f"{VERSION}{number:010d}-{uuid.uuid4().hex}"
-    frame.write.partitionBy(DAY).parquet(f"{path}/{version}")
-    commit_version(spark, path, version)
+    mark = f"{path}/{RUNNING}/{version}"
+    storage.touch(spark, mark)
+    try:
+        frame.write.partitionBy(DAY).parquet(f"{path}/{version}")
+        commit_version(spark, path, version)
+    except Exception:
+        storage.delete(spark, f"{path}/{version}")
+        storage.delete(spark, mark)
+        raise
+    storage.delete(spark, mark)
     remove_leftovers(spark, path)
     spark.catalog.refreshByPath(path)
 
 
 def commit_version(spark: SparkSession, path: str, version: str) -> None:
-    storage.touch(spark, f"{path}/{LOG}/{version}")
+    """Create the entry of the version's number, which can be done once."""
+    entry = version.split("-")[0]
+    if not storage.create_new(spark, f"{path}/{LOG}/{entry}", version):
+        raise CommitConflict(f"{path}: another run has committed {entry}")
