@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from sluicework.functions.columns import quoted
 from sluicework.sources import storage
@@ -36,6 +37,40 @@ def highest_stored_key(spark: SparkSession, path: str, schema, name: str) -> int
     return found.agg(F.max(quoted(name)).alias("top")).first()["top"] or 0
 
 
+def range_clustered(frame: DataFrame, keys: DataFrame, key: str, parts: int) -> DataFrame:
+    """The rows in ``parts`` partitions of disjoint, about equally full key ranges, each sorted.
+
+    ``keys`` has the frame's keys, narrow and written, so that the ranges' limits are found without
+    evaluating the frame.  Written like this, a file spans one range, and a scan for a few keys reads
+    the files that have them.  Equal keys stay together, null keys come first.  Keys that are no
+    numbers have their limits sampled from the frame.
+    """
+    name = F.col(quoted(key))
+    if parts < 2:
+        return frame.repartition(1).sortWithinPartitions(name)
+    if not isinstance(keys.schema[key].dataType, NumericType):
+        return frame.repartitionByRange(parts, name).sortWithinPartitions(name)
+    shares = [i / parts for i in range(1, parts)]
+    found = keys.agg(F.percentile_approx(quoted(key), shares, 20 * parts).alias("limits")).first()
+    limits = sorted(set(found["limits"] or []))
+    # Two levels, so that a row is compared with about twice the root of the limits.
+    width = int(len(limits) ** 0.5) + 1
+    groups = [limits[i : i + width] for i in range(0, len(limits), width)] or [[]]
+    kind = keys.schema[key].dataType.simpleString()
+
+    def literal(values: list) -> str:
+        return f"array({', '.join(f'CAST({v} AS {kind})' for v in values)})"
+
+    column = quoted(key)
+    coarse = f"size(filter({literal([g[0] for g in groups[1:]])}, x -> x <= {column}))"
+    fine = f"array({', '.join(literal(g) for g in groups)})"
+    # The limits of earlier groups are all passed.
+    slot = F.expr(
+        f"{coarse} * {width} + size(filter(element_at({fine}, {coarse} + 1), x -> x <= {column}))"
+    )
+    return frame.repartitionById(parts, F.coalesce(slot, F.lit(0))).sortWithinPartitions(name)
+
+
 def dense_key(
     frame: DataFrame, order: list[str], name: str, staging: Staging, start: int = 0
 ) -> DataFrame:

@@ -15,7 +15,7 @@ from sluicework.contracts import DAY, TABLES, TableContract
 from sluicework.functions.metrics import observed
 from sluicework.operators.dimension import STORED_DAY, History, merge_history
 from sluicework.operators.facts import upsert_facts
-from sluicework.operators.keys import highest_stored_key
+from sluicework.operators.keys import highest_stored_key, range_clustered
 from sluicework.operators.quality import classify, quality_gate
 from sluicework.sources import storage
 from sluicework.sources.buckets import KeyedCopy
@@ -44,6 +44,8 @@ from sluicework.sources.writers import (
 # A stored byte takes about this many in a shuffle, which does well with partitions of this size.
 _EXPANSION = 4
 _PARTITION_BYTES = 128 << 20
+# Bronze bytes per file of a fact day.
+_FILE_BYTES = 256 << 20
 _PARTITIONS = "spark.sql.shuffle.partitions"
 
 
@@ -196,7 +198,9 @@ def run_silver(
                 rejects = rejects.unionByName(load.left_out, allowMissingColumns=True)
             refused = count + load.elsewhere_count
             written = side.submit(_write_rejected, rejects, refused, errors, snapshot_date)
-            rows = _replace_day(load.rows, path, snapshot_date)
+            # Files of one key range each, so that a read for some keys leaves the others out.
+            placed = range_clustered(load.rows, gated.keys, contract.key, moved // _FILE_BYTES + 1)
+            rows = _replace_day(placed, path, snapshot_date)
             copy.sync()
             written.result()
             return {"rows": rows, "rejected": count, "elsewhere": load.elsewhere_count}

@@ -2,14 +2,16 @@ from __future__ import annotations
 
 from datetime import date
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from rows import bronze, play
+from rows import bronze, play, write_drop
 
-from sluicework import PLAYS, cast_typed, dense_key, upsert_facts
+from sluicework import PLAYS, cast_typed, dense_key, run_bronze, run_silver, upsert_facts
 from sluicework.operators.facts import KEY_RANGES, key_ranges
-from sluicework.operators.keys import highest_key
+from sluicework.operators.keys import highest_key, range_clustered
+from sluicework.plans import jobs
 from sluicework.sources.storage import Staging, empty
 
 D1, D2 = "2026-03-01", "2026-03-02"
@@ -180,3 +182,48 @@ def test_new_keys_are_dense_on_top_of_the_table(spark, staging, two_days):
     fresh = sorted(r[0] for r in done.rows.where("play_sk > 5").select("play_sk").collect())
     assert fresh == list(range(6, 6 + 390))
     assert done.elsewhere_count == 3
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7, 40])
+def test_a_narrow_range_is_in_few_files(spark, tmp_path, parts):
+    frame = spark.range(0, 4000, 1, 8).selectExpr("(id * 2654435761) % 100003 AS k", "id AS v")
+    path = f"{tmp_path}/rows"
+    range_clustered(frame, frame.select("k"), "k", parts).write.parquet(path)
+    spans = []
+    for file in sorted(tmp_path.glob("rows/*.parquet")):
+        footer = pq.ParquetFile(file)
+        found = footer.metadata.row_group(0).column(0).statistics
+        spans.append((found.min, found.max, footer.metadata.num_rows))
+        keys = footer.read(["k"])["k"].to_pylist()
+        assert keys == sorted(keys)
+    spans.sort()
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    assert len(spans) == parts and max(s[2] for s in spans) <= 1.3 * 4000 / parts + 10
+    # Of a range of a fiftieth of the keys: at most two files, where hashing would need them all.
+    assert sum(low <= 52_000 and high >= 50_000 for low, high, _ in spans) <= 2
+    assert spark.read.parquet(path).exceptAll(frame).count() == 0
+
+
+def test_clustering_of_few_keys_null_keys_and_texts(spark):
+    few = spark.range(100).selectExpr("IF(id % 4 = 0, NULL, id % 3) AS k")
+    assert range_clustered(few, few, "k", 9).count() == 100
+    none = few.limit(0)
+    assert range_clustered(none, none, "k", 5).count() == 0
+    texts = few.selectExpr("CAST(k AS string) AS k")
+    assert range_clustered(texts, texts, "k", 3).count() == 100
+    big = spark.range(50).selectExpr("CAST(id AS decimal(20,2)) / 4 AS k")
+    assert range_clustered(big, big, "k", 6).count() == 50
+
+
+def test_a_fact_day_is_written_in_key_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "_FILE_BYTES", 2000)
+    rows = [play(str(k * 7919 % 1009), f"{D1}T01:00:00", "5") for k in range(1, 600)]
+    write_drop(tmp_path / "plays", D1, rows)
+    run_bronze(spark, PLAYS, str(tmp_path / "plays"), D1, f"{tmp_path}/bronze")
+    run_silver(spark, PLAYS, f"{tmp_path}/bronze/plays", D1, f"{tmp_path}/silver")
+    spans = []
+    for file in (tmp_path / "silver/plays").rglob("*.parquet"):
+        keys = pq.read_table(file, columns=["play_id"], partitioning=None)["play_id"].to_pylist()
+        spans.append((min(keys), max(keys)))
+    spans.sort()
+    assert len(spans) > 3 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
