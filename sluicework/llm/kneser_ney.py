@@ -43,9 +43,9 @@ LEAST_CALIBRATION = 20
 MOST_LANGUAGES = 10_000
 # Discounts of counts 1, 2, and 3 or more, where the counts of counts give none.
 FALLBACK = (0.5, 1.0, 1.5)
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # Text of a slice whose n-grams are joined as one, and the least number of slices.
-JOINED_BYTES = 128 << 20
+JOINED_BYTES = 64 << 20
 LEAST_SLICES = 6
 # A task sends what it has counted when it holds so many n-grams, and what it has packed by size.
 COUNTED_GRAMS = 4 << 20
