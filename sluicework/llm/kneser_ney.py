@@ -49,7 +49,7 @@ JOINED_BYTES = 64 << 20
 LEAST_SLICES = 6
 # A task sends what it has counted when it holds so many n-grams, and what it has packed by size.
 COUNTED_GRAMS = 4 << 20
-PACKED_BYTES = 32 << 20
+PACKED_BYTES = 8 << 20
 
 
 def _classes() -> np.ndarray:
