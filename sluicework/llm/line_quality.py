@@ -1,8 +1,9 @@
 """Quality rules: per-text counts, and lines that too many documents of a host repeat.
 
 ``line_quality`` works with DataFrame functions only.  Every text is looked at whole.  The counts
-need no shuffle.  Lines are counted per host and line by a combinable sum, so a line in a third of
-all documents is one row per task; the lines above the limit then meet the documents' lines in a
+need no shuffle.  A line counts its distinct documents per host: rows are first made one per host, line
+and document, spread by all three, and only their sums meet per line, so a line in a third of all
+documents is one row per task there; the lines above the limit then meet the documents' lines in a
 salted join, so such a line is spread over ``SALTS`` tasks.
 """
 
@@ -130,9 +131,9 @@ def frequent_lines(
     """``host, line_hash, line_check, n_docs`` of the lines above the limit of their host."""
     distinct = F.array_distinct(F.filter(_normal_lines(), lambda line: line != ""))
     counts = (
-        docs.select(_host(), F.explode(distinct).alias("line"))
+        docs.select("doc_id", _host(), F.explode(distinct).alias("line"))
         .groupBy("host", *_line_hash())
-        .agg(F.count("*").alias("n_docs"))
+        .agg(F.count_distinct("doc_id").alias("n_docs"))
     )
     hosts = docs.groupBy(_host()).agg(F.count("*").alias("host_docs"))
     return (
@@ -155,9 +156,9 @@ def line_quality(
     ``kept``: not failed, and at most ``depleted_percent`` of the words stand in lines that more
     documents of the host share than ``max(line_documents, line_percent of its documents)``.
 
-    A null or empty text has counts of 0 and fails.  A null source is a host of its own.  Every row
-    counts as a document, also a repeated one; rows with one ``doc_id`` are told apart by their
-    text.  Other columns are ignored.  Output: ``doc_id``, ``n_words``, ``word_chars``,
+    A null or empty text has counts of 0 and fails.  A null source is a host of its own.  Rows
+    with one ``doc_id`` count as one document for a line, rows without an id as none; of the host's
+    documents each row is one.  Rows with one ``doc_id`` are told apart by their text.  Other columns are ignored.  Output: ``doc_id``, ``n_words``, ``word_chars``,
     ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``, ``kept``,
     ``n_line_words`` (words in removed lines).
     """

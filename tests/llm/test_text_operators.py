@@ -278,8 +278,14 @@ def test_line_quality_against_brute_force(documents, prose):
 
 def test_line_quality_of_equal_rows_and_of_nothing(documents, prose):
     text = prose(1, 70)
-    twice = line_quality.line_quality(documents([(1, text)] * 6), line_documents=5).collect()
-    assert len(twice) == 6 and {r["n_line_words"] for r in twice} == {70}
+    one = line_quality.line_quality(documents([(1, text)] * 6), line_documents=5).collect()
+    assert len(one) == 6 and {r["n_line_words"] for r in one} == {0}
+    six = documents([(n, text) for n in range(6)])
+    found = line_quality.line_quality(six, line_documents=5).collect()
+    assert {r["n_line_words"] for r in found} == {70}
+    unknown = documents([(None, text)] * 6)
+    found = line_quality.line_quality(unknown, line_documents=5).collect()
+    assert len(found) == 6 and {r["n_line_words"] for r in found} == {0}
     assert line_quality.line_quality(documents([(1, "a")]).limit(0)).count() == 0
 
 
