@@ -43,7 +43,7 @@ LEAST_CALIBRATION = 20
 MOST_LANGUAGES = 10_000
 # Discounts of counts 1, 2, and 3 or more, where the counts of counts give none.
 FALLBACK = (0.5, 1.0, 1.5)
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 # Text of a slice whose n-grams are joined as one, and the least number of slices.
 JOINED_BYTES = 64 << 20
 LEAST_SLICES = 6
@@ -322,13 +322,18 @@ def _asked(packed: DataFrame) -> DataFrame:
     """``slice, key``: the distinct n-grams and contexts of all orders of each slice."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        seen: dict[int, np.ndarray] = {}
+        # The first array of a slice is its distinct codes so far; those that came since are merged
+        # when they are as many, so a code is sorted a few times only.
+        seen: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             for of, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for _, codes, _ in _chunks(block):
-                    distinct = codes.unique().to_numpy()
-                    seen[of] = np.union1d(seen.get(of, distinct[:0]), distinct)
-        for of, codes in seen.items():
+                    held = seen.setdefault(of, [])
+                    held.append(codes.unique().to_numpy())
+                    if sum(map(len, held[1:])) > len(held[0]):
+                        held[:] = [np.unique(np.concatenate(held))]
+        for of, held in seen.items():
+            codes = np.unique(np.concatenate(held))
             for size in range(BYTE_ORDER + 1):
                 grams = _order_keys(codes, size)[0] if size else np.zeros(1, np.int64)
                 after = _order_keys(codes, size + 1)[1] if size < BYTE_ORDER else grams[:0]
