@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from sluicework.sources.storage import Staging
 
-MOST_ROUNDS = 60
-
-
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """Links each node's larger (or not larger) neighbours to the least of its neighbourhood."""
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -27,7 +24,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 
 
 def components(
-    links: DataFrame, staging: Staging, most_rounds: int = MOST_ROUNDS
+    links: DataFrame, staging: Staging, most_rounds: int | None = None
 ) -> DataFrame:
     """``node, label`` for every node of ``links`` (``a``, ``b``): the least node it reaches.
 
@@ -40,16 +37,13 @@ def components(
     )
     sums = {"n": "count(*)", "total": "sum(cast(xxhash64(a, b) as decimal(38,0)))"}
     table, before = staging.measured_table(now.distinct(), **sums)
-    for _ in range(most_rounds):
-        if not before["n"]:
-            break
+    rounds = 0
+    while before["n"] and rounds != most_rounds:
+        rounds += 1
         table, after = staging.measured_table(_star(_star(table, True), False), **sums)
         if after == before:
             break
         before = after
-    else:
-        if most_rounds == MOST_ROUNDS:
-            raise RuntimeError(f"components did not settle in {MOST_ROUNDS} rounds")
     labels = table.select(F.col("a").alias("node"), F.col("b").alias("label"))
     own = table.select(F.col("b").alias("node"), F.col("b").alias("label"))
     return labels.union(own).groupBy("node").agg(F.min("label").alias("label"))

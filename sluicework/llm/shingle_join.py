@@ -15,7 +15,8 @@ it in either order is common, which spares the comparison in most other groups.
 Near copies would pair with each other in great number, so links come in rounds.  The first rounds
 look at the groups of each node's end shingles, the rarest and most common of its first ones: once
 for one pair per node with a leader of the group, once for one pair per node and other component,
-and once for all pairs of nodes of different components.  The last round looks at all groups, and
+and once for all pairs of nodes of different components.  Of the groups that two nodes meet in, only
+that of their least common end sends the pair.  The last round looks at all groups, and
 leaves out pairs with a common end shingle, which were looked at before.  A link that no round looks
 at lies within a component, so no component is lost.
 """
@@ -376,6 +377,15 @@ def _exceeds(bits: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray) ->
     return DENOMINATOR * overlap >= NUMERATOR * (n + sizes - overlap)
 
 
+_NO_END = np.iinfo(np.int64).max
+
+
+def _least_common(ends: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Per row of ``ends`` the least value that ``own`` has too; the largest number without one."""
+    both = (ends[:, :, None] == own[None, None, :]).any(2)
+    return np.where(both, ends, _NO_END).min(1)
+
+
 class _Band:
     """The nodes of a group whose bitmaps are of one width, in order of size."""
 
@@ -386,11 +396,18 @@ class _Band:
 
 
 def _leader_pairs(
-    node: np.ndarray, n: np.ndarray, label: np.ndarray, weight: np.ndarray, bitmaps: list[bytes]
+    node: np.ndarray,
+    n: np.ndarray,
+    label: np.ndarray,
+    bitmaps: list[bytes],
+    weight: np.ndarray,
+    ends: np.ndarray,
+    token: int,
 ) -> list[tuple[int, int, int, int]]:
     """Per node a pair with the weightiest leader within the bound; a node without one leads.
 
-    The node that shares most starting shingles is likeliest to be near all others.
+    The node that shares most starting shingles is likeliest to be near all others.  A pair whose
+    least common end is another than the group's ``token`` is left to that group or a later round.
     """
     out = []
     order = np.lexsort((node, -weight))
@@ -417,7 +434,7 @@ def _leader_pairs(
                     break
         if best is None:
             leaders.setdefault(width, []).append(int(i))
-        else:
+        elif _least_common(ends[best[2]][None, :], ends[i])[0] == token:
             out.append((int(node[i]), size, int(node[best[2]]), int(n[best[2]])))
     return out
 
@@ -440,14 +457,16 @@ def _pairs_in_group(
     label: np.ndarray,
     bitmaps: list[bytes],
     most: int | None,
-    left: np.ndarray | None = None,
     ends: np.ndarray | None = None,
+    token: int | None = None,
+    left: np.ndarray | None = None,
 ) -> list[tuple[int, int, int, int]]:
     """Pairs (node, n, earlier node, its n) within the bound, of nodes sorted by size.
 
     Per node ``most`` with each other label, or all.  Sizes in reach have bitmaps of one width or
-    of two that follow each other.  With ``left`` only pairs that can reach the threshold if the
-    group's shingle is their first; with ``ends`` only pairs without a common end.
+    of two that follow each other.  With ``ends`` and a ``token`` only pairs that have it as their
+    least common end; with ``ends`` alone only pairs without a common end.  With ``left`` only pairs
+    that can reach the threshold if the group's shingle is their first.
     """
     widths = np.array([len(b) // 8 for b in bitmaps])
     bands = {w: _Band(np.flatnonzero(widths == w), n, bitmaps) for w in np.unique(widths)}
@@ -472,8 +491,8 @@ def _pairs_in_group(
                     common = np.minimum(left[rows], left[i]).astype(np.int64)
                     open_pair &= _most_partner(n[rows], common) >= size
                 if ends is not None and open_pair.any():
-                    met = (ends[rows][:, :, None] == ends[i][None, None, :]).any((1, 2))
-                    open_pair &= ~met
+                    least_end = _least_common(ends[rows], ends[i])
+                    open_pair &= least_end == (_NO_END if token is None else token)
                 may = np.flatnonzero(open_pair)
                 if len(may):
                     some = slice(None) if len(may) == len(rows) else may
@@ -506,13 +525,13 @@ def _candidate_pairs(
                 if end - begin == 1:
                     continue
                 part = slice(begin, end)
-                group = (node[part], n[part], label[part])
+                group = (node[part], n[part], label[part], maps[part])
                 if most == LEADERS:
-                    found.update(_leader_pairs(*group, weight[part], maps[part]))
+                    found.update(_leader_pairs(*group, weight[part], ends[part], token[begin]))
                 elif which == "ends":
-                    found.update(_pairs_in_group(*group, maps[part], most))
+                    found.update(_pairs_in_group(*group, most, ends[part], token[begin]))
                 else:
-                    found.update(_pairs_in_group(*group, maps[part], most, left[part], ends[part]))
+                    found.update(_pairs_in_group(*group, most, ends[part], left=left[part]))
             columns = list(zip(*found, strict=True)) or [[], [], [], []]
             yield dict(zip(("a", "a_n", "b", "b_n"), columns, strict=True))
 

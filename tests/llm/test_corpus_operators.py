@@ -150,6 +150,25 @@ def test_shingle_join_of_nothing(documents):
     assert shingle_join.keep_first(nothing).count() == 0
 
 
+def test_a_pair_goes_out_in_the_group_of_its_least_common_end():
+    node, n = np.array([7, 8]), np.array([40, 40], np.int32)
+    maps = [shingle_join.bitmap(np.arange(40, dtype=np.uint64))] * 2
+    ends = np.array([[1, 2, 3, 4], [9, 4, 3, 2]])
+    for token, out in ((2, 1), (3, 0), (4, 0), (None, 0)):
+        assert len(shingle_join._pairs_in_group(node, n, node, maps, None, ends, token)) == out
+        if token is not None:
+            group = (node, n, node, maps, np.array([5, 5]), ends, token)
+            assert len(shingle_join._leader_pairs(*group)) == out
+    apart = np.array([[1, 1, 1, 1], [2, 2, 2, 2]])
+    assert len(shingle_join._pairs_in_group(node, n, node, maps, None, apart)) == 1
+
+
+def test_components_of_a_long_chain_settle(spark, staging):
+    links = spark.range(3000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    found = components.components(links, staging)
+    assert found.filter("label = 0").count() == 3001
+
+
 def test_bitmap_bound_loses_no_pair():
     rng = np.random.default_rng(1)
     for _ in range(300):
