@@ -40,7 +40,6 @@ QUANTILE = 0.99
 FOLDS, CALIBRATION = 4, 0
 # A language with fewer calibration documents takes the threshold of all.
 LEAST_CALIBRATION = 20
-MOST_LANGUAGES = 10_000
 # Discounts of counts 1, 2, and 3 or more, where the counts of counts give none.
 FALLBACK = (0.5, 1.0, 1.5)
 SLICE_BYTES = 4 << 20
@@ -431,22 +430,19 @@ def learnt_texts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return texts.join(ids.hint("merge"), "doc_id", "left_semi")
 
 
-def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> tuple[dict[str, float], float]:
-    """The largest perplexity to keep by language, and the one for all other languages."""
+def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> tuple[DataFrame, float]:
+    """``lang, most``: the largest perplexity to keep by language, and the one for all others."""
     at = F.percentile_approx("perplexity", quantile, 10_000).alias("most")
     known = scored.filter(F.col("perplexity").isNotNull())
-    rows = (
+    by_language = (
         known.filter(F.col("lang").isNotNull())
         .groupBy("lang")
         .agg(at, F.count("*").alias("n"))
         .filter(F.col("n") >= LEAST_CALIBRATION)
-        .limit(MOST_LANGUAGES + 1)
-        .collect()
+        .select("lang", "most")
     )
-    if len(rows) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     overall = known.agg(at).first()["most"]
-    return {row["lang"]: row["most"] for row in rows}, float("inf") if overall is None else overall
+    return by_language, float("inf") if overall is None else overall
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -466,12 +462,13 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     scored = staging.table(score(docs, staging.table(byte_model(counts, staging)), base))
     calibration = trusted.filter("calibration").select("doc_id")
     by_language, overall = thresholds(scored.join(calibration, "doc_id", "left_semi"), quantile)
-    limit: Column = F.lit(overall)
-    if by_language:
-        pairs = [F.lit(x) for pair in sorted(by_language.items()) for x in pair]
-        limit = F.coalesce(F.create_map(*pairs)[F.coalesce("lang", F.lit(""))], limit)
-    return scored.withColumn("threshold", limit).withColumn(
-        "kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False))
+    # A written table, whose size decides whether it is broadcast.
+    limits = staging.table(by_language)
+    return (
+        scored.join(limits, "lang", "left")
+        .withColumn("threshold", F.coalesce("most", F.lit(overall)))
+        .withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)))
+        .select(*scored.columns, "threshold", "kept")
     )
 
 
