@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluicework.llm.columns import let, positions, same_row, text_key
+from sluicework.sources.storage import Staging
 
 # The base kinds in their order, their patterns, and the least length of a match.
 ASSIGN = (
@@ -173,7 +174,8 @@ def judged_spans(
     Base spans all stay; an opaque run stays only if it is live.  ``by_owner``: what one owner alone
     has is live however many of its documents have it, and else repositories are distinct texts.
     """
-    found = candidates(docs, owner, repository)
+    # Texts are matched once; the candidates, few rows, are read for the counts and for the spans.
+    found = Staging(docs.sparkSession).table(candidates(docs, owner, repository))
     few = F.col("n_repositories") <= most_repositories
     if by_owner:
         few = few | (F.col("n_owners") == 1)
@@ -185,7 +187,7 @@ def judged_spans(
     )
     owned = KINDS.index("owned") + 1
     return (
-        salted.join(counts, ["secret", "salt"])
+        salted.join(counts.hint("merge"), ["secret", "salt"])
         .filter(F.col("live") | (F.col("rank") < owned))
         .groupBy("doc_id", "text_key")
         .agg(F.array_sort(F.collect_set(F.struct("start", "rank", "end", "live"))).alias("spans"))
