@@ -20,10 +20,14 @@ from sluicework.operators.quality import (
 from sluicework.plans.jobs import run_bronze, run_silver
 from sluicework.sources.readers import inspect, load_drop, read_day, read_table
 from sluicework.sources.buckets import KeyedCopy
-from sluicework.sources.writers import CommitConflict, replace_days, replace_table
+from sluicework.sources.catalog_tables import create_day_table, insert_days, publish_days
+from sluicework.sources.reservations import KeyReservation
+from sluicework.sources.writers import CommitConflict, DaySwap, replace_days, replace_table
 
 __all__ = [
     "CommitConflict",
+    "DaySwap",
+    "KeyReservation",
     "KeyedCopy",
     "PLAYS",
     "USERS",
@@ -32,12 +36,15 @@ __all__ = [
     "TableContract",
     "cast_typed",
     "classify",
+    "create_day_table",
     "deduplicate",
     "dense_key",
+    "insert_days",
     "inspect",
     "load_drop",
     "merge_history",
     "newest",
+    "publish_days",
     "quality_gate",
     "read_day",
     "read_table",

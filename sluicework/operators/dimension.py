@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -71,7 +72,7 @@ def merge_history(
     loaded: DataFrame,
     staging: Staging,
     *,
-    highest: int | None = None,
+    highest: int | Callable[[int], int] | None = None,
     order_guard: bool = False,
     stored_active: DataFrame | None = None,
 ) -> History:

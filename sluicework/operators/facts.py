@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -46,7 +46,7 @@ def upsert_facts(
     *,
     loaded_keys: DataFrame | None = None,
     key_range: tuple[Any, Any] | None = None,
-    highest: int | None = None,
+    highest: int | Callable[[int], int] | None = None,
     retain_missing: bool = False,
     days: Sequence[str | date] | None = None,
     stored_keys: DataFrame | None = None,
@@ -65,7 +65,8 @@ def upsert_facts(
 
     Everything up to the last join moves keys only.  ``loaded`` must have one row per key.  What
     the caller knows already (the loaded keys with their days, their range, the highest
-    surrogate) is not computed again.
+    surrogate) is not computed again.  ``highest`` may be a reservation that gives it for a number
+    of new keys (``KeyReservation``).
     """
     key, surrogate = contract.key, contract.surrogate
     keys = loaded_keys
@@ -73,7 +74,8 @@ def upsert_facts(
         keys = staging.table(loaded.select(F.col(quoted(key)), DAY))
     columns = [F.col(quoted(c)) for c in loaded.columns]
     if current.isEmpty():
-        fresh = dense_key(keys.select(F.col(quoted(key))), [key], surrogate, staging)
+        start = highest if callable(highest) else 0
+        fresh = dense_key(keys.select(F.col(quoted(key))), [key], surrogate, staging, start)
         rows = loaded.join(fresh, key).select(*columns, F.col(quoted(surrogate)))
         nothing = keys.select(F.col(quoted(key)), DAY, F.col(DAY).alias("held_by")).limit(0)
         return FactLoad(rows, nothing, 0, _left_out(key, loaded.limit(0), nothing))

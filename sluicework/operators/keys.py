@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -72,10 +74,16 @@ def range_clustered(frame: DataFrame, keys: DataFrame, key: str, parts: int) ->
 
 
 def dense_key(
-    frame: DataFrame, order: list[str], name: str, staging: Staging, start: int = 0
+    frame: DataFrame,
+    order: list[str],
+    name: str,
+    staging: Staging,
+    start: int | Callable[[int], int] = 0,
 ) -> DataFrame:
     """Number the rows ``start + 1, start + 2, ...`` along ``order``, which must be unique.
 
+    ``start`` may be a function that is told how many rows there are, such as ``KeyReservation``.
+
     A global ``row_number`` pulls every row through one task.  Here rows are range
     partitioned and sorted, each takes its slot (partition, position), and a partition's
     offset is the number of rows in the partitions before it: one shuffle, no global window.
@@ -83,11 +91,16 @@ def dense_key(
     a second evaluation.  The offsets are one row per range partition, hence the broadcast.
     """
     along = [F.col(quoted(c)) for c in order]
-    placed = staging.table(
+    slots = (
         frame.repartitionByRange(*along)
         .sortWithinPartitions(*along)
         .withColumn(_SLOT, F.monotonically_increasing_id())
     )
+    if callable(start):
+        placed, seen = staging.measured_table(slots, n="count(*)")
+        start = start(seen["n"] or 0)
+    else:
+        placed = staging.table(slots)
     part = F.shiftrightunsigned(_SLOT, _POSITION_BITS)
     position = F.col(_SLOT).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)

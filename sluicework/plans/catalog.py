@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
@@ -25,6 +26,7 @@ from sluicework.operators.quality import (
 from sluicework.plans import feeds, oracle
 from sluicework.plans.feeds import CUSTOMER_USERS, EVENT_PLAYS, SNAPSHOTS
 from sluicework.plans.jobs import run_bronze, run_silver, stored_keys
+from sluicework.sources.catalog_tables import create_day_table, insert_days, publish_days
 from sluicework.sources.readers import inspect, read_day, read_table
 from sluicework.sources import storage
 from sluicework.sources.storage import Staging, empty
@@ -526,6 +528,35 @@ def q_day_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replaced_day(spark, sf_dir, "ms_played <= 0")
 
 
+def _catalog_table(spark: SparkSession, folder: str) -> str:
+    """An empty plays table of the session catalog; returns its name."""
+    name = f"sluicework_{uuid.uuid4().hex}"
+    create_day_table(spark, name, EVENT_PLAYS.table_schema, folder)
+    return name
+
+
+def _inserted_day(spark: SparkSession, sf_dir: str, rows_of_day: str) -> DataFrame:
+    """As ``_replaced_day``, on a table of the session catalog."""
+    table, day = _catalog_table(spark, Staging(spark).folder()), feeds.FIRST_LOAD_UNTIL
+    publish_days(spark, EVENT_PLAYS, _stored_plays(spark, sf_dir), table)
+    same_day = spark.table(table).where(F.col(DAY) == F.lit(day).cast("date"))
+    insert_days(same_day.where(rows_of_day), table, [day])
+    return spark.table(table)
+
+
+@_query(
+    f"{oracle.STORED_PLAYS} SELECT * FROM stored"
+    f" WHERE snapshot_date <> {_ONE_DAY} OR NOT late_arriving_data"
+)
+def q_catalog_day_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _inserted_day(spark, sf_dir, "NOT late_arriving_data")
+
+
+@_query(f"{oracle.STORED_PLAYS} SELECT * FROM stored WHERE snapshot_date <> {_ONE_DAY}")
+def q_catalog_day_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _inserted_day(spark, sf_dir, "ms_played <= 0")
+
+
 @_query(f"{oracle.TWO_DAYS} SELECT * FROM dim")
 def q_dimension_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = Staging(spark)
@@ -714,6 +745,57 @@ def q_landed_all_corrupt_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.table()
 
 
+@_query(f"{_LANDED} SELECT * {_NO_PROVENANCE} FROM rows2")
+def q_published_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both drops, and the first again with broken lines only, as a catalog table follows them."""
+    landing = Landing(spark, sf_dir)
+    table = _catalog_table(spark, Staging(spark).folder())
+    for day in PLAY_DROPS:
+        landing.load(day, landing.lines_of(day), publish=table)
+    broken = landing.lines_of(PLAY_DROPS[0]).withColumn("value", F.expr("substring(value, 1, 9)"))
+    landing.load(PLAY_DROPS[0], broken, publish=table)
+    return spark.table(table).drop(*_PROVENANCE)
+
+
+# Both events of a repeated key are in one half.
+_HALF = "CAST(floor((event_id + 1) / 41) AS bigint) % 2"
+_HALVES = f"WITH {oracle.RAW_PLAYS}," + ",".join(
+    f"half{n} AS (SELECT * REPLACE (DATE '{day}' AS snapshot_date,"
+    " TIMESTAMP '2024-02-01 00:00:00' AS ingested_at, 'drop' AS source_file)"
+    f" FROM raw_plays WHERE event_id % 47 <> 0 AND {_HALF} = {n}),"
+    + oracle.gated_plays(f"half{n}", f"load{n}")
+    for n, day in enumerate(PLAY_DROPS)
+)
+
+
+@_query(
+    f"{_HALVES} SELECT snapshot_date, count(*) AS n_rows, count(*) AS n_keys, count(*) AS key_span"
+    " FROM (SELECT * FROM load0 UNION ALL SELECT * FROM load1) GROUP BY ROLLUP (snapshot_date)"
+)
+def q_loads_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops loaded at once: each has a dense run of surrogates, and so has the table."""
+    landing = Landing(spark, sf_dir)
+    for n, day in enumerate(PLAY_DROPS):
+        _drop(landing.lines.where(f"{_HALF} = {n}"), f"{landing.source}/{day}")
+        run_bronze(spark, EVENT_PLAYS, landing.source, day, landing.bronze)
+
+    def load(day: str) -> None:
+        run_silver(spark, EVENT_PLAYS, f"{landing.bronze}/plays", day, landing.silver)
+
+    with ThreadPoolExecutor(2) as side:
+        list(side.map(load, PLAY_DROPS))
+    spans = F.max("play_sk") - F.min("play_sk") + 1
+    return (
+        landing.table()
+        .rollup(DAY)
+        .agg(
+            F.count("*").alias("n_rows"),
+            F.count_distinct("play_sk").alias("n_keys"),
+            spans.alias("key_span"),
+        )
+    )
+
+
 @_query(
     f"{oracle.LINES} SELECT play_id, TIMESTAMP '2024-02-01 06:30:00' AS ingested_at,"
     f" '{PLAY_DROPS[-1]}' AS drop_folder, 'txt' AS file_suffix, DATE '{PLAY_DROPS[-1]}'"

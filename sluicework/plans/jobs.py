@@ -19,6 +19,7 @@ from sluicework.operators.keys import highest_stored_key, range_clustered
 from sluicework.operators.quality import classify, quality_gate
 from sluicework.sources import storage
 from sluicework.sources.buckets import KeyedCopy
+from sluicework.sources.catalog_tables import publish_days
 from sluicework.sources.readers import (
     BROKEN,
     KIND,
@@ -30,8 +31,11 @@ from sluicework.sources.readers import (
     read_table,
     scan_drop,
 )
+from sluicework.sources.reservations import KeyReservation
+from sluicework.sources.settings import setting
 from sluicework.sources.storage import Staging
 from sluicework.sources.writers import (
+    DaySwap,
     Landing,
     clear_table_day,
     remove_leftovers,
@@ -99,20 +103,6 @@ def _land(lines: DataFrame, folder: str) -> tuple[int, int]:
     return tuple((found or {}).get(kind, 0) for kind in (ROWS, BROKEN))
 
 
-@contextmanager
-def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    """A setting of the session for the length of a block."""
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
 def stored_keys(spark: SparkSession, contract: TableContract, silver_path: str) -> KeyedCopy:
     """What a load compares with, beside the table in buckets of its key: of facts every key with
     its surrogate, of a dimension the active rows' tracked columns and their start."""
@@ -151,12 +141,18 @@ def run_silver(
     order_guard: bool = False,
     whole_table: bool = False,
     keep_raw: bool = False,
+    publish: str | None = None,
 ) -> dict[str, int]:
     """Take one bronze day through the quality gate into the curated table and its quarantine.
 
     Facts replace their day; a key that another day holds goes to the quarantine.  A dimension
     is replaced in the days that hold a closed or a new version, or with ``whole_table`` as a
-    whole, in one step.  A day that bronze was never given raises, and changes nothing.
+    whole, in one step.  A day that bronze was never given raises, and changes nothing.  The
+    days that were replaced are then carried to the catalog table ``publish``, when one is named.
+
+    Loads of different days of one fact table may run side by side: each reserves its surrogates.
+    They do not see each other's keys, so drops that have a key in common go one after the other, as
+    do all loads of one dimension.
     """
     path = f"{silver_path}/{contract.name}"
     errors = f"{path}_errors"
@@ -168,19 +164,20 @@ def run_silver(
         sized_shuffles(spark, moved),
         Staging(spark) as staging,
         stored_keys(spark, contract, silver_path) as copy,
+        _reservation(spark, contract, path) as fresh_keys,
         ThreadPoolExecutor(2) as side,
     ):
         if contract.is_dimension:
             remove_leftovers(spark, path)
+            DaySwap(spark, stored_path(spark, path)).finish_earlier()
         base = table_version(spark, path)
         current = read_table(spark, path, contract.table_schema)
         synced = side.submit(copy.sync)
-        top = side.submit(
-            highest_stored_key, spark, path, contract.table_schema, contract.surrogate
-        )
+        looked = side.submit(fresh_keys.look)
         gated = quality_gate(contract, classify(contract, bronze, keep_raw), staging)
         rejects, count = gated.rejected, gated.rejected_count
         synced.result()
+        looked.result()
         if not contract.is_dimension:
             load = upsert_facts(
                 contract,
@@ -189,7 +186,7 @@ def run_silver(
                 staging,
                 loaded_keys=gated.keys,
                 key_range=gated.key_range,
-                highest=top.result(),
+                highest=fresh_keys,
                 retain_missing=retain_missing,
                 days=[snapshot_date],
                 stored_keys=copy.frame(),
@@ -203,6 +200,8 @@ def run_silver(
             rows = _replace_day(placed, path, snapshot_date)
             copy.sync()
             written.result()
+            if publish:
+                publish_days(spark, contract, path, publish, [snapshot_date])
             return {"rows": rows, "rejected": count, "elsewhere": load.elsewhere_count}
 
         merged = merge_history(
@@ -210,7 +209,7 @@ def run_silver(
             current,
             gated.accepted,
             staging,
-            highest=top.result(),
+            highest=fresh_keys,
             order_guard=order_guard,
             stored_active=copy.frame(),
         )
@@ -220,9 +219,12 @@ def run_silver(
         _write_rejected(rejects, count, errors, snapshot_date)
         if whole_table:
             replace_table(merged.arranged(), path, base)
+            touched = None
         else:
-            _replace_touched(merged, stored_path(spark, path), snapshot_date)
+            touched = _replace_touched(merged, stored_path(spark, path), snapshot_date)
         copy.sync()
+        if publish:
+            publish_days(spark, contract, path, publish, touched)
         return {
             "versions": merged.opened_count,
             "closed": merged.closed_count,
@@ -243,12 +245,20 @@ def _write_rejected(rejected: DataFrame, count: int, path: str, day: str) -> Non
         clear_table_day(rejected.sparkSession, path, day)
 
 
-def _replace_touched(merged: History, path: str, snapshot_date: str) -> None:
+def _replace_touched(merged: History, path: str, snapshot_date: str) -> list[str]:
     # One row per day of the table at most.
     stored = merged.closings.select(STORED_DAY).distinct().collect()
     days = sorted({str(row[STORED_DAY]) for row in stored} | {snapshot_date})
     touched = F.col(DAY).isin([date.fromisoformat(d) for d in days])
-    replace_days(merged.arranged(touched), path, days)
+    DaySwap(merged.closings.sparkSession, path).replace(merged.arranged(touched), days)
+    return days
+
+
+def _reservation(spark: SparkSession, contract: TableContract, path: str) -> KeyReservation:
+    def highest() -> int:
+        return highest_stored_key(spark, path, contract.table_schema, contract.surrogate)
+
+    return KeyReservation(spark, path, highest)
 
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -264,6 +274,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--order-guard", action="store_true")
     parser.add_argument("--whole-table", action="store_true")
     parser.add_argument("--keep-raw", action="store_true")
+    parser.add_argument("--publish", help="catalog table that gets the replaced days too")
     return parser.parse_args(argv)
 
 
@@ -291,6 +302,7 @@ def main(argv: Sequence[str] | None = None) -> None:
                 order_guard=given.order_guard,
                 whole_table=given.whole_table,
                 keep_raw=given.keep_raw,
+                publish=given.publish,
             )
         print(report)
     finally:

@@ -21,6 +21,9 @@ from sluicework.sources.writers import stored_path
 
 SEGMENT = "_segment"
 _MARKS = "_days"
+# A file per context that uses the copy, beside it; after so long its load is taken for dead.
+_USERS = "_users"
+LEASE_SECONDS = 7 * 24 * 3600
 # Rows of a bucket are joined in one task.
 BUCKET_BYTES = 256 << 20
 LEAST_BUCKETS = 8
@@ -40,7 +43,8 @@ class KeyedCopy:
     about as often as the logarithm of their number.
 
     Use it as a context: bucketed files are read through a table of the session catalog, which goes
-    when the context ends; the files stay.
+    when the context ends; the files stay.  Of several contexts side by side none removes files, as
+    another one may be reading or writing them; a later one does.
     """
 
     def __init__(
@@ -60,13 +64,27 @@ class KeyedCopy:
         self._table = ""
         self._buckets = 0
         self._marks: dict[str, tuple[str, str]] = {}  # day: (digest, segment)
+        self._user = ""
 
     def __enter__(self) -> KeyedCopy:
+        self._user = uuid.uuid4().hex
+        storage.touch(self._spark, f"{self.root}{_USERS}/{self._user}")
         return self
 
     def __exit__(self, *_: object) -> None:
+        storage.delete(self._spark, f"{self.root}{_USERS}/{self._user}")
         self._forget()
 
+    def _alone(self) -> bool:
+        users = f"{self.root}{_USERS}"
+        for other in storage.children(self._spark, users):
+            if other == self._user:
+                continue
+            if storage.age(self._spark, f"{users}/{other}") < LEASE_SECONDS:
+                return False
+            storage.delete(self._spark, f"{users}/{other}")
+        return True
+
     def _forget(self) -> None:
         if self._table:
             self._spark.sql(f"DROP TABLE IF EXISTS {self._table}")
@@ -139,10 +157,7 @@ class KeyedCopy:
         self._drop_marks([mark for mark in marks if self._marks.get(mark[0]) != mark[1:]])
         if len(self._segments()) > MOST_SEGMENTS:
             self._merge()
-        self._drop_dead()
-        for other in folders:
-            if other != self._buckets:
-                storage.delete(spark, f"{self.root}/b{other:08d}")
+        self._drop_dead(folders)
         return stale
 
     def _segments(self) -> dict[str, list[date]]:
@@ -193,11 +208,19 @@ class KeyedCopy:
         for mark in marks:
             storage.delete(self._spark, f"{self.folder}/{_MARKS}/{'~'.join(mark)}")
 
-    def _drop_dead(self) -> None:
-        live = {f"{SEGMENT}={segment}" for segment in self._segments()}
-        for name in storage.children(self._spark, self.folder, f"{SEGMENT}=*"):
+    def _drop_dead(self, folders: list[int]) -> None:
+        found = storage.children(self._spark, self.folder, f"{SEGMENT}=*")
+        # Asked after the listing: who starts later has none of these segments.
+        if not self._alone():
+            return
+        # Read after that: who has just ended has left its marks.
+        live = {f"{SEGMENT}={segment}" for _, _, segment in self._read_marks()}
+        for name in found:
             if name not in live:
                 storage.delete(self._spark, f"{self.folder}/{name}")
+        for other in folders:
+            if other != self._buckets:
+                storage.delete(self._spark, f"{self.root}/b{other:08d}")
 
     def _rows(self, segments: list[str]) -> DataFrame:
         days = self._segments()

@@ -125,6 +125,68 @@ class Landing:
         storage.delete(self._spark, folder)
 
 
+# Below a table, or the version that is the table: days being replaced together, a folder a load.
+SWAP = "_swap"
+
+
+class DaySwap:
+    """Several days of one table, staged below it and then moved into it.
+
+    A journal of empty files, one per day and then one that makes them valid, is written before
+    anything is moved.  A load that dies before that has changed nothing.  One that dies later leaves
+    some days old and some new, until the next load calls ``finish_earlier``: every staged folder
+    that is still there is moved, whatever has become of the run that made it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._spark, self._path = spark, path
+        self._root = f"{path}/{SWAP}"
+
+    def finish_earlier(self) -> None:
+        """Finish or drop what an earlier load has left."""
+        for name in storage.children(self._spark, self._root):
+            folder = f"{self._root}/{name}"
+            if storage.exists(self._spark, f"{folder}/{_READY}"):
+                self._move(folder)
+            else:
+                storage.delete(self._spark, folder)
+
+    def replace(self, frame: DataFrame, days: list[str]) -> None:
+        """Make each of ``days`` hold exactly the rows of ``frame``, also when that is no row.
+
+        The frame may read the table.  Rows of another day raise, and nothing changes.
+        """
+        folder = f"{self._root}/{uuid.uuid4().hex}"
+        try:
+            frame.write.partitionBy(DAY).parquet(f"{folder}/days")
+            staged = storage.children(self._spark, f"{folder}/days", f"{DAY}=*")
+            filled = {name.partition("=")[2] for name in staged}
+            if not filled <= set(days):
+                raise ValueError(f"rows of other days: {sorted(filled - set(days))}")
+        except Exception:
+            storage.delete(self._spark, folder)
+            raise
+        for day in days:
+            todo = _REPLACE if day in filled else _CLEAR
+            storage.touch(self._spark, f"{folder}/{_READY}-{todo}-{day}")
+        storage.touch(self._spark, f"{folder}/{_READY}")
+        self._move(folder)
+
+    def _move(self, folder: str) -> None:
+        for note in storage.children(self._spark, folder, f"{_READY}-*"):
+            todo, _, day = note[len(_READY) + 1 :].partition("-")
+            target, staged = f"{self._path}/{DAY}={day}", f"{folder}/days/{DAY}={day}"
+            if todo == _CLEAR:
+                storage.delete(self._spark, target)
+            elif storage.exists(self._spark, staged):
+                storage.delete(self._spark, target)
+                storage.rename(self._spark, staged, target)
+        # The mark goes first: a folder that is half deleted must not look valid and half empty.
+        storage.delete(self._spark, f"{folder}/{_READY}")
+        storage.delete(self._spark, folder)
+        self._spark.catalog.refreshByPath(self._path)
+
+
 def _number(name: str) -> int:
     return int(name[len(VERSION) :].split("-")[0])
 
