@@ -1,19 +1,28 @@
 """Main text of web pages, by template deduction over equivalence classes of tokens.
 
-Pages of one host come from one template.  A token is an element, or a whole block of text,
+Pages of one host come from a few templates.  A token is an element, or a whole block of text,
 together with its path of elements.  Its occurrence vector over the host's pages is summed up as
 the number of pages, the number of occurrences and a sum of page hashes, so vectors of any length
 are compared by three numbers that tasks can add up.  Tokens with one vector form an equivalence
-class.  A class is valid when it is large and frequent: enough tokens, in enough pages of differing
-text.  Valid classes nest along the paths of their elements, as an element is never in more pages
-than its parent; together they are the host's template.  Blocks of text in the template are its
-constants; what differs between pages fills its slots, and the slot that holds most of the host's
-text is the main one.
-
-A page's text is what fills the article's slots: blocks below ``article`` or ``main``, else below
-the host's main slot, else below the page's own largest slot; less constants and less what elements
-of other roles (menus, adverts, comments) hold.  Roles named on ``html``, ``body`` or ``main`` do
-not count, and those on or around all articles of a page do not empty it.
+class.  A class is valid when it is large and frequent (``LEAST_TOKENS``, ``LEAST_PAGES``,
+``PAGE_PERCENT``), in pages of differing text, and holds an element: text alone that always comes
+together is as well a text that was copied.  A class belongs to the pages that have its elements, so
+each layout of a host has classes of its own and none must be in most of the host's pages.
+
+Blocks of text in valid classes are a template's constants; what differs between pages fills its
+slots, a slot being an element with the text directly in it, weighed by the mean characters, less
+constants, that it holds in a page that has it.  Valid classes nest along the paths of their
+elements, as an element is never in more pages than its parent.  The main slot of a page is found
+down that nesting: from the whole page to the element below that holds more than half of the weight,
+as long as there is one.
+
+A page's text is what the main slot holds, all that is below it, less constants.  Blocks below
+``article`` or ``main`` are taken instead unless the host's template weighs the main slot outside
+of these more; of an article nothing is a constant, since texts of one host may share a title or a
+paragraph.  What elements of other roles (menus, adverts, comments) hold is left out in both.  A class
+name has the role of its head word: ``cookie-notice`` is a notice, ``notice-quote`` is none.  Roles
+named on ``html``, ``body`` or ``main`` do not count, and those on or around all articles of a page do
+not empty it.
 """
 
 from __future__ import annotations
@@ -62,10 +71,18 @@ OTHER_ROLES = frozenset(
     " subscription tags teaser toolbar topbar widget widgets".split()
 )
 
+# Words at the end of a class name that say what kind of box it is, and at its start what it has.
+BOX_WORDS = frozenset(
+    "area bar block body bottom box button buttons col column container content group holder inner"
+    " item items left link links list panel results right row section slot text title top unit"
+    " wrap wrapper".split()
+)
+STATE_WORDS = frozenset("has is no with without".split())
+
 # A class is frequent from so many pages, and from this share of the host's pages, and large from
-# so many tokens.
+# so many tokens.  By the share a host has at most 100 times the tokens of its average page.
 LEAST_PAGES = 5
-PAGE_PERCENT = 60
+PAGE_PERCENT = 1
 LEAST_TOKENS = 2
 # Template entries (16 bytes and more) up to which the templates go to every task.
 BROADCAST_ENTRIES = 300_000
@@ -81,6 +98,8 @@ _TOKENS = re.compile(
 )
 _ATTRIBUTES = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAMES = re.compile(r"[a-z]+")
+_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+_NUMBERED = re.compile(r"[0-9][A-Za-z0-9]*")
 
 
 class Block(NamedTuple):
@@ -99,15 +118,30 @@ class _Open(NamedTuple):
     inner: bool
 
 
+def _is_other(name: str) -> bool:
+    """Whether one class name, id or role says that an element holds no main text.
+
+    Words are told apart by signs, digits and capitals.  The last one that is more than a kind of
+    box decides, or all words written as one.
+    """
+    words = [w.lower() for w in _WORDS.findall(_NUMBERED.sub(" ", name))]
+    if not words or words[0] in STATE_WORDS:
+        return False
+    if "".join(words) in OTHER_ROLES:
+        return True
+    while words and words[-1] in BOX_WORDS:
+        words.pop()
+    return bool(words) and words[-1] in OTHER_ROLES
+
+
 def _roles(attributes: str) -> tuple[str, bool]:
     """The class names for the path, and whether a name has another role than main text."""
     label, other = "", False
     for found in _ATTRIBUTES.finditer(attributes):
-        value = (found[2] or found[3] or found[4] or "").lower()
-        names = set(_NAMES.findall(value))
-        other = other or not names.isdisjoint(OTHER_ROLES)
+        value = found[2] or found[3] or found[4] or ""
+        other = other or any(map(_is_other, value.split()))
         if found[1].lower() == "class":
-            label = "." + ".".join(sorted(names))
+            label = "." + ".".join(sorted(set(_NAMES.findall(value.lower()))))
     return label, other
 
 
@@ -192,28 +226,33 @@ def _slot(path: str) -> str:
 def page_tokens(pages: DataFrame) -> DataFrame:
     """A row per host and token: its occurrence vector in three sums, its characters, its kind.
 
-    Kinds: ``element``, ``text`` (a block with its path) and ``slot`` (where text that is of no
-    other role stands).
+    Kinds: ``element``, ``text`` (a block with its path; ``slot`` is the number of the element that
+    holds it) and ``slot`` (where text that is of no other role stands).  Characters of blocks of
+    another role are not counted.
     """
     modulus = 1 << 62
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             found: dict = defaultdict(lambda: [0, 0, 0, 0, 1 << 62, -(1 << 62)])
+            slots: dict = {}
             for host, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 blocks, opened = parse(page or "")
                 own = xxhash.xxh64_intdigest("\n".join(b.text for b in blocks)) % modulus
                 once: dict = defaultdict(lambda: [0, 0])
                 for path, n in opened.items():
-                    once["element", path, path][0] += n
+                    once["element", _number(path)][0] += n
                 for block in blocks:
-                    once["text", block.path, f"{block.path}\n{block.text}"][0] += 1
-                    if not block.other:
-                        slot = once["slot", _slot(block.path), _slot(block.path)]
-                        slot[0] += 1
-                        slot[1] += len(block.text)
-                for (kind, path, name), (n, chars) in once.items():
-                    row = found[host, kind, path if kind == "slot" else "", _number(name)]
+                    name = _number(f"{block.path}\n{block.text}")
+                    held = _number(_slot(block.path))
+                    slots[name] = held
+                    chars = 0 if block.other else len(block.text)
+                    places = [once["text", name]] + ([] if block.other else [once["slot", held]])
+                    for place in places:
+                        place[0] += 1
+                        place[1] += chars
+                for (kind, name), (n, chars) in once.items():
+                    row = found[host, kind, name]
                     row[0] += 1
                     row[1] += n
                     row[2] = (row[2] + own * n) % modulus
@@ -221,19 +260,21 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                     row[4] = min(row[4], own)
                     row[5] = max(row[5], own)
             keys, sums = list(zip(*found, strict=True)), list(zip(*found.values(), strict=True))
-            names = ("host", "kind", "path", "token")
             counts = ("n_pages", "n_times", "vector", "chars", "first_page", "last_page")
-            yield dict(zip(names, keys or [[]] * 4, strict=True)) | dict(
-                zip(counts, sums or [[]] * 6, strict=True)
+            yield (
+                dict(zip(("host", "kind", "token"), keys or [[]] * 3, strict=True))
+                | dict(zip(counts, sums or [[]] * 6, strict=True))
+                | {"slot": [slots[name] if kind == "text" else 0 for _, kind, name in found]}
             )
 
     rows = map_batches(
         pages.select("host", "html"),
-        "host string, kind string, path string, token bigint, n_pages bigint, n_times bigint,"
+        "host string, kind string, token bigint, slot bigint, n_pages bigint, n_times bigint,"
         " vector bigint, chars bigint, first_page bigint, last_page bigint",
         work,
     )
-    return rows.groupBy("host", "kind", "path", "token").agg(
+    return rows.groupBy("host", "kind", "token").agg(
+        F.min("slot").alias("slot"),
         F.sum("n_pages").alias("n_pages"),
         F.sum("n_times").alias("n_times"),
         F.expr(f"sum(cast(vector as decimal(38,0))) % {modulus}").alias("vector"),
@@ -244,10 +285,11 @@ def page_tokens(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame, staging: Staging) -> DataFrame:
-    """Per host with enough pages: ``constants`` (its template's blocks of text), ``main_slot``,
-    and the numbers of valid ``n_classes`` and ``n_entries``.
+    """Per host with enough pages: ``constants`` (numbers of its templates' blocks of text),
+    ``slots`` and ``weights`` (numbers of the slots and what they weigh, in one order), the number of
+    valid ``n_classes`` and of ``n_entries``.
 
-    What is collected per host is bounded by the tokens of its average page: a constant is in
+    What is collected per host is bounded by 100 times the tokens of its average page: a token is in
     ``PAGE_PERCENT`` of the pages at least.
     """
     tokens = staging.table(page_tokens(pages))
@@ -257,6 +299,7 @@ def templates(pages: DataFrame, staging: Staging) -> DataFrame:
         .join(hosts, "host")
         .filter(100 * F.col("n_pages") >= PAGE_PERCENT * F.col("host_pages"))
         .filter(F.col("first_page") != F.col("last_page"))
+        .drop("host_pages")
     )
     vector = ["host", "n_pages", "n_times", "vector"]
     classes = (
@@ -264,30 +307,72 @@ def templates(pages: DataFrame, staging: Staging) -> DataFrame:
         .groupBy(*vector)
         .agg(
             F.count("*").alias("n_tokens"),
-            F.collect_list(F.when(F.col("kind") == "text", F.col("token"))).alias("texts"),
-        )
-        .filter(F.col("n_tokens") >= LEAST_TOKENS)
-        .groupBy("host")
-        .agg(
-            F.array_sort(F.flatten(F.collect_list("texts"))).alias("constants"),
-            F.count("*").alias("n_classes"),
+            F.count_if(F.col("kind") == "element").alias("n_elements"),
+            F.collect_list(
+                F.when(F.col("kind") == "text", F.struct("token", "slot", "chars"))
+            ).alias("texts"),
         )
+        .filter((F.col("n_tokens") >= LEAST_TOKENS) & (F.col("n_elements") > 0))
+    )
+    # Written once: read for the constants and for what the slots hold without them.
+    valid = staging.table(classes.select("host", "texts"))
+    constants = valid.groupBy("host").agg(
+        F.array_sort(F.flatten(F.collect_list("texts.token"))).alias("constants"),
+        F.count("*").alias("n_classes"),
     )
+    fixed = (
+        valid.select("host", F.explode("texts").alias("text"))
+        .groupBy("host", F.col("text.slot").alias("token"))
+        .agg(F.sum("text.chars").alias("fixed"))
+    )
+    remaining = F.col("chars") - F.coalesce("fixed", F.lit(0))
     slots = (
         frequent.filter(F.col("kind") == "slot")
+        .join(fixed, ["host", "token"], "left")
         .groupBy("host")
-        .agg(F.max_by("path", F.struct("chars", "path")).alias("main_slot"))
+        .agg(
+            F.array_sort(
+                F.collect_list(F.struct("token", (remaining / F.col("n_pages")).alias("weight")))
+            ).alias("found")
+        )
+        .select(
+            "host", F.col("found.token").alias("slots"), F.col("found.weight").alias("weights")
+        )
     )
-    return classes.join(slots, "host", "full").withColumn(
-        "n_entries", F.coalesce(F.size("constants"), F.lit(0)) + 1
+    return constants.join(slots, "host", "full").withColumn(
+        "n_entries",
+        F.coalesce(F.size("constants"), F.lit(0)) + F.coalesce(F.size("slots"), F.lit(0)),
     )
 
 
-def extract(page: str, constants: frozenset[int], main_slot: str | None) -> str:
-    """The main text of one page under its host's template.
-
-    Where every article, or what is around it, has another role, these roles do not count if the
-    articles hold more text than all that has no other role.
+def _heaviest(weights: dict[str, float]) -> str:
+    """The element that the nesting leads to: down from the whole page to the element below that
+    holds more than half of the weight, as long as there is one."""
+    place = ""
+    while True:
+        below: Counter = Counter()
+        total = 0.0
+        start = len(place) + 1 if place else 0
+        for path, weight in weights.items():
+            if not place or f"{path}/".startswith(f"{place}/"):
+                total += weight
+                label = path[start:].partition("/")[0]
+                if label:
+                    below[label] += weight
+        label = max(below, key=lambda name: (below[name], name), default="")
+        if not label or 2 * below[label] <= total:
+            return place
+        place = f"{place}/{label}" if place else label
+
+
+def extract(
+    page: str, constants: frozenset[int], slots: dict[int, float] | None = None
+) -> str:
+    """The main text of one page under its host's template: its constants, its slots' weights.
+
+    A slot that the template does not have weighs what it holds here.  Where every article, or what
+    is around it, has another role, these roles do not count if the articles hold more text than all
+    that has no other role.
     """
     found = parse(page)[0]
     blocks = [b for b in found if not b.other]
@@ -296,15 +381,24 @@ def extract(page: str, constants: frozenset[int], main_slot: str | None) -> str:
         articles = [b for b in found if b.main and not b.inner]
         if sum(len(b.text) for b in articles) > sum(len(b.text) for b in blocks):
             inside = articles
-    if not inside and blocks:
-        slot = main_slot
-        if slot is None or not any(f"{b.path}/".startswith(f"{slot}/") for b in blocks):
-            sizes: Counter = Counter()
-            for b in blocks:
-                sizes[_slot(b.path)] += len(b.text)
-            slot = max(sizes, key=lambda s: (sizes[s], s))
-        inside = [b for b in blocks if not slot or f"{b.path}/".startswith(f"{slot}/")]
-    return "\n".join(b.text for b in inside if _number(f"{b.path}\n{b.text}") not in constants)
+    outside = [b for b in blocks if not b.main]
+    if outside and (slots or not inside):
+        weights = _weights(outside, slots)
+        place = _heaviest(weights)
+        held = [b for b in outside if not place or f"{b.path}/".startswith(f"{place}/")]
+        kept = [b for b in held if _number(f"{b.path}\n{b.text}") not in constants]
+        weight = sum(_weights(held, slots).values())
+        if not inside or kept and weight > sum(_weights(inside, slots).values()):
+            inside = kept
+    return "\n".join(b.text for b in inside)
+
+
+def _weights(blocks: list[Block], slots: dict[int, float] | None) -> dict[str, float]:
+    """The slots of these blocks with their weights."""
+    sizes: Counter = Counter()
+    for block in blocks:
+        sizes[_slot(block.path)] += len(block.text)
+    return {path: (slots or {}).get(_number(path), size) for path, size in sizes.items()}
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -333,10 +427,14 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            rows = zip(*(batch.column(i) for i in (2, 3, 4)), strict=True)
+            rows = zip(*(batch.column(i) for i in (2, 3, 4, 5)), strict=True)
             texts = [
-                extract(page.as_py() or "", frozenset(known.as_py() or ()), slot.as_py())
-                for page, known, slot in rows
+                extract(
+                    page.as_py() or "",
+                    frozenset(known.as_py() or ()),
+                    dict(zip(slots.as_py() or (), weights.as_py() or (), strict=True)),
+                )
+                for page, known, slots, weights in rows
             ]
             yield {
                 "page_id": batch.column(0),
@@ -346,7 +444,7 @@ def main_text(pages: DataFrame) -> DataFrame:
             }
 
     return map_batches(
-        joined.select("page_id", "url", "html", "constants", "main_slot"),
+        joined.select("page_id", "url", "html", "constants", "slots", "weights"),
         "page_id bigint, url string, text string, n_chars bigint",
         work,
     )

@@ -530,6 +530,116 @@ def test_template_finds_constants_and_the_main_slot(spark, prose):
     assert page_template.main_text(pages.limit(0)).count() == 0
 
 
+def test_an_article_keeps_what_it_shares_with_others(spark):
+    shared = "<h1>News of the day</h1><p>First shared words.</p><p>Second shared words.</p>"
+    rows = [
+        (n, "https://a.example/", page(f"<nav>menu</nav><article>{shared}<p>Only {n} differs.</p></article>"))
+        for n in range(8)
+    ]
+    found = page_template.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    want = "News of the day\nFirst shared words.\nSecond shared words.\nOnly %d differs."
+    assert {r["page_id"]: r["text"] for r in found.collect()} == {n: want % n for n in range(8)}
+
+
+def test_a_class_name_has_the_role_of_its_head():
+    body = "<div class='search-results-story'><p>Found at last</p></div>"
+    assert page_template.extract(page(body), frozenset()) == "Found at last"
+    body = (
+        "<article><p>One</p><div class='tags-of-history'>Two</div><blockquote class='notice-quote'>"
+        "Three</blockquote><div class='cookieNotice'>x</div><div id='ad-300x250'>x</div>"
+        "<ul class='comment-list'><li>x</ul><div class='content has-sidebar'>Four</div></article>"
+    )
+    assert page_template.extract(page(body), frozenset()) == "One\nTwo\nThree\nFour"
+
+
+def _layouts(prose, hosts=3, pages=24):
+    """Hosts of two even layouts without an article, one of them with banner lines in the slot."""
+    rows = []
+    for host in range(hosts):
+        for n in range(pages):
+            k = 1000 * host + 10 * n
+            text = "".join(f"<p>{prose(k + i, 12)}</p>" for i in range(1 + n % 3))
+            if n % 2:
+                body = f"<div class='story'><p>Banner of {host}</p><p>Line two</p>{text}</div><b>end</b>"
+            else:
+                body = (
+                    f"<table class='frame'><tr><td>Links</td></tr></table><div class='page'><div class"
+                    f"='lead'>{text}</div><div class='more'><h2>{prose(k + 7, 3)}</h2></div></div>"
+                )
+            if n % 5 == 0:
+                body += f"<div class='extra'><p>{prose(k + 8, 2)}</p></div>"
+            rows.append((len(rows), f"https://h{host}.example/{n}", page(body, f"title {n}")))
+    rows.append((len(rows), rows[1][1], rows[1][2]))
+    return rows
+
+
+def test_each_of_two_even_layouts_has_its_template(spark, prose):
+    rows = _layouts(prose)
+    found = page_template.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    for row in found.collect():
+        host, n = divmod(row["page_id"], 24) if row["page_id"] < 72 else (0, 1)
+        k = 1000 * host + 10 * n
+        want = [prose(k + i, 12) for i in range(1 + n % 3)]
+        assert row["text"].split("\n")[: len(want)] == want
+        assert "Banner" not in row["text"] and "Links" not in row["text"]
+
+
+def test_classes_and_slots_equal_brute_force(spark, prose, staging):
+    """Vectors held in full, classes by comparing them, slots by adding up page after page."""
+    rows = _layouts(prose)
+    rows += [(n, "https://few.example/", page(f"<div class='a'>same</div><p>{n}</p>")) for n in range(900, 904)]
+    rows += [(n, "https://same.example/", page("<div class='a'>same</div>")) for n in range(910, 920)]
+    hosts = {}
+    for n, url, text in rows:
+        hosts.setdefault(url.split("/")[2], []).append((n, page_template.parse(text)))
+    want, templates = {}, {}
+    for host, parsed in hosts.items():
+        vectors, holder, held, seen = {}, {}, {}, {}
+        for n, (blocks, opened) in parsed:
+            own = "\n".join(b.text for b in blocks)
+            for path, times in opened.items():
+                vectors.setdefault(("element", path), {})[n] = times
+                seen.setdefault(("element", path), set()).add(own)
+            for b in blocks:
+                token = ("text", b.path, b.text)
+                vector = vectors.setdefault(token, {})
+                vector[n] = vector.get(n, 0) + 1
+                seen.setdefault(token, set()).add(own)
+                holder[token] = b.path.rpartition("/")[0]
+                if not b.other:
+                    held.setdefault(holder[token], []).append((n, token, len(b.text), own))
+        def frequent(pages, own):
+            return len(pages) >= 5 and 100 * len(pages) >= len(parsed) and len(own) > 1
+        classes = {}
+        for token, vector in vectors.items():
+            if frequent(vector, seen[token]):
+                classes.setdefault(frozenset(vector.items()), []).append(token)
+        valid = [c for c in classes.values() if len(c) > 1 and any(t[0] == "element" for t in c)]
+        constants = {t for c in valid for t in c if t[0] == "text"}
+        slots = {}
+        for path, texts in held.items():
+            pages = {n for n, *_ in texts}
+            if frequent(pages, {own for *_, own in texts}):
+                slots[path] = sum(c for _, t, c, _ in texts if t not in constants) / len(pages)
+        number = page_template._number
+        if constants or slots or valid:
+            templates[host] = (
+                sorted(number(f"{p}\n{t}") for _, p, t in constants),
+                {number(p): w for p, w in slots.items()}, len(valid),
+            )
+        known, weights, _ = templates.get(host, ([], {}, 0))
+        for n, *_ in parsed:
+            text = next(r[2] for r in rows if r[0] == n)
+            want[n] = page_template.extract(text, frozenset(known), weights)
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = page_template.templates(frame.withColumn("host", F.split("url", "/")[2]), staging)
+    assert {
+        r["host"]: (r["constants"] or [], dict(zip(r["slots"] or [], r["weights"] or [])), r["n_classes"] or 0)
+        for r in found.collect()
+    } == templates
+    assert {r["page_id"]: r["text"] for r in page_template.main_text(frame).collect()} == want
+
+
 def test_templates_joined_by_shuffle_give_the_same(spark, monkeypatch):
     pages = stored(spark, "pages")
     one = {tuple(r) for r in page_template.main_text(pages).collect()}
