@@ -80,7 +80,10 @@ class KeyedCopy:
         for other in storage.children(self._spark, users):
             if other == self._user:
                 continue
-            if storage.age(self._spark, f"{users}/{other}") < LEASE_SECONDS:
+            age = storage.age(self._spark, f"{users}/{other}")
+            if age is None:  # ended since the listing
+                continue
+            if age < LEASE_SECONDS:
                 return False
             storage.delete(self._spark, f"{users}/{other}")
         return True
@@ -98,17 +101,24 @@ class KeyedCopy:
         """The catalog's table over the folder of so many buckets."""
         self._forget()
         self._buckets = buckets
-        self._table = f"sluicework_{uuid.uuid4().hex}"
+        self._table = self._bucketed(
+            self.folder, f", {SEGMENT} string", f" PARTITIONED BY ({SEGMENT})"
+        )
+        if storage.children(self._spark, self.folder, f"{SEGMENT}=*"):
+            self._spark.sql(f"ALTER TABLE {self._table} RECOVER PARTITIONS")
+
+    def _bucketed(self, folder: str, more: str = "", parted: str = "") -> str:
+        """A table of the session catalog over files in buckets of the key."""
+        name = f"sluicework_{uuid.uuid4().hex}"
         types = {f.name: f.dataType.simpleString() for f in self._schema}
         columns = ", ".join(f"{quoted(c)} {types[c]}" for c in self._columns)
-        key, location = quoted(self._key), self.folder.replace("'", "\\'")
+        key, location = quoted(self._key), folder.replace("'", "\\'")
         self._spark.sql(
-            f"CREATE TABLE {self._table} ({columns}, {SEGMENT} string) USING parquet"
-            f" PARTITIONED BY ({SEGMENT}) CLUSTERED BY ({key}) SORTED BY ({key})"
-            f" INTO {buckets} BUCKETS LOCATION '{location}'"
+            f"CREATE TABLE {name} ({columns}{more}) USING parquet{parted}"
+            f" CLUSTERED BY ({key}) SORTED BY ({key})"
+            f" INTO {self._buckets} BUCKETS LOCATION '{location}'"
         )
-        if storage.children(self._spark, self.folder, f"{SEGMENT}=*"):
-            self._spark.sql(f"ALTER TABLE {self._table} RECOVER PARTITIONS")
+        return name
 
     def _sources(self) -> dict[str, str]:
         """A digest of the names of each stored day's files; names are never used twice."""
@@ -132,7 +142,13 @@ class KeyedCopy:
 
     def _wanted_buckets(self, now: int) -> int:
         """As many as the copy needs; it is rebuilt only when four times as many are."""
-        held = storage.tree_size(self._spark, self.folder) if now else 0
+        held = 0
+        if now:
+            # Segments with a mark are whole; others may be in the making.
+            segments = {segment for _, _, segment in self._read_marks()}
+            held = sum(
+                storage.tree_size(self._spark, f"{self.folder}/{SEGMENT}={s}") for s in segments
+            )
         # Before there is a copy: a fourth of the table.
         held = held or storage.tree_size(self._spark, self._path) // 4
         wanted = LEAST_BUCKETS
@@ -169,11 +185,18 @@ class KeyedCopy:
 
     def _write(self, rows: DataFrame, days: dict[str, str]) -> None:
         segment = uuid.uuid4().hex
-        (
-            rows.select(*map(quoted, self._columns), F.lit(segment).alias(SEGMENT))
-            .repartition(self._buckets, F.col(quoted(self._key)))
-            .write.insertInto(self._table)
-        )
+        # A write commits by way of a folder below its table's; a table of the segment's own keeps
+        # that apart from the ones of loads side by side.
+        table = self._bucketed(f"{self.folder}/{SEGMENT}={segment}")
+        try:
+            (
+                rows.select(*map(quoted, self._columns))
+                .repartition(self._buckets, F.col(quoted(self._key)))
+                .write.insertInto(table)
+            )
+        finally:
+            self._spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._spark.sql(f"ALTER TABLE {self._table} ADD PARTITION ({SEGMENT} = '{segment}')")
         for day, digest in days.items():
             storage.touch(self._spark, f"{self.folder}/{_MARKS}/{day}~{digest}~{segment}")
             self._marks[day] = digest, segment

@@ -58,11 +58,14 @@ class KeyReservation:
         """The last key of a run, 0 when its load has ended or is dead."""
         entry = self._path(number)
         try:
-            while storage.age(self._spark, entry) < LEASE_SECONDS:
+            while True:
+                age = storage.age(self._spark, entry)
+                if age is None or age >= LEASE_SECONDS:
+                    break
                 text = storage.read_text(self._spark, entry)
                 if text:
                     return int(text)
-                if storage.age(self._spark, entry) > WRITE_SECONDS:
+                if age > WRITE_SECONDS:
                     break
                 time.sleep(0.05)
         except Py4JJavaError:

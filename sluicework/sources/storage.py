@@ -6,6 +6,7 @@ import re
 import tempfile
 import time
 import uuid
+from itertools import count
 from typing import Any
 
 from py4j.protocol import Py4JJavaError
@@ -16,6 +17,10 @@ from pyspark.sql.types import StructType
 from sluicework.functions.metrics import observed
 
 
+# Looks at a folder that others change.
+_TRIES = 20
+
+
 def _located(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -28,7 +33,8 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _located(spark, path)
-    if fs.exists(target) and not fs.delete(target, True):
+    # Someone else may delete it at the same time.
+    if fs.exists(target) and not fs.delete(target, True) and fs.exists(target):
         raise OSError(f"could not delete {path}")
 
 
@@ -76,10 +82,19 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def age(spark: SparkSession, path: str) -> float:
-    """Seconds since a file was written."""
+def _is_gone(error: Py4JJavaError) -> bool:
+    return "FileNotFoundException" in error.java_exception.toString()
+
+
+def age(spark: SparkSession, path: str) -> float | None:
+    """Seconds since a file was written, None when it is gone."""
     fs, target = _located(spark, path)
-    return time.time() - fs.getFileStatus(target).getModificationTime() / 1000
+    try:
+        return time.time() - fs.getFileStatus(target).getModificationTime() / 1000
+    except Py4JJavaError as error:
+        if not _is_gone(error):
+            raise
+        return None
 
 
 def children(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
@@ -97,7 +112,14 @@ def size(spark: SparkSession, path: str) -> int:
 def tree_size(spark: SparkSession, path: str) -> int:
     """Bytes of all files below a folder, 0 when there is none."""
     fs, target = _located(spark, path)
-    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+    for tries in count(1):
+        try:
+            return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+        except Py4JJavaError as error:
+            # A file that someone else has moved or deleted between its listing and its look-up.
+            if not _is_gone(error) or tries == _TRIES:
+                raise
+            time.sleep(0.1)
 
 
 STAGING_SETTING = "sluicework.staging.dir"

@@ -37,9 +37,12 @@ def _overwrite_days(frame: DataFrame, path: str) -> None:
 def clear_table_day(
     spark: SparkSession, path: str, day: str, keep_empty_table: bool = False
 ) -> None:
-    """Remove a day, and a table that has no day left unless it is to be kept."""
+    """Remove a day, and a table that has nothing left unless it is to be kept.
+
+    A load beside this one may be staging its own day below the path, which then stays.
+    """
     storage.delete(spark, f"{path}/{DAY}={day}")
-    if not keep_empty_table and not storage.children(spark, path, f"{DAY}=*"):
+    if not keep_empty_table and not set(storage.children(spark, path)) - {"_SUCCESS"}:
         storage.delete(spark, path)
 
 
@@ -229,7 +232,9 @@ def remove_leftovers(spark: SparkSession, path: str) -> None:
             storage.delete(spark, f"{path}/{day}")
     running = set()
     for mark in storage.children(spark, f"{path}/{RUNNING}"):
-        if storage.age(spark, f"{path}/{RUNNING}/{mark}") < LEASE_SECONDS:
+        age = storage.age(spark, f"{path}/{RUNNING}/{mark}")
+        # One that is gone since the listing may have been committed since.
+        if age is None or age < LEASE_SECONDS:
             running.add(mark)
         else:
             storage.delete(spark, f"{path}/{RUNNING}/{mark}")

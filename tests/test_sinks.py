@@ -25,6 +25,7 @@ from sluicework import (
 )
 from sluicework.sources import reservations, storage
 from sluicework.sources.buckets import KeyedCopy
+from sluicework.sources.writers import clear_table_day
 
 D1, D2, D3 = WEEK
 SCHEMA = "name string, n int, snapshot_date date"
@@ -331,3 +332,44 @@ def test_a_copy_in_use_is_not_swept(spark, tmp_path):
         last.sync()
         assert {r["n"] for r in last.frame().collect()} == {7, 8}
         assert len(storage.children(spark, last.folder, "_segment=*")) == 1
+
+
+def test_a_segment_leaves_the_writes_of_other_loads_alone(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    DaySwap(spark, path).replace(frame(spark, ("a", 1, D1)), [D1])
+    with KeyedCopy(spark, path, frame(spark).schema, "name", ["n"]) as copy:
+        copy.sync()
+        # A file that a task of a load beside this one has in the making.
+        making = f"{copy.folder}/_temporary/0/_temporary/attempt/part-0"
+        storage.touch(spark, making)
+        DaySwap(spark, path).replace(frame(spark, ("a", 7, D1), ("b", 8, D2)), [D1, D2])
+        copy.sync()
+        assert storage.exists(spark, making)
+        assert {r["n"] for r in copy.frame().collect()} == {7, 8}
+
+
+def test_a_load_that_ends_meanwhile_is_no_error(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    DaySwap(spark, path).replace(frame(spark, ("a", 1, D1)), [D1])
+    children = storage.children
+
+    def ended(session, folder, *pattern):
+        gone = ["ended"] if folder.endswith("_users") else []
+        return children(session, folder, *pattern) + gone
+
+    monkeypatch.setattr(storage, "children", ended)
+    with KeyedCopy(spark, path, frame(spark).schema, "name", ["n"]) as copy:
+        copy.sync()
+        assert {r["n"] for r in copy.frame().collect()} == {1}
+
+
+def test_clearing_the_last_day_leaves_a_day_in_the_making(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    storage.touch(spark, f"{path}/.spark-staging-1/part-0")
+    storage.touch(spark, f"{path}/snapshot_date={D1}/part-0")
+    clear_table_day(spark, path, D1)
+    assert storage.exists(spark, f"{path}/.spark-staging-1/part-0")
+    assert not storage.exists(spark, f"{path}/snapshot_date={D1}")
+    storage.delete(spark, f"{path}/.spark-staging-1")
+    clear_table_day(spark, path, D1)
+    assert not storage.exists(spark, path)
