@@ -9,11 +9,11 @@ outcome, as they are in the base score.
 The network is a gated recurrent unit over these symbols with a class-factored softmax: a class of
 head words, the end, or a tail class first, then a word of the class.  Its output biases start at the
 symbols' frequencies.  It learns by truncated backpropagation in numpy: ``ROUNDS`` passes over a share
-of the training documents each run every training document once, and every ``STRIDE`` steps the
-loss of the last ``WINDOW`` is propagated back through these.  All tasks of a round start from the
-same parameters and train on their own documents; then the parameters are averaged by tokens.  A
-text's score is the sum over all its tokens; the state goes on from window to window, from the
-text's start to its end.
+of the training documents each run every training document once, and the loss of every ``WINDOW``
+steps is propagated back through these; each token is in one window.  All tasks of a round start
+from the same parameters and train on their own documents; then the parameters are averaged by
+tokens.  A text's score is the sum over all its tokens; the state goes on from window to window,
+from the text's start to its end.
 
 Words are numbered within slices of ``SLICE_BYTES`` of text as they are read, so only a slice's
 distinct words meet the counts, and texts move as numbers.
@@ -54,8 +54,8 @@ TAIL_BYTES = 3
 STATE = 16
 ROUNDS = 4
 RATE = 0.03
-# Every STRIDE steps the loss of the last WINDOW is propagated back through these.
-STRIDE, WINDOW, LANES = 16, 8, 256
+# The loss of every WINDOW steps is propagated back through these.
+WINDOW, LANES = 16, 256
 LEARN_TOKENS = 1 << 20
 SCORE_WINDOW, SCORE_LANES = 16, 256
 SCORE_TOKENS = 4 << 20
@@ -161,7 +161,8 @@ def _output(model: Net, states: np.ndarray, symbols: np.ndarray, gradient: Net |
         gradient.classes[:] += states.T @ logits
         gradient.class_bias[:] += logits.sum(0)
     heads = np.flatnonzero((symbols >= 1) & (symbols <= HEAD))
-    heads = heads[np.argsort(of[heads], kind="stable")]
+    # Sorted by radix, as short integers are.
+    heads = heads[np.argsort(of[heads].astype(np.uint8), kind="stable")]
     edges = np.searchsorted(of[heads], np.arange(1, HEAD_CLASSES + 2))
     for k in range(HEAD_CLASSES):
         at = heads[edges[k] : edges[k + 1]]
@@ -189,9 +190,11 @@ def window_gradient(model: Net, state: np.ndarray, window: np.ndarray, gradient:
         states.append(state)
         state, *rest = _step(model, state, symbols)
         kept.append(rest)
-    logp, back = _output(model, np.concatenate(states), window.ravel(), gradient)
+    before = np.concatenate(states)
+    logp, back = _output(model, before, window.ravel(), gradient)
     back = back.reshape(steps, lanes, STATE)
     inputs = np.empty((steps, lanes, 3 * STATE), np.float32)
+    throughs = np.empty_like(inputs)
     later = np.zeros_like(state)
     for t in range(steps - 1, -1, -1):
         update, reset, memory, fresh, ends = kept[t]
@@ -200,11 +203,12 @@ def window_gradient(model: Net, state: np.ndarray, window: np.ndarray, gradient:
         by_update = later * (states[t] - fresh) * update * (1 - update)
         by_reset = by_fresh * memory * reset * (1 - reset)
         np.concatenate([by_update, by_reset, by_fresh], 1, out=inputs[t])
-        through = inputs[t].copy()
+        through = throughs[t]
+        through[:] = inputs[t]
         through[:, 2 * STATE :] *= reset
-        gradient.states[:] += states[t].T @ through
         later = later * update + through @ model.states.T + back[t]
-    flat = window.ravel()
+    gradient.states[:] += before.T @ throughs.reshape(-1, 3 * STATE)
+    flat = window.ravel().astype(np.uint16)
     order = np.argsort(flat, kind="stable")
     begins = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
     rows = inputs.reshape(-1, 3 * STATE)[order]
@@ -231,11 +235,8 @@ class Trainer:
         streams[: len(symbols)] = symbols
         streams = np.ascontiguousarray(streams.reshape(lanes, length).T)
         state = np.zeros((lanes, STATE), np.float32)
-        for begin in range(0, length, STRIDE):
-            stretch = streams[begin : begin + STRIDE]
-            for symbols in stretch[:-WINDOW]:
-                state = _step(self.model, state, symbols)[0]
-            window = stretch[-WINDOW:]
+        for begin in range(0, length, WINDOW):
+            window = streams[begin : begin + WINDOW]
             self._gradient.flat[:] = 0
             _, state = window_gradient(self.model, state, window, self._gradient)
             self._gradient.flat[:] /= window.size

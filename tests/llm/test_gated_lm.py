@@ -131,6 +131,24 @@ def test_chances_of_all_symbols_sum_to_one():
     assert np.exp(logp).sum() == pytest.approx(1)
 
 
+@pytest.mark.parametrize("n", [1, 7, 16, 5000, 9001])
+def test_every_token_is_in_one_trained_window(monkeypatch, n):
+    monkeypatch.setattr(gated_lm, "LANES", 8)
+    seen, gradient = [], gated_lm.window_gradient
+
+    def watched(model, state, window, into):
+        seen.append(window)
+        return gradient(model, state, window, into)
+
+    monkeypatch.setattr(gated_lm, "window_gradient", watched)
+    symbols = np.random.default_rng(n).integers(1, gated_lm.SYMBOLS, n)
+    start = gated_lm.first_net(np.bincount(symbols, minlength=gated_lm.SYMBOLS).astype(float))
+    gated_lm.Trainer(start.flat, gated_lm.RATE).learn(symbols)
+    trained = np.concatenate(seen).T.ravel()
+    assert (trained[:n] == symbols).all()
+    assert (trained[n:] == gated_lm.END).all()
+
+
 def test_training_learns_an_order_of_words():
     rng = random.Random(4)
     successor = {w: [rng.randint(1, 60) for _ in range(2)] for w in range(1, 61)}
