@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructType
 
 from sluicework.contracts import DAY, REASON, STAGE, TableContract
 from sluicework.functions.columns import (
@@ -48,11 +49,14 @@ class Deduplicated:
 
 @dataclass(frozen=True)
 class Gated:
+    """``row_bytes`` is about what all classified rows take in memory."""
+
     accepted: DataFrame
     rejected: DataFrame
     keys: DataFrame
     key_range: tuple[Any, Any]
     rejected_count: int
+    row_bytes: int
 
 
 def _typed(contract: TableContract, bronze: DataFrame, *extra: str) -> DataFrame:
@@ -209,6 +213,13 @@ def _split_by_key(
     return spread.join(light, key, "left_anti"), again
 
 
+def row_bytes(schema: StructType) -> str:
+    """SQL for about what a row takes in a task's memory: its fixed part and its texts."""
+    texts = [f for f in schema if isinstance(f.dataType, StringType | BinaryType)]
+    held = [f"coalesce(octet_length({quoted(f.name)}), 0)" for f in texts]
+    return " + ".join([f"{16 * len(schema) + _ENTRY_BYTES}L", *held])
+
+
 def quality_gate(contract: TableContract, classified: DataFrame, staging: Staging) -> Gated:
     """Split classified rows into one accepted row per key and everything else, with its reason.
 
@@ -216,7 +227,9 @@ def quality_gate(contract: TableContract, classified: DataFrame, staging: Stagin
     keys, for the repeated ones, for either output.  Rejected rows never reach the
     de-duplication, so a bad row cannot displace a good one and null keys do not pile up.
     """
-    rows, found = staging.measured_table(classified, rejected=f"count({STAGE})")
+    rows, found = staging.measured_table(
+        classified, rejected=f"count({STAGE})", bytes=f"sum({row_bytes(classified.schema)})"
+    )
     clean = rows.where(f"{STAGE} IS NULL").drop(REASON, STAGE)
     unique = deduplicate(clean, contract.key, contract.newest_first, staging, carry=(DAY,))
     duplicates = unique.duplicates.selectExpr(
@@ -230,4 +243,5 @@ def quality_gate(contract: TableContract, classified: DataFrame, staging: Stagin
         keys=unique.keys,
         key_range=unique.key_range,
         rejected_count=(found["rejected"] or 0) + unique.duplicate_count,
+        row_bytes=found["bytes"] or 0,
     )

@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.contracts import DAY, TABLES, TableContract
+from sluicework.functions.columns import quoted
 from sluicework.functions.metrics import observed
 from sluicework.operators.dimension import STORED_DAY, History, merge_history
 from sluicework.operators.facts import upsert_facts
 from sluicework.operators.keys import highest_stored_key, range_clustered
-from sluicework.operators.quality import classify, quality_gate
+from sluicework.operators.quality import classify, quality_gate, row_bytes
 from sluicework.sources import storage
 from sluicework.sources.buckets import KeyedCopy
 from sluicework.sources.catalog_tables import publish_days
@@ -48,7 +49,8 @@ from sluicework.sources.writers import (
 # A stored byte takes about this many in a shuffle, which does well with partitions of this size.
 _EXPANSION = 4
 _PARTITION_BYTES = 128 << 20
-# Bronze bytes per file of a fact day.
+# Rows of a file of a fact day are sorted in one task and take so much memory there, or about twice
+# as much with the sort.  Stored bytes tell little of that.
 _FILE_BYTES = 256 << 20
 _PARTITIONS = "spark.sql.shuffle.partitions"
 
@@ -196,7 +198,13 @@ def run_silver(
             refused = count + load.elsewhere_count
             written = side.submit(_write_rejected, rejects, refused, errors, snapshot_date)
             # Files of one key range each, so that a read for some keys leaves the others out.
-            placed = range_clustered(load.rows, gated.keys, contract.key, moved // _FILE_BYTES + 1)
+            keys, held = gated.keys.select(quoted(contract.key)), gated.row_bytes
+            if retain_missing:
+                stored = current.where(F.col(DAY) == F.lit(snapshot_date).cast("date"))
+                keys = keys.union(stored.select(quoted(contract.key)))
+                total = F.expr(f"sum({row_bytes(stored.schema)})").alias("bytes")
+                held += stored.agg(total).first()["bytes"] or 0
+            placed = range_clustered(load.rows, keys, contract.key, held // _FILE_BYTES + 1)
             rows = _replace_day(placed, path, snapshot_date)
             copy.sync()
             written.result()

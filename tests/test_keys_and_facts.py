@@ -227,3 +227,21 @@ def test_a_fact_day_is_written_in_key_ranges(spark, tmp_path, monkeypatch):
         spans.append((min(keys), max(keys)))
     spans.sort()
     assert len(spans) > 3 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_a_day_that_compresses_well_is_sorted_in_several_tasks(spark, tmp_path, monkeypatch):
+    def refine(day_rows, **options):
+        write_drop(tmp_path / "plays", D1, day_rows)
+        run_bronze(spark, PLAYS, str(tmp_path / "plays"), D1, f"{tmp_path}/bronze")
+        run_silver(spark, PLAYS, f"{tmp_path}/bronze/plays", D1, f"{tmp_path}/silver", **options)
+        files = [pq.read_table(f) for f in (tmp_path / "silver/plays").rglob("*.parquet")]
+        return sorted(f.num_rows for f in files)
+
+    # Bronze bytes would make a few files, what the rows take in memory makes more.
+    monkeypatch.setattr(jobs, "_FILE_BYTES", 40_000)
+    rows = [play(str(k), f"{D1}T01:00:00", "5") for k in range(1, 2001)]
+    found = refine(rows)
+    assert sum(found) == 2000 and max(found) < 300
+    # Also when the rows that stay are stored ones.
+    found = refine([play("9", f"{D1}T01:00:00", "-1")], retain_missing=True)
+    assert sum(found) == 2000 and max(found) < 300
