@@ -49,6 +49,8 @@ LEAST_SLICES = 6
 # A task sends what it has counted when it holds so many n-grams, and what it has packed by size.
 COUNTED_GRAMS = 4 << 20
 PACKED_BYTES = 8 << 20
+# Keys of a slice go out in parts of so many.
+SENT_KEYS = 1 << 18
 
 
 def _classes() -> np.ndarray:
@@ -332,12 +334,18 @@ def _asked(packed: DataFrame) -> DataFrame:
                     if sum(map(len, held[1:])) > len(held[0]):
                         held[:] = [np.unique(np.concatenate(held))]
         for of, held in seen.items():
-            codes = np.unique(np.concatenate(held))
-            for size in range(BYTE_ORDER + 1):
-                grams = _order_keys(codes, size)[0] if size else np.zeros(1, np.int64)
-                after = _order_keys(codes, size + 1)[1] if size < BYTE_ORDER else grams[:0]
-                keys = np.union1d(grams, after)
-                yield {"slice": np.full(len(keys), of, np.int32), "key": keys}
+            # The distinct n-grams of an order have all those of the lower ones in them.
+            grams = np.unique(np.concatenate(held))
+            held.clear()
+            for size in range(BYTE_ORDER, -1, -1):
+                keys = grams
+                if size < BYTE_ORDER:
+                    keys = grams >> 8
+                    grams = np.unique(grams & ((1 << (8 * size)) - 1))
+                    keys = np.union1d(keys, grams)
+                for begin in range(0, len(keys), SENT_KEYS):
+                    sent = keys[begin : begin + SENT_KEYS] + (size << KEY_SHIFT)
+                    yield {"slice": np.full(len(sent), of, np.int32), "key": sent}
 
     return map_batches(packed, "slice int, key bigint", work)
 
