@@ -42,7 +42,8 @@ FOLDS, CALIBRATION = 4, 0
 LEAST_CALIBRATION = 20
 # Discounts of counts 1, 2, and 3 or more, where the counts of counts give none.
 FALLBACK = (0.5, 1.0, 1.5)
-SLICE_BYTES = 4 << 20
+# Text that is made into n-grams at once; a worker holds some ten times as much.
+SLICE_BYTES = 1 << 20
 # Text of a slice whose n-grams are joined as one, and the least number of slices.
 JOINED_BYTES = 64 << 20
 LEAST_SLICES = 6
@@ -125,15 +126,22 @@ def byte_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``code, n`` of the n-grams of bytes over all texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # The first arrays are summed; those that came since are added when they are as many.
+        codes, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for batch in batches:
             texts = [(t or "").encode() for t in batch.column(0).to_pylist()]
             for rows in _slices(texts):
                 new, n = np.unique(byte_codes([texts[i] for i in rows])[0], return_counts=True)
-                codes, counts = _summed(np.append(codes, new), np.append(counts, n))
-                if len(codes) > COUNTED_GRAMS:
-                    yield {"code": codes, "n": counts}
-                    codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                codes.append(new)
+                counts.append(n)
+                if sum(map(len, codes[1:])) <= len(codes[0]):
+                    continue
+                summed = _summed(np.concatenate(codes), np.concatenate(counts))
+                codes[:], counts[:] = [summed[0]], [summed[1]]
+                if len(codes[0]) > COUNTED_GRAMS:
+                    yield {"code": codes[0], "n": counts[0]}
+                    codes[0], counts[0] = codes[0][:0], counts[0][:0]
+        codes, counts = _summed(np.concatenate(codes), np.concatenate(counts))
         yield {"code": codes, "n": counts}
 
     found = map_batches(docs.select(text), "code bigint, n bigint", work)
@@ -375,13 +383,21 @@ def score(docs: DataFrame, model: DataFrame, base: np.ndarray) -> DataFrame:
         by_key = np.argsort(hits["key"].to_numpy())
         table = [hits[name].to_numpy()[by_key] for name in ("key", "own", "weight")]
         out = []
+        # The slice's n-grams so far in order, and the bits of each.
+        seen, bits = np.zeros(0, np.int64), np.zeros(0)
         for block in blocks["block"].to_pylist():
             for rows, codes, lengths in _chunks(block):
                 coded = codes.dictionary_encode()
                 distinct = coded.dictionary.to_numpy()
                 order = np.argsort(distinct)
+                asked = distinct[order]
+                at = np.searchsorted(seen, asked)
+                fresh = np.append(seen, -1)[at] != asked
+                new = asked[fresh]
+                more = -np.log2(np.maximum(chances(new, *table), 1e-12))
+                seen, bits = np.insert(seen, at[fresh], new), np.insert(bits, at[fresh], more)
                 cost = np.empty(len(distinct))
-                cost[order] = -np.log2(np.maximum(chances(distinct[order], *table), 1e-12))
+                cost[order] = bits[np.searchsorted(seen, asked)]
                 place = coded.indices.to_numpy()
                 perplexity = np.full(len(lengths), np.nan)
                 filled = np.flatnonzero(lengths)

@@ -9,6 +9,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -425,6 +426,19 @@ def test_perplexity_is_of_unfolded_bytes_against_dictionaries(spark, documents,
     assert found[101] > 2 * found[100]
 
 
+def test_a_block_is_made_into_ngrams_in_small_parts(prose):
+    """A worker holds several numbers per byte of a part, so a part is 1 MiB of text at most."""
+    texts = [prose(n, 3000) for n in range(300)]
+    assert sum(map(len, texts)) > 4 << 20
+    table = pa.table({"doc_id": range(300), "text": texts})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    parts = list(kneser_ney._chunks(sink.getvalue().to_pybytes()))
+    assert [i for rows, _, _ in parts for i in rows["doc_id"].to_pylist()] == [*range(300)]
+    assert max(len(codes) for _, codes, _ in parts) <= 1 << 20
+
+
 def test_quality_keeps_trusted_text_and_drops_noise(spark, documents, prose, monkeypatch):
     monkeypatch.setattr(kneser_ney, "LEAST_CALIBRATION", 5)
     docs = [(n, prose(n, 80), "en" if n % 2 else "de") for n in range(200)]
