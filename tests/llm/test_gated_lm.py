@@ -175,3 +175,11 @@ def test_held_out_documents_of_the_query(spark):
     check_base(rows, [tuple(r) for r in docs])
     held = [r for r in rows if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_a_step_keeps_arrays_of_their_own():
+    """Columns of a wider array make every later operation on them several times slower."""
+    model = gated_lm.first_net(np.ones(gated_lm.SYMBOLS))
+    state = np.zeros((8, gated_lm.STATE), np.float32)
+    kept = gated_lm._step(model, state, np.arange(8))[:5]
+    assert all(part.flags.c_contiguous for part in kept)
