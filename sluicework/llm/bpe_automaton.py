@@ -11,13 +11,15 @@ transition table.
 
 Every accepted path spells a text by its one BPE encoding, and every state accepts, so each prefix
 of a word has one accepted path.  Encoding goes over the word's bytes from left to right and
-keeps, per prefix, the label of the last arc; decoding emits the labels of the arcs.
+keeps, per prefix, the label of the last arc; the labels that end a prefix are found down a trie of
+labels read from their ends.  Decoding emits the labels of the arcs.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -47,6 +49,23 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+@lru_cache(maxsize=1)
+def latin_split() -> re.Pattern:
+    """``SPLIT`` for texts of Latin-1 alone, whose classes the standard library matches faster."""
+    every = "".join(map(chr, range(256)))
+
+    def ranges(kind: str) -> str:
+        return "".join(
+            f"{re.escape(run[0])}-{re.escape(run[-1])}" for run in regex.findall(f"{kind}+", every)
+        )
+
+    letter, number, space = map(ranges, (r"\p{L}", r"\p{N}", r"\s"))
+    return re.compile(
+        rf"'(?:s|t|re|ve|m|ll|d)| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+"
+        rf"|[{space}]+(?![^{space}])|[{space}]+"
+    )
+
+
 class Automaton:
     """States and arcs from an ordered list of merges; ``labels`` are the ids' byte strings."""
 
@@ -56,11 +75,22 @@ class Automaton:
         self._rank: dict[tuple[int, int], int] = {}
         self._parts: dict[int, tuple[int, int]] = {}
         self._made: dict[int, int] = {i: BASE for label, i in ids.items() if len(label) == 1}
-        self._arcs: dict[int, bool] = {}
+        self._arcs_kept = 0
         self._live: dict[bytes, int] = {label: i for label, i in ids.items() if len(label) == 1}
         for rank, (left, right) in enumerate(merges):
             self._gadget(rank, left, right)
-        self._longest = max(map(len, self._live), default=1)
+        # Per byte the label read to here, whether it follows a label, and the bytes before it.
+        self._arcs: list[dict[int, bool]] = []
+        self._ends: dict[int, list] = {}
+        for label, i in self._live.items():
+            below = self._ends
+            for byte in reversed(label):
+                node = below.get(byte)
+                if node is None:
+                    node = below[byte] = [None, None, {}]
+                below = node[2]
+            node[:2] = i, {}
+            self._arcs.append(node[1])
 
     def _gadget(self, rank: int, left: bytes, right: bytes) -> None:
         u, v, uv = self.ids[left], self.ids[right], self.ids[left + right]
@@ -96,12 +126,16 @@ class Automaton:
                 a, time = self._parts[a][1], made_a
 
     def follows(self, a: int, b: int) -> bool:
-        key = a << 32 | b
-        found = self._arcs.get(key)
-        if found is None:
-            if len(self._arcs) >= ARCS_KEPT:
-                self._arcs.clear()
-            found = self._arcs[key] = self._allowed(a, b, len(self._rank))
+        return self._allowed(a, b, len(self._rank))
+
+    def _kept(self, a: int, b: int, arcs: dict[int, bool]) -> bool:
+        """``follows``, kept in the transition table's part for ``b``."""
+        if self._arcs_kept >= ARCS_KEPT:
+            for part in self._arcs:
+                part.clear()
+            self._arcs_kept = 0
+        self._arcs_kept += 1
+        found = arcs[a] = self.follows(a, b)
         return found
 
     def encode(self, word: bytes) -> tuple[int, ...]:
@@ -109,18 +143,21 @@ class Automaton:
         whole = self._live.get(word)
         if whole is not None:
             return (whole,)
-        live, arcs, longest = self._live.get, self._arcs.get, self._longest
+        ends = self._ends
         last = [0] * (len(word) + 1)
         start = [0] * (len(word) + 1)
         for end in range(1, len(word) + 1):
-            for begin in range(end - 1, max(0, end - longest) - 1, -1):
-                label = live(word[begin:end])
+            begin, below = end, ends
+            while begin:
+                begin -= 1
+                label, arcs, below = below[word[begin]]
                 if label is None:
                     continue
                 if begin:
-                    arc = arcs(last[begin] << 32 | label)
+                    before = last[begin]
+                    arc = arcs.get(before)
                     if arc is None:
-                        arc = self.follows(last[begin], label)
+                        arc = self._kept(before, label, arcs)
                     if not arc:
                         continue
                 last[end], start[end] = label, begin
@@ -133,16 +170,25 @@ class Automaton:
 
 
 class Words(dict):
-    """Pre-split words and their ids; emptied when it holds ``WORDS_KEPT``."""
+    """Pre-split words and their ids.
+
+    Half of ``WORDS_KEPT`` are those asked for since the last change, the other half stood here
+    before it, so frequent words stay.
+    """
 
     def __init__(self, automaton: Automaton) -> None:
         super().__init__()
         self._encode = automaton.encode
+        self._older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= WORDS_KEPT:
+        if len(self) >= WORDS_KEPT // 2:
+            self._older = dict(self)
             self.clear()
-        path = self[word] = self._encode(word.encode())
+        path = self._older.get(word)
+        if path is None:
+            path = self._encode(word.encode())
+        self[word] = path
         return path
 
 
@@ -167,12 +213,17 @@ class Codec:
         }
         self.digits = {i: str(i) for i in self.labels}
         self._words = Words(self.automaton)
-        self._split = regex.compile(SPLIT).findall
+        self._split, self._latin_split = regex.compile(SPLIT).findall, latin_split().findall
         found = sorted(map(regex.escape, self._special), key=len, reverse=True)
         self._cut = regex.compile(f"({'|'.join(found)})").split if found else None
 
     def _plain(self, text: str) -> Iterator[int]:
-        return chain.from_iterable(map(self._words.__getitem__, self._split(text)))
+        try:
+            text.encode("latin-1")
+            split = self._latin_split
+        except UnicodeEncodeError:
+            split = self._split
+        return chain.from_iterable(map(self._words.__getitem__, split(text)))
 
     def encode(self, text: str) -> list[int]:
         if self._cut is None or not any(t in text for t in self._special):

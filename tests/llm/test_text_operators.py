@@ -99,6 +99,28 @@ def test_codec_equals_the_library():
         assert codec.decode(expected) == theirs.decode(expected, skip_special_tokens=False)
 
 
+def test_latin_split_equals_the_public_pattern():
+    rng = random.Random(8)
+    ours, theirs = bpe_automaton.latin_split().findall, regex.compile(SPLIT).findall
+    for code in range(256):
+        text = f"a{chr(code)} {chr(code)}1{chr(code)}{chr(code)} '{chr(code)}"
+        assert ours(text) == theirs(text)
+    for _ in range(3000):
+        text = "".join(chr(rng.choice([rng.randrange(256), 32, 10, 39, 115])) for _ in range(20))
+        assert ours(text) == theirs(text)
+
+
+def test_frequent_words_are_encoded_once(monkeypatch):
+    """New words without end do not make the codec forget a word that every text has."""
+    monkeypatch.setattr(bpe_automaton, "WORDS_KEPT", 40)
+    codec, asked = Codec(catalog.BPE_FILE), Counter()
+    words = bpe_automaton.Words(codec.automaton)
+    words._encode = lambda word: asked.update([word]) or codec.automaton.encode(word)
+    for n in range(1000):
+        assert words["hello"] == words["hello"] and words[f"new{n}"]
+    assert asked[b"hello"] == 1 and sum(asked.values()) == 1001
+
+
 def plain_bpe(word, merges):
     parts = [bytes([b]) for b in word]
     ranks = {pair: n for n, pair in enumerate(merges)}
