@@ -6,10 +6,10 @@ n) + 1`` shingles in any common order of shingles; the order puts shingles of ma
 and by hash otherwise.  Shingles that start in no two documents are dropped after a count.
 
 Nodes that share a starting shingle are compared in one group, sorted by size and cut into tiles: a
-tile of nodes meets only the tiles whose sizes can reach the threshold.  A node's bitmap has a bit
-per hash value of its shingles; bits that only one of two bitmaps has are shingles that only one
-set has, so they bound the overlap from above.  Pairs within the bound are verified by intersecting
-the sorted sets.  If the shared shingle is the first that two sets share, no more than what follows
+tile of nodes meets only the tiles whose sizes can reach the threshold.  A bit of a node's bitmap
+tells whether an odd number of its shingles fall on it; what two sets share cancels out, so there
+are as many shingles in one set only as bits that differ, at least, which bounds the overlap from
+above.  Pairs within the bound are verified by intersecting the sorted sets.  If the shared shingle is the first that two sets share, no more than what follows
 it in either order is common, which spares the comparison in most other groups.
 
 Near copies would pair with each other in great number, so links come in rounds.  The first rounds
@@ -17,8 +17,10 @@ look at the groups of each node's end shingles, the rarest and most common of it
 for one pair per node with a leader of the group, once for one pair per node and other component,
 and once for all pairs of nodes of different components.  Of the groups that two nodes meet in, only
 that of their least common end sends the pair.  The last round looks at all groups, and
-leaves out pairs with a common end shingle, which were looked at before.  A link that no round looks
-at lies within a component, so no component is lost.
+leaves out pairs with a common end shingle, which were looked at before.  A row takes along which
+shingles of its node come before its own and meet others too, so only the group of the first shingle
+that two nodes share sends their pair.  A link that no round looks at lies within a component, so no
+component is lost.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicework.llm.arrow import map_batches, small
@@ -52,6 +54,10 @@ ENDS = 2
 LEADERS = 0
 ROUNDS = (("ends", LEADERS), ("ends", 1), ("ends", None), ("all", None))
 TILE = 512
+# Rows of a group that each row is compared with before bitmaps are sent.
+NEIGHBOURS = 32
+# Shingles before its own that a row takes along, the first ones of its node.
+BEFORE_KEPT = 32
 
 _FACTORS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -104,11 +110,11 @@ def prefix_size(n: int) -> int:
 
 
 def bitmap(found: np.ndarray) -> bytes:
-    """Two to four bits per shingle, a power of two, one of them set."""
-    bits = max(64, 1 << int(2 * len(found) - 1).bit_length())
+    """One to two bits per shingle, a power of two; each shingle flips one of them."""
+    bits = max(64, 1 << int(len(found) - 1).bit_length())
     out = np.zeros(bits // 8, np.uint8)
     at = (found & np.uint64(bits - 1)).astype(np.int64)
-    np.bitwise_or.at(out, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    np.bitwise_xor.at(out, at >> 3, (1 << (at & 7)).astype(np.uint8))
     return out.tobytes()
 
 
@@ -323,6 +329,40 @@ def _most_partner(n: np.ndarray, left: np.ndarray) -> np.ndarray:
     return share * left.astype(np.int64) // NUMERATOR - n
 
 
+def _has_partner(
+    group: np.ndarray, n: np.ndarray, label: np.ndarray, left: np.ndarray, end: np.ndarray
+) -> np.ndarray:
+    """Which rows, sorted by group and size, have a partner in their group: of another label, of a
+    size in reach, with enough left in both orders, and not an end of both.
+
+    Rows with more than ``NEIGHBOURS`` larger nodes in reach count as having one, and so do these.
+    """
+    found = np.zeros(len(group), bool)
+    sizes, left = n.astype(np.int64), left.astype(np.int64)
+    share = NUMERATOR + DENOMINATOR
+    rows = np.arange(len(group))
+    for step in range(1, NEIGHBOURS + 2):
+        rows = rows[: np.searchsorted(rows, len(group) - step)]
+        others = rows + step
+        near = (group[rows] == group[others]) & _in_reach(sizes[rows], sizes[others])
+        rows, others = rows[near], others[near]
+        if not len(rows):
+            return found
+        if step > NEIGHBOURS:
+            break
+        both = share * np.minimum(left[rows], left[others])
+        fits = both >= NUMERATOR * (sizes[rows] + sizes[others])
+        fits &= (label[rows] != label[others]) & ~(end[rows] & end[others])
+        found[rows[fits]] = True
+        found[others[fits]] = True
+    spread = group.astype(np.int64) << 32
+    most = DENOMINATOR * sizes[rows] // NUMERATOR
+    last = np.searchsorted(spread | sizes, spread[rows] | most, side="right")
+    size = len(group) + 1
+    inside = np.cumsum(np.bincount(rows, minlength=size) - np.bincount(last, minlength=size))
+    return found | (inside[:-1] > 0)
+
+
 def _with_neighbours(rows: DataFrame, anywhere: bool) -> DataFrame:
     """The rows that may have a partner in their group: another component's node of a size in
     reach, and, unless ``anywhere``, one small enough for what is left of the row's order, in a
@@ -356,6 +396,7 @@ def _with_neighbours(rows: DataFrame, anywhere: bool) -> DataFrame:
                 keep &= high - low > (most >= sizes)
                 # Nodes that all have the shingle as an end have met before.
                 keep &= np.bincount(group, keep & ~end, int(group[-1]) + 1)[group] > 0
+                keep &= _has_partner(group, n, label, left, end)
             values = (x[keep] for x in (token, node, n, label, left))
             yield dict(zip(_ROW_NAMES, values, strict=True))
 
@@ -365,15 +406,13 @@ def _with_neighbours(rows: DataFrame, anywhere: bool) -> DataFrame:
 
 def _folded(bits: np.ndarray, size: int) -> np.ndarray:
     """A bitmap at a smaller power of two, as hashing to that size would have made it."""
-    return np.bitwise_or.reduce(bits.reshape(-1, size), 0)
+    return np.bitwise_xor.reduce(bits.reshape(-1, size), 0)
 
 
 def _exceeds(bits: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Whether the bound lets one set reach the threshold with each of the others."""
-    count = np.bitwise_count
-    only = count(bits & ~others).sum(1, dtype=np.int64)
-    theirs = count(others & ~bits).sum(1, dtype=np.int64)
-    overlap = np.minimum(n - only, sizes - theirs)
+    apart = np.bitwise_count(bits ^ others).sum(1, dtype=np.int64)
+    overlap = np.minimum((n + sizes - apart) // 2, np.minimum(n, sizes))
     return DENOMINATOR * overlap >= NUMERATOR * (n + sizes - overlap)
 
 
@@ -460,13 +499,15 @@ def _pairs_in_group(
     ends: np.ndarray | None = None,
     token: int | None = None,
     left: np.ndarray | None = None,
+    before: list[list[int]] | None = None,
 ) -> list[tuple[int, int, int, int]]:
     """Pairs (node, n, earlier node, its n) within the bound, of nodes sorted by size.
 
     Per node ``most`` with each other label, or all.  Sizes in reach have bitmaps of one width or
     of two that follow each other.  With ``ends`` and a ``token`` only pairs that have it as their
     least common end; with ``ends`` alone only pairs without a common end.  With ``left`` only pairs
-    that can reach the threshold if the group's shingle is their first.
+    that can reach the threshold if the group's shingle is their first.  Pairs with a common
+    shingle ``before`` the group's are left to that one's group.
     """
     widths = np.array([len(b) // 8 for b in bitmaps])
     bands = {w: _Band(np.flatnonzero(widths == w), n, bitmaps) for w in np.unique(widths)}
@@ -498,6 +539,9 @@ def _pairs_in_group(
                     some = slice(None) if len(may) == len(rows) else may
                     bound = _exceeds(bits, size, band.bits[tile][some], band.n[tile][some])
                     near.extend(rows[may[bound]])
+        if before is not None and near and before[i]:
+            apart = set(before[i]).isdisjoint
+            near = [j for j in near if apart(before[j])]
         if not near:
             continue
         found = np.array(near)
@@ -507,18 +551,37 @@ def _pairs_in_group(
     return out
 
 
+def _with_before(rows: DataFrame) -> DataFrame:
+    """The rows with the tokens ``before`` theirs in the node's order that it has rows of, at most
+    the first ``BEFORE_KEPT``."""
+    of_node = Window.partitionBy("node", "n").orderBy(F.desc("left"))
+    first = F.when(F.col("nth") <= BEFORE_KEPT, F.col("token"))
+    whole = of_node.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (
+        rows.withColumn("nth", F.row_number().over(of_node))
+        .withColumn("before", F.collect_list(first).over(whole))
+        .withColumn("before", F.slice("before", 1, F.col("nth") - 1))
+        .drop("nth")
+    )
+
+
 def _candidate_pairs(
     rows: DataFrame, signatures: DataFrame, which: str, most: int | None
 ) -> DataFrame:
     """Distinct pairs ``a, a_n, b, b_n`` of nodes that share a token and stay within the bound."""
+    sent = [*_ROW_NAMES, "weight", "bitmap", "ends"]
+    if which == "all":
+        rows = _with_before(rows)
+        sent.append("before")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for table in _groups(batches, [*_ROW_NAMES, "weight", "bitmap", "ends"]):
+        for table in _groups(batches, sent):
             token, node, n, label, left = (table[c].to_numpy() for c in _ROW_NAMES)
             weight = table["weight"].to_numpy()
             maps = table["bitmap"].to_pylist()
             ends = np.frombuffer(b"".join(table["ends"].to_pylist()), np.int64)
             ends = ends.reshape(-1, 2 * ENDS)
+            before = table["before"].to_pylist() if which == "all" else None
             starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
             found: set = set()
             for begin, end in zip(starts, [*starts[1:], len(token)], strict=True):
@@ -531,14 +594,18 @@ def _candidate_pairs(
                 elif which == "ends":
                     found.update(_pairs_in_group(*group, most, ends[part], token[begin]))
                 else:
-                    found.update(_pairs_in_group(*group, most, ends[part], left=left[part]))
+                    found.update(
+                        _pairs_in_group(
+                            *group, most, ends[part], left=left[part], before=before[part]
+                        )
+                    )
             columns = list(zip(*found, strict=True)) or [[], [], [], []]
             yield dict(zip(("a", "a_n", "b", "b_n"), columns, strict=True))
 
     joined = rows.join(signatures, ["node", "n"])
     ordered = joined.repartition("token").sortWithinPartitions("token", "n", "node")
     pairs = map_batches(
-        ordered.select(*_ROW_NAMES, "weight", "bitmap", "ends"),
+        ordered.select(*sent),
         "a bigint, a_n int, b bigint, b_n int",
         work,
     )

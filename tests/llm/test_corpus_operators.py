@@ -164,6 +164,56 @@ def test_a_pair_goes_out_in_the_group_of_its_least_common_end():
     assert len(shingle_join._pairs_in_group(node, n, node, maps, None, apart)) == 1
 
 
+def test_shingle_join_sends_a_pair_from_its_first_shared_shingle_only(spark):
+    # Nodes 1 and 2 share the shingles 5, 9 and 7, in this order; node 3 has the last one.
+    rows = [(5, 1, 30, 1, 30), (9, 1, 30, 1, 28), (7, 1, 30, 1, 27), (4, 2, 30, 2, 30)]
+    rows += [(5, 2, 30, 2, 29), (9, 2, 30, 2, 28), (7, 2, 30, 2, 27), (7, 3, 30, 3, 29)]
+    maps = bytes(shingle_join.bitmap(np.arange(30, dtype=np.uint64)))
+    nodes = [(i, 30, 1, maps, np.arange(10 * i, 10 * i + 4).tobytes()) for i in (1, 2, 3)]
+    rows = spark.createDataFrame(rows, shingle_join._ROW).repartition(4, "node")
+    near = shingle_join._with_before(rows)
+    found = {(r["token"], r["node"]): r["before"] for r in near.collect()}
+    assert found[5, 1] == [] and found[7, 1] == [5, 9] and found[7, 2] == [4, 5, 9]
+    assert len(found) == 8
+    for token, pairs in ((5, [(2, 1)]), (9, []), (7, [(3, 1), (3, 2)])):
+        of = sorted(i for t, i in found if t == token)
+        ids, n = np.array(of), np.full(len(of), 30)
+        out = shingle_join._pairs_in_group(
+            ids, n, ids, [maps] * len(of), None, np.array([[10 * i] for i in of]),
+            left=n, before=[found[token, i] for i in of],
+        )
+        assert sorted((a, b) for a, _, b, _ in out) == pairs
+    signatures = spark.createDataFrame(
+        nodes, "node bigint, n int, weight int, bitmap binary, ends binary"
+    )
+    sent = shingle_join._candidate_pairs(rows, signatures, "all", None)
+    assert {(r["a"], r["b"]) for r in sent.collect()} == {(1, 2), (1, 3), (2, 3)}
+
+
+@pytest.mark.parametrize("neighbours", [2, 32])
+def test_shingle_join_rows_with_a_partner(monkeypatch, neighbours):
+    monkeypatch.setattr(shingle_join, "NEIGHBOURS", neighbours)
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        group, n = np.sort(rng.integers(0, 6, 40)), rng.integers(10, 40, 40)
+        n = n[np.lexsort((n, group))]
+        label, end = rng.integers(0, 3, 40), rng.random(40) < 0.5
+        left = n - rng.integers(0, 8, 40)
+        exact = np.array([
+            any(
+                group[i] == group[j] and label[i] != label[j] and not (end[i] and end[j])
+                and 5 * min(n[i], n[j]) >= 4 * max(n[i], n[j])
+                and 9 * min(left[i], left[j]) >= 4 * (n[i] + n[j])
+                for j in range(40)
+            )
+            for i in range(40)
+        ])
+        found = shingle_join._has_partner(group, n, label, left, end)
+        assert (found >= exact).all()
+        if neighbours == 32:
+            assert (found == exact).all() and not found.all()
+
+
 def test_components_of_a_long_chain_settle(spark, staging):
     links = spark.range(3000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     found = components.components(links, staging)
