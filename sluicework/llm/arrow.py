@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
@@ -21,6 +23,16 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.Re
             yield batch.slice(begin, rows)
 
 
+def give_back() -> None:
+    """Returns memory that this worker has freed to the machine; it serves many tasks, and what its
+    allocators keep would count for as long as it lives."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def map_batches(
     frame: DataFrame,
     schema: str,
@@ -47,5 +59,6 @@ def map_batches(
                 for field, column in ((f, columns[f.name]) for f in arrow)
             ]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        give_back()
 
     return frame.mapInArrow(run, names)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluicework.llm.arrow import map_batches
+from sluicework.llm.arrow import give_back, map_batches
 from sluicework.llm.bit_filter import BitFilter
 from sluicework.sources.storage import Staging
 
@@ -43,7 +43,7 @@ LEAST_CALIBRATION = 20
 # Discounts of counts 1, 2, and 3 or more, where the counts of counts give none.
 FALLBACK = (0.5, 1.0, 1.5)
 # Text that is made into n-grams at once; a worker holds some ten times as much.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 # Text of a slice whose n-grams are joined as one, and the least number of slices.
 JOINED_BYTES = 64 << 20
 LEAST_SLICES = 6
@@ -318,7 +318,7 @@ def _packed(docs: DataFrame, slices: int) -> DataFrame:
     return map_batches(asked, "slice int, block binary", work).repartition(slices, "slice")
 
 
-def _chunks(block: bytes) -> Iterator[tuple[pa.Table, pa.Array, np.ndarray]]:
+def _chunks(block: pa.Buffer) -> Iterator[tuple[pa.Table, pa.Array, np.ndarray]]:
     """Parts of a block's rows with the n-grams that end at their bytes, and the texts' lengths."""
     table = pa.ipc.open_stream(block).read_all()
     texts = [(t or "").encode() for t in table["text"].to_pylist()]
@@ -335,9 +335,9 @@ def _asked(packed: DataFrame) -> DataFrame:
         # when they are as many, so a code is sorted a few times only.
         seen: dict[int, list[np.ndarray]] = {}
         for batch in batches:
-            for of, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for _, codes, _ in _chunks(block):
-                    held = seen.setdefault(of, [])
+            for of, block in zip(*batch.columns, strict=True):
+                for _, codes, _ in _chunks(block.as_buffer()):
+                    held = seen.setdefault(of.as_py(), [])
                     held.append(codes.unique().to_numpy())
                     if sum(map(len, held[1:])) > len(held[0]):
                         held[:] = [np.unique(np.concatenate(held))]
@@ -383,10 +383,11 @@ def score(docs: DataFrame, model: DataFrame, base: np.ndarray) -> DataFrame:
         by_key = np.argsort(hits["key"].to_numpy())
         table = [hits[name].to_numpy()[by_key] for name in ("key", "own", "weight")]
         out = []
+        give_back()
         # The slice's n-grams so far in order, and the bits of each.
         seen, bits = np.zeros(0, np.int64), np.zeros(0)
-        for block in blocks["block"].to_pylist():
-            for rows, codes, lengths in _chunks(block):
+        for block in blocks["block"]:
+            for rows, codes, lengths in _chunks(block.as_buffer()):
                 coded = codes.dictionary_encode()
                 distinct = coded.dictionary.to_numpy()
                 order = np.argsort(distinct)

@@ -7,6 +7,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sluicework.llm import (
+    arrow,
     catalog,
     components,
     kneser_ney,
@@ -164,6 +166,21 @@ def test_a_pair_goes_out_in_the_group_of_its_least_common_end():
     assert len(shingle_join._pairs_in_group(node, n, node, maps, None, apart)) == 1
 
 
+def test_a_worker_gives_back_what_a_task_has_freed():
+    """Arrays freed between kept ones stay in the heap until it is trimmed."""
+
+    def heap():
+        found = Path("/proc/self/smaps_rollup").read_text()
+        return int(re.search(r"\nAnonymous:\s+(\d+)", found)[1]) >> 10
+
+    held = [np.ones(8_000) for _ in range(4_000)]
+    kept = held[::200]
+    del held
+    before = heap()
+    arrow.give_back()
+    assert heap() < before - 150 and len(kept) == 20
+
+
 def test_shingle_join_sends_a_pair_from_its_first_shared_shingle_only(spark):
     # Nodes 1 and 2 share the shingles 5, 9 and 7, in this order; node 3 has the last one.
     rows = [(5, 1, 30, 1, 30), (9, 1, 30, 1, 28), (7, 1, 30, 1, 27), (4, 2, 30, 2, 30)]
