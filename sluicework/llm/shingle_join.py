@@ -16,11 +16,10 @@ Near copies would pair with each other in great number, so links come in rounds.
 look at the groups of each node's end shingles, the rarest and most common of its first ones: once
 for one pair per node with a leader of the group, once for one pair per node and other component,
 and once for all pairs of nodes of different components.  Of the groups that two nodes meet in, only
-that of their least common end sends the pair.  The last round looks at all groups, and
-leaves out pairs with a common end shingle, which were looked at before.  A row takes along which
-shingles of its node come before its own and meet others too, so only the group of the first shingle
-that two nodes share sends their pair.  A link that no round looks at lies within a component, so no
-component is lost.
+that of their least common end sends the pair.  The last round looks at all groups, and leaves out
+pairs that were looked at before.  A row takes along the first few shingles of its node that come
+before its own and meet others too, so a pair that shares one of them is not sent again.  A link
+that no round looks at lies within a component, so no component is lost.
 """
 
 from __future__ import annotations
@@ -36,7 +35,7 @@ from pyspark.sql import functions as F
 from sluicework.llm.arrow import map_batches, small
 from sluicework.llm.bit_filter import BitFilter
 from sluicework.llm.components import components
-from sluicework.sources.storage import Staging
+from sluicework.sources.storage import Staging, shuffles_dropped
 
 # Fixed values of the contract.
 WORDS = 5
@@ -56,8 +55,9 @@ ROUNDS = (("ends", LEADERS), ("ends", 1), ("ends", None), ("all", None))
 TILE = 512
 # Rows of a group that each row is compared with before bitmaps are sent.
 NEIGHBOURS = 32
-# Shingles before its own that a row takes along, the first ones of its node.
-BEFORE_KEPT = 32
+# Shingles before its own that a row takes along, the first ones of its node: sets near each other
+# share one of them nearly always, and a pair that does not is sent from more groups than one.
+BEFORE_KEPT = 6
 
 _FACTORS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -569,19 +569,22 @@ def _candidate_pairs(
     rows: DataFrame, signatures: DataFrame, which: str, most: int | None
 ) -> DataFrame:
     """Distinct pairs ``a, a_n, b, b_n`` of nodes that share a token and stay within the bound."""
-    sent = [*_ROW_NAMES, "weight", "bitmap", "ends"]
     if which == "all":
         rows = _with_before(rows)
-        sent.append("before")
+        sent = [*_ROW_NAMES, "bitmap", "before"]
+    else:
+        sent = [*_ROW_NAMES, "bitmap", "weight", "ends"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for table in _groups(batches, sent):
             token, node, n, label, left = (table[c].to_numpy() for c in _ROW_NAMES)
-            weight = table["weight"].to_numpy()
             maps = table["bitmap"].to_pylist()
-            ends = np.frombuffer(b"".join(table["ends"].to_pylist()), np.int64)
-            ends = ends.reshape(-1, 2 * ENDS)
-            before = table["before"].to_pylist() if which == "all" else None
+            if which == "all":
+                before = table["before"].to_pylist()
+            else:
+                weight = table["weight"].to_numpy()
+                ends = np.frombuffer(b"".join(table["ends"].to_pylist()), np.int64)
+                ends = ends.reshape(-1, 2 * ENDS)
             starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
             found: set = set()
             for begin, end in zip(starts, [*starts[1:], len(token)], strict=True):
@@ -595,9 +598,7 @@ def _candidate_pairs(
                     found.update(_pairs_in_group(*group, most, ends[part], token[begin]))
                 else:
                     found.update(
-                        _pairs_in_group(
-                            *group, most, ends[part], left=left[part], before=before[part]
-                        )
+                        _pairs_in_group(*group, most, left=left[part], before=before[part])
                     )
             columns = list(zip(*found, strict=True)) or [[], [], [], []]
             yield dict(zip(("a", "a_n", "b", "b_n"), columns, strict=True))
@@ -684,13 +685,14 @@ def link_nodes(docs: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame,
     documents = read.filter("token IS NULL").select("doc_id", "node", "n", "text_key")
     common = common_shingles(read)
     nodes = documents.filter("n > 0").groupBy("node", "n").agg(F.min("text_key").alias("text_key"))
-    starts = staging.table(starting_shingles(docs, common))
-    counts = starts.select(F.explode("tokens").alias("token")).groupBy("token").agg(
-        F.count("*").alias("times")
-    )
-    shared = BitFilter(counts.filter("times > 1"), "token")
-    rows = staging.table(_shared_rows(starts, shared))
-    signatures = staging.table(_signatures(starts, shared))
+    with Staging(docs.sparkSession) as first:
+        starts = first.table(starting_shingles(docs, common))
+        counts = starts.select(F.explode("tokens").alias("token")).groupBy("token").agg(
+            F.count("*").alias("times")
+        )
+        shared = BitFilter(counts.filter("times > 1"), "token")
+        rows = staging.table(_shared_rows(starts, shared))
+        signatures = staging.table(_signatures(starts, shared))
 
     links: DataFrame | None = None
     labels: DataFrame | None = None
@@ -698,6 +700,8 @@ def link_nodes(docs: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame,
     for which, most in ROUNDS:
         now = rows.filter("end") if which == "ends" else rows
         near = _with_neighbours(_labelled(now, labels), anywhere=which == "ends")
+        if which == "all":
+            near = staging.table(near)
         pairs = _candidate_pairs(near, signatures, which, most)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "a_n", "b", "b_n"], "left_anti")
@@ -727,16 +731,17 @@ def shingle_components(docs: DataFrame) -> DataFrame:
     their size).
     """
     staging = Staging(docs.sparkSession)
-    documents, _, labels = link_nodes(docs, staging)
-    named = (
-        documents.filter("n > 0")
-        .groupBy("node", "n")
-        .agg(F.min("doc_id").alias("least"))
-        .join(labels, "node", "left")
-        .withColumn("label", F.coalesce("label", "node"))
-    )
-    least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    by_node = staging.table(named.join(least, "label").select("node", "n", "component_id"))
+    with shuffles_dropped(docs.sparkSession):
+        documents, _, labels = link_nodes(docs, staging)
+        named = (
+            documents.filter("n > 0")
+            .groupBy("node", "n")
+            .agg(F.min("doc_id").alias("least"))
+            .join(labels, "node", "left")
+            .withColumn("label", F.coalesce("label", "node"))
+        )
+        least = named.groupBy("label").agg(F.min("least").alias("component_id"))
+        by_node = staging.table(named.join(least, "label").select("node", "n", "component_id"))
     return documents.join(by_node, ["node", "n"], "left").select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -25,7 +26,7 @@ from sluicework.llm import (
     run_length_index,
     shingle_join,
 )
-from sluicework.sources.storage import Staging
+from sluicework.sources.storage import Staging, exists, shuffles_dropped
 
 SF_DIR = "/root/testdata/sf0.001"
 ODD = [None, "", "   \n\t", "word", "é漢字 \U0001f600 a\x00b", "x" * 3000 + " " + "long " * 4000]
@@ -207,6 +208,66 @@ def test_shingle_join_sends_a_pair_from_its_first_shared_shingle_only(spark):
     assert {(r["a"], r["b"]) for r in sent.collect()} == {(1, 2), (1, 3), (2, 3)}
 
 
+def test_a_staged_query_leaves_no_shuffle_files(spark, staging):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size())}
+
+    def wait_for(done):
+        for _ in range(50):
+            if done(left := {f for f in files() if f.startswith("shuffle_")} - before):
+                break
+            time.sleep(0.1)
+        return left
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    set_before, before = spark.conf.get(key, None), files()
+    with shuffles_dropped(spark):
+        counted = spark.range(50_000).groupBy((F.col("id") % 7_000).alias("k")).count()
+        assert staging.table(counted).count() == 7_000
+        assert not wait_for(lambda left: not left)
+    assert spark.conf.get(key, None) == set_before
+
+
+def test_shingle_join_drops_its_first_tables(spark, documents, monkeypatch):
+    roots = []
+
+    class Recorded(Staging):
+        def __init__(self, session):
+            super().__init__(session)
+            roots.append(self.root)
+
+    monkeypatch.setattr(shingle_join, "Staging", Recorded)
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = documents([(1, text), (2, text + " more"), (3, "other words")])
+    found = shingle_join.shingle_components(docs)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {1: 1, 2: 1, 3: 3}
+    assert len(roots) == 2 and [exists(spark, r) for r in roots] == [True, False]
+
+
+def test_shingle_join_sends_little_with_a_row_of_the_last_round(spark, monkeypatch):
+    """Neither the packed ends nor more than a few shingles before the row's own."""
+    shared = 20
+    rows = [(t, i, 100, i, 100 - t) for i in (1, 2) for t in range(shared)]
+    rows = spark.createDataFrame(rows, shingle_join._ROW)
+    assert max(len(r["before"]) for r in shingle_join._with_before(rows).collect()) <= 8
+    maps = bytes(shingle_join.bitmap(np.arange(100, dtype=np.uint64)))
+    nodes = [(i, 100, 1, maps, np.arange(10 * i, 10 * i + 4).tobytes()) for i in (1, 2)]
+    nodes = spark.createDataFrame(
+        nodes, "node bigint, n int, weight int, bitmap binary, ends binary"
+    )
+    kept = []
+    whole = shingle_join.map_batches
+    monkeypatch.setattr(
+        shingle_join, "map_batches", lambda f, *a: kept.append(f.columns) or whole(f, *a)
+    )
+    sent = shingle_join._candidate_pairs(rows, nodes, "all", None)
+    assert [tuple(r) for r in sent.collect()] == [(1, 100, 2, 100)]
+    assert "before" in kept[0] and not {"ends", "weight"} & set(kept[0])
+
+
 @pytest.mark.parametrize("neighbours", [2, 32])
 def test_shingle_join_rows_with_a_partner(monkeypatch, neighbours):
     monkeypatch.setattr(shingle_join, "NEIGHBOURS", neighbours)
