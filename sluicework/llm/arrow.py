@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -33,6 +34,25 @@ def give_back() -> None:
             trim(0)
 
 
+def give_back_driver(spark: SparkSession) -> bool:
+    """The same for the driver: its Python, its JVM's heap, and the C heap of that, where many short
+    queries leave free memory behind.  Tells whether the JVM has a command for the last."""
+    give_back()
+    jvm, new_array = spark._jvm, spark.sparkContext._gateway.new_array
+    jvm.System.gc()
+    beans = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+    server = jvm.java.lang.Class.forName("javax.management.MBeanServerConnection")
+    invoke = next(m for m in server.getMethods() if m.getName() == "invoke")
+    asked = new_array(jvm.Object, 4)
+    asked[0] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+    asked[1] = "systemTrimNativeHeap"
+    try:
+        invoke.invoke(beans, asked)
+    except Py4JJavaError:
+        return False
+    return True
+
+
 def map_batches(
     frame: DataFrame,
     schema: str,

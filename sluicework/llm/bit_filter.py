@@ -16,7 +16,9 @@ class BitFilter:
     def __init__(self, frame: DataFrame, column: str) -> None:
         place = F.pmod(F.col(column), F.lit(1 << FILTER_BITS))
         words = (
-            frame.select(F.floor(place / 64).alias("word"), (place % 64).cast("int").alias("bit"))
+            frame.select(
+                F.floor(place / 64).cast("int").alias("word"), (place % 64).cast("int").alias("bit")
+            )
             .groupBy("word")
             .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
         )

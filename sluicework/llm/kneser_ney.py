@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluicework.llm.arrow import give_back, map_batches
+from sluicework.llm.arrow import give_back, give_back_driver, map_batches
 from sluicework.llm.bit_filter import BitFilter
 from sluicework.sources.storage import Staging
 
@@ -269,7 +269,7 @@ def byte_model(counts: DataFrame, staging: Staging) -> DataFrame:
 
 def _base(table: DataFrame) -> np.ndarray:
     """The class model's probability of every code: ``SYMBOLS ** ORDER`` values."""
-    rows = table.toArrow()
+    rows = table.select(F.col("code").cast("int"), F.col("p").cast("float")).toArrow()
     out = np.zeros(SYMBOLS**ORDER, np.float32)
     out[rows["code"].to_numpy()] = rows["p"].to_numpy()
     return out
@@ -483,7 +483,10 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     staging = Staging(spark)
     trusted = staging.table(_trusted(labels))
     counts = staging.table(byte_counts(learnt_texts(docs, trusted)))
-    base = _base(probabilities(spark, class_counts(counts), staging))
+    table = probabilities(spark, class_counts(counts), staging)
+    give_back_driver(spark)
+    base = _base(table)
+    give_back_driver(spark)
     scored = staging.table(score(docs, staging.table(byte_model(counts, staging)), base))
     calibration = trusted.filter("calibration").select("doc_id")
     by_language, overall = thresholds(scored.join(calibration, "doc_id", "left_semi"), quantile)

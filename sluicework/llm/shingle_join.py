@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluicework.llm.arrow import map_batches, small
+from sluicework.llm.arrow import give_back_driver, map_batches, small
 from sluicework.llm.bit_filter import BitFilter
 from sluicework.llm.components import components
 from sluicework.sources.storage import Staging, shuffles_dropped
@@ -699,6 +699,7 @@ def link_nodes(docs: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame,
     tried: DataFrame | None = None
     for which, most in ROUNDS:
         now = rows.filter("end") if which == "ends" else rows
+        give_back_driver(docs.sparkSession)
         near = _with_neighbours(_labelled(now, labels), anywhere=which == "ends")
         if which == "all":
             near = staging.table(near)

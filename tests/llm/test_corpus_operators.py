@@ -26,6 +26,7 @@ from sluicework.llm import (
     run_length_index,
     shingle_join,
 )
+from sluicework.llm.bit_filter import BitFilter
 from sluicework.sources.storage import Staging, exists, shuffles_dropped
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -268,6 +269,26 @@ def test_shingle_join_sends_little_with_a_row_of_the_last_round(spark, monkeypat
     assert "before" in kept[0] and not {"ends", "weight"} & set(kept[0])
 
 
+def test_driver_gets_packed_numbers_and_gives_memory_back(spark, monkeypatch):
+    sizes = []
+    frame = type(spark.range(1))
+    fetch = frame.toArrow
+
+    def measured(self):
+        found = fetch(self)
+        sizes.append(found.nbytes / max(found.num_rows, 1))
+        return found
+
+    monkeypatch.setattr(frame, "toArrow", measured)
+    codes = spark.range(kneser_ney.SYMBOLS**kneser_ney.ORDER)
+    base = kneser_ney._base(codes.select(F.col("id").alias("code"), (F.col("id") / 3).alias("p")))
+    assert base[6] == 2 and base[-1] == np.float32((len(base) - 1) / 3)
+    numbers = BitFilter(spark.range(-5_000, 5_000).select((F.col("id") * 977).alias("v")), "v")
+    assert numbers.holds(np.arange(-5_000, 5_000) * 977).all() and not numbers.holds(np.array([5]))
+    assert max(sizes) < 13
+    assert arrow.give_back_driver(spark)
+
+
 @pytest.mark.parametrize("neighbours", [2, 32])
 def test_shingle_join_rows_with_a_partner(monkeypatch, neighbours):
     monkeypatch.setattr(shingle_join, "NEIGHBOURS", neighbours)
