@@ -8,7 +8,12 @@ occur once are left out; where all contexts are equal, all but the first are rep
 only places are sent; where they differ, contexts are sent; and where very many differ, so that one
 task could not gather them, each window is sent by its hash.  All meet by key, ordered by place.
 
-The different contexts of some anchors become one text for a run-length index: its Burrows-Wheeler
+Anchors are long, as those of a few words recur by chance, ever more of them in a larger corpus, and
+their contexts would be compared for nothing.  Of the contexts of an anchor only the windows go on
+whose half around it, from the left or to the right, another context has too: the others have no
+equal.
+
+The contexts left of some anchors become one text for a run-length index: its Burrows-Wheeler
 transform is cut into runs of equal bytes, and the suffixes at the runs' starts are sampled, with
 the suffix before each and the length they share.  Away from the samples both follow: going one
 byte on in the text shortens the shared length by one and moves both suffixes by one.  So the
@@ -24,6 +29,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,22 +38,27 @@ from sluicework.llm.arrow import map_batches
 from sluicework.llm.bit_filter import BitFilter
 from sluicework.llm.columns import same_row, text_key
 from sluicework.llm.shingle_join import signed
-from sluicework.sources.storage import Staging
+from sluicework.sources.storage import Staging, shuffles_dropped
 
 # Fixed value of the contract.
 WINDOW = 100
 
-ANCHOR = 16
+ANCHOR = 32
+# Bytes beside the anchor that each window has on its left or on its right.
+BESIDE = (WINDOW - ANCHOR) // 2
 SLICE_BYTES = 2 << 20
 CACHED_BYTES = 64 << 10
-# Bytes of context per index, and occurrences of one anchor beyond which windows go by hash.
-INDEX_BYTES = 1 << 20
+# Bytes of context taken at once and per index (which a processor's cache holds best), and
+# occurrences of one anchor beyond which windows go by hash.
+TAKEN_BYTES = 1 << 20
+INDEX_BYTES = 64 << 10
 GROUP_CONTEXTS = 20_000
-PACKED = 4
+PACKED = 8
+# Rows of windows sent at once.
+SENT_WINDOWS = 10_000
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTES = (np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(_BASE)
 
 
 @lru_cache(maxsize=8)
@@ -58,10 +69,16 @@ def _powers(base: int, bits: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+def _words(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on as one number."""
+    return np.ndarray((max(0, len(raw) - 7),), "<u8", np.ascontiguousarray(raw), strides=(1,))
+
+
 def _hashes(raw: np.ndarray) -> np.ndarray:
-    """A hash of the ``ANCHOR`` bytes from every place on, by doubling."""
-    now = _BYTES[raw]
-    size = 1
+    """A hash of the ``ANCHOR`` bytes from every place on, by doubling from eight."""
+    now = _words(raw) * np.uint64(_BASE)
+    now ^= now >> np.uint64(29)
+    size = 8
     factor = 0xC2B2AE3D27D4EB4F
     while size < ANCHOR:
         now = now[:-size] * np.uint64(factor) + now[size:]
@@ -69,18 +86,20 @@ def _hashes(raw: np.ndarray) -> np.ndarray:
         factor = (factor * 0xD6E8FEB86659FD93 | 1) & 0xFFFFFFFFFFFFFFFF
         size *= 2
     now *= np.uint64(0xBF58476D1CE4E5B9)
-    return now ^ now >> np.uint64(32)
+    now ^= now >> np.uint64(32)
+    return now
 
 
 class Stretches(NamedTuple):
     """Stretches of windows with one anchor, of several texts: the text's number, the anchor's
-    hash, a hash of the context, and first and last window within the text."""
+    hash, a hash of the context, first and last window and the anchor's place within the text."""
 
     text: np.ndarray
     anchor: np.ndarray
     context: np.ndarray
     first: np.ndarray
     last: np.ndarray
+    place: np.ndarray
 
 
 def stretches(texts: list[bytes]) -> Stretches:
@@ -101,9 +120,9 @@ def _stretches(texts: list[bytes]) -> Stretches:
     raw = np.frombuffer(b"".join(texts), np.uint8)
     count = len(raw) - WINDOW + 1
     if count <= 0:
-        return Stretches(none, none, none, none, none)
-    sizes = np.array([len(t) for t in texts], np.int64)
-    begins = np.cumsum(sizes) - sizes
+        return Stretches(none, none, none, none, none, none)
+    ends = np.cumsum([len(t) for t in texts])
+    begins = np.r_[0, ends[:-1]]
     hashes = _hashes(raw)
     span = WINDOW - ANCHOR + 1
     # High bits of the hash decide, then the place, so the least value tells the leftmost place.
@@ -115,29 +134,26 @@ def _stretches(texts: list[bytes]) -> Stretches:
     if size < span:
         least = np.minimum(least[:count], least[span - size : span - size + count])
     place = (least[:count] & ~high).astype(np.int64)
-    # Only windows within one text count.
-    windows = np.maximum(sizes - WINDOW + 1, 0)
-    owner = np.repeat(np.arange(len(texts)), windows)
-    start = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    start += begins[owner]
-    if not len(start):
-        return Stretches(none, none, none, none, none)
-    place = place[start]
-    fresh = np.r_[True, (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])]
-    head = np.flatnonzero(fresh)
-    first, text = start[head], owner[head]
-    last = start[np.r_[head[1:], len(start)] - 1]
+    # Only windows within one text count: those across its end get no place.
+    for begin, end in zip(np.maximum(begins, ends - WINDOW + 1), ends, strict=True):
+        place[begin:end] = -1
+    # A text's last window is its own, so stretches of two texts never touch.
+    change = np.flatnonzero(place[1:] != place[:-1])
+    head, tail = np.r_[0, change + 1], np.r_[change, count - 1]
+    whole = place[head] >= 0
+    first, last = head[whole], tail[whole]
+    at = place[first]
+    text = np.searchsorted(ends, first, side="right")
     # A polynomial over the hashes of all places of the context, moved back to its start.
     bits = max(20, len(hashes).bit_length())
     sums = np.zeros(len(hashes) + 1, np.uint64)
     np.cumsum(hashes * _powers(_BASE, bits)[: len(hashes)], dtype=np.uint64, out=sums[1:])
-    whole = sums[last + span] - sums[first]
-    context = whole * _powers(_INVERSE, bits)[first]
+    context = (sums[last + span] - sums[first]) * _powers(_INVERSE, bits)[first]
     context ^= (last - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    begin = begins[text]
     return Stretches(
-        text, signed(hashes[place[head]]), signed(context), first - begins[text],
-        last - begins[text],
-    )
+        text, signed(hashes[at]), signed(context), first - begin, last - begin, at - begin
+    )
 
 
 def _suffix_array(text: np.ndarray, breaks: np.ndarray, depth: int) -> np.ndarray:
@@ -150,15 +166,21 @@ def _suffix_array(text: np.ndarray, breaks: np.ndarray, depth: int) -> np.ndarra
     for k in range(1, size):
         key <<= bits
         key[: len(rank) - k] += rank[k:] + 1
+    order = np.argsort(key)
+    ordered, spots = key[order], np.arange(len(order))
     while True:
-        order = np.argsort(key)
-        in_order = key[order]
-        new = np.cumsum(np.r_[0, in_order[1:] != in_order[:-1]])
-        if size >= depth or new[-1] == len(order) - 1:
+        # The rank is the first spot of the suffixes that are still equal; only they are sorted on.
+        fresh = np.r_[True, ordered[1:] != ordered[:-1]]
+        rank[order[spots]] = spots[np.maximum.accumulate(np.where(fresh, np.arange(len(spots)), 0))]
+        spots = spots[~(fresh & np.r_[fresh[1:], True])]
+        if size >= depth or not len(spots):
             return order
-        rank[order] = new
-        key = rank * np.int64(len(rank) + 1)
-        key[:-size] += rank[size:] + 1
+        equal = order[spots]
+        key = rank[equal] * np.int64(len(rank) + 1)
+        inside = equal + size < len(rank)
+        key[inside] += rank[equal[inside] + size] + 1
+        by_key = np.argsort(key)
+        order[spots], ordered = equal[by_key], key[by_key]
         size *= 2
 
 
@@ -246,14 +268,6 @@ def repeated_windows(contexts: list[bytes], first: int = WINDOW) -> list[np.ndar
     return [np.flatnonzero(again[s : s + n]) for s, n in zip(starts, sizes, strict=True)]
 
 
-def _spans(starts: np.ndarray) -> list[tuple[int, int]]:
-    """Stretches of consecutive windows as (first, last)."""
-    if not len(starts):
-        return []
-    cut = np.flatnonzero(np.diff(starts) != 1)
-    return list(zip(starts[np.r_[0, cut + 1]], starts[np.r_[cut, len(starts) - 1]], strict=True))
-
-
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(), "text")
 
@@ -317,7 +331,8 @@ def _merged(
 def occurrences(
     docs: DataFrame, repeated: BitFilter, differing: BitFilter, crowded: BitFilter
 ) -> DataFrame:
-    """``key, more, doc_id, text_key, first, last, context``: places to compare, by kind.
+    """``key, more, doc_id, text_key, first, last, at, context``: places to compare, by kind; a
+    context comes with its anchor's place in it, ``at``.
 
     Of stretches with equal contexts in a slice only the first is sent; the others come as known
     repeats, without a key.
@@ -361,11 +376,12 @@ def occurrences(
                     "text_key": keys[at],
                     "first": first,
                     "last": last,
+                    "at": pa.nulls(len(at), pa.int32()),
                     "context": pa.nulls(len(at), pa.binary()),
                 }
                 anchor = found.anchor[sent]
                 many = crowded.holds(anchor)
-                differ = differing.holds(anchor)
+                differ = differing.holds(anchor)[~many]
                 plain = sent[~many]
                 at = row[plain]
                 spots = zip(found.text[plain], found.first[plain], found.last[plain], strict=True)
@@ -376,29 +392,42 @@ def occurrences(
                     "text_key": keys[at],
                     "first": found.first[plain],
                     "last": found.last[plain],
+                    "at": pa.array(found.place[plain] - found.first[plain], mask=~differ),
                     "context": [
                         raw[t][a : b + WINDOW] if d else None
-                        for (t, a, b), d in zip(spots, differ[~many], strict=True)
+                        for (t, a, b), d in zip(spots, differ, strict=True)
                     ],
                 }
-                for i in sent[many]:
-                    t, a, b = found.text[i], int(found.first[i]), int(found.last[i])
+                crowd = sent[many]
+                sizes = found.last[crowd] - found.first[crowd] + 1
+                parts = np.cumsum(sizes) // SENT_WINDOWS
+                for part in np.split(crowd, np.flatnonzero(np.diff(parts)) + 1):
+                    if not len(part):
+                        continue
+                    spots = zip(found.text[part], found.first[part], found.last[part], strict=True)
                     digests = [
-                        xxhash.xxh3_128_digest(raw[t][k : k + WINDOW]) for k in range(a, b + 1)
+                        xxhash.xxh3_128_digest(raw[t][k : k + WINDOW])
+                        for t, a, b in spots
+                        for k in range(a, b + 1)
                     ]
                     halves = np.frombuffer(b"".join(digests), ">i8").astype(np.int64)
-                    n = b - a + 1
+                    size = found.last[part] - found.first[part] + 1
+                    at = np.repeat(row[part], size)
+                    first = np.arange(len(at)) + np.repeat(
+                        found.first[part] - np.cumsum(size) + size, size
+                    )
                     yield {
                         "key": halves[::2],
                         "more": halves[1::2],
-                        "doc_id": pa.array(np.full(n, low[row[i]]), mask=np.full(n, null[row[i]])),
-                        "text_key": np.full(n, keys[row[i]]),
-                        "first": np.arange(a, b + 1),
-                        "last": np.arange(a, b + 1),
-                        "context": pa.nulls(n, pa.binary()),
+                        "doc_id": pa.array(low[at], mask=null[at]),
+                        "text_key": keys[at],
+                        "first": first,
+                        "last": first,
+                        "at": pa.nulls(len(at), pa.int32()),
+                        "context": pa.nulls(len(at), pa.binary()),
                     }
 
-    return map_batches(_texts(docs), f"{_PLACES}, context binary", work)
+    return map_batches(_texts(docs), f"{_PLACES}, at int, context binary", work)
 
 
 def _plain_repeats(columns: list[np.ndarray], head: np.ndarray | None) -> tuple:
@@ -416,53 +445,113 @@ def _plain_repeats(columns: list[np.ndarray], head: np.ndarray | None) -> tuple:
     return again[0 if head is None else 1 :], [c[last : last + 1] for c in with_head]
 
 
+def _shared(group: np.ndarray, side: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """Which contexts (of those ``there``) have a side that another of their group has."""
+    rows = np.flatnonzero(there)
+    order = rows[np.lexsort((side[rows], group[rows]))]
+    same = (group[order[1:]] == group[order[:-1]]) & (side[order[1:]] == side[order[:-1]])
+    out = np.zeros(len(group), bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return out
+
+
+def _sides(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """A hash of the anchor and the bytes beside it, from each place on."""
+    words, size = _words(data), ANCHOR + BESIDE
+    out = np.zeros(len(begin), np.uint64)
+    for k in (*range(0, size - 8, 8), size - 8):
+        out = (out ^ words[begin + k]) * np.uint64(_BASE)
+        out ^= out >> np.uint64(32)
+    return out
+
+
+def _context_repeats(batch: pa.RecordBatch) -> dict:
+    """``doc_id, text_key, first, last`` of windows that repeat, of whole groups of contexts."""
+    key, more, first, last, at = (
+        batch.column(n).to_numpy().astype(np.int64) for n in ("key", "more", "first", "last", "at")
+    )
+    ids, contexts = batch.column("doc_id"), batch.column("context").cast(pa.binary())
+    null, low = np.array(ids.is_null()), ids.fill_null(0).to_numpy()
+    group = np.cumsum(np.r_[False, (key[1:] != key[:-1]) | (more[1:] != more[:-1])])
+    code = contexts.dictionary_encode().indices.to_numpy()
+    order = np.lexsort((code, group))  # leaves equal contexts in order of place
+    fresh = np.r_[
+        True, (group[order[1:]] != group[order[:-1]]) | (code[order[1:]] != code[order[:-1]])
+    ]
+    earliest = np.empty(len(order), np.int64)
+    earliest[order] = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
+    again = np.flatnonzero(
+        (null != null[earliest]) | (low != low[earliest]) | (first != first[earliest])
+    )
+    found = [(again, first[again], last[again])]
+
+    # Windows of one context have their anchor at different offsets, so none are equal; two windows
+    # can be only where their contexts share the bytes from the anchor to the left or to the right.
+    data = np.frombuffer(contexts.buffers()[2], np.uint8)
+    begin = np.frombuffer(contexts.buffers()[1], np.int32)[contexts.offset :][: len(contexts)]
+    own = np.sort(order[fresh])
+    to_anchor, windows = at[own], last[own] - first[own] + 1
+    middle = np.clip(to_anchor - BESIDE + 1, 0, windows)  # the first window that has the right side
+    anchor = begin[own].astype(np.int64) + to_anchor
+    left_there, right_there = middle > 0, middle < windows
+    left = _shared(group[own], _sides(data, anchor - BESIDE * left_there), left_there)
+    right_begin = np.where(right_there, anchor, begin[own])
+    right = _shared(group[own], _sides(data, right_begin), right_there)
+    low_end = np.where(left, 0, middle)
+    high_end = np.where(right, windows, middle)
+    chosen = np.flatnonzero(low_end < high_end)
+    rows, low_end, high_end = own[chosen], low_end[chosen], high_end[chosen]
+    start, stop = begin[rows] + low_end, begin[rows] + high_end + WINDOW - 1
+    # Groups are indexed together, but each as a whole.
+    ends = np.flatnonzero(np.r_[group[rows][1:] != group[rows][:-1], True][: len(rows)])
+    filled = np.cumsum(stop - start)[ends] // INDEX_BYTES
+    cuts = ends[np.flatnonzero(np.diff(filled))] + 1
+    for part in np.split(np.arange(len(rows)), cuts):
+        texts = [data[a:b].tobytes() for a, b in zip(start[part], stop[part], strict=True)]
+        which, again = _flat(repeated_windows(texts))
+        if len(which):
+            row = rows[part][which]
+            place = first[row] + low_end[part][which] + again
+            found.append(_merged(row, place, place))
+    row, first, last = map(np.concatenate, zip(*found, strict=True))
+    chosen = batch.select(["doc_id", "text_key"]).take(pa.array(row))
+    return {
+        "doc_id": chosen.column(0), "text_key": chosen.column(1), "first": first, "last": last,
+    }
+
+
+def _flat(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the parts that the values stand in, and the values."""
+    which = np.repeat(np.arange(len(parts)), np.array([len(p) for p in parts], np.int64))
+    return which, np.concatenate([*parts, np.zeros(0, np.int64)])
+
+
 class _Groups:
-    """Takes sorted contexts, drops equal ones, and indexes the groups that are left."""
+    """Gathers sorted contexts until there are enough of whole groups."""
 
     def __init__(self) -> None:
-        self.out: list[tuple] = []  # id, text, first and last window
-        self._waiting: list[tuple] = []  # id, text, first window, context: of whole groups
-        self._size = 0
-        self._key: tuple | None = None
-        self._seen: dict[bytes, tuple] = {}
-        self._fresh: list[tuple] = []
-
-    def take(self, key: tuple, doc, text: int, first: int, last: int, context: bytes) -> None:
-        if key != self._key:
-            self._end_group()
-            self._key = key
-        earlier = self._seen.get(context)
-        if earlier is None:
-            self._seen[context] = (doc, first)
-            self._fresh.append((doc, text, first, context))
-        elif earlier != (doc, first):
-            self.out.append((doc, text, first, last))
-
-    def _end_group(self) -> None:
-        # Windows of one context have their anchor at different offsets, so none are equal.
-        if len(self._fresh) > 1:
-            self._waiting.extend(self._fresh)
-            self._size += sum(len(f[3]) for f in self._fresh)
-        self._fresh.clear()
-        self._seen.clear()
-        if self._size >= INDEX_BYTES:
-            self._index()
-
-    def _index(self) -> None:
-        again = repeated_windows([w[3] for w in self._waiting])
-        for (doc, text, place, _), windows in zip(self._waiting, again, strict=True):
-            self.out.extend((doc, text, place + a, place + b) for a, b in _spans(windows))
-        self._waiting.clear()
+        self._waiting: list[pa.RecordBatch] = []
         self._size = 0
 
-    def close(self) -> None:
-        self._end_group()
-        self._index()
-
-    def columns(self) -> dict:
-        done = list(zip(*self.out, strict=True)) or [[]] * 4
-        self.out = []
-        return dict(zip(("doc_id", "text_key", "first", "last"), done, strict=True))
+    def take(self, batch: pa.RecordBatch) -> Iterator[dict]:
+        self._waiting.append(batch)
+        self._size += pc.sum(pc.binary_length(batch.column("context"))).as_py()
+        if self._size < TAKEN_BYTES:
+            return
+        # The last group may go on in the next batch.
+        whole = pa.concat_batches(self._waiting)
+        key, more = (whole.column(n).to_numpy() for n in ("key", "more"))
+        before = np.flatnonzero((key != key[-1]) | (more != more[-1]))
+        cut = before[-1] + 1 if len(before) else 0
+        if cut:
+            yield _context_repeats(whole.slice(0, cut))
+        self._waiting, self._size = [whole.slice(cut)], 0
+
+    def close(self) -> Iterator[dict]:
+        if self._waiting:
+            yield _context_repeats(pa.concat_batches(self._waiting))
+        self._waiting = []
 
 
 def repeats(found: DataFrame) -> DataFrame:
@@ -485,15 +574,8 @@ def repeats(found: DataFrame) -> DataFrame:
                 chosen = part.filter(pa.array(again))
                 yield {n: chosen.column(n) for n in ("doc_id", "text_key", "first", "last")}
             if not plain.all():
-                part = batch.filter(pa.array(~plain))
-                names = ("key", "more", "doc_id", "text_key", "first", "last", "context")
-                for key, more, *place in zip(
-                    *(part.column(n).to_pylist() for n in names), strict=True
-                ):
-                    groups.take((key, more), *place)
-                yield groups.columns()
-        groups.close()
-        yield groups.columns()
+                yield from groups.take(batch.filter(pa.array(~plain)))
+        yield from groups.close()
 
     ordered = found.repartition("key", "more").sortWithinPartitions(
         "key", "more", "doc_id", "first", "text_key"
@@ -503,13 +585,23 @@ def repeats(found: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, staging: Staging) -> DataFrame:
     """``doc_id, text_key, first, last``: stretches of windows that also start earlier."""
-    counts = staging.table(anchor_counts(docs).filter("times > 1"))
-    differing = counts.filter("least <> most")
-    filters = [
-        BitFilter(frame, "anchor")
-        for frame in (counts, differing, differing.filter(F.col("times") > GROUP_CONTEXTS))
-    ]
-    found = staging.table(occurrences(docs, *filters))
+    with shuffles_dropped(docs.sparkSession):
+        counts, seen = staging.measured_table(
+            anchor_counts(docs).filter("times > 1"),
+            repeated="count(*)",
+            differing="count_if(least <> most)",
+            crowded=f"count_if(least <> most AND times > {GROUP_CONTEXTS})",
+        )
+        differing = counts.filter("least <> most")
+        filters = [
+            BitFilter(frame, "anchor", seen[kind] or 0)
+            for kind, frame in (
+                ("repeated", counts),
+                ("differing", differing),
+                ("crowded", differing.filter(F.col("times") > GROUP_CONTEXTS)),
+            )
+        ]
+        found = staging.table(occurrences(docs, *filters))
     known = found.filter("key IS NULL").select("doc_id", "text_key", "first", "last")
     return known.unionByName(repeats(found.filter("key IS NOT NULL")))
 

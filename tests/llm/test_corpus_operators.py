@@ -407,6 +407,70 @@ def test_index_finds_repeats_within_and_between_contexts():
         assert found == expected
 
 
+def test_anchors_seldom_recur_by_chance(prose):
+    text = prose(5, 100_000, kinds=40).encode()
+    texts = [text[k : k + 2000] for k in range(0, len(text), 2000)]
+    seen = [found.anchor for found in map(run_length_index.stretches, [[t] for t in texts])]
+    found = run_length_index.stretches(texts)
+    assert np.array_equal(np.concatenate(seen), found.anchor)
+    _, times = np.unique(found.anchor, return_counts=True)
+    assert times[times > 1].sum() < len(found.anchor) / 100
+
+
+def test_index_takes_contexts_that_share_a_side(monkeypatch):
+    rng = random.Random(8)
+
+    def letters(n):
+        return bytes(rng.choice(b"abcdefgh") for _ in range(n))
+
+    # A phrase that recurs within ever new text, and passages long enough to hold equal windows.
+    phrase, passages = letters(50), [letters(130), letters(170)]
+    texts = [letters(150) + phrase + letters(150) for _ in range(200)]
+    for n in range(12):
+        texts[n * 7] += passages[n % 2] + letters(90)
+    texts += [texts[3], texts[3][:250] + letters(60)]
+    found = run_length_index.stretches(texts)
+    order = np.lexsort((found.first, found.text, found.anchor))
+    spots = [tuple(int(x[i]) for x in found) for i in order]
+    rows = [
+        (key, 0, t, t + 1000, a, b, place - a, texts[t][a : b + 100])
+        for t, key, _, a, b, place in spots
+    ]
+    types = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.binary()]
+    names = ["key", "more", "doc_id", "text_key", "first", "last", "at", "context"]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+    batch = pa.RecordBatch.from_arrays(columns, names=names)
+
+    indexed = []
+    plain = run_length_index.repeated_windows
+    monkeypatch.setattr(
+        run_length_index, "repeated_windows", lambda c: indexed.extend(c) or plain(c)
+    )
+    expected, seen = set(), set()
+    for t, text in enumerate(texts):
+        expected |= {(t, k) for k in range(len(text) - 99) if text[k : k + 100] in seen}
+        seen |= {text[k : k + 100] for k in range(len(text) - 99)}
+    for size in (1 << 20, 2000):
+        monkeypatch.setattr(run_length_index, "INDEX_BYTES", size)
+        monkeypatch.setattr(run_length_index, "TAKEN_BYTES", size)
+        groups, got = run_length_index._Groups(), set()
+        parts = [p for b in range(0, len(rows), 100) for p in groups.take(batch.slice(b, 100))]
+        for part in (*parts, *groups.close()):
+            places = zip(part["doc_id"].to_pylist(), part["first"], part["last"], strict=True)
+            got |= {(t, k) for t, a, b in places for k in range(a, b + 1)}
+        assert got == expected
+    phrases = sum(phrase in c for c in (r[-1] for r in rows))
+    assert phrases > 200 > 20 > sum(phrase in c for c in set(indexed))
+
+
+def test_filter_grows_with_the_count(spark):
+    frame = spark.range(1000).withColumnRenamed("id", "v")
+    small, large = BitFilter(frame, "v"), BitFilter(frame, "v", 20_000_000)
+    others = np.arange(1000) + (1 << 26)
+    assert small.holds(np.arange(1000)).all() and large.holds(np.arange(1000)).all()
+    assert small.holds(others).all() and not large.holds(others).any()
+
+
 def test_runs_are_fewer_than_bytes_in_repetitive_text():
     one = bytes(random.Random(1).choice(b"abcdefgh") for _ in range(150))
     text = np.frombuffer(b"\0".join([one] * 40 + [b""]), np.uint8)
